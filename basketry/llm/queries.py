@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from basketry.llm.decontaminate import contamination
 from basketry.llm.substring_dedup import substring_dedup
 
 
@@ -17,8 +18,14 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"), keep_text=False)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
+    "op4_decontaminate": op4_decontaminate,
 }
 
 ORACLE: dict[str, str] = {
@@ -35,4 +42,21 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
                sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
     """,
+    "op4_decontaminate": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+        b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+        bi AS (SELECT item_id, words, least(13, len(words)) AS size, unnest(range(1, greatest(len(words) - 13, 0) + 2)) AS i FROM b WHERE len(words) > 0),
+        bw AS (SELECT DISTINCT item_id, size, array_to_string(words[i:i + size - 1], ' ') AS w FROM bi),
+        sizes AS (SELECT DISTINCT size FROM bw),
+        di AS (SELECT doc_id, size, words, unnest(range(1, len(words) - size + 2)) AS i FROM d, sizes WHERE len(words) >= size),
+        dw AS (SELECT doc_id, size, i, array_to_string(words[i:i + size - 1], ' ') AS w FROM di),
+        m AS (SELECT doc_id, size, i, item_id FROM dw JOIN bw USING (size, w)),
+        hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM m) GROUP BY doc_id),
+        its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+    """,
 }
