@@ -1,6 +1,6 @@
 """Blocked Bloom filters built by Spark and tested with numpy inside tasks.
 
-A filter is an array of 512-bit blocks; a key's low bits choose a block and seven 9-bit slices of a second hash choose bits
+A filter is an array of 512-bit blocks; a key's mixed low bits choose a block and seven 9-bit slices of a second hash choose bits
 in it, so a test touches one cache line. The size is the caller's, and bounded: with too many keys it passes more, never
 fewer, and callers remove what passes wrongly by an exact join or grouping.
 """
@@ -29,8 +29,9 @@ def blocks_for(keys: int, bits_per_key: int = 12, most: int = MOST_BLOCKS) -> in
 
 def _places(keys: np.ndarray, blocks: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For int64 keys: the words, and the bits in them, that a key sets."""
-    first = (keys & (blocks - 1)) * WORDS
-    second = mixed(keys.view(U) + U(0x9E3779B97F4A7C15))
+    once = mixed(keys.view(U))
+    first = (once & U(blocks - 1)).astype(np.int64) * WORDS
+    second = mixed(once + U(0x9E3779B97F4A7C15))
     for i in range(SLICES):
         bit = ((second >> U(9 * i)) & U(511)).astype(np.int64)
         yield first + (bit >> 6), np.left_shift(np.int64(1), bit & 63)
@@ -47,7 +48,7 @@ def _set_bits(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.Rec
 
 
 def build(keys: DataFrame, blocks: int) -> np.ndarray:
-    """The filter of the first column: 64-bit keys, nulls aside. Tasks send set words only, which Spark unites with bit_or; the driver gets ``blocks * 8`` numbers at most."""
+    """The filter of the first column: 64-bit integers, nulls aside. Tasks send set words only, which Spark unites with bit_or; the driver gets ``blocks * 8`` numbers at most."""
     parts = keys.mapInArrow(partial(_set_bits, blocks=blocks), "word long, mask long")
     got = parts.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
     out = np.zeros(blocks * WORDS, np.int64)

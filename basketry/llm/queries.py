@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.llm.decontaminate import contamination
+from basketry.llm.jaccard_join import jaccard_join
 from basketry.llm.substring_dedup import substring_dedup
 
 
@@ -23,9 +24,14 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op4_decontaminate": op4_decontaminate,
+    "op6_jaccard_join": op6_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {
@@ -59,4 +65,18 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
         FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
     """,
+    "op6_jaccard_join": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                               '[^\x20\x09-\x0D]+') AS words FROM documents),
+        s AS (SELECT DISTINCT doc_id, hash(array_to_string(words[i:i + 4], ' ')) AS g
+              FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM d WHERE len(words) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+        edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach(a, b) AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+        least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+        SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id
+        FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN least ON a = doc_id
+    """,
 }
