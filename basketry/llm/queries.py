@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from basketry.llm.chat_format import digests, format_chats
 from basketry.llm.decontaminate import contamination
 from basketry.llm.jaccard_join import jaccard_join
+from basketry.llm.mixing import mix
 from basketry.llm.substring_dedup import substring_dedup
 
 
@@ -36,11 +37,16 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_chats(own.union(more)))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op4_decontaminate": op4_decontaminate,
     "op6_jaccard_join": op6_jaccard_join,
     "op1_chat_format": op1_chat_format,
+    "op2_mixing": op2_mixing,
 }
 
 ORACLE: dict[str, str] = {
