@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basketry.llm.chat_format import digests, format_chats
 from basketry.llm.decontaminate import contamination
 from basketry.llm.jaccard_join import jaccard_join
+from basketry.llm.license_scan import RULES, SENTENCES, scan
 from basketry.llm.mixing import mix
 from basketry.llm.substring_dedup import substring_dedup
+from basketry.llm.url_filter import filter_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,14 +44,36 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(_table(spark, sf_dir, "documents"))
+
+
+# The rules of the query's contract, and sites listed as junk.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+JUNK_SITES = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+JUNK_DOMAINS = ["example.com", "example.net", "example.org"]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = [(*rule, 0) for rule in URL_RULES] + [(f"{site}.{domain}", "/", "block", 1) for site in JUNK_SITES for domain in JUNK_DOMAINS]
+    judged = filter_urls(_table(spark, sf_dir, "pages"), spark.createDataFrame(listed, "host string, path string, verdict string, tier int"))
+    return judged.select("page_id", "host", "path", F.when(F.col("tier") == 0, F.col("rule")).alias("rule"), "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op4_decontaminate": op4_decontaminate,
     "op6_jaccard_join": op6_jaccard_join,
     "op1_chat_format": op1_chat_format,
     "op2_mixing": op2_mixing,
+    "op3_license_scan": op3_license_scan,
+    "op8_url_filter": op8_url_filter,
 }
 
+_known = ", ".join(f"('{text}', '{name}')" for text, name in SENTENCES.items())
+_rules = " ".join(f"WHEN contains(',' || sentence_ids || ',', ',{','.join(ids)},') THEN {i}" for i, (_, ids) in enumerate(RULES, 1))
+_names = ", ".join(f"'{name}'" for name, _ in RULES)
+
 ORACLE: dict[str, str] = {
     "op5_substring_dedup": r"""
         WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
@@ -107,4 +132,23 @@ ORACLE: dict[str, str] = {
                count(*) FILTER (before IS DISTINCT FROM role) AS n_messages
         FROM l GROUP BY conv_id
     """,
+    "op8_url_filter": r"""
+        WITH p AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+        r(h, p, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+        m AS (SELECT page_id, host, path, arg_max(h || r.p, length(h || r.p)) AS rule, arg_max(verdict, length(h || r.p)) AS verdict
+              FROM p LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, r.p) GROUP BY page_id, host, path)
+        SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN starts_with(path, '/') AND regexp_matches(host,
+                 '(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.example\.(com|net|org)$') THEN 'block' ELSE 'allow' END) AS verdict FROM m
+    """,
+    "op3_license_scan": rf"""
+        WITH k(s, id) AS (VALUES {_known}),
+        c AS (SELECT row_number() OVER () AS r, doc_id, string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.!?]+(?:[ \t\r\f]+|\n|$)|\n', chr(10), 'g'), chr(10)) AS cut FROM documents),
+        u AS (SELECT r, i, trim(regexp_replace(cut[i], '[^a-z0-9]+', ' ', 'g')) AS s FROM (SELECT r, cut, unnest(range(1, len(cut) + 1)) AS i FROM c)),
+        f AS (SELECT r, string_agg(id, ',' ORDER BY i) AS ids FROM u JOIN k USING (s) GROUP BY r),
+        n AS (SELECT doc_id, coalesce(ids, '') AS sentence_ids FROM c LEFT JOIN f USING (r)),
+        m AS (SELECT doc_id, sentence_ids, CAST(CASE {_rules} ELSE 0 END AS INTEGER) AS rule_no FROM n)
+        SELECT doc_id, sentence_ids, rule_no, CASE WHEN rule_no > 0 THEN list_extract([{_names}], rule_no) END AS license FROM m
+    """,
 }
