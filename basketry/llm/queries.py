@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.chat_format import digests, format_chats
 from basketry.llm.decontaminate import contamination
+from basketry.llm.fertility import fertility
 from basketry.llm.jaccard_join import jaccard_join
 from basketry.llm.license_scan import RULES, SENTENCES, scan
 from basketry.llm.mixing import mix
@@ -60,6 +61,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", F.when(F.col("tier") == 0, F.col("rule")).alias("rule"), "verdict")
 
 
+def op9_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fertility(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op4_decontaminate": op4_decontaminate,

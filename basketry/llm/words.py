@@ -68,10 +68,12 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Words:
-    """Words of the rows ``first`` to ``first + rows``: ``starts`` and ``ends`` in ``data``; row r has the words bounds[r] to bounds[r + 1]."""
+    """Words of the rows ``first`` to ``first + rows``: ``starts`` and ``ends`` in ``data``, the bytes of ``raw`` by the table; row r has the bytes at[r] to at[r + 1] and the words bounds[r] to bounds[r + 1]."""
 
     first: int
     rows: int
+    raw: np.ndarray
+    at: np.ndarray
     data: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
@@ -112,11 +114,11 @@ def chunks(texts: pa.Array, table: np.ndarray, most: int = CHUNK_BYTES) -> Itera
 
 
 def _words(data: np.ndarray, at: np.ndarray, first: int, table: np.ndarray) -> Words:
-    rows, none = len(at) - 1, np.zeros(0, np.int64)
+    rows, none, unread = len(at) - 1, np.zeros(0, np.int64), data
     data = table[data]
     inside = data != 0
     if not inside.any():
-        return Words(first, rows, data, none, none, np.zeros(rows + 1, np.int64), np.zeros(0, U))
+        return Words(first, rows, unread, at, data, none, none, np.zeros(rows + 1, np.int64), np.zeros(0, U))
     begins, stops = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     stops[:-1] &= ~inside[1:]
@@ -130,7 +132,7 @@ def _words(data: np.ndarray, at: np.ndarray, first: int, table: np.ndarray) -> W
     np.minimum(place, np.repeat(ends - starts, gaps), out=place)
     factors = powers(_BYTE_BASE, int(place.max()) + 1)
     hashes = np.add.reduceat(data[starts[0] :].astype(U) * factors[place], starts - starts[0])
-    return Words(first, rows, data, starts, ends, bounds, mixed(hashes))
+    return Words(first, rows, unread, at, data, starts, ends, bounds, mixed(hashes))
 
 
 def windows(hashes: np.ndarray, length: int) -> np.ndarray:
