@@ -14,6 +14,7 @@ from basketry.llm.jaccard_join import jaccard_join
 from basketry.llm.license_scan import RULES, SENTENCES, scan
 from basketry.llm.mixing import mix
 from basketry.llm.substring_dedup import substring_dedup
+from basketry.llm.toxicity import toxicity
 from basketry.llm.url_filter import filter_urls
 
 
@@ -66,6 +67,10 @@ def op9_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op4_decontaminate": op4_decontaminate,
