@@ -71,6 +71,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+_known = ", ".join(f"('{text}', '{name}')" for text, name in SENTENCES.items())
+_rules = " ".join(f"WHEN contains(',' || sentence_ids || ',', ',{','.join(ids)},') THEN {i}" for i, (_, ids) in enumerate(RULES, 1))
+_names = ", ".join(f"'{name}'" for name, _ in RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op4_decontaminate": op4_decontaminate,
@@ -79,12 +84,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_license_scan": op3_license_scan,
     "op8_url_filter": op8_url_filter,
+    "op9_tokeniser_fertility": op9_tokeniser_fertility,
+    "op7_toxicity": op7_toxicity,
 }
 
-_known = ", ".join(f"('{text}', '{name}')" for text, name in SENTENCES.items())
-_rules = " ".join(f"WHEN contains(',' || sentence_ids || ',', ',{','.join(ids)},') THEN {i}" for i, (_, ids) in enumerate(RULES, 1))
-_names = ", ".join(f"'{name}'" for name, _ in RULES)
-
 ORACLE: dict[str, str] = {
     "op5_substring_dedup": r"""
         WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
