@@ -26,8 +26,9 @@ from basketry.llm.components import components
 from basketry.llm.store import kept
 from basketry.llm.words import LOWER, U, Words, bounded_batches, chunks, mixed, signed, windows
 
-SHINGLE, HOT, MOST_HOT, BLOCK, PIECE = 5, 32, 1 << 21, 128, 64
+SHINGLE, HOT, MOST_HOT, BLOCK, PIECE = 5, 6, 1 << 21, 128, 64
 TOP = U(1 << 63)
+NONE = np.zeros(0, U)
 
 
 def _row_sets(w: Words, size: int) -> Iterator[np.ndarray]:
@@ -62,9 +63,11 @@ def _members(batch: pa.RecordBatch, wanted: np.ndarray) -> pa.RecordBatch:
     return batch.filter(pa.array(bloom.maybe(wanted, batch.column("doc_id").to_numpy(zero_copy_only=False))))
 
 
-def _prefix_counts(batches: Iterator[pa.RecordBatch], size: int, wanted: Broadcast) -> Iterator[pa.RecordBatch]:
+def _prefix_counts(batches: Iterator[pa.RecordBatch], size: int, wanted: Broadcast, common: Broadcast | None = None) -> Iterator[pa.RecordBatch]:
+    """How often shingles are in a prefix, in the order of their hashes or the global order."""
+    hot, rank = common.value if common else (NONE, NONE)
     for batch in batches:
-        firsts = [s[: _prefix(len(s))] for w in chunks(_members(batch, wanted.value).column("text"), LOWER) for s in _row_sets(w, size)]
+        firsts = [_ordered(s, hot, rank)[: _prefix(len(s))] for w in chunks(_members(batch, wanted.value).column("text"), LOWER) for s in _row_sets(w, size)]
         tokens, counts = np.unique(np.concatenate(firsts or [np.zeros(0, U)]), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(signed(tokens)), pa.array(counts)], ["token", "n"])
 
@@ -79,7 +82,7 @@ def _ordered(s: np.ndarray, hot: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return np.concatenate([s[~is_hot], np.sort(rank[at[is_hot]]) | TOP])
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], size: int, wanted: Broadcast, common: Broadcast) -> Iterator[pa.RecordBatch]:
+def _prefixes(batches: Iterator[pa.RecordBatch], size: int, wanted: Broadcast, common: Broadcast, again: Broadcast) -> Iterator[pa.RecordBatch]:
     hot, rank = common.value
     for batch in batches:
         batch = _members(batch, wanted.value)
@@ -93,8 +96,9 @@ def _prefixes(batches: Iterator[pa.RecordBatch], size: int, wanted: Broadcast, c
                 sizes.append(len(s))
         token = np.concatenate(tokens) if tokens else np.zeros(0, U)
         place = np.concatenate([np.arange(n) for n in lengths]) if lengths else np.zeros(0, np.int64)
+        keep = bloom.maybe(again.value, signed(token))
         columns = [signed(token), np.repeat(ids, lengths), np.repeat(np.array(sizes, np.int32), lengths), place.astype(np.int32)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "doc_id", "n", "place"])
+        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["token", "doc_id", "n", "place"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch], wanted: Broadcast) -> Iterator[pa.RecordBatch]:
@@ -198,6 +202,14 @@ def _can_be_similar(n: str, place: str, m: str, spot: str) -> str:
     return f"4 * least({n}, {m}) >= 3 * greatest({n}, {m}) AND 7 * (1 + least({place}, {spot}) + least({n} - {place}, {m} - {spot}) - 1) >= 3 * ({n} + {m})"
 
 
+def _promising(met: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` (of sizes ``na, nb``) that meet under enough shingles. All shared shingles up to the end of one of the prefixes are among those they meet under; the overlap is that count and what both have left, at most."""
+    prefix = "({0} - (3 * {0} + 3) DIV 4 + 1)"
+    most = f"c + greatest(least(na - {prefix.format('na')}, nb - c), least(na - c, nb - {prefix.format('nb')}))"
+    counted = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
+    return counted.where(f"7 * ({most}) >= 3 * (na + nb)").select("a", "b").distinct()
+
+
 def jaccard_join(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row for each row of ``docs`` (``doc_id``, ``text``).
 
@@ -220,13 +232,17 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     own = own.where("doc_id IS NOT NULL")
     counts = own.mapInArrow(partial(_prefix_counts, size=size, wanted=wanted), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     common = spark.sparkContext.broadcast(_common(counts))
+    counts = own.mapInArrow(partial(_prefix_counts, size=size, wanted=wanted, common=common), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    again = kept(counts.where("n > 1").select("token"), "repeated-shingles")
+    again = spark.sparkContext.broadcast(bloom.build(again, bloom.blocks_for(again.count(), most=bloom.MOST_BLOCKS * 4)))
     members = Window.partitionBy("token")
-    rows = own.mapInArrow(partial(_prefixes, size=size, wanted=wanted, common=common), "token long, doc_id long, n int, place int")
+    rows = own.mapInArrow(partial(_prefixes, size=size, wanted=wanted, common=common, again=again), "token long, doc_id long, n int, place int")
     rows = rows.withColumn("first", F.min(F.struct("doc_id", "n", "place")).over(members)).withColumn("rows", F.count("*").over(members))
     shared = kept(rows.where("rows > 1").drop("rows"), "shared-shingles")
 
     star = shared.where(f"doc_id > first.doc_id AND {_can_be_similar('n', 'place', 'first.n', 'first.place')}")
-    star = kept(star.select(F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct(), "star-pairs")
+    star = star.select(F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b"), F.col("first.n").alias("na"), F.col("n").alias("nb"))
+    star = kept(_promising(star), "star-pairs")
     links = kept(_similar_pairs(star, own, size), "links")
     first_round = components(links)
 
@@ -235,8 +251,8 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     split = kept(split, "split-groups")
     left, right = split.alias("l"), split.alias("r")
     apart = left.join(right, F.expr(f"l.token = r.token AND l.doc_id < r.doc_id AND l.component <> r.component AND {_can_be_similar('l.n', 'l.place', 'r.n', 'r.place')}"))
-    apart = apart.select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    apart = kept(apart, "other-pairs")
+    apart = apart.select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b"), F.col("l.n").alias("na"), F.col("r.n").alias("nb"))
+    apart = kept(_promising(apart).join(star, ["a", "b"], "left_anti"), "other-pairs")
     links = links.union(_similar_pairs(apart, own, size))
     repeated = classes.groupBy("doc_id").agg(F.min("first").alias("low"), F.max("first").alias("high")).where("low < high").select("doc_id")
     links = links.union(classes.join(repeated, "doc_id").select("doc_id", "first"))

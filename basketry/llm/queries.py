@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.chat_format import digests, format_chats
+from basketry.llm.context_tree import lm_scores
 from basketry.llm.decontaminate import contamination
 from basketry.llm.fertility import fertility
 from basketry.llm.jaccard_join import jaccard_join
@@ -76,6 +77,10 @@ _rules = " ".join(f"WHEN contains(',' || sentence_ids || ',', ',{','.join(ids)},
 _names = ", ".join(f"'{name}'" for name, _ in RULES)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op4_decontaminate": op4_decontaminate,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_tokeniser_fertility": op9_tokeniser_fertility,
     "op7_toxicity": op7_toxicity,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLE: dict[str, str] = {
