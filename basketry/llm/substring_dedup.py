@@ -118,3 +118,24 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH, keep_text: bool = Tru
     joined = own.join(places, "doc_id", "left").select("doc_id", "text", "places")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text
     return joined.mapInArrow(partial(_cut, length=length, keep_text=keep_text), schema)
+
+
+def _replaced(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = batch.schema.names
+        text, places = (batch.column(names.index(c)) for c in ("text", PLACES))
+        cut = next(_cut(iter([pa.RecordBatch.from_arrays([text.cast(pa.string()), places], ["text", "places"])]), length, True))
+        touched = pc.greater(cut.column("n_removed"), 0)
+        new = pc.if_else(touched, cut.column("kept_text"), text.cast(pa.string())).cast(text.type)
+        arrays = [new if c == "text" else batch.column(c) for c in names if c != PLACES]
+        yield pa.RecordBatch.from_arrays(arrays, [c for c in names if c != PLACES])
+
+
+PLACES = "__repeated_places"
+
+
+def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The documents with all their columns; where ``substring_dedup`` removes words, ``text`` is what it keeps, and elsewhere unchanged. Nulls stay null."""
+    places = repeated_windows(docs, length).groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("place").alias(PLACES))
+    joined = docs.join(places, F.col("doc_id") == F.col("__id"), "left").drop("__id")
+    return joined.mapInArrow(partial(_replaced, length=length), docs.schema)

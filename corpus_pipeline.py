@@ -5,10 +5,50 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from basketry.llm.decontaminate import decontaminate
+from basketry.llm.jaccard_join import jaccard_join
+from basketry.llm.mixing import mix
 from basketry.llm.store import kept
+from basketry.llm.substring_dedup import cut_repeats
+from basketry.llm.toxicity import drop_toxic
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the network predicts to be toxic go."""
+    return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays. Documents with a null id stay."""
+    others = jaccard_join(docs).where("component_id < doc_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that stand in a document with a smaller id are cut; ``n_chars`` follows the text."""
+    return cut_repeats(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a twentieth of their words in benchmark windows go."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with the number of their copies. Rows with equal ids get the most copies that one of them has."""
+    copies = mix(docs).where("copies > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("copies"))
+    return docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id")
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", reject_toxic),
+    ("near copies", one_of_near_copies),
+    ("repeated passages", cut_repeated_passages),
+    ("benchmark contamination", drop_contaminated),
+    ("source mix", mix_sources),
+]
 
 #: A trained classifier decides in the first stage, which SQL cannot express.
 ORACLE_SQL = None
@@ -18,5 +58,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's rows are written to the shared folder and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = kept(stage(spark, docs, sf_dir), name)
+        docs = kept(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
