@@ -113,7 +113,7 @@ def q_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
     filled = index.impute(index.item_prices(observations(spark, sf_dir)), [["class"], ["division"]], window=2)
-    return filled.select("month", "item", _r("price", 7), "observations", "store", "imputed")
+    return filled.select("month", "item", F.round(F.ln("price"), 8).alias("log_price"), "observations", "store", "imputed")
 
 
 def q_shadow(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,8 +231,8 @@ QUERIES = {
         mc AS (SELECT month, class, exp(avg(ln(move))) AS m FROM mv GROUP BY ALL), md AS (SELECT month, division, exp(avg(ln(move))) AS m FROM mv GROUP BY ALL),
         np AS (SELECT p.*, s.no, lead(s.no) OVER (PARTITION BY item ORDER BY s.no) AS nx FROM prices p JOIN steps s USING (month)),
         gaps AS (SELECT s.month, np.item, np.class, np.division, np.price FROM np JOIN steps s ON s.no > np.no AND s.no <= np.no + 2 AND (np.nx IS NULL OR s.no < np.nx))
-        SELECT month, item, round(price, 7) AS price, observations, store, false AS imputed FROM prices UNION ALL
-        SELECT g.month, g.item, round(g.price * least(greatest(coalesce(mc.m, md.m, 1.0), 0.8), 1.25), 7), 1, NULL, true FROM gaps g
+        SELECT month, item, round(ln(price), 8) AS log_price, observations, store, false AS imputed FROM prices UNION ALL
+        SELECT g.month, g.item, round(ln(g.price * least(greatest(coalesce(mc.m, md.m, 1.0), 0.8), 1.25)), 8), 1, NULL, true FROM gaps g
         LEFT JOIN mc ON mc.month = g.month AND mc.class = g.class LEFT JOIN md ON md.month = g.month AND md.division = g.division"""),
     "shadow_tracking": (q_shadow, f"""WITH {OBS}, {PRICES}, {BASE}, {RATIOS} SELECT month, division, round(100 * exp(avg(ln(ratio))), 4) AS index, count(*) AS items
         FROM ratios WHERE base_period < month GROUP BY month, division"""),

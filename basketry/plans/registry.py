@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from basketry.plans import index_queries
+from basketry.plans import index_queries, silver_queries, view_queries
 
-QUERIES = {**index_queries.QUERIES}
+QUERIES = {**index_queries.QUERIES, **silver_queries.QUERIES, **view_queries.QUERIES}
