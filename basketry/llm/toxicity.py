@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.words import ALNUM, U, Words, bounded_batches, chunks, mixed
 
-SAMPLE, SAMPLE_CHARS = 1000, 60_000  # documents of each label, and the most characters of one
+SAMPLE, SAMPLE_CHARS = 800, 30_000  # documents of each label, and the most characters of one
 SPAN, STEP, LANE = 32, 16, 4096
 CAUTION = 2.0  # what rejecting a harmless document weighs, against missing a toxic one
 HIDDEN, WORD_BUCKETS, CHAR_BUCKETS, WORD_SIZE, CHAR_SIZE = 8, 1 << 14, 1 << 16, 6, 6
@@ -143,14 +143,10 @@ def _backward(p: Params, vectors: np.ndarray, windows: np.ndarray, kept: dict, d
     return g, dvectors[:-1]
 
 
-def _lift(x: np.ndarray, y: np.ndarray, size: int, docs: np.ndarray) -> np.ndarray:
-    """How much likelier a bucket is in label 1, as smoothed log odds of documents that have it."""
-    pairs = np.unique(x.astype(np.int64) * (docs.max() + 1) + docs)
-    bucket, label = pairs // (docs.max() + 1), y[pairs % (docs.max() + 1)]
-    ones, zeros = np.bincount(bucket, label, size), np.bincount(bucket, 1 - label, size)
+def _lift(ones: np.ndarray, zeros: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How much likelier buckets are in label 1, as smoothed log odds of the documents that have them."""
     a, b = max(y.sum(), 1), max((1 - y).sum(), 1)
-    odds = np.log((ones + 2) / (a + 4)) - np.log((zeros + 2) / (b + 4)) - (np.log(2 / (a + 4)) - np.log(2 / (b + 4)))
-    return np.clip(odds, -1, 4).astype(np.float32)
+    return np.clip(np.log((ones + 2) / (a + 4)) - np.log((zeros + 2) / (b + 4)) - np.log((b + 4) / (a + 4)), -1, 4).astype(np.float32)
 
 
 def _start(x: Inputs, y: np.ndarray, rng: np.random.Generator) -> Params:
@@ -160,15 +156,18 @@ def _start(x: Inputs, y: np.ndarray, rng: np.random.Generator) -> Params:
     h, size = HIDDEN, WORD_SIZE + CHAR_SIZE
     p = {"word": small(WORD_BUCKETS, WORD_SIZE), "char": small(CHAR_BUCKETS, CHAR_SIZE) * 0.2, "in": small(2, size, 3 * h), "back": small(2, h, 3 * h),
          "bias": np.zeros((2, 3 * h), np.float32), "attention": small(2 * h), "out": small(2 * h), "end": np.zeros(1, np.float32)}
-    used = np.flatnonzero(x.windows >= 0)
-    doc, word = np.repeat(x.row, SPAN)[used], x.windows.ravel()[used]
-    p["word"][:, 0] = _lift(x.word[word], y, WORD_BUCKETS, doc)
-    first = np.unique(np.stack([word, doc]), axis=1)
-    order = np.argsort(x.owner, kind="stable")
+    order = np.argsort(x.owner, kind="stable").astype(np.int32)
     at = np.searchsorted(x.owner[order], np.arange(len(x.word) + 1))
-    n = at[first[0] + 1] - at[first[0]]
-    entry = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(at[first[0]], n)
-    p["char"][:, 0] = 0.3 * _lift(x.grams[order][entry], y, CHAR_BUCKETS, np.repeat(first[1], n))
+    words, chars = np.zeros((2, WORD_BUCKETS)), np.zeros((2, CHAR_BUCKETS))
+    bounds = np.searchsorted(x.row, np.arange(len(y) + 1))
+    for doc in range(len(y)):  # a document at a time: its distinct buckets count once
+        own = np.unique(x.windows[bounds[doc] : bounds[doc + 1]])
+        own = own[own >= 0]
+        words[int(y[doc]), np.unique(x.word[own])] += 1
+        n = at[own + 1] - at[own]
+        entry = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(at[own], n)
+        chars[int(y[doc]), np.unique(x.grams[order[entry]])] += 1
+    p["word"][:, 0], p["char"][:, 0] = _lift(words[1], words[0], y), 0.3 * _lift(chars[1], chars[0], y)
     return p
 
 
