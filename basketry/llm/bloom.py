@@ -1,8 +1,8 @@
 """Blocked Bloom filters built by Spark and tested with numpy inside tasks.
 
-A filter is an array of 512-bit blocks; a key's mixed low bits choose a block and seven 9-bit slices of a second hash choose bits
-in it, so a test touches one cache line. The size is the caller's, and bounded: with too many keys it passes more, never
-fewer, and callers remove what passes wrongly by an exact join or grouping.
+A filter is an array of 512-bit blocks; a key's low bits choose a block and seven 9-bit slices of its hash choose bits in it,
+so a test touches one cache line. The size is the caller's, and bounded: with too many keys it passes more, never fewer,
+and callers remove what passes wrongly by an exact join or grouping.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.words import U, mixed
 
-WORDS, SLICES = 8, 7
+WORDS, SLICES, CHUNK = 8, 7, 512
 MOST_BLOCKS = 1 << 18  # 16 MB
 
 
@@ -29,31 +29,35 @@ def blocks_for(keys: int, bits_per_key: int = 12, most: int = MOST_BLOCKS) -> in
 
 def _places(keys: np.ndarray, blocks: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For int64 keys: the words, and the bits in them, that a key sets."""
-    once = mixed(keys.view(U))
-    first = (once & U(blocks - 1)).astype(np.int64) * WORDS
-    second = mixed(once + U(0x9E3779B97F4A7C15))
+    first, hashes = (keys & (blocks - 1)) * WORDS, mixed(keys.view(U))
     for i in range(SLICES):
-        bit = ((second >> U(9 * i)) & U(511)).astype(np.int64)
+        bit = ((hashes >> U(9 * i)) & U(511)).astype(np.int64)
         yield first + (bit >> 6), np.left_shift(np.int64(1), bit & 63)
 
 
 def _set_bits(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordBatch]:
-    words = np.zeros(blocks * WORDS, np.int64)
+    """This task's chunks of the filter; all keys of a chunk are here."""
+    chunks: dict[int, np.ndarray] = {}
     for batch in batches:
-        keys = batch.column(0).drop_null().to_numpy(zero_copy_only=False)
+        keys = batch.column(0).to_numpy()
         for word, bit in _places(keys, blocks):
-            np.bitwise_or.at(words, word, bit)
-    at = np.flatnonzero(words)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at])], ["word", "mask"])
+            order = np.argsort(word // CHUNK, kind="stable")
+            word, bit = word[order], bit[order]
+            numbers, at = np.unique(word // CHUNK, return_index=True)
+            for number, a, z in zip(numbers.tolist(), at, [*at[1:], len(word)], strict=True):
+                np.bitwise_or.at(chunks.setdefault(number, np.zeros(CHUNK, np.int64)), word[a:z] % CHUNK, bit[a:z])
+    yield pa.RecordBatch.from_arrays([pa.array(list(chunks), pa.int64()), pa.array([c.tobytes() for c in chunks.values()], pa.binary())], ["chunk", "bits"])
 
 
 def build(keys: DataFrame, blocks: int) -> np.ndarray:
-    """The filter of the first column: 64-bit integers, nulls aside. Tasks send set words only, which Spark unites with bit_or; the driver gets ``blocks * 8`` numbers at most."""
-    parts = keys.mapInArrow(partial(_set_bits, blocks=blocks), "word long, mask long")
-    got = parts.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
-    out = np.zeros(blocks * WORDS, np.int64)
-    out[got["word"].to_numpy()] = got["mask"].to_numpy()
-    return out
+    """The filter of the first column: 64-bit integers, nulls aside. Keys of a chunk of blocks meet in one task; the driver gets each chunk once."""
+    key = F.col(keys.columns[0]).cast("long")
+    dealt = keys.where(key.isNotNull()).select(key.alias("key")).repartition(F.shiftright(F.col("key").bitwiseAND(blocks - 1), 6))
+    got = dealt.mapInArrow(partial(_set_bits, blocks=blocks), "chunk long, bits binary").toArrow()
+    out = np.zeros((-(-blocks * WORDS // CHUNK), CHUNK), np.int64)
+    for number, bits in zip(got["chunk"].to_pylist(), got["bits"].to_pylist(), strict=True):
+        out[number] = np.frombuffer(bits, np.int64)
+    return out.ravel()[: blocks * WORDS]
 
 
 def maybe(words: np.ndarray, keys: np.ndarray) -> np.ndarray:

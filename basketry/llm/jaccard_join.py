@@ -1,11 +1,11 @@
 """N-gram Jaccard join: an exact similarity self-join of documents' shingle sets by a prefix-tree.
 
-Shingles have one global order, common ones last. Two sets with the wanted similarity share a shingle among the first
-``n - ceil(t n) + 1`` of each, so documents meet under the shingles of their prefixes only. Within a shingle's group each
-document is first paired with the group's smallest; the links that this finds merge whole groups of near copies at once,
-and only members of a group that are still in different components are paired with each other. Pairs are checked in
-blocks: a hub's candidates are stored as globally ordered sets in a path-compressed trie, which the hub's set traverses,
-sharing the overlap of common paths and leaving a subtree once the remaining lengths cannot bring the overlap needed.
+Shingles have one global order, by how common they are. Two sets with the wanted similarity share a shingle among the
+``n - ceil(t n) + 1`` rarest of each, so documents meet under the shingles of these prefixes only. All documents that meet
+under some shingle are also members of the block of the first document that is there; so each similar pair is in a block
+together; members without another one that could be similar, by its size, go. A block's sets, common shingles first, are stored in a path-compressed trie. A set's overlap with all paths is
+found from the root down, once for each node, however many sets lie below; a subtree is left once the remaining lengths
+cannot bring the overlap needed. Tasks keep what is linked already, and give the links that connect something new only.
 
 Similarity 0.75 is tested in whole numbers: 100 * intersection >= 75 * union, that is 7 * intersection >= 3 * (sizes' sum).
 """
@@ -26,7 +26,7 @@ from basketry.llm.components import components
 from basketry.llm.store import kept
 from basketry.llm.words import LOWER, U, Words, bounded_batches, chunks, mixed, signed, windows
 
-SHINGLE, HOT, MOST_HOT, BLOCK, PIECE = 5, 6, 1 << 21, 128, 64
+SHINGLE, HOT, MOST_HOT, BLOCK = 5, 6, 1 << 21, 4096
 TOP = U(1 << 63)
 NONE = np.zeros(0, U)
 
@@ -94,11 +94,31 @@ def _prefixes(batches: Iterator[pa.RecordBatch], size: int, wanted: Broadcast, c
                 tokens.append(first)
                 lengths.append(len(first))
                 sizes.append(len(s))
-        token = np.concatenate(tokens) if tokens else np.zeros(0, U)
-        place = np.concatenate([np.arange(n) for n in lengths]) if lengths else np.zeros(0, np.int64)
+        token = np.concatenate(tokens) if tokens else NONE
         keep = bloom.maybe(again.value, signed(token))
-        columns = [signed(token), np.repeat(ids, lengths), np.repeat(np.array(sizes, np.int32), lengths), place.astype(np.int32)]
-        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["token", "doc_id", "n", "place"])
+        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (signed(token), np.repeat(ids, lengths), np.repeat(np.array(sizes, np.int64), lengths))], ["token", "doc_id", "n"])
+
+
+def _with_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of blocks that have another one there of a size that can bring the similarity.
+
+    A document of size n that meets others under c shingles can only be similar to sets of 3/4 n to 3/4 n + 7/3 c, or the other
+    way round: what is left of the longer set behind its prefix cannot make up for more. Rows come sorted by block and size;
+    a task holds four numbers for each of its rows.
+    """
+    got = list(batches)
+    if not got:
+        return
+    first, doc, n, c = (np.concatenate([b.column(i).to_numpy() for b in got]) for i in range(4))
+    block = np.cumsum(np.r_[True, first[1:] != first[:-1]]).astype(np.int64) << 32
+    keys, reach = block | n, 7 * c / 3 + 3
+
+    def among(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return np.searchsorted(keys, block + np.floor(high).astype(np.int64), "right") - np.searchsorted(keys, block + np.ceil(low).astype(np.int64), "left")
+
+    top, bottom = np.minimum(n, 0.75 * n + reach), np.maximum(n, (n - reach) / 0.75)
+    others = among(0.75 * n, top) - (top >= n) + among(bottom, n / 0.75) - (bottom <= n)
+    yield pa.RecordBatch.from_arrays([pa.array(first[others > 0]), pa.array(doc[others > 0])], ["first", "doc_id"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch], wanted: Broadcast) -> Iterator[pa.RecordBatch]:
@@ -107,107 +127,131 @@ def _texts(batches: Iterator[pa.RecordBatch], wanted: Broadcast) -> Iterator[pa.
 
 
 class Trie:
-    """Globally ordered sets under shared prefixes; a node holds a run of shingles, the sets that end with it, and the least and most size below it."""
-
-    def __init__(self, run: np.ndarray):
-        self.run, self.children, self.ends, self.least, self.most = run, {}, [], 1 << 62, 0
-
-    def insert(self, s: np.ndarray, owner: int) -> None:
-        node, at, n = self, 0, len(s)
-        while True:
-            node.least, node.most = min(node.least, n), max(node.most, n)
-            if at == n:
-                node.ends.append((owner, n))
-                return
-            child = node.children.get(int(s[at]))
-            if child is None:
-                node.children[int(s[at])] = leaf = Trie(s[at:])
-                leaf.least = leaf.most = n
-                leaf.ends.append((owner, n))
-                return
-            m = min(len(child.run), n - at)
-            differs = np.flatnonzero(child.run[:m] != s[at : at + m])
-            same = int(differs[0]) if len(differs) else m
-            if same < len(child.run):
-                upper = Trie(child.run[:same])
-                upper.least, upper.most = child.least, child.most
-                child.run = child.run[same:]
-                upper.children[int(child.run[0])] = child
-                node.children[int(s[at])] = child = upper
-            node, at = child, at + same
-
-    def similar(self, q: np.ndarray) -> Iterator[int]:
-        """Owners of the sets whose similarity with q is 0.75 or more."""
-        stack = [(self, 0, 0)]
-        while stack:
-            node, overlap, depth = stack.pop()
-            need = -(-3 * (len(q) + node.least) // 7)
-            for i in range(0, len(node.run), PIECE):
-                piece = node.run[i : i + PIECE]
-                at = np.searchsorted(q, piece)
-                overlap += int(np.count_nonzero(q[np.minimum(at, len(q) - 1)] == piece))
-                depth += len(piece)
-                if overlap + min(len(q) - int(at[-1]), node.most - depth) < need:
-                    break
-            else:
-                yield from (owner for owner, n in node.ends if 7 * overlap >= 3 * (len(q) + n))
-                stack += [(child, overlap, depth) for child in node.children.values()]
-
-
-def _checked(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by block, each block's hub first."""
-    block, hubs, trie = None, [], None
-
-    def links() -> list[tuple[int, int]]:
-        return sorted({(block[0], owner) for q in hubs for owner in trie.similar(q)}) if trie and hubs else []
-
+    """Globally ordered sets under shared prefixes. A node holds a run of shingles, the sets that end with it, and the least and most size below it."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        """``sets``: numbers of shingles, ascending."""
+        order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u4").tobytes())
+        parent, begin, end, source = [0], [0], [0], [order[0]]
+        self.node_of = np.zeros(len(sets), np.int64)
+        path, before = [0], None
+        for i in order:
+            s, shared = sets[i], 0
+            if before is not None:
+                m = min(len(s), len(before))
+                differs = np.flatnonzero(s[:m] != before[:m])
+                shared = int(differs[0]) if len(differs) else m
+            last = None
+            while end[path[-1]] > shared:
+                last = path.pop()
+            if end[path[-1]] < shared:  # a node is cut where this set leaves it
+                parent, begin, end, source = [*parent, path[-1]], [*begin, end[path[-1]]], [*end, shared], [*source, source[last]]
+                path.append(len(parent) - 1)
+                parent[last], begin[last] = path[-1], shared
+            if len(s) > shared:
+                parent.append(path[-1])
+                begin.append(shared)
+                end.append(len(s))
+                source.append(i)
+                path.append(len(parent) - 1)
+            self.node_of[i] = path[-1]
+            before = s
+        self.parent, self.begin, self.end = np.array(parent), np.array(begin), np.array(end)
+        self.sizes = np.array([len(s) for s in sets])
+        runs = [sets[d][a:z] for d, a, z in zip(source, begin, end, strict=True)]
+        self.last = np.array([r[-1] if len(r) else -1 for r in runs])
+        tokens, nodes = np.concatenate(runs), np.repeat(np.arange(len(runs)), self.end - self.begin)
+        by_token = np.argsort(tokens, kind="stable")
+        self.holders, self.first = nodes[by_token], np.searchsorted(tokens[by_token], np.arange(int(max(s[-1] for s in sets)) + 2))
+        level = np.zeros(len(parent), np.int64)
+        for node in np.argsort(self.begin, kind="stable")[1:]:
+            level[node] = level[self.parent[node]] + 1
+        self.levels = [np.flatnonzero(level == i) for i in range(1, int(level.max()) + 1)]
+        self.least, self.most = np.full(len(parent), 1 << 40), np.zeros(len(parent), np.int64)
+        np.minimum.at(self.least, self.node_of, self.sizes)
+        np.maximum.at(self.most, self.node_of, self.sizes)
+        for nodes in reversed(self.levels):
+            np.minimum.at(self.least, self.parent[nodes], self.least[nodes])
+            np.maximum.at(self.most, self.parent[nodes], self.most[nodes])
+
+    def similar_to(self, q: np.ndarray, n: int) -> np.ndarray:
+        """The sets whose similarity is 0.75 or more with a set of size n; q: those of its shingles that are stored."""
+        count = self.first[q + 1] - self.first[q]
+        entry = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(self.first[q], count)
+        overlap = np.bincount(self.holders[entry], minlength=len(self.parent))
+        alive = np.zeros(len(self.parent), bool)
+        alive[0] = True
+        for nodes in self.levels:
+            nodes = nodes[alive[self.parent[nodes]]]
+            overlap[nodes] += overlap[self.parent[nodes]]
+            rest = np.minimum(len(q) - np.searchsorted(q, self.last[nodes], "right"), self.most[nodes] - self.end[nodes])
+            alive[nodes] = 7 * (overlap[nodes] + rest) >= 3 * (n + self.least[nodes])
+        return np.flatnonzero(alive[self.node_of] & (7 * overlap[self.node_of] >= 3 * (n + self.sizes)))
+
+
+def _links(docs: list[int], sides: list[bool], sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Similar pairs of a block that connect what is not connected yet. Of a block cut in two, pairs across are looked for."""
+    if len(docs) < 2:
+        return
+    leader = list(range(len(docs)))
+
+    def top(i: int) -> int:
+        while leader[i] != i:
+            leader[i] = i = leader[leader[i]]
+        return i
+
+    whole = np.concatenate(sets)
+    _, number = np.unique(~whole, return_inverse=True)  # common ones first
+    local = [np.sort(x) for x in np.split(number, np.cumsum([len(s) for s in sets])[:-1])]
+    cut = True in sides and False in sides
+    stored = [i for i in range(len(docs)) if sides[i] or not cut]
+    trie = Trie([local[i] for i in stored])
+    for i, q in enumerate(local):
+        if cut and sides[i]:
+            continue
+        q = q[q < len(trie.first) - 1]
+        if not len(q):
+            continue
+        for j in trie.similar_to(q, len(local[i])).tolist():
+            a, b = top(i), top(stored[j])
+            if a != b:
+                leader[max(a, b)] = min(a, b)
+                if docs[i] != docs[stored[j]]:
+                    yield docs[i], docs[stored[j]]
+
+
+def _checked(batches: Iterator[pa.RecordBatch], size: int, common: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by block."""
+    hot, rank = common.value
+    block, docs, sides, sets = None, [], [], []
     for batch in batches:
         found: list[tuple[int, int]] = []
-        row = zip(*(batch.column(c).to_pylist() for c in ("hub", "part", "doc_id", "is_hub")), strict=True)
+        row = zip(*(batch.column(c).to_pylist() for c in ("first", "part", "doc_id", "side")), strict=True)
         for w in chunks(batch.column("text"), LOWER):
             for s in _row_sets(w, size):
-                hub, part, doc, is_hub = next(row)
-                if (hub, part) != block:
-                    found += links()
-                    block, hubs, trie = (hub, part), [], Trie(np.zeros(0, U))
-                if not len(s):
-                    continue
-                if is_hub:
-                    hubs.append(s)
-                else:
-                    trie.insert(s, doc)
+                first, part, doc, side = next(row)
+                if (first, part) != block:
+                    found += _links(docs, sides, sets)
+                    block, docs, sides, sets = (first, part), [], [], []
+                if len(s):
+                    docs.append(doc)
+                    sides.append(side)
+                    sets.append(_ordered(s, hot, rank))
         yield _pairs(found)
-    yield _pairs(links())
+    yield _pairs(list(_links(docs, sides, sets)))
 
 
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
 
-def _similar_pairs(pairs: DataFrame, own: DataFrame, size: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose sets are similar. A hub's candidates are dealt into blocks of about ``BLOCK``."""
-    spark = pairs.sparkSession
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    wanted = spark.sparkContext.broadcast(bloom.build(ids, bloom.blocks_for(ids.count())))
-    texts = kept(own.mapInArrow(partial(_texts, wanted=wanted), own.schema), "candidate-texts")
-    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    dealt = pairs.join(parts, "a").select(F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("doc_id"), F.lit(False).alias("is_hub"))
-    hubs = parts.select(F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("doc_id"), F.lit(True).alias("is_hub"))
-    rows = dealt.union(hubs).join(texts, "doc_id").repartition("hub", "part").sortWithinPartitions("hub", "part", F.desc("is_hub"))
-    return rows.mapInArrow(partial(_checked, size=size), "a long, b long")
-
-
-def _can_be_similar(n: str, place: str, m: str, spot: str) -> str:
-    """SQL: the sizes agree, and so do the most shingles that can be shared around the one at these places."""
-    return f"4 * least({n}, {m}) >= 3 * greatest({n}, {m}) AND 7 * (1 + least({place}, {spot}) + least({n} - {place}, {m} - {spot}) - 1) >= 3 * ({n} + {m})"
-
-
-def _promising(met: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` (of sizes ``na, nb``) that meet under enough shingles. All shared shingles up to the end of one of the prefixes are among those they meet under; the overlap is that count and what both have left, at most."""
-    prefix = "({0} - (3 * {0} + 3) DIV 4 + 1)"
-    most = f"c + greatest(least(na - {prefix.format('na')}, nb - c), least(na - c, nb - {prefix.format('nb')}))"
-    counted = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
-    return counted.where(f"7 * ({most}) >= 3 * (na + nb)").select("a", "b").distinct()
+def _dealt(members: DataFrame) -> DataFrame:
+    """``first, part, side, doc_id`` from ``first, doc_id``. Blocks of more than ``BLOCK`` members are dealt into lots, and a part is one lot or, with a side each, two; so every pair is in one part."""
+    sizes = members.groupBy("first").agg(F.count("*").alias("n")).where("n > 1")
+    lots = F.when(F.col("n") > BLOCK, F.ceil(2 * F.col("n") / BLOCK)).otherwise(1).cast("int")
+    rows = members.join(sizes.select("first", lots.alias("lots")), "first").withColumn("lot", F.pmod(F.xxhash64("doc_id"), F.col("lots")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
+    return rows.select("first", (F.least("lot", "other") * F.col("lots") + F.greatest("lot", "other")).alias("part"), (F.col("lot") > F.col("other")).alias("side"), "doc_id")
 
 
 def jaccard_join(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -235,25 +279,16 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     counts = own.mapInArrow(partial(_prefix_counts, size=size, wanted=wanted, common=common), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     again = kept(counts.where("n > 1").select("token"), "repeated-shingles")
     again = spark.sparkContext.broadcast(bloom.build(again, bloom.blocks_for(again.count(), most=bloom.MOST_BLOCKS * 4)))
-    members = Window.partitionBy("token")
-    rows = own.mapInArrow(partial(_prefixes, size=size, wanted=wanted, common=common, again=again), "token long, doc_id long, n int, place int")
-    rows = rows.withColumn("first", F.min(F.struct("doc_id", "n", "place")).over(members)).withColumn("rows", F.count("*").over(members))
-    shared = kept(rows.where("rows > 1").drop("rows"), "shared-shingles")
-
-    star = shared.where(f"doc_id > first.doc_id AND {_can_be_similar('n', 'place', 'first.n', 'first.place')}")
-    star = star.select(F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b"), F.col("first.n").alias("na"), F.col("n").alias("nb"))
-    star = kept(_promising(star), "star-pairs")
-    links = kept(_similar_pairs(star, own, size), "links")
-    first_round = components(links)
-
-    labelled = shared.drop("first").join(first_round.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    split = labelled.withColumn("low", F.min("component").over(members)).withColumn("high", F.max("component").over(members)).where("low < high").drop("low", "high")
-    split = kept(split, "split-groups")
-    left, right = split.alias("l"), split.alias("r")
-    apart = left.join(right, F.expr(f"l.token = r.token AND l.doc_id < r.doc_id AND l.component <> r.component AND {_can_be_similar('l.n', 'l.place', 'r.n', 'r.place')}"))
-    apart = apart.select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b"), F.col("l.n").alias("na"), F.col("r.n").alias("nb"))
-    apart = kept(_promising(apart).join(star, ["a", "b"], "left_anti"), "other-pairs")
-    links = links.union(_similar_pairs(apart, own, size))
+    token = Window.partitionBy("token")
+    rows = own.mapInArrow(partial(_prefixes, size=size, wanted=wanted, common=common, again=again), "token long, doc_id long, n long")
+    rows = rows.withColumns({"first": F.min("doc_id").over(token), "last": F.max("doc_id").over(token)}).where("first < last")
+    sized = rows.groupBy("first", "doc_id", "n").agg(F.count("*").alias("c")).withColumn("c", F.sum("c").over(Window.partitionBy("doc_id", "n")))
+    sized = sized.repartition("first").sortWithinPartitions("first", "n").select("first", "doc_id", "n", "c")
+    members = kept(sized.mapInArrow(_with_partners, "first long, doc_id long").distinct(), "members")
+    ids = members.select("doc_id").distinct()
+    needed = spark.sparkContext.broadcast(bloom.build(ids, bloom.blocks_for(ids.count())))
+    texts = _dealt(members).join(own.mapInArrow(partial(_texts, wanted=needed), own.schema), "doc_id").repartition("first", "part").sortWithinPartitions("first", "part")
+    links = kept(texts.mapInArrow(partial(_checked, size=size, common=common), "a long, b long"), "links")
     repeated = classes.groupBy("doc_id").agg(F.min("first").alias("low"), F.max("first").alias("high")).where("low < high").select("doc_id")
     links = links.union(classes.join(repeated, "doc_id").select("doc_id", "first"))
     found = components(links)
