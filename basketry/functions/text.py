@@ -76,18 +76,19 @@ def size_unit(size: Column | str, name: Column | str) -> Column:
     return unit_name(F.coalesce(*[u for _, u in _size_parts(size, name)], F.lit("")))
 
 
+def looked_up(table: Mapping[str, object], key: Column) -> Column:
+    """A constant table's value, or null. The key stands in the plan once, however large the table."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key)
+
+
 def unit_name(unit: Column | str) -> Column:
-    low, out = F.lower(col(unit)), None
-    for name, words in UNIT_SYNONYMS.items():
-        out = F.when(low.isin(words), F.lit(name)) if out is None else out.when(low.isin(words), F.lit(name))
-    return out.otherwise(low)
+    low = F.lower(col(unit))
+    return F.coalesce(looked_up({word: name for name, words in UNIT_SYNONYMS.items() for word in words}, low), low)
 
 
 def unit_price(price: Column | str, value: Column | str, unit: Column | str, packs: Column | str) -> Column:
     """Price of a kilogram or litre; null for other units and sizes not above 0."""
-    factor = None
-    for name, (_, f) in TO_BASE.items():
-        factor = F.when(col(unit) == name, F.lit(f)) if factor is None else factor.when(col(unit) == name, F.lit(f))
+    factor = looked_up({u: f for u, (_, f) in TO_BASE.items()}, col(unit))
     amount = col(value) * F.coalesce(F.nullif(col(packs), F.lit(0.0)), F.lit(1.0)) * factor
     return F.when(col(value) > 0, col(price) / amount)
 
@@ -96,8 +97,7 @@ def _amount(size: Column) -> tuple[Column, Column, Column]:
     """A size text's amount in its base unit, dimension and unit name."""
     unit = unit_name(extract(size, rf"(?i){NUMBER}\s*([a-z]+)", 2))
     value = extract(size, rf"(?i){NUMBER}\s*([a-z]+)", 1).try_cast("double")
-    factor = F.coalesce(*[F.when(unit == u, F.lit(f)) for u, (_, f) in TO_BASE.items()])
-    dimension = F.coalesce(*[F.when(unit == u, F.lit(d)) for u, (d, _) in TO_BASE.items()])
+    factor, dimension = (looked_up({u: x[i] for u, x in TO_BASE.items()}, unit) for i in (1, 0))
     return value * F.coalesce(factor, F.lit(1.0)), dimension, unit
 
 
