@@ -87,7 +87,7 @@ def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, block_words: in
         if size >= block_words:
             out.append(spark.sparkContext.broadcast(_block(held, window)))
             held, size = [], 0
-    return out + [spark.sparkContext.broadcast(_block(held, window))] * bool(held)
+    return [*out, spark.sparkContext.broadcast(_block(held, window))] if held else out
 
 
 def _expanded(which: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
