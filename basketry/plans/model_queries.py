@@ -163,10 +163,10 @@ QUERIES = {
     "merge_duplicates": (q_duplicates, """WITH i AS (SELECT p_partkey AS item, upper(trim(p_name)) AS nm, CASE WHEN p_size % 3 <> 0 THEN CAST(p_size AS VARCHAR) END AS size, p_partkey % 4 = 0 AS coded, p_retailprice AS created FROM part),
         z AS (SELECT nm, count(DISTINCT size) AS k, max(size) AS only_size FROM i GROUP BY nm), j AS (SELECT i.*, coalesce(size, CASE WHEN k = 1 THEN only_size END, '') AS sz FROM i JOIN z USING (nm))
         SELECT item, first_value(item) OVER (PARTITION BY nm, sz ORDER BY CASE WHEN coded THEN 0 ELSE 1 END, created, item) AS master, count(*) OVER (PARTITION BY nm, sz) AS members FROM j"""),
-    "matching_ladder": (q_ladder, f"""WITH {OBS}, r AS (SELECT DISTINCT item, store, name FROM obs), t AS (SELECT item * 10000 + store AS raw_id, item, store, name, CASE WHEN item % 3 = 0 THEN '88' || lpad(CAST(item AS VARCHAR), 8, '0') END AS barcode,
+    "matching_ladder": (q_ladder, f"""WITH {OBS}, r AS (SELECT DISTINCT item, store, name FROM obs), t AS (SELECT item * 10000 + store AS raw_id, item, store, name, CASE WHEN item % 3 = 0 AND item <> 0 THEN '88' || lpad(CAST(item AS VARCHAR), 8, '0') END AS barcode,
         CASE WHEN item % 5 = 0 THEN CAST(item AS VARCHAR) END AS sku, CAST(item % 2 AS VARCHAR) AS size FROM r),
         nm AS (SELECT p_name AS name, CAST(p_partkey % 2 AS VARCHAR) AS size, 'p' || min(p_partkey) AS found FROM part WHERE p_partkey % 7 = 0 GROUP BY ALL),
-        m AS (SELECT t.*, found, CASE WHEN item % 6 = 0 THEN 'barcode' WHEN item % 10 = 0 THEN 'sku' WHEN found IS NOT NULL THEN 'name' END AS method,
+        m AS (SELECT t.*, found, CASE WHEN item % 6 = 0 AND item <> 0 THEN 'barcode' WHEN item % 10 = 0 THEN 'sku' WHEN found IS NOT NULL THEN 'name' END AS method,
           CASE WHEN barcode IS NOT NULL THEN 'b' || barcode WHEN sku IS NOT NULL THEN 's' || store || '|' || sku ELSE 'n' || name || '|' || size END AS key FROM t LEFT JOIN nm USING (name, size)),
         w AS (SELECT *, min(raw_id) OVER (PARTITION BY key) AS creator FROM m WHERE method IS NULL)
         SELECT raw_id, CASE method WHEN 'name' THEN found ELSE 'p' || item END AS item, method, CAST(CASE method WHEN 'barcode' THEN 1.0 WHEN 'sku' THEN 0.99 ELSE 0.97 END AS DOUBLE) AS confidence FROM m WHERE method IS NOT NULL
