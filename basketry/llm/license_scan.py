@@ -1,6 +1,7 @@
 """Licence scans by sentence rules, as one projection of DataFrame functions: no shuffle, no Python.
 
-A text is cut into sentences, each is normalised and looked up in a table of known licence sentences, and the sequence of
+A text is normalised to words and cuts, and known licence sentences are looked for between cuts. Single line feeds and
+semicolons may end a sentence and may stand inside one, so wrapped texts and their comment signs do no harm. The sequence of
 identifiers found is matched against ordered rules; the first rule whose identifiers stand in it side by side decides.
 """
 
@@ -34,6 +35,23 @@ SENTENCES = {
     "licensed under cc by nc 4 0": "cc-by-nc-notice",
     "all rights reserved": "all-rights",
 }
+# Sentences as the licences' own texts have them; some bear several identifiers.
+TEXTS = {
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-grant",
+    "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software": "mit-condition",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "as-is",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and non infringement": "as-is",
+    "apache license version 2 0 january 2004": "apache2-notice",
+    "you may obtain a copy of the license at http www apache org licenses license 2 0": "apache2-copy",
+    "you may obtain a copy of the license at https www apache org licenses license 2 0": "apache2-copy",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl-grant,gpl3-or-later",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "gpl-grant,gpl2-or-later",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl-grant",
+    "gnu general public license version 3 29 june 2007": "gpl3-notice",
+}
+KNOWN = SENTENCES | TEXTS
+# The name of the holder that this sentence bears is replaced by "the copyright holder".
+ENDORSE = r"neither[ ~]the[ ~]name[ ~]of[ ~](?:[a-z0-9]+[ ~]){1,12}?nor[ ~]the[ ~]names[ ~]of[ ~]its[ ~]contributors"
 # Rules in the order in which they are tried: licence, identifiers in sequence.
 RULES = [
     ("MIT", ["mit-grant", "mit-condition", "as-is"]),
@@ -53,14 +71,23 @@ RULES = [
 ]
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences: cut at line feeds and at full stops, exclamation and question marks before ASCII white space or the end; A-Z lower-cased; anything but letters a-z and digits is one space."""
-    low = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    cut = F.split(F.regexp_replace(low, r"[.!?]+(?:[ \t\r\f]+|\n|$)|\n", "\n"), "\n")
-    return F.transform(cut, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
+def marked(text: Column) -> Column:
+    """Words with one sign between them: ``|`` for a cut (full stops, exclamation and question marks before ASCII white space or the end; lines without a letter a-z or digit), ``~`` for a single line feed or semicolon, else a space. A-Z are lower-cased; ``|`` stands at both ends."""
+    low = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ;", "abcdefghijklmnopqrstuvwxyz\n")
+    cut = F.regexp_replace(low, r"[.!?]+(?:[ \t\r\f]+|\n|$)", "\n\n")
+    spaced = F.trim(F.regexp_replace(cut, r"[^a-z0-9\n]+", " "))
+    lined = F.regexp_replace(F.regexp_replace(spaced, r" ?\n[ \n]*\n ?", "|"), r" ?\n ?", "~")
+    return F.concat(F.lit("|"), F.regexp_replace(lined, ENDORSE, "neither the name of the copyright holder nor the names of its contributors"), F.lit("|"))
+
+
+def known_sentences(text: Column, known: Mapping[str, str]) -> Column:
+    """The known sentences that stand whole between two cuts, in the order of the text."""
+    either = "|".join(s.replace(" ", "[ ~]") for s in sorted(known, key=len, reverse=True))
+    found = F.regexp_extract_all(marked(text), F.lit(rf"(?<=[|~])(?:{either})(?=[|~])"), F.lit(0))
+    return F.transform(found, lambda s: F.translate(s, "~", " "))
 
 
-def scan(docs: DataFrame, known: Mapping[str, str] = SENTENCES, rules: Sequence[tuple[str, Sequence[str]]] = RULES) -> DataFrame:
+def scan(docs: DataFrame, known: Mapping[str, str] = KNOWN, rules: Sequence[tuple[str, Sequence[str]]] = RULES) -> DataFrame:
     """``doc_id, sentence_ids, rule_no, license``, one row for each row of ``docs`` (``doc_id``, ``text``).
 
     ``sentence_ids``: identifiers of the known sentences in the order of the text, joined by commas (empty if there are
@@ -68,7 +95,7 @@ def scan(docs: DataFrame, known: Mapping[str, str] = SENTENCES, rules: Sequence[
     Null ids and repeated rows stay. Other columns are not read.
     """
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    ids = F.filter(F.transform(sentences(F.col("text")), lambda s: F.try_element_at(table, s)), lambda x: x.isNotNull())
+    ids = F.transform(known_sentences(F.col("text"), known), lambda s: F.try_element_at(table, s))
     found = docs.select(F.col("doc_id"), F.array_join(ids, ",").alias("sentence_ids"))
     lined = F.concat(F.lit(","), "sentence_ids", F.lit(","))
     first = F.coalesce(*[F.when(lined.contains(f",{','.join(sequence)},"), F.lit(i)) for i, (_, sequence) in enumerate(rules, 1)])

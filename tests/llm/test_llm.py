@@ -180,6 +180,77 @@ def test_licenses(spark):
     assert [(g[1], g[3]) for g in got] == [("mit-notice", "MIT"), ("apache2-notice", "Apache-2.0"), ("all-rights,mit-notice", "MIT"), ("", None), ("", None), ("", None)]
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Jane Roe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY."""
+APACHE_TEXT = """Copyright 2020 Jane Roe
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS."""
+GPL3_TEXT = """Roe counts words.
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful."""
+GPL2_TEXT = """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version."""
+BSD2_TEXT = """Copyright (c) 2020, Jane Roe
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+BSD3_TEXT = (
+    BSD2_TEXT
+    + """
+3. Neither the name of the University of Roe nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+)
+
+
+def test_whole_licenses(spark):
+    mit, gpl3 = "mit-grant,mit-condition,as-is", "gpl-grant,gpl3-or-later"
+    whole = [(MIT_TEXT, mit, "MIT"), (APACHE_TEXT, "apache2-notice,apache2-compliance,apache2-copy", "Apache-2.0"), (GPL3_TEXT, gpl3, "GPL-3.0-or-later"),
+             (GPL2_TEXT, "gpl-grant,gpl2-or-later", "GPL-2.0-or-later"), (BSD2_TEXT, "all-rights,bsd-grant", "BSD-2-Clause"), (BSD3_TEXT, "all-rights,bsd-grant,bsd-endorse", "BSD-3-Clause")]
+    more = [("\n".join(" ".join(part.split("\n")) for part in MIT_TEXT.split("\n\n")), mit, "MIT"), (MIT_TEXT.replace("\n", "\r\n"), mit, "MIT")]
+    more += [("/*\n" + "\n".join(f" * {line}".rstrip() for line in text.split("\n")) + "\n */", ids, name) for text, ids, name in whole]
+    none = [("Permission is hereby granted,\n\nfree of charge", "", None), ("This is not licensed under\nthe MIT License.", "", None), ("All rights.\nReserved.", "", None), ("日本" * 30000, "", None)]
+    cases = whole + more + none
+    got = license_scan.scan(spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [(g.sentence_ids, g.license) for g in got] == [(ids, name) for _, ids, name in cases]
+
+
 def test_urls(spark):
     listed = spark.createDataFrame([("net", "/", "block", 0), ("example.net", "/en/", "allow", 0), ("bad.org", "/", "block", 1)], "host string, path string, verdict string, tier int")
     urls = {"http://A.example.NET/en/x?q": ("example.net/en/", "allow"), "http://example.net/de/": ("net/", "block"), "https://www.bad.org/": ("bad.org/", "block"), "http://notbad.org/": (None, "allow"), "http://x.net": (None, "allow"), None: (None, "allow"), "nothing": (None, "allow"), "http://a.net?/en/": (None, "allow")}
