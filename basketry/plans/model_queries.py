@@ -20,12 +20,18 @@ def q_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_near_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Merge candidates among the vectors: similar ones with a suggestion."""
+    """The five nearest of each fiftieth vector with a decision, a sample; ``merge_pairs`` goes over all."""
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
     found = match.nearest_vectors(rows.where("id % 50 = 0"), rows, 5)
     return found.select("query", "neighbour", match.decide("similarity", 0.9, 0.7).alias("decision"))
 
 
+def q_merge_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge candidates among all vectors."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return match.similar_pairs(rows).select("id", "other", F.round("similarity", 6).alias("similarity"), "decision")
+
+
 def q_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     items = part.select(F.col("p_partkey").alias("item"), F.concat(F.lit(" "), "p_name").alias("name"), F.when(F.col("p_size") % 3 != 0, F.col("p_size").cast("string")).alias("size"),
@@ -160,6 +166,8 @@ QUERIES = {
         k AS (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY s DESC, neighbour) AS INTEGER) AS rank FROM p) SELECT query, neighbour, round(s, 6) AS similarity, rank FROM k WHERE rank <= 30"""),
     "merge_candidates": (q_near_pairs, """WITH p AS (SELECT q.vec_id AS query, r.vec_id AS neighbour, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(r.embedding AS DOUBLE[])) AS s FROM embeddings q JOIN embeddings r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0)
         SELECT query, neighbour, CASE WHEN s >= 0.9 THEN 'match' WHEN s >= 0.7 THEN 'review' ELSE 'new' END AS decision FROM p QUALIFY row_number() OVER (PARTITION BY query ORDER BY s DESC, neighbour) <= 5"""),
+    "merge_pairs": (q_merge_pairs, """WITH p AS (SELECT a.vec_id AS id, b.vec_id AS other, list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id)
+        SELECT id, other, round(s, 6) AS similarity, CASE WHEN s > 0.98 THEN 'merge' ELSE 'review' END AS decision FROM p WHERE s >= 0.95"""),
     "merge_duplicates": (q_duplicates, """WITH i AS (SELECT p_partkey AS item, upper(trim(p_name)) AS nm, CASE WHEN p_size % 3 <> 0 THEN CAST(p_size AS VARCHAR) END AS size, p_partkey % 4 = 0 AS coded, p_retailprice AS created FROM part),
         z AS (SELECT nm, count(DISTINCT size) AS k, max(size) AS only_size FROM i GROUP BY nm), j AS (SELECT i.*, coalesce(size, CASE WHEN k = 1 THEN only_size END, '') AS sz FROM i JOIN z USING (nm))
         SELECT item, first_value(item) OVER (PARTITION BY nm, sz ORDER BY CASE WHEN coded THEN 0 ELSE 1 END, created, item) AS master, count(*) OVER (PARTITION BY nm, sz) AS members FROM j"""),
