@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.exprs import clip
@@ -60,3 +60,25 @@ def adjusted(rows: DataFrame, coefficients: dict[str, float], base: dict[str, fl
     at_base = coefficients["(constant)"] + sum(b * base.get(n, 0.0) for n, b in coefficients.items() if n != "(constant)")
     factor = F.exp(clip(F.lit(float(at_base)) - predicted_log(coefficients), -bound, bound))
     return rows.withColumns({"factor": factor, "adjusted": F.round(F.col(price) * factor, 2)})
+
+
+def baselines(rows: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``month, base_<feature>``: what ``baseline`` gives, for every month of ``rows`` at once. Rows without a month belong to none."""
+    value = lambda f: F.col(f).cast("double")
+    aggs = [x for f in features for x in (F.sum(value(f)).alias(f"s_{f}"), F.count(f).alias(f"n_{f}"), F.median(value(f)).alias(f"m_{f}"))]
+    monthly = rows.where("month IS NOT NULL").groupBy("month").agg(*aggs)
+    before = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lambda f: F.sum(f"s_{f}").over(before) / F.nullif(F.sum(f"n_{f}").over(before), F.lit(0))
+    return monthly.select("month", *[F.coalesce(earlier(f), f"m_{f}", F.lit(0.0)).alias(f"base_{f}") for f in features])
+
+
+def adjusted_by_month(rows: DataFrame, coefficients: dict[str, float], features: Sequence[str], price: str = "price", bound: float = 3.0) -> DataFrame:
+    """``adjusted`` for the rows of every month, each at its own month's baseline, in one plan."""
+    bases = baselines(rows, features)
+    at_base = F.lit(coefficients["(constant)"])
+    for name, beta in coefficients.items():
+        if name != "(constant)":
+            at_base = at_base + F.lit(beta) * F.col(f"base_{name}")
+    factor = F.exp(clip(at_base - predicted_log(coefficients), -bound, bound))
+    found = rows.join(F.broadcast(bases), "month").withColumns({"factor": factor, "adjusted": F.round(F.col(price) * factor, 2)})
+    return found.drop(*[f"base_{f}" for f in features])

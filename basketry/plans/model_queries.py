@@ -71,8 +71,7 @@ def q_hedonic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_hedonic_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", *FEATURES, F.col("l_extendedprice").alias("price"), F.trunc(F.col("l_shipdate").cast("date"), "month").alias("month"))
-    base = hedonic.baseline(rows, FEATURES, "1998-01-01")
-    return hedonic.adjusted(rows.where("month = DATE '1998-01-01'"), hedonic.fit(rows, FEATURES), base).select("l_orderkey", "price", "adjusted")
+    return hedonic.adjusted_by_month(rows, hedonic.fit(rows, FEATURES), FEATURES).select("l_orderkey", "month", "price", "adjusted")
 
 
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,8 +145,8 @@ def q_offloadable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checksums of the region table's files."""
-    return catalog_of(spark, f"{sf_dir}/region.parquet").select("length", "sha256")
+    """Checksums of all tables' files."""
+    return catalog_of(spark, sf_dir).select(F.regexp_extract("path", r"([^/]+\.parquet(?:/.+)?)$", 1).alias("file"), "length", "sha256")
 
 
 def q_stream_days(spark: SparkSession, sf_dir: str) -> DataFrame:
