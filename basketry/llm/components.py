@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.store import kept
+from basketry.llm.store import dropped, kept
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -30,7 +30,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = kept(_small_star(links.where("a <> b").select("a", "b").distinct()), "links")
     mark = _mark(edges)
     while True:
-        edges = kept(_small_star(_large_star(edges)), "links")
+        before, edges = edges, kept(_small_star(_large_star(edges)), "links")
+        dropped(before)
         if (now := _mark(edges)) == mark:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
         mark = now

@@ -3,31 +3,33 @@
 A byte is eight binary decisions. Each decision has, for each context of 0 to ``DEPTH`` bytes before it, a
 Krichevsky-Trofimov estimate from the training texts' counts; the estimates of all depths are mixed with the weights that
 context-tree weighting gives them: at a node, 1/2 its own block probability against 1/2 the product of its children's. The
-score of a text is the log10 probability of its bytes and an end mark, so ``-score / log10(2) / bytes`` is the code length.
+score of a text is the log10 probability of its bytes and an end mark; ``bits_per_byte`` is its code length.
 
-Counting, weighting and scoring are Spark jobs. Tasks count strings of ``DEPTH`` context bytes and the next byte; the
-counts of one pair of last bytes meet in one task, which has all deeper contexts of that pair; the two depths above have a
-bounded number of nodes (256 * 255 and 255). The outcome is one log probability for each counted string; it reaches the
-scoring tasks in shards of a bounded size, one pass over the texts for each.
+Counting, weighting and scoring are Spark jobs. Tasks count strings of ``DEPTH`` context bytes and the next byte, whose
+number grows with the corpus; the counts of one pair of last context bytes meet in one task, which has all deeper contexts
+of that pair; the two depths above have a bounded number of nodes (256 * 255 and 255). The outcome is one log probability
+for each counted string. The commonest strings and words, a bounded number, are broadcast, and texts are read once with
+them; what a text has besides is joined with the table of all others.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.store import kept
+from basketry.llm.store import dropped, kept
 from basketry.llm.toxicity import held_out
 from basketry.llm.words import LOWER, U, Words, bounded_batches, chunks, mixed, signed
 
-DEPTH, FOLD, SHARD, FREQUENT, HELD = 4, 1, 1 << 22, 1 << 20, 1 << 22
+DEPTH, FOLD, HELD, PER_TASK = 6, 1, 1 << 22, 200_000
+MOST_STRINGS, MOST_WORDS = 1 << 22, 1 << 20  # broadcast at most: 16 bytes for each, and an index
 MARK = 255  # no byte of UTF-8: fills the context before a text, and ends it
 STRING, WORD, END = 0, 1, 2
 
@@ -138,22 +140,23 @@ def _layer(contexts_and_bytes: np.ndarray, n: np.ndarray, bit: int, deeper: Laye
     return Layer(keys, zeros, ones, np.logaddexp(own, below) + np.log(0.5))
 
 
-def _tree(keys: np.ndarray, n: np.ndarray, top: int) -> list[list[tuple[Layer, np.ndarray]]]:
-    """For each bit: the layers from depth ``DEPTH`` up to ``top``, each with the node of every key."""
-    out: list[list[tuple[Layer, np.ndarray]]] = [[] for _ in range(8)]
-    for depth in range(DEPTH, top - 1, -1):
-        short = ((keys >> U(8 * (DEPTH + 1 - depth))) << U(8)) | (keys & U(255))
-        order = np.argsort(short, kind="stable")
-        ordered, own = short[order], n[order]
-        new = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        distinct, own = ordered[new], np.add.reduceat(own, new)
-        for bit in range(8):
-            layer = _layer(distinct, own, bit, out[bit][-1][0] if depth < DEPTH else None)
-            out[bit].append((layer, np.searchsorted(layer.keys, short >> U(8 - bit))))
-    return out
+def _shortened(keys: np.ndarray, depth: int) -> np.ndarray:
+    return ((keys >> U(8 * (DEPTH + 1 - depth))) << U(8)) | (keys & U(255))
+
+
+def _tree(keys: np.ndarray, n: np.ndarray, top: int) -> Iterator[tuple[int, list[tuple[Layer, np.ndarray]]]]:
+    """Each bit with its layers from depth ``DEPTH`` up to ``top``, each with the node of every key. One bit's layers are held at a time."""
+    strings = [(short := _shortened(keys, depth), *_merged([(short, n)])) for depth in range(DEPTH, top - 1, -1)]
+    for bit in range(8):
+        layers: list[tuple[Layer, np.ndarray]] = []
+        for short, distinct, own in strings:
+            layer = _layer(distinct, own, bit, layers[-1][0] if layers else None)
+            layers.append((layer, np.searchsorted(layer.keys, short >> U(8 - bit))))
+        yield bit, layers
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    """A task's strings, about ``PER_TASK`` of them or those of one pair of bytes, and their counts."""
     got = list(batches)
     if not got:
         return np.zeros(0, U), np.zeros(0, np.int64)
@@ -164,7 +167,7 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray
 def _pair_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The nodes of depth 2 of this task's pairs: bit, key, counts and weighted block probability."""
     keys, n = _gathered(batches)
-    for bit, layers in enumerate(_tree(keys, n, 2) if len(keys) else []):
+    for bit, layers in _tree(keys, n, 2) if len(keys) else ():
         x = layers[-1][0]
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x.keys), bit, np.int32)), pa.array(signed(x.keys)), pa.array(x.zeros), pa.array(x.ones), pa.array(x.weighted)], ["bit", "key", "zeros", "ones", "weighted"])
 
@@ -175,17 +178,16 @@ def _string_scores(batches: Iterator[pa.RecordBatch], upper: Broadcast) -> Itera
     if not len(keys):
         return
     total = np.zeros(len(keys))
-    for bit, layers in enumerate(_tree(keys, n, 2)):
+    for bit, layers in _tree(keys, n, 2):
         one = ((keys >> U(7 - bit)) & U(1)) == 1
-        short = keys & U(255)
-        above = [(x, np.searchsorted(x.keys, (((keys >> U(8 * (DEPTH + 1 - d))) << U(8)) | short) >> U(8 - bit))) for d, x in ((1, upper.value[1][bit]), (0, upper.value[0][bit]))]
+        above = [(x, np.searchsorted(x.keys, _shortened(keys, d) >> U(8 - bit))) for d, x in ((1, upper.value[1][bit]), (0, upper.value[0][bit]))]
         p = np.zeros(len(keys))
         for i, (x, at) in enumerate([*layers, *above]):
             here = (np.where(one, x.ones[at], x.zeros[at]) + 0.5) / (x.zeros[at] + x.ones[at] + 1)
             weight = np.ones(len(keys)) if i == 0 else x.own_weight()[at]
             p = weight * here + (1 - weight) * p
         total += np.log10(p)
-    yield pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(total)], ["key", "score"])
+    yield pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(n), pa.array(total)], ["key", "n", "value"])
 
 
 def _upper(pairs: DataFrame) -> list[list[Layer]]:
@@ -223,10 +225,11 @@ class Lookup:
         hashes = hashes[order]
         return Lookup(hashes, values[order], np.searchsorted(hashes >> U(64 - bits), np.arange(1 << bits, dtype=U)).astype(np.int32), bits)
 
-    def get(self, keys: np.ndarray, missing: float) -> np.ndarray:
-        out = np.full(len(keys), missing, self.values.dtype)
+    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The keys' values (0 where there is none), and whether they have one."""
+        out, known = np.zeros(len(keys)), np.zeros(len(keys), bool)
         if not len(self.hashes):
-            return out
+            return out, known
         hashes = mixed(keys)
         at = self.first[hashes >> U(64 - self.bits)].astype(np.int64)
         todo = np.arange(len(keys))
@@ -235,69 +238,73 @@ class Lookup:
             todo, here = todo[here < len(self.hashes)], here[here < len(self.hashes)]
             found, want = self.hashes[here], hashes[todo]
             hit = found == want
-            out[todo[hit]] = self.values[here[hit]]
+            out[todo[hit]], known[todo[hit]] = self.values[here[hit]], True
             on = found < want
             todo = todo[on]
             at[todo] += 1
-        return out
+        return out, known
+
+
+def _others(kind: int, row: np.ndarray, keys: np.ndarray) -> list[np.ndarray]:
+    """Distinct (row, key) pairs, in the order of the rows, with their kind and how often each occurs."""
+    order = np.lexsort((keys, row))
+    row, keys = row[order], keys[order]
+    new = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (keys[1:] != keys[:-1])]) if len(row) else np.zeros(0, np.int64)
+    return [row[new], np.full(len(new), kind, np.int32), signed(keys[new]), np.diff(new, append=len(row)).astype(np.int32)]
 
 
-def _score_rows(batches: Iterator[pa.RecordBatch], strings: Broadcast, words: Broadcast | None) -> Iterator[pa.RecordBatch]:
-    """Sums of this shard's scores by row; with ``words``, also the unigram terms of frequent words, and the other words with their numbers."""
+def _score_rows(batches: Iterator[pa.RecordBatch], strings: Broadcast, words: Broadcast) -> Iterator[pa.RecordBatch]:
+    """By row, the sums over its common strings and words; and its other strings and words with their numbers."""
     number = TaskContext.get().partitionId() << 33
     for batch in batches:
-        out: dict[str, list] = {"score": [], "n_tokens": [], "n_known": [], "known": []}
-        rest, rest_n, ends = [], [], [0]
+        sums: list[list[np.ndarray]] = []
+        others: list[list[np.ndarray]] = []
         for w in chunks(batch.column(2), LOWER):
             keys, bounds = _strings(w)
-            out["score"].append(np.add.reduceat(strings.value.get(keys, 0.0).astype(np.float64), bounds[:-1]) if w.rows else np.zeros(0))
-            out["n_tokens"].append(np.diff(w.bounds))
-            row = w.row_of()
-            c = words.value.get(w.hashes, 0.0) if words and len(w.hashes) else np.zeros(len(w.hashes))
-            seen = c > 0
-            out["n_known"].append(np.bincount(row[seen], minlength=w.rows))
-            out["known"].append(np.bincount(row[seen], np.log10(c[seen] + 0.5), w.rows))
-            if words:
-                for r in range(w.rows):
-                    mine = w.hashes[w.bounds[r] : w.bounds[r + 1]][~seen[w.bounds[r] : w.bounds[r + 1]]]
-                    key, n = np.unique(mine, return_counts=True)
-                    rest.append(key)
-                    rest_n.append(n)
-                    ends.append(ends[-1] + len(key))
-        flat = [np.concatenate(out[k]) if out[k] else np.zeros(0) for k in ("score", "n_tokens", "n_known", "known")]
-        arrays = [batch.column(0), batch.column(1), pa.array(number + np.arange(batch.num_rows)), pa.array(flat[0]), pa.array(flat[1].astype(np.int64)), pa.array(flat[2].astype(np.int64)), pa.array(flat[3])]
+            row, word_row = np.repeat(np.arange(w.rows), np.diff(bounds)), w.row_of()
+            value, known = strings.value.get(keys)
+            more, seen = words.value.get(w.hashes)
+            sums.append([np.add.reduceat(value, bounds[:-1]), np.diff(w.bounds), np.bincount(word_row[seen], minlength=w.rows), np.bincount(word_row, more, w.rows), np.diff(w.at)])
+            parts = [_others(STRING, row[~known], keys[~known]), _others(WORD, word_row[~seen], w.hashes[~seen])]
+            mine, kinds, rest, times = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(mine, kind="stable")
+            others.append([w.first + mine[order], kinds[order], rest[order], times[order]])
+        flat = [np.concatenate(x).astype(t) for x, t in zip(zip(*sums, strict=True), (float, np.int64, np.int64, float, np.int64), strict=True)] if sums else [np.zeros(0)] * 5
+        arrays = [batch.column(0), batch.column(1), pa.array(number + np.arange(batch.num_rows)), *[pa.array(x, t) for x, t in zip(flat, (pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.int64()), strict=True)]]
         number += batch.num_rows
-        if words:
-            at = pa.array(ends, pa.int32())
-            arrays += [pa.ListArray.from_arrays(at, pa.array(signed(np.concatenate(rest)) if rest else np.zeros(0, np.int64))), pa.ListArray.from_arrays(at, pa.array(np.concatenate(rest_n).astype(np.int32) if rest_n else np.zeros(0, np.int32)))]
-        else:
-            arrays += [pa.array([None] * batch.num_rows, pa.list_(pa.int64())), pa.array([None] * batch.num_rows, pa.list_(pa.int32()))]
-        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "row_no", "score", "n_words", "n_known", "known", "rest", "rest_n"])
+        mine, *rest = [np.concatenate(x) for x in zip(*others, strict=True)] if others else [np.zeros(0, np.int64)] * 4
+        at = pa.array(np.searchsorted(mine, np.arange(batch.num_rows + 1)).astype(np.int32))
+        arrays += [pa.ListArray.from_arrays(at, pa.array(x, t)) for x, t in zip(rest, (pa.int32(), pa.int64(), pa.int32()), strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "row_no", "value", "n_words", "known_words", "known", "n_bytes", "kinds", "keys", "times"])
 
 
-ROW = "doc_id long, held_out boolean, row_no long, score double, n_words long, n_known long, known double, rest array<long>, rest_n array<int>"
+ROW = "doc_id long, held_out boolean, row_no long, value double, n_words long, known_words long, known double, n_bytes long, kinds array<int>, keys array<long>, times array<int>"
 
 
-def _shards(scores: DataFrame, strings: int) -> Iterator[Callable[[], Lookup]]:
-    """The strings' scores in parts of at most about ``SHARD``, each fetched when it is asked for."""
-    parts = max(1, -(-strings // SHARD))
+def _octave(n: Column) -> Column:
+    """Classes of counts, eight to an octave, so a table of them stays small."""
+    return F.floor(8 * F.log2(n + F.lit(1.0)))
 
-    def fetched(i: int) -> Lookup:
-        got = scores.where(F.pmod(F.xxhash64("key"), F.lit(parts)) == i).select("key", F.col("score").cast("float").alias("score")).toArrow()
-        return Lookup.of(got["key"].to_numpy(), got["score"].to_numpy())
 
-    for i in range(parts):
-        yield partial(fetched, i)
+def _common(values: DataFrame, most: int) -> tuple[Lookup, DataFrame]:
+    """From ``key, n, value``: the commonest, ``most`` at most, on the driver; and all others as a table. Where the line is, the counts decide."""
+    sizes = dict(values.groupBy(_octave(F.col("n")).alias("c")).count().collect())
+    line = max(sizes, default=0) + 1
+    while sizes and line > min(sizes) and sum(k for c, k in sizes.items() if c >= line - 1) <= most:
+        line -= 1
+    got = values.where(_octave(F.col("n")) >= line).select("key", "value").toArrow()
+    return Lookup.of(got["key"].to_numpy(), got["value"].to_numpy()), values.where(_octave(F.col("n")) < line)
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``, one row for each row of ``docs`` (``doc_id``, ``text``).
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte``, one row for each row of ``docs`` (``doc_id``, ``text``).
 
     Texts are lower-cased (A-Z). Tokens: words, as runs without ASCII white space, and an end. ``base_score`` adds up
     log10((c + 0.5) / (N + 0.5 * (V + 1))) over tokens, c being a token's count, N all and V the distinct ones in the texts
     that are not held out (remainder 1); ``n_known`` counts tokens with c > 0. ``score``: the log10 probability of the
-    text's bytes and their end. Null texts count as empty; rows with a null id train; repeated rows count and are scored
-    each; an empty table gives an empty result. Other columns are not read.
+    text's bytes and their end; ``bits_per_byte``: its code length over bytes and end. Null texts count as empty; rows with
+    a null id train; repeated rows count and are scored each; an empty table gives an empty result. Rows are numbered once,
+    in a written table, so a lost executor cannot mix them up. Other columns are not read.
     """
     spark = docs.sparkSession
     sc = spark.sparkContext
@@ -306,32 +313,35 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     counts = own.select("held_out", "text").mapInArrow(_counts, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
     counts = kept(counts, "lm-counts")
     of_kind = {r.kind: r for r in counts.groupBy("kind").agg(F.count("*").alias("entries"), F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("learned")).collect()}
-    strings = of_kind[STRING].entries if STRING in of_kind else 0
+    entries = of_kind[STRING].entries if STRING in of_kind else 0
     ends = of_kind[END].n if END in of_kind else 0
     n = (of_kind[WORD].n if WORD in of_kind else 0) + ends
     v = (of_kind[WORD].learned if WORD in of_kind else 0) + (ends > 0)
 
     pair = F.shiftrightunsigned("key", 8 * (DEPTH - 1))
-    dealt = counts.where(F.col("kind") == STRING).select("key", "n").repartition(pair)
-    upper = sc.broadcast(_upper(kept(dealt.mapInArrow(_pair_nodes, "bit int, key long, zeros double, ones double, weighted double"), "lm-pairs")))
-    scores = kept(dealt.mapInArrow(partial(_string_scores, upper=upper), "key long, score double"), "lm-strings")
-
-    learned = counts.where(F.col("kind") == WORD).where("n > 0").select("key", "n")
-    got = learned.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
-    words = sc.broadcast(Lookup.of(got["key"].to_numpy(), got["n"].to_numpy().astype(np.float64)))
-    rows = None
-    for i, shard in enumerate(_shards(scores, strings)):
-        part = kept(own.mapInArrow(partial(_score_rows, strings=sc.broadcast(shard()), words=None if i else words), ROW), f"lm-rows-{i}")
-        if rows is None:
-            rows = part
-        else:
-            more = part.select("row_no", F.col("score").alias("more"))
-            rows = rows.join(more, "row_no").withColumn("score", F.col("score") + F.col("more")).drop("more")
-
-    rest = rows.select("row_no", F.explode(F.arrays_zip("rest", "rest_n")).alias("x")).select("row_no", F.col("x.rest").alias("key"), F.col("x.rest_n").alias("times"))
-    rest = rest.join(learned, "key", "left").withColumn("c", F.coalesce("n", F.lit(0)))
-    rest = rest.groupBy("row_no").agg(F.sum(F.col("times") * F.log10(F.col("c") + 0.5)).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("more_known"))
-    base = F.col("known") + F.coalesce("more", F.lit(0.0)) + float(np.log10(ends + 0.5)) - F.col("n_tokens") * float(np.log10(n + 0.5 * (v + 1)))
-    out = rows.drop("rest", "rest_n").join(rest, "row_no", "left").withColumn("n_tokens", F.col("n_words") + 1)
-    known = F.col("n_known") + F.coalesce("more_known", F.lit(0)) + F.lit(int(ends > 0))
-    return out.select("doc_id", "held_out", "n_tokens", known.cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // PER_TASK))
+    dealt = counts.where(F.col("kind") == STRING).select("key", "n").repartition(tasks, pair)
+    pairs = kept(dealt.mapInArrow(_pair_nodes, "bit int, key long, zeros double, ones double, weighted double"), "lm-pairs")
+    upper = sc.broadcast(_upper(pairs))
+    scores = kept(dealt.mapInArrow(partial(_string_scores, upper=upper), "key long, n long, value double"), "lm-strings")
+    dropped(pairs)
+
+    strings, other_strings = _common(scores, MOST_STRINGS)
+    words, other_words = _common(counts.where((F.col("kind") == WORD) & (F.col("n") > 0)).select("key", "n", F.log10(F.col("n") + 0.5).alias("value")), MOST_WORDS)
+    rows = kept(own.mapInArrow(partial(_score_rows, strings=sc.broadcast(strings), words=sc.broadcast(words)), ROW), "lm-rows")
+
+    rest = rows.select("row_no", F.explode(F.arrays_zip("kinds", "keys", "times")).alias("x")).select("row_no", F.col("x.kinds").alias("kind"), F.col("x.keys").alias("key"), F.col("x.times").alias("times"))
+    others = other_strings.select(F.lit(STRING).alias("kind"), "key", "value").union(other_words.select(F.lit(WORD).alias("kind"), "key", "value"))
+    rest = rest.join(others, ["kind", "key"], "left")
+    is_word = F.col("kind") == WORD
+    rest = rest.groupBy("row_no").agg(
+        F.sum(F.when(~is_word, F.col("times") * F.col("value"))).alias("more_value"),
+        F.sum(F.when(is_word, F.col("times") * F.coalesce("value", F.lit(float(np.log10(0.5)))))).alias("more_known"),
+        F.sum(F.when(is_word & F.col("value").isNotNull(), F.col("times"))).alias("more_words"),
+    )
+    out = rows.drop("kinds", "keys", "times").join(rest, "row_no", "left").withColumn("n_tokens", F.col("n_words") + 1)
+    out = out.withColumn("score", F.col("value") + F.coalesce("more_value", F.lit(0.0)))
+    base = F.col("known") + F.coalesce("more_known", F.lit(0.0)) + float(np.log10(ends + 0.5)) - F.col("n_tokens") * float(np.log10(n + 0.5 * (v + 1)))
+    known = F.col("known_words") + F.coalesce("more_words", F.lit(0)) + F.lit(int(ends > 0))
+    bits = -F.col("score") / float(np.log10(2)) / (F.col("n_bytes") + 1)
+    return out.select("doc_id", "held_out", "n_tokens", known.cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score", bits.alias("bits_per_byte"))
