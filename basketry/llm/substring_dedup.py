@@ -1,9 +1,10 @@
 """Substring deduplication by level-wise doubling of repeated windows.
 
-The first level looks at windows of half the wanted length. Of each wanted window only its least half-window (by hash) is
-taken, so equal wanted windows always bring an equal half-window, and about one word in thirteen brings one. Half-windows
-that repeat in another document are the candidates; only wanted windows around a candidate are extended to the full length
-and grouped, which decides exactly. Lengths double until the wanted length, where no candidate is left to extend.
+The first level looks at short windows, each next one at windows of twice the length, up to the wanted one. Of each wanted
+window only its least window of the level (by hash) is taken, so equal wanted windows always bring an equal one, and few
+words bring one. What repeats in another document is the candidate set of the next level: only wanted windows whose least
+windows of all levels so far repeat are extended. At the wanted length windows are grouped, which decides exactly. Longer
+repeats are unions of windows of the wanted length, so no candidate is left to extend there.
 """
 
 from __future__ import annotations
@@ -16,65 +17,92 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm import bloom
-from basketry.llm.store import kept
+from basketry.llm.store import dropped, kept
 from basketry.llm.words import PLAIN, Words, bounded_batches, chunks, signed, sliding_min, windows
 
-LENGTH = 50
+LENGTH, FIRST = 50, 8
 
 
-def _levels(w: Words, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all windows: the words they start at, their row, the hash of their least half-window, and their own hash."""
-    half = length // 2
+def levels(length: int, first: int = FIRST) -> list[int]:
+    """Lengths that end with ``length``, each half of the next (rounded up), the least ``first`` words or fewer."""
+    out = [length]
+    while out[0] > max(first, 1):
+        out.insert(0, -(-out[0] // 2))
+    return out
+
+
+def _least(w: Words, length: int, level: int, at: np.ndarray) -> np.ndarray:
+    """Of the wanted windows that start at the words ``at``: the hash of their least window of the level."""
+    return signed(sliding_min(windows(w.hashes, level), length - level + 1))[at]
+
+
+def _candidates(w: Words, length: int, below: list[tuple[int, Broadcast]]) -> np.ndarray:
+    """The words at which wanted windows start whose least window of each level below repeats."""
     at = np.flatnonzero(w.left() >= length)
-    halves = windows(w.hashes, half)
-    least = sliding_min(halves, length - half + 1)
-    return at, w.row_of()[at], signed(least)[at], signed(windows(w.hashes, length))[at]
+    for level, again in below:
+        if not len(at):
+            break
+        at = at[bloom.maybe(again.value, _least(w, length, level, at))]
+    return at
 
 
-def _half_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def _level_windows(batches: Iterator[pa.RecordBatch], length: int, level: int, below: list[tuple[int, Broadcast]]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for w in chunks(batch.column(1), PLAIN):
-            _, row, key, _ = _levels(w, length)
-            if not len(key):
+        for w in chunks(batch.column(2), PLAIN):
+            at = _candidates(w, length, below)
+            if not len(at):
                 continue
+            row, key = w.row_of()[at], _least(w, length, level, at)
             new = np.r_[True, (key[1:] != key[:-1]) | (row[1:] != row[:-1])]
-            yield pa.RecordBatch.from_arrays([pa.array(key[new]), pa.array(ids[w.first + row[new]])], ["half", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[new]), pa.array(ids[w.first + row[new]])], ["window", "doc_id"])
 
 
-def _full_windows(batches: Iterator[pa.RecordBatch], length: int, candidates: Broadcast) -> Iterator[pa.RecordBatch]:
+def _full_windows(batches: Iterator[pa.RecordBatch], length: int, below: list[tuple[int, Broadcast]]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for w in chunks(batch.column(1), PLAIN):
-            at, row, key, own = _levels(w, length)
-            hit = bloom.maybe(candidates.value, key)
-            row = row[hit]
-            place = at[hit] - w.bounds[row]
-            yield pa.RecordBatch.from_arrays([pa.array(own[hit]), pa.array(ids[w.first + row]), pa.array(place.astype(np.int32))], ["window", "doc_id", "place"])
+        ids, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        for w in chunks(batch.column(2), PLAIN):
+            at = _candidates(w, length, below)
+            if not len(at):
+                continue
+            row = w.row_of()[at]
+            spot = (keys[w.first + row].astype(np.int64) << 32) | (at - w.bounds[row])
+            yield pa.RecordBatch.from_arrays([pa.array(signed(windows(w.hashes, length))[at]), pa.array(ids[w.first + row]), pa.array(spot)], ["window", "doc_id", "spot"])
+
+
+def _text_key(text: Column) -> Column:
+    """Tells texts of rows with equal ids apart."""
+    return F.hash(text)
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, place``: the word at which a window of ``length`` words starts whose words also start somewhere in a document with a smaller id.
+    """``doc_id, text_key, place``: the word at which a window of ``length`` words starts whose words also start somewhere in a document with a smaller id.
 
     Words are runs of characters other than ASCII white space, unchanged. Null texts and texts of fewer words have no
-    windows; rows with a null id are left out. Rows with equal ids count as one document.
+    windows; rows with a null id are left out. Rows with equal ids count as one document, which repeats nothing of its
+    own; ``text_key`` (32 bits) says which of them a place is in.
     """
     if length < 2:
         raise ValueError("windows have two words at least")
-    bounded_batches(docs.sparkSession)
-    own = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    halves = own.mapInArrow(partial(_half_windows, length=length), "half long, doc_id long")
-    again = halves.groupBy("half").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("half")
-    again = kept(again, "repeated-halves")
-    filled = bloom.build(again, bloom.blocks_for(again.count()))
-    candidates = docs.sparkSession.sparkContext.broadcast(filled)
-    full = own.mapInArrow(partial(_full_windows, length=length, candidates=candidates), "window long, doc_id long, place int")
-    firsts = full.groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("window", "least")
-    return full.join(firsts, "window").where("doc_id > least").select("doc_id", "place")
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    own = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), _text_key(F.col(text)).alias("text_key"), F.col(text).cast("string").alias("text"))
+    again = [F.min("doc_id").alias("least"), F.max("doc_id").alias("most")]
+    below: list[tuple[int, Broadcast]] = []
+    for level in levels(length)[:-1]:
+        found = own.mapInArrow(partial(_level_windows, length=length, level=level, below=list(below)), "window long, doc_id long")
+        repeated = kept(found.groupBy("window").agg(*again).where("least < most").select("window"), f"repeated-{level}")
+        below.append((level, spark.sparkContext.broadcast(bloom.build(repeated, bloom.blocks_for(repeated.count())))))
+        dropped(repeated)
+    full = kept(own.mapInArrow(partial(_full_windows, length=length, below=below), "window long, doc_id long, spot long"), "windows")
+    # Written, so the join's other side is no aggregate and adaptive execution can split a window with very many rows.
+    firsts = kept(full.groupBy("window").agg(*again).where("least < most").select("window", "least"), "first-windows")
+    places = full.join(firsts, "window").where("doc_id > least")
+    return places.select("doc_id", F.shiftright("spot", 32).cast("int").alias("text_key"), F.col("spot").bitwiseAND((1 << 32) - 1).cast("int").alias("place"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch], length: int, keep_text: bool) -> Iterator[pa.RecordBatch]:
@@ -113,9 +141,9 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH, keep_text: bool = Tru
     for each row of ``docs``. Windows are judged on the input. A null or empty text has no words and keeps the empty text;
     a row with a null id keeps all words; of rows with equal ids none removes words of the other. Other columns are not read.
     """
-    places = repeated_windows(docs, length).groupBy("doc_id").agg(F.collect_set("place").alias("places"))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = own.join(places, "doc_id", "left").select("doc_id", "text", "places")
+    places = repeated_windows(docs, length).groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("places"))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_key(F.col("text")).alias("text_key"), F.col("text").cast("string").alias("text"))
+    joined = own.join(places, ["doc_id", "text_key"], "left").select("doc_id", "text", "places")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text
     return joined.mapInArrow(partial(_cut, length=length, keep_text=keep_text), schema)
 
@@ -136,6 +164,6 @@ PLACES = "__repeated_places"
 
 def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents with all their columns; where ``substring_dedup`` removes words, ``text`` is what it keeps, and elsewhere unchanged. Nulls stay null."""
-    places = repeated_windows(docs, length).groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("place").alias(PLACES))
-    joined = docs.join(places, F.col("doc_id") == F.col("__id"), "left").drop("__id")
+    places = repeated_windows(docs, length).groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_set("place").alias(PLACES))
+    joined = docs.join(places, (F.col("doc_id") == F.col("__id")) & (_text_key(F.col("text")) == F.col("__key")), "left").drop("__id", "__key")
     return joined.mapInArrow(partial(_replaced, length=length), docs.schema)
