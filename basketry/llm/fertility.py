@@ -1,9 +1,11 @@
 """Quality rules by tokeniser fertility.
 
 Public vocabularies, read where they are installed, measure each text: characters per token, the share of tokens that fall
-back to single bytes, and the entropy of its tokens. Bands per script say which values are those of running text. Distinct
-words of a few megabytes are tokenised once and their counts gathered for all places where they stand, so the metrics are
-sums over words; both vocabularies split at white space anyway.
+back to single bytes, and the entropy of its tokens. Two bands say which values are those of running text: a wide fixed one
+per script, and a narrower one per language (per script where the language is unknown), whose ends lie some quartile
+distances beyond the quartiles of all documents of that language. Distinct words of a few megabytes are tokenised once and
+their counts gathered for all places where they stand, so the metrics are sums over words; both vocabularies split at white
+space anyway.
 """
 
 from __future__ import annotations
@@ -18,10 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm.store import kept
 from basketry.llm.words import PLAIN, U, Words, bounded_batches, chunks, mixed, powers, windows
 
 FOLDER, PIECES, RANKS = "/opt/tokenizers", "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
 CHUNK = 4 << 20
+SPREAD, LEAST_DOCUMENTS, DIGITS = 4.0, 200, 3  # quartile distances beyond the quartiles; documents that make a language's band; digits of its quartiles
+#: Metrics with the ends of their bands that count, and the least distance of an end from its quartile.
+ENDS = {"chars_per_token": (True, True, 0.1), "chars_per_byte_level_token": (True, True, 0.1), "byte_share": (False, True, 0.02), "entropy": (True, False, 0.02)}
 
 
 @dataclass(frozen=True)
@@ -167,27 +173,53 @@ def _measure(batches: Iterator[pa.RecordBatch], folder: str, bands: Mapping[str,
             per, per_other, share = chars / np.maximum(n, 1), chars / np.maximum(n_other, 1), n_bytes / np.maximum(n, 1)
             low, high, low_other, most_bytes, least_entropy = limits[script].T
             good = (per >= low) & (per <= high) & (per_other >= low_other) & (share <= most_bytes) & (entropy >= least_entropy)
-            parts.append([n_words, chars, _per_row(w, IS_SYMBOL[w.raw]), _dup_lines(w), repeat, failed, ~failed & good, script, per, per_other, share, entropy])
+            parts.append([n_words, chars, _per_row(w, IS_SYMBOL[w.raw]), _dup_lines(w), repeat, failed, good, script, per, per_other, share, entropy])
         columns = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0)] * 12
         kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [None] + [pa.float64()] * 4
         arrays = [pa.array(c, k) if k else pa.array([SCRIPTS[int(i)] for i in c], pa.string()) for c, k in zip(columns, kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], [c.split()[0] for c in SCHEMA.split(", ")])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *arrays], [c.split()[0] for c in SCHEMA.split(", ")])
 
 
-SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, "
+SCHEMA = ("doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, in_fixed_band boolean, "
           "script string, chars_per_token double, chars_per_byte_level_token double, byte_share double, entropy double")
 
 
-def fertility(docs: DataFrame, folder: str = FOLDER, bands: Mapping[str, Band] = BANDS) -> DataFrame:
-    """One row for each row of ``docs`` (``doc_id``, ``text``): counts, metrics and the verdict ``kept``.
+def language_bands(measured: DataFrame, spread: float = SPREAD, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
+    """``group`` with ``<metric>_low`` and ``<metric>_high`` from all documents that pass the base rules; groups of fewer than ``least_documents`` have none.
+
+    Metrics are rounded first, so their counts are small tables and the quartiles exact and alike in every run.
+    """
+    long = measured.where("NOT base_failed").select("group", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.round(m, DIGITS).alias("value")) for m in ENDS])).alias("x"))
+    counted = long.groupBy("group", "x.metric", "x.value").agg(F.count("*").alias("n"))
+    quartiles = counted.groupBy("group", "metric").agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.75)), F.col("n")).alias("q"), F.sum("n").alias("n")).where(F.col("n") >= least_documents)
+    ends = []
+    for metric, (has_low, has_high, least) in ENDS.items():
+        q = F.max(F.when(F.col("metric") == metric, F.col("q")))
+        reach = F.greatest(spread * (q[1] - q[0]), F.lit(least))
+        ends += [(q[0] - reach if has_low else F.lit(-np.inf)).alias(f"{metric}_low"), (q[1] + reach if has_high else F.lit(np.inf)).alias(f"{metric}_high")]
+    return quartiles.groupBy("group").agg(*ends)
+
+
+def fertility(docs: DataFrame, folder: str = FOLDER, bands: Mapping[str, Band] = BANDS, spread: float = SPREAD, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
+    """One row for each row of ``docs`` (``doc_id``, ``text``, and ``lang`` if there is one): counts, metrics and the verdict ``kept``.
 
     Words are runs of characters without ASCII white space. ``word_chars``: code points in words; ``n_symbols``: the
     characters ``#*$%&|<>``; ``n_dup_lines``: lines with a word that equal an earlier line; ``n_repeat_words``: words in
     three-word windows that the text holds twice or more; ``base_failed``: fewer than 50 words, or more than half of them
-    such; ``kept``: not failed, and all metrics inside the band of the script that most letters have (ties: the first of
-    ``SCRIPTS``). Null and empty texts have no words and fail. Null ids and repeated rows stay; other columns are not read.
-    ``folder`` holds the vocabularies on every machine.
+    such; ``kept``: not failed, all metrics inside the fixed band of the script that most letters have (ties: the first of
+    ``SCRIPTS``), and inside the band of its language. A null language counts by its script; a language with fewer than
+    ``least_documents`` documents that pass the base rules has no band of its own. Null and empty texts have no words and
+    fail. Null ids and repeated rows stay; other columns are not read. ``folder`` holds the vocabularies on every machine.
     """
     bounded_batches(docs.sparkSession)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return own.mapInArrow(partial(_measure, folder=folder, bands=dict(bands)), SCHEMA)
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), lang.alias("lang"))
+    measured = own.mapInArrow(partial(_measure, folder=folder, bands=dict(bands)), SCHEMA)
+    measured = kept(measured.withColumn("group", F.coalesce("lang", F.concat(F.lit("script "), "script"))), "fertility")
+    # Languages are few: the table is small once written, and Spark broadcasts it by its size.
+    limits = kept(language_bands(measured, spread, least_documents), "language-bands")
+    inside = F.lit(True)
+    for metric in ENDS:
+        inside &= F.coalesce(F.col(metric).between(F.col(f"{metric}_low"), F.col(f"{metric}_high")), F.lit(True))
+    judged = measured.join(limits, "group", "left").withColumn("kept", ~F.col("base_failed") & F.col("in_fixed_band") & inside)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lang", "script", *ENDS)
