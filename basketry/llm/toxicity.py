@@ -278,14 +278,26 @@ def score_rows(p: Params | None, w: Words) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(np.c_[f, np.ones(len(f))] @ p["document"], -30, 30)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, fold: int = 0) -> Params | None:
-    """Trains on at most ``sample`` labelled documents of each label, none of them held out or longer than ``SAMPLE_CHARS`` characters, the first by a hash of their ids."""
+def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, fold: int = 0) -> DataFrame:
+    """``doc_id, text, toxic``: at most ``sample`` labelled texts of each label, the first by a hash of their ids and texts.
+
+    None of them is held out, null or longer than ``SAMPLE_CHARS`` characters (longer texts are scored whole, but none is
+    learnt from); repeated rows count once; of several labels of a document the highest counts. The sample is drawn from
+    the labelled rows that stand in ``docs``, by ids and hashes; only the chosen texts move.
+    """
     known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id"), fold))
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = F.xxhash64("doc_id")
-    chosen = known.where("toxic = 1").orderBy(order, "doc_id").limit(sample).union(known.where("toxic = 0").orderBy(order, "doc_id").limit(sample))
-    rows = docs.select("doc_id", "text").where(f"text IS NOT NULL AND char_length(text) <= {SAMPLE_CHARS}").join(F.broadcast(chosen), "doc_id")
-    got = sorted(((r.doc_id, r.text, r.toxic) for r in rows.select("doc_id", "text", "toxic").collect()), key=lambda r: (r[0], r[1]))
+    known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    texts = docs.where(f"doc_id IS NOT NULL AND text IS NOT NULL AND char_length(text) <= {SAMPLE_CHARS}").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), F.col("text").cast("string").alias("text"))
+    found = texts.select("doc_id", "key").join(known, "doc_id").distinct()
+    order = [F.xxhash64("doc_id"), "doc_id", "key"]
+    chosen = found.where("toxic = 1").orderBy(*order).limit(sample).union(found.where("toxic = 0").orderBy(*order).limit(sample))
+    rows = texts.join(F.broadcast(chosen), ["doc_id", "key"])  # 2 * sample rows at most
+    return rows.groupBy("doc_id", "key", "toxic").agg(F.first("text").alias("text")).select("doc_id", "text", "toxic")
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, fold: int = 0) -> Params | None:
+    """The network trained on ``sampled`` texts, which come to the driver: 2 * ``sample`` of bounded length at most."""
+    got = sorted(((r.doc_id, r.text, r.toxic) for r in sampled(docs, labels, sample, fold).collect()), key=lambda r: (r[0], r[1]))
     return train([r[1] for r in got], [r[2] for r in got])
 
 
