@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.decontaminate import decontaminate
 from basketry.llm.jaccard_join import jaccard_join
-from basketry.llm.mixing import mix
+from basketry.llm.mixing import mixed
 from basketry.llm.store import kept
 from basketry.llm.substring_dedup import cut_repeats
 from basketry.llm.toxicity import drop_toxic
@@ -21,9 +21,14 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays. Documents with a null id stay."""
+    """Of each group of near copies the document with the smallest id stays. Of rows with the same id and text one stays; documents with a null id stay."""
     others = jaccard_join(docs).where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    left = docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    key = [F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__text")]
+    twice = kept(docs.where("doc_id IS NOT NULL").groupBy(*key).agg(F.count("*").alias("n")).where("n > 1"), "repeated-rows")
+    same = (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__text"))
+    once = left.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(twice, same, "left_anti").union(once)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +42,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with the number of their copies. Rows with equal ids get the most copies that one of them has."""
-    copies = mix(docs).where("copies > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("copies"))
-    return docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id")
+    """The documents that the mix takes, with the number of their ``copies`` (rows are not repeated; a column of that name is replaced)."""
+    return mixed(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
