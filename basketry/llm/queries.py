@@ -58,9 +58,9 @@ JUNK_DOMAINS = ["example.com", "example.net", "example.org"]
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = [(*rule, 0) for rule in URL_RULES] + [(f"{site}.{domain}", "/", "block", 1) for site in JUNK_SITES for domain in JUNK_DOMAINS]
-    judged = filter_urls(_table(spark, sf_dir, "pages"), spark.createDataFrame(listed, "host string, path string, verdict string, tier int"))
-    return judged.select("page_id", "host", "path", F.when(F.col("tier") == 0, F.col("rule")).alias("rule"), "verdict")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    sites = spark.createDataFrame([(f"{site}.{domain}", "/") for site in JUNK_SITES for domain in JUNK_DOMAINS], "host string, path string")
+    return filter_urls(_table(spark, sf_dir, "pages"), rules, sites).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op9_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,8 +158,8 @@ ORACLE: dict[str, str] = {
         r(h, p, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
         m AS (SELECT page_id, host, path, arg_max(h || r.p, length(h || r.p)) AS rule, arg_max(verdict, length(h || r.p)) AS verdict
               FROM p LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, r.p) GROUP BY page_id, host, path)
-        SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN starts_with(path, '/') AND regexp_matches(host,
-                 '(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.example\.(com|net|org)$') THEN 'block' ELSE 'allow' END) AS verdict FROM m
+        SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN regexp_matches(host,
+                 '(^|@|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.example\.(com|net|org)\.*(:[0-9]*)?$') THEN 'block' ELSE 'allow' END) AS verdict FROM m
     """,
     "op3_license_scan": rf"""
         WITH k(s, id) AS (VALUES {_known}),

@@ -2,7 +2,9 @@
 
 A list entry is a host and a path ending in a slash; it covers the host, its subdomains and all paths below. A URL
 therefore has one key for each tail of its host's labels and each head of its path, as long as the list has such. Keys
-that the filter rules out cost no shuffle; the others are joined with the list, which removes false positives.
+that the filter rules out cost no shuffle; the others are joined with the list, which removes false positives. Rules are
+matched with a URL's host and path as written; listed sites with their canonical form: without user, port and closing
+dots, without repeated slashes, and with a slash for an empty path (percent signs are left as they are).
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm import bloom
+from basketry.llm.store import kept
 
 
 def host(url: Column) -> Column:
@@ -29,12 +32,25 @@ def path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def _keys(host: Column, path: Column, labels: int, depth: int) -> Column:
+def canonical_host(host: Column) -> Column:
+    """Without user, port and closing dots."""
+    return F.regexp_replace(F.regexp_replace(host, r"(?s)^.*@", ""), r"\.*(?::[0-9]*)?$", "")
+
+
+def canonical_path(path: Column) -> Column:
+    """With one slash for several, and one at the beginning."""
+    return F.regexp_replace(F.concat(F.lit("/"), path), "/+", "/")
+
+
+RULE, SITE = "0 ", "1 "  # what a key begins with
+
+
+def _keys(form: str, host: Column, path: Column, labels: int, depth: int) -> Column:
     """The tails of a host's labels (``labels`` at most) with the heads of its path (``depth`` slashes at most)."""
     parts, steps = F.split(host, r"\."), F.split(path, "/")
     tails = F.transform(F.sequence(F.lit(1), F.least(F.size(parts), F.lit(labels))), lambda n: F.array_join(F.slice(parts, F.size(parts) - n + 1, n), "."))
     heads = F.transform(F.sequence(F.lit(1), F.least(F.size(steps) - 1, F.lit(depth))), lambda n: F.concat(F.array_join(F.slice(steps, F.lit(1), n), "/"), F.lit("/")))
-    both = F.flatten(F.transform(tails, lambda t: F.transform(heads, lambda h: F.concat(t, h))))
+    both = F.flatten(F.transform(tails, lambda t: F.transform(heads, lambda h: F.concat(F.lit(form), t, h))))
     return F.when((host != "") & path.startswith("/"), both).otherwise(F.array().cast("array<string>"))
 
 
@@ -42,27 +58,37 @@ def _possible(batches: Iterator[pa.RecordBatch], bits: Broadcast) -> Iterator[pa
     for batch in batches:
         urls, keys, hashes = batch.columns
         passes = pa.array(bloom.maybe(bits.value, hashes.flatten().to_numpy()))
-        yield pa.RecordBatch.from_arrays([urls.take(pc.list_parent_indices(keys)).filter(passes), keys.flatten().filter(passes)], ["url", "rule"])
+        yield pa.RecordBatch.from_arrays([urls.take(pc.list_parent_indices(keys)).filter(passes), keys.flatten().filter(passes)], ["url", "key"])
 
 
-def filter_urls(pages: DataFrame, listed: DataFrame, bits_per_entry: int = 16) -> DataFrame:
-    """Judges ``pages`` (``page_id``, ``url``) by ``listed`` (``host, path, verdict, tier``): ``page_id, url, host, path, rule, verdict, tier``.
+def filter_urls(pages: DataFrame, rules: DataFrame, sites: DataFrame, bits_per_entry: int = 16) -> DataFrame:
+    """Judges ``pages`` (``page_id``, ``url``): ``page_id, url, host, path, rule, verdict, site``.
 
-    The longest entry of the least tier wins; pages that no entry covers are allowed, with null ``rule`` and ``tier``. A
-    listed path begins and ends with a slash. Of equal entries the verdict ``allow`` goes first. Null urls and urls without
-    ``://`` have an empty host and path, and are allowed. Null ids and repeated rows stay; other columns are not read.
+    ``rules`` (``host, path, verdict``; a path begins and ends with a slash) go first: the longest one that covers the url
+    decides (of equal ones, ``allow``). Urls under no rule are blocked if one of the ``sites`` (``host, path``, brought to
+    their canonical form; a null path is a slash) covers them: ``site`` is the longest. All others are allowed. Null urls
+    and urls without ``://`` have an empty host and path, and are allowed. Null ids and repeated rows stay; other columns
+    are not read. Rules and sites may be tables of any size; entries with a null host are left out.
     """
     spark = pages.sparkSession
-    entries = listed.select(F.concat("host", "path").alias("rule"), "tier", "verdict", F.size(F.split("host", r"\.")).alias("labels"), (F.size(F.split("path", "/")) - 1).alias("depth"))
+    site_path = F.regexp_replace(F.concat(canonical_path(F.coalesce(F.col("path"), F.lit(""))), F.lit("/")), "/+", "/")
+    entries = rules.where("host IS NOT NULL").select(F.lit(RULE).alias("form"), "host", F.coalesce("path", F.lit("/")).alias("path"), "verdict").union(
+        sites.where("host IS NOT NULL").select(F.lit(SITE), canonical_host(F.lower("host")), site_path, F.lit("block")))
+    entries = entries.groupBy("form", F.concat("form", "host", "path").alias("key"), "host", "path").agg(F.min("verdict").alias("verdict"))
+    entries = kept(entries.select("form", "key", "verdict", F.size(F.split("host", r"\.")).alias("labels"), (F.size(F.split("path", "/")) - 1).alias("depth")), "listed-urls")
     n, labels, depth = entries.agg(F.count("*"), F.coalesce(F.max("labels"), F.lit(1)), F.coalesce(F.max("depth"), F.lit(1))).first()
-    bits = bloom.build(entries.select(F.xxhash64("rule").alias("key")), bloom.blocks_for(n, bits_per_entry))
+    bits = bloom.build(entries.select(F.xxhash64("key").alias("key")), bloom.blocks_for(n, bits_per_entry))
     shared = spark.sparkContext.broadcast(bits)
 
     own = pages.select("page_id", F.col("url").cast("string").alias("url"), host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
-    keyed = own.where("url IS NOT NULL").select("url", _keys(F.col("host"), F.col("path"), labels, depth).alias("keys"))
+    both = F.concat(_keys(RULE, F.col("host"), F.col("path"), labels, depth), _keys(SITE, canonical_host(F.col("host")), canonical_path(F.col("path")), labels, depth))
+    keyed = own.where("url IS NOT NULL AND host <> ''").select("url", both.alias("keys"))
     hashed = keyed.where("size(keys) > 0").distinct().withColumn("hashes", F.transform("keys", lambda k: F.xxhash64(k)))
-    possible = hashed.mapInArrow(partial(_possible, bits=shared), "url string, rule string")
-    best = F.min_by(F.struct("rule", "verdict", "tier"), F.struct("tier", -F.length("rule"), "verdict"))
-    judged = possible.join(entries.select("rule", "tier", "verdict"), "rule").groupBy("url").agg(best.alias("best")).select("url", "best.*")
-    out = own.join(judged, "url", "left")
-    return out.select("page_id", "url", "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"), "tier")
+    possible = hashed.mapInArrow(partial(_possible, bits=shared), "url string, key string")
+    best = F.min_by(F.struct("form", F.expr("substring(key, 3)").alias("entry"), "verdict"), F.struct("form", -F.length("key"), "key"))
+    # Written: the judged urls are few, and adaptive execution can then split a url that very many pages have.
+    judged = kept(possible.join(entries.select("key", "form", "verdict"), "key").groupBy("url").agg(best.alias("best")).select("url", "best.*"), "judged-urls")
+    out = own.where("url IS NOT NULL").join(judged, "url", "left")
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("form", "entry", "verdict")]
+    out = out.select("page_id", "url", "host", "path", "form", "entry", "verdict").union(own.where("url IS NULL").select("page_id", "url", "host", "path", *nothing))
+    return out.select("page_id", "url", "host", "path", F.when(F.col("form") == RULE, F.col("entry")).alias("rule"), F.coalesce("verdict", F.lit("allow")).alias("verdict"), F.when(F.col("form") == SITE, F.col("entry")).alias("site"))
