@@ -1,6 +1,7 @@
 """The index engine: from price observations to elementary, class, division and headline indices, all periods in one plan.
 
-A single period is a filter on the result. Medians come from windows or two-step groupings; nothing is looped over dates.
+A single period is a filter on the result. Medians of an item's few prices come from one grouping with sorted arrays; medians
+of large groups come from counts of rounded values, which tasks add up before anything is shuffled. Nothing is looped over dates.
 """
 
 from __future__ import annotations
@@ -13,15 +14,20 @@ from pyspark.sql import functions as F
 from basketry.functions.exprs import clip, geomean, nonzero, weighted_geomean, weighted_mean
 
 MAD_SCALE, MAD_LIMIT, MAD_LEAST, MAD_EPSILON = 1.4826, 3.5, 5, 1e-6
+LOG_DIGITS = 6
 
 
 def robust_geomean(rows: DataFrame, keys: Sequence[str], value: str, out: str, low: float = 0.4, high: float = 2.5, extra: Sequence[Column] = ()) -> DataFrame:
-    """Geometric mean of positive values by keys; with more than two, only of those between ``low`` and ``high`` times the median."""
-    by = Window.partitionBy(*keys)
-    positive = F.when(F.col(value) > 0, F.col(value))
-    marked = rows.withColumns({"__median": F.median(positive).over(by), "__n": F.count(positive).over(by)})
-    inside = positive.isNotNull() & ((F.col("__n") <= 2) | F.col(value).between(low * F.col("__median"), high * F.col("__median")))
-    return marked.groupBy(*keys).agg(geomean(F.when(inside, F.col(value))).alias(out), *extra)
+    """Geometric mean of positive values by keys; with more than two, only of those between ``low`` and ``high`` times the median. One grouping: the values of a key (an item's prices of a period) meet in an array."""
+    seen = F.array_sort(F.collect_list(F.when(F.col(value) > 0, F.col(value)).cast("double")))
+    grouped = rows.groupBy(*keys).agg(seen.alias("__seen"), *extra)
+    n = F.size("__seen")
+    middle = (F.element_at("__seen", F.floor((n + 1) / 2).cast("int")) + F.element_at("__seen", F.floor(n / 2 + 1).cast("int"))) / 2
+    grouped = grouped.withColumn("__median", F.when(n > 0, middle))
+    inside = F.filter("__seen", lambda x: (n <= 2) | x.between(low * F.col("__median"), high * F.col("__median")))
+    logs = F.aggregate(F.col("__inside"), F.lit(0.0), lambda total, x: total + F.ln(x))
+    mean = F.when(F.size("__inside") > 0, F.exp(logs / F.size("__inside")))
+    return grouped.withColumn("__inside", inside).withColumn(out, mean).drop("__seen", "__median", "__inside")
 
 
 def modal(rows: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
@@ -31,10 +37,19 @@ def modal(rows: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFra
 
 
 def item_prices(obs: DataFrame, period: str = "month") -> DataFrame:
-    """``period, item, class, division, price, observations, store`` for each item and period: robust mean, number of observations, modal store."""
+    """``period, item, class, division, price, observations, store`` for each item and period: robust mean, number of observations, modal store (the smallest of several). One shuffle."""
     keys = [period, "item", "class", "division"]
-    prices = robust_geomean(obs, keys, "price", "price", extra=[F.count("*").alias("observations")])
-    return prices.where("price IS NOT NULL").join(modal(obs, [period, "item"], "store", "store"), [period, "item"], "left")
+    # An item has few prices in a period, so adding up before the shuffle would only cost.
+    obs = obs.select(*keys, "price", "store").repartition(period, "item")
+    return robust_geomean(obs, keys, "price", "price", extra=[F.count("*").alias("observations"), F.mode("store", True).alias("store")]).where("price IS NOT NULL")
+
+
+def first_relatives(prices: DataFrame, period: str = "month", shadow: bool = False) -> DataFrame:
+    """``prices`` with ``base_period``, ``base_price`` and ``ratio`` against the item's first period in them: what ``elementary`` gives with the base of all periods, in one window and without a join. With ``shadow`` the first period is left out."""
+    own = Window.partitionBy("item")
+    out = prices.withColumns({"base_period": F.min(period).over(own), "base_price": F.min_by("price", period).over(own)})
+    out = out.withColumn("ratio", F.col("price") / F.col("base_price")).where("ratio > 0")
+    return out.where(F.col("base_period") < F.col(period)) if shadow else out
 
 
 def base_prices(obs: DataFrame, base_from: str | None = None, period: str = "month", deep_promo: float | None = None) -> DataFrame:
@@ -67,15 +82,29 @@ def unit_or_shelf(shelf_now: str, shelf_base: str, unit_now: str, unit_base: str
     return known & ~F.coalesce(((unit >= 3) | (unit <= 0.33)) & shelf.between(0.70, 1.40), F.lit(False))
 
 
-def drop_outliers(rows: DataFrame, keys: Sequence[str], ratio: str = "ratio", low: float = 0.20, high: float = 4.0) -> DataFrame:
-    """Relatives inside hard bounds and, in groups of five or more with some spread, within 3.5 scaled median absolute deviations of the log; otherwise within 0.33 to 3."""
+def _group_median(rows: DataFrame, keys: Sequence[str], value: Column, out: str) -> DataFrame:
+    """Medians by keys from counts of values rounded to ``LOG_DIGITS``: tasks add up counts first, and a group has a bounded number of different values to sort."""
+    counts = rows.groupBy(*keys, F.rint(value * float(10**LOG_DIGITS)).alias("__v")).agg(F.count("*").alias("__n"))
     by = Window.partitionBy(*keys)
+    summed = counts.withColumns({"__to": F.sum("__n").over(by.orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)), "__all": F.sum("__n").over(by)})
+    low, high = (F.min(F.when(reached, F.col("__v"))) for reached in (2 * F.col("__to") >= F.col("__all"), 2 * F.col("__to") > F.col("__all")))
+    return summed.groupBy(*keys).agg(((low + high) / (2 * float(10**LOG_DIGITS))).alias(out), F.max("__all").alias(f"{out}_n"))
+
+
+def drop_outliers(rows: DataFrame, keys: Sequence[str], ratio: str = "ratio", low: float = 0.20, high: float = 4.0) -> DataFrame:
+    """Relatives inside hard bounds and, in groups of five or more with some spread, within 3.5 scaled median absolute deviations of the log; otherwise within 0.33 to 3.
+
+    Medians are of logs rounded to six digits, so a group has three million different ones at most. ``rows`` is read three
+    times; give a written table where it is costly.
+    """
     bounded = rows.where(F.col(ratio).between(low, high)).withColumn("__log", F.ln(ratio))
-    bounded = bounded.withColumns({"__median": F.median("__log").over(by), "__n": F.count("*").over(by)})
-    bounded = bounded.withColumn("__mad", F.median(F.abs(F.col("__log") - F.col("__median"))).over(by))
-    spread = (F.col("__n") >= MAD_LEAST) & (F.col("__mad") > MAD_EPSILON)
-    keep = F.when(spread, F.abs(F.col("__log") - F.col("__median")) <= MAD_LIMIT * MAD_SCALE * F.col("__mad")).otherwise(F.col(ratio).between(0.33, 3.0))
-    return bounded.where(keep).drop("__log", "__median", "__n", "__mad")
+    centre = _group_median(bounded, keys, F.col("__log"), "__median")
+    away = bounded.join(centre, list(keys))
+    spread = _group_median(away, keys, F.abs(F.col("__log") - F.col("__median")), "__mad").drop("__mad_n")
+    judged = away.join(spread, list(keys))
+    limits = (F.col("__median_n") >= MAD_LEAST) & (F.col("__mad") > MAD_EPSILON)
+    keep = F.when(limits, F.abs(F.col("__log") - F.col("__median")) <= MAD_LIMIT * MAD_SCALE * F.col("__mad")).otherwise(F.col(ratio).between(0.33, 3.0))
+    return judged.where(keep).select(*rows.columns)
 
 
 def jevons(rows: DataFrame, keys: Sequence[str], ratio: str = "ratio") -> DataFrame:
@@ -91,29 +120,34 @@ def carli_dutot(rows: DataFrame, keys: Sequence[str], now: str = "price", base:
 
 
 def store_balanced(rows: DataFrame, keys: Sequence[str], store: str = "store", ratio: str = "ratio", weight: str | None = None) -> DataFrame:
-    """100 times the geometric mean over stores of their geometric means, equally or by ``weight``. With one known store or none, all rows count alike; else rows without a store don't count."""
-    stores = rows.groupBy(*keys, store).agg(geomean(ratio).alias("__mean"), F.count("*").alias("__n"), F.sum(F.ln(ratio)).alias("__sum"), *([F.first(weight).alias("__w")] if weight else []))
+    """100 times the geometric mean over stores of their geometric means, equally or by ``weight`` (of several weights of a store, the largest). With one known store or none, all rows count alike; else rows without a store don't count."""
+    stores = rows.groupBy(*keys, store).agg(geomean(ratio).alias("__mean"), F.count("*").alias("__n"), F.sum(F.ln(ratio)).alias("__sum"), *([F.max(weight).alias("__w")] if weight else []))
     known = F.when(F.col(store).isNotNull(), F.col("__mean"))
     balanced = weighted_geomean(known, "__w") if weight else geomean(known)
     flat = F.exp(F.sum("__sum") / F.sum("__n"))
     return stores.groupBy(*keys).agg((100 * F.when(F.count(known) >= 2, balanced).otherwise(flat)).alias("index"), F.count(known).alias("stores"), F.sum("__n").alias("items"))
 
 
+def _moves(prices: DataFrame, period: str, low: float, high: float) -> DataFrame:
+    """Items' moves from the period observed before (of all, not of the item) to this one, inside the bounds."""
+    steps = prices.select(period).distinct().withColumn("__no", F.row_number().over(Window.orderBy(period)))
+    numbered = prices.join(F.broadcast(steps), period)  # one row a period
+    item = Window.partitionBy("item").orderBy("__no")
+    moved = numbered.withColumns({"__before": F.lag("price").over(item), "__last": F.lag("__no").over(item)}).where("__last = __no - 1")
+    return moved.withColumn("__move", F.col("price") / F.col("__before")).where(F.col("__move").between(low, high))
+
+
 def movements(prices: DataFrame, keys: Sequence[str], period: str = "month", low: float = 0.5, high: float = 2.0) -> DataFrame:
-    """Geometric mean of items' moves from the period observed before (of all, not of the item) to this one, by keys; moves beyond the bounds are left out."""
-    order = Window.orderBy(period)
-    steps = prices.select(period).distinct().withColumn("__before", F.lag(period).over(order))
-    before = prices.select(F.col("item").alias("__item"), F.col(period).alias("__at"), F.col("price").alias("__price"))
-    joined = prices.join(F.broadcast(steps), period).join(before, (F.col("item") == F.col("__item")) & (F.col("__before") == F.col("__at")))
-    moved = joined.withColumn("__move", F.col("price") / F.col("__price")).where(F.col("__move").between(low, high))
-    return moved.groupBy(period, *keys).agg(geomean("__move").alias("movement"), F.count("*").alias("pairs"))
+    """Geometric mean of items' moves from the period observed before (of all, not of the item) to this one, by keys; moves beyond the bounds are left out. ``prices`` has one row for an item and period."""
+    return _moves(prices, period, low, high).groupBy(period, *keys).agg(geomean("__move").alias("movement"), F.count("*").alias("pairs"))
 
 
 def impute(prices: DataFrame, levels: Sequence[Sequence[str]], period: str = "month", window: int = 2, low: float = 0.80, high: float = 1.25) -> DataFrame:
     """Items seen within ``window`` periods before, but not in a period, get their last price moved on by the mean movement of the first level that has one (else unchanged), within bounds.
 
     Adds ``imputed``; imputed rows count one observation and have no store. Each item is carried over at most ``window`` periods
-    after it is seen, so the candidates grow with the rows, not with items times periods.
+    after it is seen, so the candidates grow with the rows, not with items times periods. All levels' movements come from one
+    grouping. ``prices`` is read several times; give a written table where it is costly.
     """
     order = Window.orderBy(period)
     steps = prices.select(period).distinct().withColumn("__no", F.row_number().over(order))
@@ -121,8 +155,15 @@ def impute(prices: DataFrame, levels: Sequence[Sequence[str]], period: str = "mo
     nexts = numbered.withColumn("__next", F.lead("__no").over(Window.partitionBy("item").orderBy("__no")))
     gaps = nexts.withColumn("__gap", F.explode(F.expr(f"filter(sequence(__no + 1, __no + {window}), n -> n < coalesce(__next, n + 1))")))
     gaps = gaps.drop(period, "__no", "__next").join(F.broadcast(steps.withColumnRenamed("__no", "__gap")), "__gap").drop("__gap")
+
+    def code(keys: Sequence[str]) -> Column:
+        return F.concat_ws("\u001f", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys])
+
+    coded = F.explode(F.array(*[F.struct(F.lit(i).alias("level"), code(keys).alias("code")) for i, keys in enumerate(levels)]))
+    moves = _moves(prices, period, 0.5, 2.0).select(period, "__move", coded.alias("__k")).groupBy(period, F.col("__k.level").alias("__level"), F.col("__k.code").alias("__code")).agg(geomean("__move").alias("__m"))
     for i, keys in enumerate(levels):
-        gaps = gaps.join(movements(prices, keys, period).select(period, *keys, F.col("movement").alias(f"__m{i}")), [period, *keys], "left")
+        own = moves.where(F.col("__level") == i).select(F.col(period).alias("__p"), F.col("__code").alias("__c"), F.col("__m").alias(f"__m{i}"))
+        gaps = gaps.join(own, (F.col(period) == F.col("__p")) & (code(keys) == F.col("__c")), "left").drop("__p", "__c")
     movement = clip(F.coalesce(*[F.col(f"__m{i}") for i in range(len(levels))], F.lit(1.0)), low, high)
     filled = gaps.withColumns({"price": F.col("price") * movement, "observations": F.lit(1).cast("long"), "store": F.lit(None).cast(prices.schema["store"].dataType), "imputed": F.lit(True)})
     return prices.withColumn("imputed", F.lit(False)).unionByName(filled.select(*prices.columns, "imputed"))
@@ -130,7 +171,7 @@ def impute(prices: DataFrame, levels: Sequence[Sequence[str]], period: str = "mo
 
 def division_indices(classes: DataFrame, weights: DataFrame, period: str = "month") -> DataFrame:
     """Weighted means of class indices by division; ``weights``: ``class, division, weight``. Classes without an index leave their weight to the others."""
-    joined = classes.join(F.broadcast(weights.withColumnRenamed("division", "__division")), "class")
+    joined = classes.join(weights.withColumnRenamed("division", "__division"), "class")
     return joined.groupBy(period, F.col("__division").alias("division")).agg(weighted_mean("index", "weight").alias("index"), F.sum("weight").alias("weight"), F.sum("items").alias("items"))
 
 

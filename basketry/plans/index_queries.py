@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.exprs import geomean, pct_change, weighted_mean
 from basketry.operators import index, joins, tree
+from basketry.sources.scratch import written
 from basketry.sources.tables import exchange_rates, observations, table
 
 ROUND = 4
@@ -46,12 +47,11 @@ def _r(c: str, digits: int = ROUND):
 
 
 def elementary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = observations(spark, sf_dir)
-    return index.elementary(index.item_prices(obs), index.base_prices(obs))
+    return index.first_relatives(index.item_prices(observations(spark, sf_dir)))
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.drop_outliers(elementary(spark, sf_dir), ["month", "division"])
+    return index.drop_outliers(written(elementary(spark, sf_dir), "relatives"), ["month", "division"])
 
 
 def classes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,13 +112,12 @@ def q_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    filled = index.impute(index.item_prices(observations(spark, sf_dir)), [["class"], ["division"]], window=2)
+    filled = index.impute(written(index.item_prices(observations(spark, sf_dir)), "item-prices"), [["class"], ["division"]], window=2)
     return filled.select("month", "item", F.round(F.ln("price"), 8).alias("log_price"), "observations", "store", "imputed")
 
 
 def q_shadow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = observations(spark, sf_dir)
-    tracked = index.elementary(index.item_prices(obs), index.base_prices(obs), shadow=True)
+    tracked = index.first_relatives(index.item_prices(observations(spark, sf_dir)), shadow=True)
     return index.jevons(tracked, ["month", "division"]).select("month", "division", _r("index"), "items")
 
 

@@ -9,6 +9,7 @@ from basketry.operators import hedonic, match, nowcast
 from basketry.plans.index_queries import CHAIN, OBS, divisions, q_headline
 from basketry.plans.view_queries import OFFICIAL, _official
 from basketry.sources.storage import catalog_of, offloadable
+from basketry.sources.scratch import written
 from basketry.sources.tables import exchange_rates, observations, table
 from basketry.streaming.windows import daily_counts
 
@@ -40,7 +41,7 @@ def q_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = observations(spark, sf_dir).select("item", "store", "name").distinct()
+    rows = written(observations(spark, sf_dir).select("item", "store", "name").distinct(), "records")
     records = rows.select((F.col("item") * 10000 + F.col("store")).alias("raw_id"), "store", F.when(F.col("item") % 3 == 0, F.concat(F.lit("88"), F.lpad(F.col("item").cast("string"), 8, "0"))).alias("barcode"),
                           F.when(F.col("item") % 5 == 0, F.col("item").cast("string")).alias("sku"), "name", (F.col("item") % 2).cast("string").alias("size"))
     part = table(spark, sf_dir, "part")
