@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.store import kept
 
-WEIGHTS, SHARE, MOST_COPIES, BUCKET, FAN_IN, BLOCK = (5, 2, 1), 1.5, 2, 20_000, 32, 4096
+WEIGHTS, SHARE, MOST_COPIES, BUCKET, FAN_IN, BLOCK = (5, 2, 1), 1.5, 2, 2_000, 32, 4096
 
 
 def word_count(text: Column) -> Column:
