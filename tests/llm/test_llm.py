@@ -475,3 +475,19 @@ def test_pipeline(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert set(out.columns) == {*docs.columns, "copies"} and 0 < out.count() <= docs.count()
+
+
+def test_pipeline_stages_with_odd_rows(spark):
+    import corpus_pipeline as c
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(40)
+    odd = docs.union(docs).union(docs.withColumn("doc_id", F.lit(None).cast("long"))).union(docs.withColumn("text", F.lit(None).cast("string"))).union(docs.limit(3).withColumn("source", F.lit(None).cast("string")))
+    odd = odd.withColumn("copies", F.lit("clash"))
+    for _, stage in c.STAGES:
+        out = stage(spark, odd, folder)
+        assert set(out.columns) == set(odd.columns) and 0 < out.count() <= odd.count() and stage(spark, odd.limit(0), folder).count() == 0
+    once = c.one_of_near_copies(spark, odd, folder)
+    assert once.where("doc_id IS NOT NULL").groupBy("doc_id", "text").count().where("count > 1").count() == 0 and once.where("doc_id IS NULL").count() == 40
+    taken = c.mix_sources(spark, odd, folder)
+    assert taken.where("copies NOT IN (1, 2)").count() == 0
