@@ -136,15 +136,26 @@ def hedonic_specs(name: Column | str) -> Column:
                     bounded(r"(?i)\b([0-9]{1,3})\s*MP\b", 2, 250).alias("camera"), n.rlike(r"(?i)\b5G\b").cast("int").alias("is_5g"))
 
 
+def is_diet(name: Column | str) -> Column:
+    return col(name).rlike(r"(?i)\b(zero|diet|light|sugar[- ]free|no sugar)\b")
+
+
 def specs_agree(a: Column | str, b: Column | str) -> Column:
-    """Whether two names may be one product's: no storage, pack, screen, model or size that both state differs, and neither alone is a diet variant."""
-    x, y = specs(a), specs(b)
+    """Whether two names may be one product's: no storage, pack, screen, model or size that both state differs, and neither alone is a diet variant.
+
+    Where names meet in pairs, take ``specs`` and ``is_diet`` of each name once before and compare with ``same_specs``. Here a lambda's
+    variable holds them, so that each is computed once.
+    """
+    both = F.struct(specs(a).alias("x"), specs(b).alias("y"), is_diet(a).alias("x_diet"), is_diet(b).alias("y_diet"))
+    return F.get(F.transform(F.array(both), lambda p: same_specs(p["x"], p["y"], p["x_diet"], p["y_diet"])), F.lit(0))
+
+
+def same_specs(x: Column, y: Column, x_diet: Column, y_diet: Column) -> Column:
     differ = [x[f].isNotNull() & y[f].isNotNull() & (x[f] != y[f]) for f in ("storage", "screen", "model")]
     differ.append((x["packs"] != y["packs"]) & (x["packs"] > 1) & (y["packs"] > 1))
     sized = x["size"].isNotNull() & y["size"].isNotNull()
     differ.append(sized & ~sizes_agree(F.concat(x["size"], x["unit"]), F.concat(y["size"], y["unit"])))
-    diet = r"(?i)\b(zero|diet|light|sugar[- ]free|no sugar)\b"
-    differ.append(col(a).rlike(diet) != col(b).rlike(diet))
+    differ.append(x_diet != y_diet)
     return ~F.coalesce(any_of(*[F.coalesce(d, F.lit(False)) for d in differ]), F.lit(False))
 
 

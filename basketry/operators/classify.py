@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.exprs import col
+from basketry.functions.exprs import any_of, col
 from basketry.operators.joins import latest
 
 # The ladder's steps from the strongest, with their confidence, and default classes of divisions.
@@ -49,3 +49,53 @@ def to_reclassify(items: DataFrame, done: DataFrame, key: str, strong: Sequence[
 def rewritten(code: Column | str, name: Column | str, rules: Sequence[tuple[str, str, str]]) -> Column:
     """A finer code by name: the first of ``rules`` (class, pattern, code) for the class whose pattern is in the name; else the code."""
     return F.coalesce(*[F.when((col(code) == c) & col(name).rlike(f"(?i){pattern}"), F.lit(to)) for c, pattern, to in rules], col(code))
+
+
+def overrides(items: DataFrame, rules: DataFrame) -> DataFrame:
+    """Adds ``override_division`` and ``override_kind`` to items (``item, store, barcode, product_key, name``) by ``rules`` (``kind, value, store, division``).
+
+    Kinds from the strongest: ``barcode``, ``product_key``, ``name`` with a store, ``name`` without one (everywhere). A name rule holds where its words
+    stand in the name as whole words, in any case. Of several rules of one kind the longest value wins, then the smallest. Words and codes
+    become keys of one equi-join, so rules may be many; names give one key for each run of words up to the longest rule's.
+    """
+
+    def words(text: str) -> Column:
+        return F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"([\p{L}\p{M}\p{N}_]+)"), F.lit(1))
+
+    known = rules.select("kind", "value", F.nullif("store", F.lit("")).alias("store"), "division").where("trim(value) <> '' AND division IS NOT NULL")
+    text = F.array_join(words("value"), " ")
+    rank = F.when(F.col("kind") == "barcode", 0).when(F.col("kind") == "product_key", 1).when(F.col("store").isNotNull(), 2).otherwise(3)
+    key = F.when(rank < 2, F.concat_ws("|", rank.cast("string"), F.trim("value"))).when(rank == 2, F.concat(F.lit("2|"), "store", F.lit("|"), text)).otherwise(F.concat(F.lit("3|"), text))
+    keyed = known.where("kind IN ('barcode', 'product_key', 'name')").select(key.alias("__key"), rank.alias("__rank"), (-F.length("value")).alias("__long"), "value", "division", "kind")
+    keyed = keyed.groupBy("__key").agg(F.min(F.struct("__rank", "__long", "value", "division", "kind")).alias("__rule"))
+    longest = max(1, known.where("kind = 'name'").agg(F.max(F.size(words("value")))).first()[0] or 1)
+    w = words("name")
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))))
+    named = F.concat(F.transform(runs, lambda r: F.concat(F.lit("2|"), "store", F.lit("|"), r)), F.transform(runs, lambda r: F.concat(F.lit("3|"), r)))
+    keys = F.array_distinct(F.array_compact(F.concat(F.array(F.concat(F.lit("0|"), F.trim("barcode")), F.concat(F.lit("1|"), F.trim("product_key"))), named)))
+    best = items.select("item", F.explode(keys).alias("__key")).join(keyed, "__key").groupBy("item").agg(F.min("__rule").alias("__rule"))
+    return items.join(best, "item", "left").select(*items.columns, F.col("__rule.division").alias("override_division"), F.col("__rule.kind").alias("override_kind"))
+
+
+def guarded(division: Column | str, store: Column | str, only: dict[str, Sequence[str]], never: dict[str, Sequence[str]]) -> Column:
+    """A model's division, or null where a store cannot have it: divisions of ``only`` belong to these stores alone, those of ``never`` to none of these."""
+    d, s = col(division), F.coalesce(col(store), F.lit(""))
+    barred = [(d == k) & ~s.isin(*stores) for k, stores in only.items()] + [(d == k) & s.isin(*stores) for k, stores in never.items()]
+    return F.when(~F.coalesce(any_of(*barred), F.lit(False)), d) if barred else d
+
+
+def store_rule_chain(name: str, store: str, rules: Sequence[tuple[str, str | None, Sequence[str], str]]) -> Column:
+    """Text rules in order (pattern, pattern that forbids, stores left out, label): the first that holds; else null."""
+    out = F.lit(None).cast("string")
+    for pattern, forbidden, without, label in reversed(rules):
+        hit = F.col(name).rlike(f"(?i){pattern}")
+        hit = hit & ~F.col(name).rlike(f"(?i){forbidden}") if forbidden else hit
+        hit = hit & ~F.coalesce(F.col(store), F.lit("")).isin(*without) if without else hit
+        out = F.when(hit, F.lit(label)).otherwise(out)
+    return out
+
+
+def classified(clean: DataFrame, classes: DataFrame, keys: Sequence[str] = ("item", "store")) -> DataFrame:
+    """Clean rows with their class (``division, code, method``); rows without one keep nulls. Repeated classes count once, the smallest code first."""
+    one = classes.groupBy(*keys).agg(F.min(F.struct("code", "division", "method")).alias("__c"))
+    return clean.join(one, list(keys), "left").select(*clean.columns, *[F.col(f"__c.{c}").alias(c) for c in ("division", "code", "method")])

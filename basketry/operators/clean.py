@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions import text
@@ -69,7 +69,7 @@ def canonical(raw: DataFrame, riel_stores: Sequence[str] = (), riel_above: float
 
 def category_path(parts: Column) -> Column:
     """An array of category names as ``A > B``, blanks left out."""
-    return F.array_join(F.filter(F.transform(parts, F.trim), lambda x: x != ""), " > ")
+    return F.array_join(F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != ""), " > ")
 
 
 def violations(records: DataFrame) -> DataFrame:
@@ -114,3 +114,27 @@ def merged_batches(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]
     both = existing.withColumn("__no", F.lit(0)).unionByName(incoming.withColumn("__no", F.lit(1)))
     payloads = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("__no", "payloads"))), lambda x: x["payloads"]))
     return both.groupBy(*keys).agg(F.max("record_count").alias("record_count"), payloads.alias("payloads"))
+
+
+def since(rows: DataFrame, date: str, day: str | None = None, back: int = 7) -> DataFrame:
+    """Rows of one day, or of the last ``back`` days up to the latest date. The latest date is one value from the files' statistics, and the filter reaches the scan."""
+    if day is not None:
+        return rows.where(F.col(date) == F.lit(day).cast("date"))
+    last = rows.agg(F.date_sub(F.max(F.col(date).cast("date")), back)).first()[0]
+    return rows.where(F.col(date) >= F.lit(last)) if last else rows.limit(0)
+
+
+def history(rows: DataFrame, keys: Sequence[str], order: str, tracked: Sequence[str]) -> DataFrame:
+    """Versions of keys: ``keys, tracked, valid_from, valid_to, is_current``; a row whose tracked columns equal the version before it starts no version. Of rows at one time the largest counts."""
+    last = rows.groupBy(*keys, order).agg(F.max(F.struct(*tracked)).alias("__now"))
+    along = Window.partitionBy(*keys).orderBy(order)
+    before = F.lag(F.struct("__now")).over(along)  # wrapped, so that a first row differs from a row of nulls
+    starts = last.withColumn("__was", before).where(F.col("__was").isNull() | ~F.col("__was.__now").eqNullSafe(F.col("__now")))
+    ends = F.lead(order).over(along)
+    return starts.select(*keys, *[F.col(f"__now.{c}").alias(c) for c in tracked], F.col(order).alias("valid_from"), ends.alias("valid_to"), ends.isNull().alias("is_current"))
+
+
+def official_or_own(official: DataFrame, own: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Official rows, and own ones for keys that have no official row; ``origin`` says which."""
+    rest = own.join(official.select(*keys).distinct(), list(keys), "left_anti")
+    return official.withColumn("origin", F.lit("official")).unionByName(rest.withColumn("origin", F.lit("own")))

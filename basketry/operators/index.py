@@ -199,3 +199,9 @@ def store_balance(obs: DataFrame, keys: Sequence[str] = ("class",), dominant: fl
     top = counts.groupBy(*keys).agg(F.sum("n").alias("observations"), F.count("*").alias("stores"), F.min_by(F.struct("store", "n"), F.struct(-F.col("n"), F.col("store"))).alias("top"))
     share = F.round(100.0 * F.col("top.n") / F.col("observations"), 2)
     return top.select(*keys, "observations", "stores", F.col("top.store").alias("top_store"), share.alias("top_share"), (share > dominant).alias("dominated"))
+
+
+def with_hedonic(prices: DataFrame, adjusted: DataFrame, keys: Sequence[str] = ("item", "store", "day")) -> DataFrame:
+    """Prices with the quality-adjusted one in place of the own where there is one (``keys, adjusted``); of several the smallest."""
+    one = adjusted.groupBy(*keys).agg(F.min("adjusted").alias("__adjusted"))
+    return prices.join(one, list(keys), "left").withColumn("price", F.coalesce("__adjusted", "price")).drop("__adjusted")

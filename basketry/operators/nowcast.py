@@ -159,3 +159,24 @@ def calibrated(panel: DataFrame, features: Sequence[str], train: int = 24) -> Da
 
 def bounded(c: Column | str) -> Column:
     return clip(c, -DRIFT_BOUND, DRIFT_BOUND)
+
+
+def structural_prior(rows: DataFrame, fx: float = 0.15, transport: float = 0.048, shock: float = 0.0012) -> DataFrame:
+    """Adds ``prior``: a daily drift by division from ``division, day, momentum_7, momentum_14, fx_7, fx_14, in_holiday``.
+
+    Food, drinks, energy, transport and restaurants (01, 02, 04, 07, 11) have their own rules; food and transport of the day pass through to others. Nulls count as 0.
+    """
+    zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    day = rows.groupBy("day").agg(*[F.max(F.when(F.col("division") == d, F.col("momentum_7"))).alias(f"__{d}") for d in ("01", "07")])
+    own7, own14, fx7, fx14, food, freight = (zero(c) for c in ("momentum_7", "momentum_14", "fx_7", "fx_14", "__01", "__07"))
+    feast = F.when(zero("in_holiday") > 0, shock).otherwise(0.0)
+    d = F.col("division")
+    prior = (F.when(d == "01", own7 / 7 + transport * freight / 7 + feast * 0.5 + fx * fx7 / 7).when(d == "02", own7 / 7 + 0.20 * fx7 / 7 + feast * 0.25)
+             .when(d == "04", own14 / 14 * 0.5 + 0.10 * fx14 / 14).when(d == "07", own7 / 7 + 0.35 * fx7 / 7 + feast * 0.5)
+             .when(d == "11", own7 / 7 + 0.30 * food / 7 + 0.05 * freight / 7 + feast * 0.25).otherwise(own7 / 14 * 0.3))
+    return rows.join(day, "day", "left").withColumn("prior", prior).drop("__01", "__07")
+
+
+def spread(pairs: DataFrame, forecast: str = "forecast", actual: str = "actual") -> DataFrame:
+    """The sample standard deviation of forecast errors and their number, for ``headline_nowcast``'s ``sigma``; null for fewer than two."""
+    return pairs.agg(F.stddev_samp(F.col(forecast) - F.col(actual)).alias("sigma"), F.count(F.col(forecast) - F.col(actual)).alias("months"))

@@ -74,3 +74,35 @@ def missing(expected: DataFrame, present: DataFrame, key: str) -> DataFrame:
 
 def weights_off(weights: DataFrame, total: float = 100.0, tolerance: float = 0.01) -> DataFrame:
     return weights.agg(F.sum("weight").alias("total")).where(F.abs(F.col("total") - total) > tolerance)
+
+
+def checked(rows: DataFrame, rules: dict[str, Column], unique: Sequence[str] = ()) -> DataFrame:
+    """``rule, failures`` for all rules in one pass: a row fails a condition that is false or null. With ``unique``, also the number of keys that stand more than once."""
+    counts = rows.agg(*[F.count_if(~F.coalesce(c, F.lit(False))).alias(name) for name, c in rules.items()])
+    pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.col(name).alias("failures")) for name in rules]))
+    out = counts.select(pairs.alias("r")).select("r.*")
+    return out.unionByName(repeated(rows, unique).agg(F.count("*").alias("failures")).select(F.lit("unique").alias("rule"), "failures")) if unique else out
+
+
+def empty_sources(expected: DataFrame, daily: DataFrame, by: str = "store") -> DataFrame:
+    """Expected sources with what they sent (``by, day, records`` of ``daily`` on any day): EMPTY without records on the last day of all, with the last day they had some (``repair_from``), else PASSED."""
+    last = daily.agg(F.max("day")).first()[0]
+    own = daily.where("records > 0").groupBy(by).agg(F.max("day").alias("repair_from"))
+    out = expected.select(by).distinct().join(own, by, "left")
+    passed = F.coalesce(F.col("repair_from") == F.lit(last).cast("date"), F.lit(False))
+    return out.select(by, "repair_from", F.when(passed, "PASSED").otherwise("EMPTY").alias("status"))
+
+
+def sizes_lost(rows: DataFrame, raw: str = "name_raw", clean: str = "name_clean") -> DataFrame:
+    """Rows whose raw name has an amount with a unit but whose clean name has no unit."""
+    units = "(ml|g|kg|oz|lb|l|gram|grams|kilo|kilos|liter|liters|litre|litres|mls|gm)"
+    return rows.where(F.col(raw).rlike(rf"(?i)[0-9]+\s*{units}\b") & ~F.coalesce(F.col(clean), F.lit("")).rlike(rf"(?i){units}\b"))
+
+
+def tariff_faults(tariffs: DataFrame, today: str, sources: Sequence[str]) -> DataFrame:
+    """``source, fault`` of ``source, rate, representative, effective_from``: rates not above 0, missing or future dates, flags other than TRUE and FALSE, and sources without exactly one representative tariff."""
+    bad = F.coalesce(F.col("rate") <= 0, F.lit(True)) | F.coalesce(F.col("effective_from") > F.lit(today).cast("date"), F.lit(True)) | ~F.coalesce(F.col("representative").isin("TRUE", "FALSE"), F.lit(False))
+    rows = tariffs.where(bad).select("source", F.lit("row").alias("fault"))
+    counts = tariffs.agg(*[F.count_if((F.col("source") == s) & (F.col("representative") == "TRUE")).alias(s) for s in sources])
+    each = counts.select(F.explode(F.array(*[F.struct(F.lit(s).alias("source"), F.col(s).alias("n")) for s in sources])).alias("c")).select("c.*")
+    return rows.unionByName(each.where("n <> 1").select("source", F.lit("representative count").alias("fault")))
