@@ -23,12 +23,6 @@ def q_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Without the facts of each seventh store, so that some stores have none; ``dim_stores_all`` has all facts."""
-    stores = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("store"), F.col("s_name").alias("store_name"), F.col("s_nationkey").alias("channel"))
-    return views.dim_stores(stores, observations(spark, sf_dir).where("store % 7 <> 0").select("store", "item", "day"))
-
-
-def q_stores_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     stores = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("store"), F.col("s_name").alias("store_name"), F.col("s_nationkey").alias("channel"))
     return views.dim_stores(stores, observations(spark, sf_dir).select("store", "item", "day"))
 
@@ -145,9 +139,9 @@ QUERIES = {
     "fct_daily_prices": (q_facts, f"WITH {OBS}, {FACTS} SELECT day, store, item, round(price, 7) AS price, observations, any_promo, all_promo, discount, class FROM facts"),
     "dim_items": (q_items, f"""WITH {OBS} SELECT item, min(day) AS first_day, max(day) AS last_day, count(*) AS observations, count(DISTINCT store) AS stores, bool_or(on_promo) AS ever_promoted, any_value(name) AS name, any_value(class) AS class,
         CASE WHEN DATE '2001-06-01' - max(day) > 90 THEN 'dormant' WHEN min(day) = max(day) THEN 'new' ELSE 'active' END AS status FROM obs GROUP BY item"""),
-    "dim_stores": (q_stores, f"""WITH {OBS}, a AS (SELECT store, count(*) AS facts, count(DISTINCT item) AS items, min(day) AS first_day, max(day) AS last_day FROM obs WHERE store % 7 <> 0 GROUP BY store)
+    "dim_stores": (q_stores, f"""WITH {OBS}, a AS (SELECT store, count(*) AS facts, count(DISTINCT item) AS items, min(day) AS first_day, max(day) AS last_day FROM obs GROUP BY store)
         SELECT s_suppkey AS store, s_name AS store_name, s_nationkey AS channel, coalesce(facts, 0) AS facts, coalesce(items, 0) AS items, first_day, last_day FROM supplier LEFT JOIN a ON store = s_suppkey"""),
-    "dim_stores_all": (q_stores_all, f"""WITH {OBS}, a AS (SELECT store, count(*) AS facts, count(DISTINCT item) AS items, min(day) AS first_day, max(day) AS last_day FROM obs GROUP BY store)
+    "dim_stores_all": (q_stores, f"""WITH {OBS}, a AS (SELECT store, count(*) AS facts, count(DISTINCT item) AS items, min(day) AS first_day, max(day) AS last_day FROM obs GROUP BY store)
         SELECT s_suppkey AS store, s_name AS store_name, s_nationkey AS channel, coalesce(facts, 0) AS facts, coalesce(items, 0) AS items, first_day, last_day FROM supplier LEFT JOIN a ON store = s_suppkey"""),
     "v_coverage": (q_coverage, f"""WITH {OBS}, i AS (SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN '99' WHEN p_size % 7 <> 0 THEN p_type END AS d, CASE WHEN p_size > 25 THEN p_partkey END AS barcode FROM part)
         SELECT month, store, count(*) AS observations, count(DISTINCT item) AS items, count(*) FILTER (d IS NULL OR d = '99') AS unclassified, round(count(*) FILTER (d <> '99') * 100.0 / count(*), 2) AS classified_pct,
