@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from basketry.llm import bloom
 from basketry.llm.components import components
-from basketry.llm.store import kept
+from basketry.llm.store import dropped, kept
 from basketry.llm.words import LOWER, U, Words, bounded_batches, chunks, mixed, signed, windows
 
-SHINGLE, HOT, MOST_HOT, BLOCK = 5, 6, 1 << 21, 4096
+SHINGLE, HOT, MOST_HOT, BLOCK, PART = 5, 6, 1 << 21, 4096, 1 << 22
 TOP = U(1 << 63)
 NONE = np.zeros(0, U)
 
@@ -99,26 +99,37 @@ def _prefixes(batches: Iterator[pa.RecordBatch], size: int, wanted: Broadcast, c
         yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (signed(token), np.repeat(ids, lengths), np.repeat(np.array(sizes, np.int64), lengths))], ["token", "doc_id", "n"])
 
 
-def _with_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of blocks that have another one there of a size that can bring the similarity.
-
-    A document of size n that meets others under c shingles can only be similar to sets of 3/4 n to 3/4 n + 7/3 c, or the other
-    way round: what is left of the longer set behind its prefix cannot make up for more. Rows come sorted by block and size;
-    a task holds four numbers for each of its rows.
-    """
-    got = list(batches)
-    if not got:
-        return
-    first, doc, n, c = (np.concatenate([b.column(i).to_numpy() for b in got]) for i in range(4))
+def _partners(first: np.ndarray, n: np.ndarray, c: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
+    """The shapes of whole blocks, sorted by block and size, whose members can be similar to another member."""
     block = np.cumsum(np.r_[True, first[1:] != first[:-1]]).astype(np.int64) << 32
-    keys, reach = block | n, 7 * c / 3 + 3
+    keys, reach, upto = block | n, 7 * c / 3 + 3, np.r_[0, np.cumsum(m)]
 
     def among(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        return np.searchsorted(keys, block + np.floor(high).astype(np.int64), "right") - np.searchsorted(keys, block + np.ceil(low).astype(np.int64), "left")
+        return upto[np.searchsorted(keys, block + np.floor(high).astype(np.int64), "right")] - upto[np.searchsorted(keys, block + np.ceil(low).astype(np.int64), "left")]
 
     top, bottom = np.minimum(n, 0.75 * n + reach), np.maximum(n, (n - reach) / 0.75)
     others = among(0.75 * n, top) - (top >= n) + among(bottom, n / 0.75) - (bottom <= n)
-    yield pa.RecordBatch.from_arrays([pa.array(first[others > 0]), pa.array(doc[others > 0])], ["first", "doc_id"])
+    return pa.RecordBatch.from_arrays([pa.array(x[others > 0]) for x in (first, n, c)], ["first", "n", "c"])
+
+
+def _with_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shapes (size n, c shared shingles, m members) of blocks with another member there of a size that can bring the similarity.
+
+    A document of size n that meets others under c shingles can only be similar to sets of 3/4 n to 3/4 n + 7/3 c, or the other
+    way round: what is left of the longer set behind its prefix cannot make up for more. Rows come sorted by block and size;
+    a task holds the shapes of one block and a batch, which the lengths of documents bound, however many there are.
+    """
+    rest = None
+    for batch in batches:
+        got = [x.to_numpy() for x in batch.columns]
+        if rest:
+            got = [np.concatenate(x) for x in zip(rest, got, strict=True)]
+        if len(got[0]):
+            whole = np.searchsorted(got[0], got[0][-1])  # the last block may go on in the next batch
+            yield _partners(*(x[:whole] for x in got))
+            rest = [x[whole:] for x in got]
+    if rest:
+        yield _partners(*rest)
 
 
 def _texts(batches: Iterator[pa.RecordBatch], wanted: Broadcast) -> Iterator[pa.RecordBatch]:
@@ -246,14 +257,32 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _dealt(members: DataFrame) -> DataFrame:
-    """``first, part, side, doc_id`` from ``first, doc_id``. Blocks of more than ``BLOCK`` members are dealt into lots, and a part is one lot or, with a side each, two; so every pair is in one part."""
-    sizes = members.groupBy("first").agg(F.count("*").alias("n")).where("n > 1")
-    lots = F.when(F.col("n") > BLOCK, F.ceil(2 * F.col("n") / BLOCK)).otherwise(1).cast("int")
-    rows = members.join(sizes.select("first", lots.alias("lots")), "first").withColumn("lot", F.pmod(F.xxhash64("doc_id"), F.col("lots")).cast("int"))
+    """``first, part, side, doc_id`` from ``first, doc_id, n``. Blocks of more than ``BLOCK`` members or ``PART`` shingles are dealt into lots, and a part is one lot or, with a side each, two; so every pair is in one part."""
+    sizes = members.groupBy("first").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    lots = F.ceil(2 * F.greatest(F.col("members") / BLOCK, F.col("shingles") / PART))
+    large = kept(sizes.where(f"members > 1 AND (members > {BLOCK} OR shingles > {PART})").select("first", F.least(lots, "members").cast("int").alias("lots")), "large-blocks")
+    rows = members.join(large, "first", "left").withColumn("lots", F.coalesce("lots", F.lit(1)))
+    rows = rows.withColumn("lot", F.pmod(F.xxhash64("doc_id"), F.col("lots")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
     return rows.select("first", (F.least("lot", "other") * F.col("lots") + F.greatest("lot", "other")).alias("part"), (F.col("lot") > F.col("other")).alias("side"), "doc_id")
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """``first, doc_id, n`` from ``token, doc_id, n`` of prefixes: the members of blocks. What is known of a shingle or a shape is written before the rows are joined with it, so that Spark can split the rows of a common one."""
+    rows = kept(rows, "prefixes")
+    ends = kept(rows.groupBy("token").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("token", "first"), "first-documents")
+    sized = rows.join(ends, "token").groupBy("first", "doc_id", "n").agg(F.count("*").alias("c"))
+    sized = kept(sized.withColumn("c", F.sum("c").over(Window.partitionBy("doc_id", "n"))), "sized")
+    dropped(rows)
+    dropped(ends)
+    shapes = sized.groupBy("first", "n", "c").agg(F.count("*").alias("m")).repartition("first").sortWithinPartitions("first", "n")
+    shapes = kept(shapes.mapInArrow(_with_partners, "first long, n long, c long"), "shapes")
+    members = kept(sized.join(shapes, ["first", "n", "c"]).groupBy("first", "doc_id").agg(F.sum("n").alias("n")), "members")
+    dropped(sized)
+    dropped(shapes)
+    return members
+
+
 def jaccard_join(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row for each row of ``docs`` (``doc_id``, ``text``).
 
@@ -279,12 +308,8 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     counts = own.mapInArrow(partial(_prefix_counts, size=size, wanted=wanted, common=common), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     again = kept(counts.where("n > 1").select("token"), "repeated-shingles")
     again = spark.sparkContext.broadcast(bloom.build(again, bloom.blocks_for(again.count(), most=bloom.MOST_BLOCKS * 4)))
-    token = Window.partitionBy("token")
     rows = own.mapInArrow(partial(_prefixes, size=size, wanted=wanted, common=common, again=again), "token long, doc_id long, n long")
-    rows = rows.withColumns({"first": F.min("doc_id").over(token), "last": F.max("doc_id").over(token)}).where("first < last")
-    sized = rows.groupBy("first", "doc_id", "n").agg(F.count("*").alias("c")).withColumn("c", F.sum("c").over(Window.partitionBy("doc_id", "n")))
-    sized = sized.repartition("first").sortWithinPartitions("first", "n").select("first", "doc_id", "n", "c")
-    members = kept(sized.mapInArrow(_with_partners, "first long, doc_id long").distinct(), "members")
+    members = _blocks(rows)
     ids = members.select("doc_id").distinct()
     needed = spark.sparkContext.broadcast(bloom.build(ids, bloom.blocks_for(ids.count())))
     texts = _dealt(members).join(own.mapInArrow(partial(_texts, wanted=needed), own.schema), "doc_id").repartition("first", "part").sortWithinPartitions("first", "part")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from basketry.llm import bloom, chat_format, context_tree, fertility, license_scan, toxicity, words
 from basketry.llm.components import components
 from basketry.llm.decontaminate import contamination, decontaminate
-from basketry.llm.jaccard_join import jaccard_join
+from basketry.llm.jaccard_join import _with_partners, jaccard_join
 from basketry.llm.mixing import mix, mixed, settle, targets
 from basketry.llm.substring_dedup import cut_repeats, levels, substring_dedup
 from basketry.llm.url_filter import filter_urls
@@ -125,6 +125,34 @@ def test_jaccard_join(docs, none):
     assert jaccard_join(none).count() == 0
 
 
+def test_jaccard_join_in_lots(docs, monkeypatch):
+    """Blocks dealt into lots, by members and by shingles, lose no link."""
+    want = sorted(map(str, jaccard_join(docs).collect()))
+    for name in ("BLOCK", "PART"):
+        with monkeypatch.context() as m:
+            m.setattr(f"basketry.llm.jaccard_join.{name}", 3)
+            assert sorted(map(str, jaccard_join(docs).collect())) == want
+
+
+def test_shapes_with_partners():
+    """A shape stays if a member of it has another member within its bounds, however the rows are cut into batches."""
+    rng = random.Random(5)
+    rows = sorted({(rng.randint(1, 6), rng.randint(1, 60), rng.randint(1, 9)): rng.randint(1, 2) for _ in range(90)}.items())
+    rows = [(*key, m) for key, m in rows]
+    want = set()
+    for f, n, c, m in rows:
+        reach = 7 * c / 3 + 3
+        near = lambda x: 0.75 * n <= x <= min(n, 0.75 * n + reach) or max(n, (n - reach) / 0.75) <= x <= n / 0.75  # noqa: B023, E731
+        others = [x for g, x, d, k in rows if g == f for _ in range(k - ((x, d) == (n, c)))]  # noqa: B023
+        if any(map(near, others)):
+            want.add((f, n, c))
+    for size in (1, 4, 1000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows[i : i + size], strict=True)], ["first", "n", "c", "m"]) for i in range(0, len(rows), size)]
+        got = [tuple(r.values()) for b in _with_partners(iter(batches)) for r in b.to_pylist()]
+        assert len(got) == len(set(got)) and set(got) == want and len(want) < len(rows)
+    assert not list(_with_partners(iter([])))
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(1, 30)] + [(50, 40), (40, 41), (7, 7), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
