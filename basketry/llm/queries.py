@@ -11,10 +11,13 @@ from basketry.llm.chat_format import digests, format_chats
 from basketry.llm.context_tree import lm_scores
 from basketry.llm.decontaminate import contamination
 from basketry.llm.fertility import fertility
+from basketry.llm.filter_audit import filter_audit
 from basketry.llm.jaccard_join import jaccard_join
 from basketry.llm.license_scan import RULES, SENTENCES, scan
 from basketry.llm.mixing import mix
+from basketry.llm.sharding import sharded
 from basketry.llm.substring_dedup import substring_dedup
+from basketry.llm.token_alignment import alignments, link_counts
 from basketry.llm.toxicity import toxicity
 from basketry.llm.url_filter import filter_urls
 
@@ -81,6 +84,21 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(_table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignments(_table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return link_counts(found.withColumn("groups_sha256", digest).drop("groups"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharded(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op4_decontaminate": op4_decontaminate,
@@ -92,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_tokeniser_fertility": op9_tokeniser_fertility,
     "op7_toxicity": op7_toxicity,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_sharding": op13_sharding,
 }
 
 ORACLE: dict[str, str] = {
@@ -161,6 +182,49 @@ ORACLE: dict[str, str] = {
         SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN regexp_matches(host,
                  '(^|@|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.example\.(com|net|org)\.*(:[0-9]*)?$') THEN 'block' ELSE 'allow' END) AS verdict FROM m
     """,
+    "op11_filter_audit": r"""
+        WITH w AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        firsts AS (SELECT text, min(doc_id) AS least FROM w GROUP BY text),
+        said AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+        f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                [len(words) < 100, 100 * len(list_distinct(words)) < 80 * len(words), 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 10 * length(text),
+                 regexp_matches(text, '[#$%&*|]'), coalesce(w.doc_id > least, false)] AS fails
+              FROM w LEFT JOIN firsts USING (text) LEFT JOIN said ON said.doc_id = w.doc_id),
+        n(i) AS (SELECT unnest(range(1, 6))),
+        orders AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM n a, n b, n c, n d, n e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+        s AS (SELECT o, k.i AS step, o[k.i] AS x, o[1:k.i - 1] AS before FROM orders, n k),
+        c AS (SELECT part, fails, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+        j AS (SELECT part, o, step, x, n, good, toxic, fails[x] AS hit, len([y FOR y IN before IF fails[y]]) = 0 AS here,
+                len([y FOR y IN fails IF y]) = 1 AS single FROM c, s),
+        g AS (SELECT part, o, step, x, sum(CASE WHEN here AND NOT hit THEN n ELSE 0 END) AS kept, sum(CASE WHEN here AND hit THEN n ELSE 0 END) AS removed,
+                sum(CASE WHEN hit AND NOT here THEN n ELSE 0 END) AS redundant, sum(CASE WHEN hit AND single THEN n ELSE 0 END) AS unique_fails,
+                sum(CASE WHEN here AND hit THEN n * good ELSE 0 END) AS good_lost, sum(CASE WHEN here AND hit THEN n * toxic ELSE 0 END) AS toxic_lost
+              FROM j GROUP BY ALL)
+        SELECT part, array_to_string(['ABCDE'[y] FOR y IN o], '') AS filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+               CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+               CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM g
+    """,
+    "op13_sharding": r"""
+        WITH RECURSIVE bits(i, k, c) AS (SELECT i, 0, i FROM range(256) t(i) UNION ALL
+                SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+        crcs AS (SELECT list(c ORDER BY i) AS crc FROM bits WHERE k = 8),
+        d AS (SELECT doc_id, coalesce(text, '') AS text, [CAST('0x' || x AS BIGINT) FOR x IN regexp_extract_all(hex(encode(coalesce(text, ''))), '..')] AS b FROM documents),
+        s AS (SELECT doc_id, md5(text) AS h, CAST(len(b) + 8 AS BIGINT) AS size,
+                CAST(xor(list_reduce(b, lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS BIGINT) AS text_crc32 FROM d, crcs),
+        n AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32, h) - 1 AS number FROM s),
+        total AS (SELECT count(*) AS n, greatest(CAST(floor(sqrt(count(*))) AS BIGINT), 1) AS low FROM documents),
+        grid AS (SELECT n, a, (n + a - 1) // a AS b FROM total, (SELECT unnest(range(low, low + 2000)) AS a FROM total) ORDER BY a * ((n + a - 1) // a) - n, a LIMIT 1),
+        walk(number, place, r, down, across, landed) AS (
+            SELECT number, CAST(NULL AS BIGINT), 0, number // grid.b, number % grid.b, false FROM n, grid
+            UNION ALL
+            SELECT number, there, r2, CASE WHEN r2 = 0 THEN there // grid.b ELSE down2 END, CASE WHEN r2 = 0 THEN there % grid.b ELSE across2 END, r2 = 0 AND there < grid.n
+            FROM (SELECT number, (r + 1) % 6 AS r2, down2, across2, CASE WHEN r = 5 THEN down2 * b + across2 END AS there FROM (
+                    SELECT number, r, b, CASE WHEN r % 2 = 0 THEN (down + CAST('0x' || substr(md5('0:' || r || ':' || across), 1, 15) AS BIGINT)) % a ELSE down END AS down2,
+                           CASE WHEN r % 2 = 1 THEN (across + CAST('0x' || substr(md5('0:' || r || ':' || down), 1, 15) AS BIGINT)) % b ELSE across END AS across2
+                    FROM walk, grid WHERE NOT landed)), grid)
+        SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place % 24 AS INTEGER) AS shard, CAST(place // 24 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+        FROM n JOIN walk USING (number) WHERE landed
+    """,
     "op3_license_scan": rf"""
         WITH k(s, id) AS (VALUES {_known}),
         c AS (SELECT row_number() OVER () AS r, doc_id, string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
