@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.operators import hedonic, match, nowcast
+from basketry.operators import hedonic, match, nowcast, vectors
 from basketry.plans.index_queries import CHAIN, OBS, divisions, q_headline
 from basketry.plans.view_queries import OFFICIAL, _official
 from basketry.sources.storage import catalog_of, offloadable
@@ -16,14 +16,14 @@ from basketry.streaming.windows import daily_counts
 
 def q_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    found = match.nearest_vectors(rows.where("id % 50 = 0"), rows, 30)
+    found = vectors.nearest_vectors(rows.where("id % 50 = 0"), rows, 30)
     return found.select("query", "neighbour", F.round("similarity", 6).alias("similarity"), "rank")
 
 
 def q_near_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest of each fiftieth vector with a decision, a sample; ``merge_pairs`` goes over all."""
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    found = match.nearest_vectors(rows.where("id % 50 = 0"), rows, 5)
+    found = vectors.nearest_vectors(rows.where("id % 50 = 0"), rows, 5)
     return found.select("query", "neighbour", match.decide("similarity", 0.9, 0.7).alias("decision"))
 
 
@@ -33,6 +33,30 @@ def q_merge_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.similar_pairs(rows).select("id", "other", F.round("similarity", 6).alias("similarity"), "decision")
 
 
+def q_nearest_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an inverted file finds of ``nearest_vectors``."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return vectors.nearest_indexed(rows.where("id % 50 = 0"), rows, 30).select("query", "neighbour", F.round("similarity", 6).alias("similarity"), "rank")
+
+
+def _groups(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return vectors.similar_groups(rows, match.MERGE)
+
+
+def q_merge_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``merge_pairs`` between groups of equal vectors, by an inverted file."""
+    decision = F.when(F.col("similarity") > match.SUGGEST, "merge").otherwise("review")
+    return _groups(spark, sf_dir)[1].select("a", "b", F.round("similarity", 6).alias("similarity"), decision.alias("decision"))
+
+
+def q_merge_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of equal vectors of every vector, and how many pairs with other groups it has."""
+    members, pairs = _groups(spark, sf_dir)
+    links = pairs.select(F.explode(F.array("a", "b")).alias("group")).groupBy("group").agg(F.count("*").alias("links"))
+    return members.join(links, "group", "left").select("id", "group", F.coalesce("links", F.lit(0)).alias("links"))
+
+
 def q_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     items = part.select(F.col("p_partkey").alias("item"), F.concat(F.lit(" "), "p_name").alias("name"), F.when(F.col("p_size") % 3 != 0, F.col("p_size").cast("string")).alias("size"),
@@ -160,6 +184,9 @@ NORMAL = """s AS (SELECT count(*) AS n, sum(l_quantity) AS a, sum(l_discount) AS
   sum(ln(l_extendedprice)) AS y, sum(l_quantity * ln(l_extendedprice)) AS ay, sum(l_discount * ln(l_extendedprice)) AS byy FROM lineitem WHERE l_extendedprice > 0),
   c AS (SELECT *, aa - a * a / n AS saa, ab - a * b / n AS sab, bb - b * b / n AS sbb, ay - a * y / n AS say, byy - b * y / n AS sby FROM s),
   beta AS (SELECT (say * sbb - sby * sab) / (saa * sbb - sab * sab) AS qa, (sby * saa - say * sab) / (saa * sbb - sab * sab) AS qb, n, a, b, y FROM c)"""
+GROUPS = """WITH g AS (SELECT CAST(embedding AS DOUBLE[]) AS v, min(vec_id) AS id FROM embeddings GROUP BY 1),
+        p AS (SELECT x.id AS a, y.id AS b, list_cosine_similarity(x.v, y.v) AS s FROM g x JOIN g y ON x.id < y.id WHERE list_cosine_similarity(x.v, y.v) >= 0.95)"""
+
 
 QUERIES = {
     "nearest_vectors": (q_nearest, """WITH p AS (SELECT q.vec_id AS query, r.vec_id AS neighbour, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(r.embedding AS DOUBLE[])) AS s FROM embeddings q JOIN embeddings r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0),
@@ -168,6 +195,10 @@ QUERIES = {
         SELECT query, neighbour, CASE WHEN s >= 0.9 THEN 'match' WHEN s >= 0.7 THEN 'review' ELSE 'new' END AS decision FROM p QUALIFY row_number() OVER (PARTITION BY query ORDER BY s DESC, neighbour) <= 5"""),
     "merge_pairs": (q_merge_pairs, """WITH p AS (SELECT a.vec_id AS id, b.vec_id AS other, list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id)
         SELECT id, other, round(s, 6) AS similarity, CASE WHEN s > 0.98 THEN 'merge' ELSE 'review' END AS decision FROM p WHERE s >= 0.95"""),
+    "nearest_indexed": (q_nearest_indexed, None),
+    "merge_groups": (q_merge_groups, f"""{GROUPS} SELECT a, b, round(s, 6) AS similarity, CASE WHEN s > 0.98 THEN 'merge' ELSE 'review' END AS decision FROM p"""),
+    "merge_members": (q_merge_members, f"""{GROUPS}, l AS (SELECT a AS g, b AS h FROM p UNION ALL SELECT b, a FROM p)
+        SELECT vec_id AS id, g.id AS "group", (SELECT count(*) FROM l WHERE l.g = g.id) AS links FROM embeddings JOIN g ON v = CAST(embedding AS DOUBLE[])"""),
     "merge_duplicates": (q_duplicates, """WITH i AS (SELECT p_partkey AS item, upper(trim(p_name)) AS nm, CASE WHEN p_size % 3 <> 0 THEN CAST(p_size AS VARCHAR) END AS size, p_partkey % 4 = 0 AS coded, p_retailprice AS created FROM part),
         z AS (SELECT nm, count(DISTINCT size) AS k, max(size) AS only_size FROM i GROUP BY nm), j AS (SELECT i.*, coalesce(size, CASE WHEN k = 1 THEN only_size END, '') AS sz FROM i JOIN z USING (nm))
         SELECT item, first_value(item) OVER (PARTITION BY nm, sz ORDER BY CASE WHEN coded THEN 0 ELSE 1 END, created, item) AS master, count(*) OVER (PARTITION BY nm, sz) AS members FROM j"""),

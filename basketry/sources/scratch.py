@@ -21,13 +21,30 @@ def folder(spark: SparkSession) -> str:
     return own
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df``, written as Parquet and read again: computed once, and not lost with executors. Removed when the driver ends."""
-    spark = df.sparkSession
+def place(spark: SparkSession, name: str) -> str:
+    """A folder's path that nothing else uses, in the shared folder. Removed when the driver ends."""
     path = f"{folder(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, written as Parquet and read again: computed once, its lineage ends there, and lost executors cost no recomputation. Removed when the driver ends, or by ``dropped``."""
+    spark, path = df.sparkSession, place(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[id(out)] = (out, path)
+    return out
+
+
+#: Tables that are still there, by the frame that reads them.
+_PATHS: dict[int, tuple[DataFrame, str]] = {}
+
+
+def dropped(table: DataFrame) -> None:
+    """Removes a table that ``written`` gave, once nothing will read it any more."""
+    if found := _PATHS.pop(id(table), None):
+        _remove(table.sparkSession, found[1])
 
 
 def _remove(spark: SparkSession, path: str) -> None:

@@ -1 +1 @@
-"""Structured Streaming. The batch pipeline re-reads the last days on every run; a watermark of as many days says the same for a stream. (An extension: the index itself is compiled in batches.)"""
+"""Structured Streaming over landing folders (an extension: the batch operators don't need it)."""

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from basketry.functions import text
-from basketry.operators import match
+from basketry.operators import match, vectors
 
 
 def one(spark, make, *values):
@@ -49,9 +49,9 @@ def test_scores():
 
 def test_nearest(spark):
     rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 1.0]), (4, None)], "id long, vector array<double>")
-    got = [(r.query, r.neighbour, r["rank"]) for r in match.nearest_vectors(rows.where("id = 1"), rows, 2).collect()]
+    got = [(r.query, r.neighbour, r["rank"]) for r in vectors.nearest_vectors(rows.where("id = 1"), rows, 2).collect()]
     assert sorted(got) == [(1, 2, 1), (1, 3, 2)]
-    assert match.nearest_vectors(rows.where("id > 9"), rows, 2).count() == 0
+    assert vectors.nearest_vectors(rows.where("id > 9"), rows, 2).count() == 0
 
 
 def test_queries_are_registered_with_sql():
