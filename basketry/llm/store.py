@@ -2,50 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
+from basketry.sources.scratch import dropped
+from basketry.sources.scratch import written as kept
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one of our own only where none is set and all tasks run in this machine's JVM (tests)."""
-    if folder := spark.conf.get("spark.checkpoint.dir", None):
-        return folder
-    if not (kept := spark.sparkContext.getCheckpointDir()):
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='basketry-')}")
-        kept = spark.sparkContext.getCheckpointDir()
-    return kept
-
-
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table as Parquet into the shared folder and reads it again: its lineage ends there, and lost executors cost no recomputation. Removed when the driver ends, or by ``dropped``."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
-    out = spark.read.schema(df.schema).parquet(path)
-    _PATHS[id(out)] = (out, path)
-    return out
-
-
-#: Tables that are still there, by the frame that reads them.
-_PATHS: dict[int, tuple[DataFrame, str]] = {}
-
-
-def dropped(table: DataFrame) -> None:
-    """Removes a table that ``kept`` gave, once nothing will read it any more."""
-    if found := _PATHS.pop(id(table), None):
-        _remove(table.sparkSession, found[1])
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # noqa: BLE001  the session may be gone; the folder is scratch space
-        return
+__all__ = ["dropped", "kept"]
