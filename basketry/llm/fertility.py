@@ -2,8 +2,9 @@
 
 Public vocabularies, read where they are installed, measure each text: characters per token, the share of tokens that fall
 back to single bytes, and the entropy of its tokens. Two bands say which values are those of running text: a wide fixed one
-per script, and a narrower one per language (per script where the language is unknown), whose ends lie some quartile
-distances beyond the quartiles of all documents of that language. Distinct words of a few megabytes are tokenised once and
+per script, and a narrower one per language in its script, whose ends lie some quartile distances beyond the quartiles of
+all documents of that language. Quartiles of few documents are drawn towards those of their script, and these towards those
+of all documents, by the same weights in tables of any size. Distinct words of a few megabytes are tokenised once and
 their counts gathered for all places where they stand, so the metrics are sums over words; both vocabularies split at white
 space anyway.
 """
@@ -17,7 +18,7 @@ from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.store import kept
@@ -25,7 +26,7 @@ from basketry.llm.words import PLAIN, U, Words, bounded_batches, chunks, mixed,
 
 FOLDER, PIECES, RANKS = "/opt/tokenizers", "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
 CHUNK = 4 << 20
-SPREAD, LEAST_DOCUMENTS, DIGITS = 4.0, 200, 3  # quartile distances beyond the quartiles; documents that make a language's band; digits of its quartiles
+SPREAD, WEIGHT, DIGITS = 4.0, 20, 3  # quartile distances beyond the quartiles; documents that the wider group counts as; digits of the metrics
 #: Metrics with the ends of their bands that count, and the least distance of an end from its quartile.
 ENDS = {"chars_per_token": (True, True, 0.1), "chars_per_byte_level_token": (True, True, 0.1), "byte_share": (False, True, 0.02), "entropy": (True, False, 0.02)}
 
@@ -184,42 +185,54 @@ SCHEMA = ("doc_id long, lang string, n_words long, word_chars long, n_symbols lo
           "script string, chars_per_token double, chars_per_byte_level_token double, byte_share double, entropy double")
 
 
-def language_bands(measured: DataFrame, spread: float = SPREAD, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
-    """``group`` with ``<metric>_low`` and ``<metric>_high`` from all documents that pass the base rules; groups of fewer than ``least_documents`` have none.
+def language_bands(measured: DataFrame, spread: float = SPREAD, weight: float = WEIGHT) -> DataFrame:
+    """``lang, script`` with ``<metric>_low`` and ``<metric>_high`` from all documents that pass the base rules; a null language is a language too.
 
-    Metrics are rounded first, so their counts are small tables and the quartiles exact and alike in every run.
+    The quartiles of a language's ``n`` documents count ``n`` and those of its script ``weight``; those of the script are
+    drawn towards the quartiles of all documents alike. Metrics are rounded first, so their counts are small tables and the
+    quartiles exact and the same in every run.
     """
-    long = measured.where("NOT base_failed").select("group", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.round(m, DIGITS).alias("value")) for m in ENDS])).alias("x"))
-    counted = long.groupBy("group", "x.metric", "x.value").agg(F.count("*").alias("n"))
-    quartiles = counted.groupBy("group", "metric").agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.75)), F.col("n")).alias("q"), F.sum("n").alias("n")).where(F.col("n") >= least_documents)
+    metrics = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.round(m, DIGITS).alias("value")) for m in ENDS]))
+    counted = measured.where("NOT base_failed").select("lang", "script", metrics.alias("x")).groupBy("lang", "script", "x.metric", "x.value").agg(F.count("*").alias("n"))
+    counted = kept(counted, "metric-counts")
+
+    def quartiles(keys: list[str], name: str) -> DataFrame:
+        found = counted.groupBy(*keys, "metric").agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.75)), F.col("n")).alias("q"), F.sum("n").alias("n"))
+        return found.select(*keys, "metric", F.col("q")[0].alias(f"{name}_1"), F.col("q")[1].alias(f"{name}_3"), F.col("n").alias(f"{name}_n"))
+
+    def drawn(own: str, wider: str) -> list[Column]:
+        return [((F.col(f"{own}_{i}") * F.col(f"{own}_n") + F.col(f"{wider}_{i}") * F.lit(weight)) / (F.col(f"{own}_n") + F.lit(weight))).alias(f"{own}_{i}") for i in (1, 3)]
+
+    scripts = quartiles(["script"], "wide").join(quartiles([], "all"), "metric").select("script", "metric", *drawn("wide", "all"))
+    bands = quartiles(["lang", "script"], "own").join(scripts, ["script", "metric"]).select("lang", "script", "metric", *drawn("own", "wide"))
     ends = []
     for metric, (has_low, has_high, least) in ENDS.items():
-        q = F.max(F.when(F.col("metric") == metric, F.col("q")))
-        reach = F.greatest(spread * (q[1] - q[0]), F.lit(least))
-        ends += [(q[0] - reach if has_low else F.lit(-np.inf)).alias(f"{metric}_low"), (q[1] + reach if has_high else F.lit(np.inf)).alias(f"{metric}_high")]
-    return quartiles.groupBy("group").agg(*ends)
+        low, high = (F.max(F.when(F.col("metric") == metric, F.col(f"own_{i}"))) for i in (1, 3))
+        reach = F.greatest(spread * (high - low), F.lit(least))
+        ends += [(low - reach if has_low else F.lit(-np.inf)).alias(f"{metric}_low"), (high + reach if has_high else F.lit(np.inf)).alias(f"{metric}_high")]
+    return bands.groupBy("lang", "script").agg(*ends)
 
 
-def fertility(docs: DataFrame, folder: str = FOLDER, bands: Mapping[str, Band] = BANDS, spread: float = SPREAD, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
+def fertility(docs: DataFrame, folder: str = FOLDER, bands: Mapping[str, Band] = BANDS, spread: float = SPREAD, weight: float = WEIGHT) -> DataFrame:
     """One row for each row of ``docs`` (``doc_id``, ``text``, and ``lang`` if there is one): counts, metrics and the verdict ``kept``.
 
     Words are runs of characters without ASCII white space. ``word_chars``: code points in words; ``n_symbols``: the
     characters ``#*$%&|<>``; ``n_dup_lines``: lines with a word that equal an earlier line; ``n_repeat_words``: words in
     three-word windows that the text holds twice or more; ``base_failed``: fewer than 50 words, or more than half of them
     such; ``kept``: not failed, all metrics inside the fixed band of the script that most letters have (ties: the first of
-    ``SCRIPTS``), and inside the band of its language. A null language counts by its script; a language with fewer than
-    ``least_documents`` documents that pass the base rules has no band of its own. Null and empty texts have no words and
-    fail. Null ids and repeated rows stay; other columns are not read. ``folder`` holds the vocabularies on every machine.
+    ``SCRIPTS``), and inside the band of its language in that script (see ``language_bands``), whether the table is small or
+    large. Null and empty texts have no words and fail. Null ids and repeated rows stay; other columns are not read. ``folder`` holds the vocabularies on every machine.
     """
     bounded_batches(docs.sparkSession)
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), lang.alias("lang"))
     measured = own.mapInArrow(partial(_measure, folder=folder, bands=dict(bands)), SCHEMA)
-    measured = kept(measured.withColumn("group", F.coalesce("lang", F.concat(F.lit("script "), "script"))), "fertility")
+    measured = kept(measured, "fertility")
     # Languages are few: the table is small once written, and Spark broadcasts it by its size.
-    limits = kept(language_bands(measured, spread, least_documents), "language-bands")
+    limits = kept(language_bands(measured, spread, weight).withColumnsRenamed({"lang": "__lang", "script": "__script"}), "language-bands")
     inside = F.lit(True)
     for metric in ENDS:
         inside &= F.coalesce(F.col(metric).between(F.col(f"{metric}_low"), F.col(f"{metric}_high")), F.lit(True))
-    judged = measured.join(limits, "group", "left").withColumn("kept", ~F.col("base_failed") & F.col("in_fixed_band") & inside)
+    same = F.col("lang").eqNullSafe(F.col("__lang")) & (F.col("script") == F.col("__script"))
+    judged = measured.join(limits, same, "left").withColumn("kept", ~F.col("base_failed") & F.col("in_fixed_band") & inside)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lang", "script", *ENDS)

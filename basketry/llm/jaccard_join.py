@@ -323,6 +323,34 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return sets.join(of_doc, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def one_of_each_group(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` (``doc_id``, ``text`` and more) without near copies: of each group that links join, the row with the smallest id stays, and of several texts with that id the one whose MD5 sum is smallest.
+
+    Texts count by themselves, also where they share an id: a text goes only if another one of its group stays. Of rows with
+    the same id and text one stays. Rows with a null id are linked with nothing and all stay; texts without words too.
+    """
+    md5 = F.coalesce(F.md5(F.col("text").cast("string")), F.lit(""))
+    own = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__md5": md5})
+    texts = own.where("__id IS NOT NULL").groupBy("__id").agg(F.min("__md5").alias("low"), F.max("__md5").alias("high"), F.count("*").alias("n"))
+    shared = kept(texts.where("n > 1"), "shared-ids")
+    # Texts that share an id get numbers beyond all ids; most documents have an id of their own and keep it.
+    several = own.join(shared.where("low < high").select("__id"), "__id").select("__id", "__md5").distinct()
+    beyond = max(0, docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0] or 0)
+    numbers = kept(several.withColumn("__number", F.monotonically_increasing_id() + (beyond + 1)), "numbers-of-texts")
+    same = (F.col("__id") == F.col("__of")) & (F.col("__md5") == F.col("__text"))
+    named = own.join(numbers.select(F.col("__id").alias("__of"), F.col("__md5").alias("__text"), "__number"), same, "left").withColumn("__node", F.coalesce("__number", "__id")).drop("__of", "__text", "__number")
+
+    joined = jaccard_join(named.select(F.col("__node").alias("doc_id"), "text"), size).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("__node"), "component_id").distinct()
+    joined = kept(joined, "groups-of-texts")
+    first = joined.join(numbers.withColumnRenamed("__number", "__node"), "__node", "left").select("__node", "component_id", F.coalesce("__id", "__node").alias("__id"), F.coalesce("__md5", F.lit("")).alias("__md5"))
+    stays = first.groupBy("component_id").agg(F.min(F.struct("__id", "__md5", "__node")).alias("s"))
+    gone = first.join(stays, "component_id").where(F.col("__node") != F.col("s.__node")).select("__node")
+    left = named.join(gone, "__node", "left_anti")
+    # Only rows of ids that stand in several rows are compared with each other.
+    once = left.join(shared.select("__id"), "__id", "left_semi").dropDuplicates(["__id", "__md5"])
+    return left.join(shared.select("__id"), "__id", "left_anti").unionByName(once).select(*docs.columns)
+
+
 def _common(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The shingles in ``HOT`` prefixes or more (the ``MOST_HOT`` commonest, should there be more: the order only saves work), sorted, and their ranks from the rarest."""
     got = counts.where(f"n >= {HOT}").orderBy(F.desc("n"), "token").limit(MOST_HOT).toArrow()
