@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.decontaminate import decontaminate
-from basketry.llm.jaccard_join import jaccard_join
+from basketry.llm.jaccard_join import one_of_each_group
 from basketry.llm.mixing import mixed
 from basketry.llm.store import kept
 from basketry.llm.substring_dedup import cut_repeats
@@ -21,14 +21,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays. Of rows with the same id and text one stays; documents with a null id stay."""
-    others = jaccard_join(docs).where("component_id < doc_id").select("doc_id").distinct()
-    left = docs.join(others, "doc_id", "left_anti").select(docs.columns)
-    key = [F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__text")]
-    twice = kept(docs.where("doc_id IS NOT NULL").groupBy(*key).agg(F.count("*").alias("n")).where("n > 1"), "repeated-rows")
-    same = (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__text"))
-    once = left.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(twice, same, "left_anti").union(once)
+    """Of each group of near copies one document stays, the one with the smallest id; texts that share an id count by themselves. Of rows with the same id and text one stays; documents with a null id stay."""
+    return one_of_each_group(docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
