@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import partial
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,3 +84,94 @@ def adjusted_by_month(rows: DataFrame, coefficients: dict[str, float], features:
     factor = F.exp(clip(at_base - predicted_log(coefficients), -bound, bound))
     found = rows.join(F.broadcast(bases), "month").withColumns({"factor": factor, "adjusted": F.round(F.col(price) * factor, 2)})
     return found.drop(*[f"base_{f}" for f in features])
+
+
+# -- a fit for every day, from the days before it
+
+WINDOW_DAYS, CORE = 90, 2
+
+
+def _products(features: Sequence[str], price: str) -> dict[str, Column]:
+    """Products of each two of 1, the features and the log price: what the normal equations are sums of."""
+    value = [F.lit(1.0), *[F.col(f).cast("double") for f in features], F.ln(price)]
+    return {f"x{i}_{j}": a * b for i, a in enumerate(value) for j, b in enumerate(value) if i <= j}
+
+
+def solved(sums: np.ndarray, core: int = CORE, least: int = LEAST_ROWS) -> tuple[np.ndarray, float] | None:
+    """Constant and coefficients (0 for features that are left out) and R² from the matrix of summed products of (1, features, log price).
+
+    Features that don't vary are left out. If the others depend on each other, only the first ``core`` features are tried; None if these do
+    too, if nothing varies or with fewer than ``least`` rows.
+    """
+    n = sums[0, 0]
+    if n < least:
+        return None
+    means = sums[0] / n
+    spread = sums / n - np.outer(means, means)
+    varies = [i for i in range(1, len(sums) - 1) if spread[i, i] > 1e-12 * max(1.0, sums[i, i] / n)]
+    for keep in (varies, [i for i in varies if i <= core]):
+        if not keep:
+            return None
+        scale = np.sqrt(np.diag(spread)[keep])
+        related = spread[np.ix_(keep, keep)] / np.outer(scale, scale)
+        if np.linalg.eigvalsh(related)[0] > 1e-9:
+            own = np.linalg.solve(related, spread[keep, -1] / scale) / scale
+            beta = np.zeros(len(sums) - 1)
+            beta[keep] = own
+            beta[0] = means[-1] - own @ means[keep]
+            total = spread[-1, -1]
+            return beta, float(own @ spread[keep, -1] / total) if total > 0 else 0.0
+    return None
+
+
+def _solved_days(frames: Iterator[pd.DataFrame], size: int, core: int, least: int) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        out = []
+        for row in frame.itertuples(index=False):
+            sums = np.zeros((size, size))
+            for i in range(size):
+                for j in range(i, size):
+                    sums[i, j] = sums[j, i] = getattr(row, f"x{i}_{j}")
+            found = solved(sums, core, least)
+            out.append((row.day, int(sums[0, 0]), found and list(found[0]), found and found[1]))
+        yield pd.DataFrame(out, columns=["day", "n", "beta", "r2"])
+
+
+def rolling_fits(rows: DataFrame, features: Sequence[str], price: str = "price", days: int = WINDOW_DAYS, core: int = CORE, least: int = LEAST_ROWS) -> DataFrame:
+    """``day, n, beta, r2`` for every day of ``rows`` (``day``, price and features): the log-linear fit over that day and the ``days`` before it.
+
+    ``beta`` has the constant and a coefficient for each feature, 0 for one that is left out; it is null where ``solved`` finds no fit. Products
+    are summed by day once, a range window adds days up, and one small system is solved a day. Rows without a positive price
+    or with a null feature don't count.
+    """
+    usable = rows.where((F.col(price) > 0) & F.col("day").isNotNull()).dropna(subset=list(features))
+    products = _products(features, price)
+    daily = usable.groupBy("day").agg(*[F.sum(x).alias(name) for name, x in products.items()])
+    behind = Window.orderBy(F.datediff("day", F.lit("1970-01-01").cast("date"))).rangeBetween(-days, 0)  # one row a day
+    summed = daily.select("day", *[F.sum(name).over(behind).alias(name) for name in products])
+    return summed.mapInPandas(partial(_solved_days, size=len(features) + 2, core=core, least=least), "day date, n long, beta array<double>, r2 double")
+
+
+def rolling_baselines(rows: DataFrame, features: Sequence[str], days: int = WINDOW_DAYS) -> DataFrame:
+    """``day, base``: by day the means of the features over rows of earlier months among the last ``days``; without such rows the medians of the month so far, else 0."""
+    value = lambda f: F.col(f).cast("double")
+    daily = rows.where("day IS NOT NULL").groupBy("day").agg(*[x for i, f in enumerate(features) for x in (F.sum(value(f)).alias(f"s{i}"), F.count(f).alias(f"n{i}"))], F.first(F.trunc("day", "month")).alias("month"))
+    behind = Window.orderBy(F.datediff("day", F.lit("1970-01-01").cast("date"))).rangeBetween(-days, 0)
+    so_far = Window.partitionBy("month").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = lambda c: F.sum(c).over(behind) - F.sum(c).over(so_far)
+    means = daily.select("day", "month", *[(earlier(f"s{i}") / F.nullif(earlier(f"n{i}"), F.lit(0))).alias(f"b{i}") for i in range(len(features))])
+    # Only the first month of a run of months has no mean; its days see at most 31 days of rows.
+    without = means.where(" OR ".join(f"b{i} IS NULL" for i in range(len(features)))).select(F.col("day").alias("at"), "month")
+    own = rows.withColumn("month", F.trunc("day", "month")).join(without, "month").where("day <= at")
+    medians = own.groupBy("at").agg(*[F.median(value(f)).alias(f"m{i}") for i, f in enumerate(features)])
+    joined = means.join(medians, means["day"] == medians["at"], "left")
+    return joined.select("day", F.array(*[F.coalesce(f"b{i}", f"m{i}", F.lit(0.0)) for i in range(len(features))]).alias("base"))
+
+
+def rolling_adjusted(rows: DataFrame, features: Sequence[str], price: str = "price", days: int = WINDOW_DAYS, core: int = CORE, least: int = LEAST_ROWS, bound: float = 3.0) -> DataFrame:
+    """``rows`` with ``factor`` and ``adjusted``: each price at its day's baseline by its day's fit, the log difference within ``bound``. Days without a fit, and rows with a null feature, keep their prices (factor 1)."""
+    fits = rolling_fits(rows, features, price, days, core, least).select("day", "beta").join(rolling_baselines(rows, features, days), "day")  # one row a day
+    own = F.array(*[F.col(f).cast("double") for f in features])
+    gap = F.aggregate(F.zip_with(F.slice("beta", 2, len(features)), F.zip_with("base", own, lambda b, x: b - x), lambda k, d: k * d), F.lit(0.0), lambda t, x: t + x)
+    out = rows.join(fits, "day", "left").withColumn("factor", F.coalesce(F.exp(clip(gap, -bound, bound)), F.lit(1.0)))
+    return out.withColumn("adjusted", F.round(F.col(price) * F.col("factor"), 2)).drop("beta", "base")

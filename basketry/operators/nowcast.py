@@ -180,3 +180,98 @@ def structural_prior(rows: DataFrame, fx: float = 0.15, transport: float = 0.048
 def spread(pairs: DataFrame, forecast: str = "forecast", actual: str = "actual") -> DataFrame:
     """The sample standard deviation of forecast errors and their number, for ``headline_nowcast``'s ``sigma``; null for fewer than two."""
     return pairs.agg(F.stddev_samp(F.col(forecast) - F.col(actual)).alias("sigma"), F.count(F.col(forecast) - F.col(actual)).alias("months"))
+
+
+# -- back-test of the model at every month and horizon
+
+HORIZONS = (5, 10, 15, 20, 25, 30)
+
+
+def _sums(features: Sequence[str], target: Column, keep: Column) -> list[Column]:
+    """Sums of the products of each two of 1, the features and the target."""
+    value = [F.lit(1.0), *[F.col(f).cast("double") for f in features], target]
+    return [F.coalesce(F.sum(F.when(keep, a * b)), F.lit(0.0)).alias(f"g{i}_{j}") for i, a in enumerate(value) for j, b in enumerate(value) if i <= j]
+
+
+def ridge_from_sums(sums: np.ndarray, alphas: Sequence[float]) -> tuple[np.ndarray, float]:
+    """Coefficients and an unpenalised constant from summed products of (1, features, target); the penalty with the least generalised cross-validation error, which needs no rows."""
+    n, means = sums[0, 0], sums[0] / sums[0, 0]
+    centred = sums[1:, 1:] - n * np.outer(means[1:], means[1:])
+    xx, xy, yy = centred[:-1, :-1], centred[:-1, -1], centred[-1, -1]
+    best = None
+    for alpha in alphas:
+        inverse = np.linalg.inv(xx + alpha * np.eye(len(xx)))
+        beta = inverse @ xy
+        error = n * max(yy - 2 * beta @ xy + beta @ xx @ beta, 0.0) / max(n - 1 - np.trace(inverse @ xx), 1e-9) ** 2
+        if best is None or error < best[0]:
+            best = (error, beta)
+    return best[1], float(means[-1] - means[1:-1] @ best[1])
+
+
+def _predicted(frames: Iterator[pd.DataFrame], features: int, alphas: Sequence[float]) -> Iterator[pd.DataFrame]:
+    size = features + 2
+    for frame in frames:
+        drift = []
+        for row in frame.itertuples(index=False):
+            sums = np.zeros((size, size))
+            for i in range(size):
+                for j in range(i, size):
+                    sums[i, j] = sums[j, i] = getattr(row, f"g{i}_{j}")
+            n, own = sums[0, 0], row.prior
+            if n >= LEAST_TRAIN:
+                beta, constant = ridge_from_sums(sums, alphas)
+                weight = min(1.0, max(0.0, 1 - (n - LEAST_TRAIN) / (FULL_TRAIN - LEAST_TRAIN)))
+                own = weight * row.prior + (1 - weight) * float(constant + np.nan_to_num(np.array(row.now, float)) @ beta)
+            drift.append(float(np.clip(own, -DRIFT_BOUND, DRIFT_BOUND)))
+        yield pd.DataFrame({"division": frame["division"], "month": frame["month"], "horizon": frame["horizon"], "day": frame["day"], "latest": frame["latest"], "month_mean": frame["month_mean"], "days_seen": frame["days_seen"], "rows": frame["g0_0"].astype("int64"), "drift": drift})
+
+
+def expanding_drifts(daily: DataFrame, features: Sequence[str], horizons: Sequence[int] = HORIZONS, alphas: Sequence[float] = (0.1, 1.0, 10.0)) -> DataFrame:
+    """``division, month, horizon, day, latest, month_mean, days_seen, rows, drift``: the drift that a model trained on the evening of day ``horizon`` of each month predicts, from ``daily`` (``division, day, index, prior`` and features).
+
+    It is trained on all days before with two or more days left in their month: of earlier months with the mean of all days left, of the month
+    itself with the mean of the days left until then. Sums of products by month are added up over months, and those of
+    the running month to them, so no row is read again for a later month. Nothing after the day is used.
+    """
+    along = Window.partitionBy("division", "month").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("division", "month")
+    known = F.lit(True)
+    for f in features:
+        known &= F.col(f).isNotNull()
+    rows = daily.where("index > 0").withColumns({"month": F.trunc("day", "month"), "left": F.day(F.last_day("day")) - F.day("day")})
+    rows = rows.withColumns({"sum": F.sum("index").over(along), "count": F.count("index").over(along), "all_sum": F.sum("index").over(whole), "all_count": F.count("index").over(whole)})
+
+    def target(total: str, number: str) -> tuple[Column, Column]:
+        n = F.col(number) - F.col("count")
+        mean = (F.col(total) - F.col("sum")) / F.nullif(n, F.lit(0))
+        return F.ln(mean / F.col("index")) / ((F.col("left") + 1) / 2.0), (F.col("left") >= 2) & (n > 0) & known
+
+    sums = [f"g{i}_{j}" for i in range(len(features) + 2) for j in range(i, len(features) + 2)]
+    monthly = rows.groupBy("division", "month").agg(*_sums(features, *target("all_sum", "all_count")))
+    before = Window.partitionBy("division").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = monthly.select("division", "month", *[F.coalesce(F.sum(g).over(before), F.lit(0.0)).alias(f"e{g}") for g in sums])
+
+    cut = rows.withColumn("horizon", F.explode(F.array(*map(F.lit, horizons)))).where((F.day("day") <= F.col("horizon")) & (F.col("horizon") <= F.day(F.last_day("month"))))
+    last = F.struct("day", F.col("index").alias("latest"), F.col("sum").alias("seen_sum"), F.col("count").alias("seen"), "prior", F.array(*[F.col(f).cast("double") for f in features]).alias("now"))
+    seen = cut.groupBy("division", "month", "horizon").agg(F.max_by(last, "day").alias("l")).select("division", "month", "horizon", "l.*")
+    own = rows.select("division", "month", F.col("day").alias("at"), "index", "left", "sum", "count", *features).join(seen.select("division", "month", "horizon", "day", "seen_sum", "seen"), ["division", "month"]).where("at < day")
+    partial_sums = own.groupBy("division", "month", "horizon").agg(*_sums(features, *target("seen_sum", "seen")))
+    joined = seen.join(earlier, ["division", "month"]).join(partial_sums, ["division", "month", "horizon"], "left")
+    joined = joined.select("division", "month", "horizon", "day", "latest", (F.col("seen_sum") / F.col("seen")).alias("month_mean"), F.col("seen").alias("days_seen"), F.coalesce("prior", F.lit(0.0)).alias("prior"), "now",
+                           *[(F.col(f"e{g}") + F.coalesce(g, F.lit(0.0))).alias(g) for g in sums])
+    return joined.mapInPandas(partial(_predicted, features=len(features), alphas=tuple(alphas)), "division string, month date, horizon int, day date, latest double, month_mean double, days_seen long, rows long, drift double")
+
+
+def model_backtest(daily: DataFrame, features: Sequence[str], horizons: Sequence[int] = HORIZONS, alphas: Sequence[float] = (0.1, 1.0, 10.0), least_days: int = 10) -> DataFrame:
+    """``horizon, rmse, mae, hits, cases`` of the model's projections of division means for all months with ``least_days`` days or more, trained without look-ahead at each horizon (``expanding_drifts``).
+
+    ``hits`` is the share of projections whose change against the last month's mean has the sign of the actual change, or is under 0.05 % as that is; null where no month was before.
+    """
+    found = projected(expanding_drifts(daily, features, horizons, alphas))
+    actual = daily.where("index > 0").groupBy("division", F.trunc("day", "month").alias("month")).agg(F.avg("index").alias("actual"), F.count("*").alias("n"))
+    before = Window.partitionBy("division").orderBy("month")
+    actual = actual.withColumns({"last": F.lag("actual").over(before), "last_month": F.lag("month").over(before)}).where(F.col("n") >= least_days)
+    moved = lambda c: F.when(F.col("last_month") == F.add_months("month", -1), (F.col(c) / F.col("last") - 1) * 100)
+    both = found.join(actual, ["division", "month"]).withColumns({"error": F.col("projection") - F.col("actual"), "change": moved("projection"), "truth": moved("actual")})
+    hit = (F.col("change") * F.col("truth") >= 0) | ((F.abs("change") < 0.05) & (F.abs("truth") < 0.05))
+    return both.groupBy("horizon").agg(F.sqrt(F.avg(F.col("error") ** 2)).alias("rmse"), F.avg(F.abs("error")).alias("mae"), F.avg(hit.cast("double")).alias("hits"), F.count("*").alias("cases"))

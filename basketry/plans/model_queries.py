@@ -99,6 +99,27 @@ def q_hedonic_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hedonic.adjusted_by_month(rows, hedonic.fit(rows, FEATURES), FEATURES).select("l_orderkey", "month", "price", "adjusted")
 
 
+def _hedonic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *FEATURES, F.col("l_extendedprice").alias("price"), F.col("l_shipdate").cast("date").alias("day"))
+
+
+def q_rolling_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hedonic.rolling_fits(_hedonic_rows(spark, sf_dir), FEATURES).where("beta IS NOT NULL")
+    return found.select("day", "n", *[(F.round(F.col("beta")[i], 6) + 0.0).alias(name) for i, name in enumerate(["constant", *FEATURES])], F.round("r2", 6).alias("r2"))
+
+
+def q_rolling_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hedonic.rolling_adjusted(_hedonic_rows(spark, sf_dir), FEATURES)
+    return found.select("l_orderkey", "l_linenumber", "day", (F.round("factor", 6)).alias("factor"))
+
+
+def q_model_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs = observations(spark, sf_dir).groupBy("division", "day").agg(F.avg("price").alias("index"))
+    daily = nowcast.momentum(obs, ["division"], "index", [7], "momentum").withColumn("prior", F.lit(0.0002))
+    found = nowcast.model_backtest(daily, ["momentum_7"], alphas=[1.0])
+    return found.select("horizon", *[F.round(c, 4).alias(c) for c in ("rmse", "mae", "hits")], "cases")
+
+
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").where("value > 0")
     return e.groupBy(F.col("event_type").alias("division"), F.col("ts").cast("date").alias("day")).agg(F.avg("value").alias("index"))
@@ -187,6 +208,13 @@ NORMAL = """s AS (SELECT count(*) AS n, sum(l_quantity) AS a, sum(l_discount) AS
 GROUPS = """WITH g AS (SELECT CAST(embedding AS DOUBLE[]) AS v, min(vec_id) AS id FROM embeddings GROUP BY 1),
         p AS (SELECT x.id AS a, y.id AS b, list_cosine_similarity(x.v, y.v) AS s FROM g x JOIN g y ON x.id < y.id WHERE list_cosine_similarity(x.v, y.v) >= 0.95)"""
 
+ROLLING = """h0 AS (SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS day, CAST(l_quantity AS DOUBLE) AS x1, CAST(l_discount AS DOUBLE) AS x2, ln(l_extendedprice) AS y FROM lineitem WHERE l_extendedprice > 0),
+        h1 AS (SELECT day, count(*) AS n, sum(x1) AS x1, sum(x2) AS x2, sum(y) AS y, sum(x1 * x1) AS x11, sum(x1 * x2) AS x12, sum(x2 * x2) AS x22, sum(x1 * y) AS x1y, sum(x2 * y) AS x2y, sum(y * y) AS yy FROM h0 GROUP BY day),
+        h2 AS (SELECT day, sum(n) OVER w AS n, sum(x1) OVER w AS x1, sum(x2) OVER w AS x2, sum(y) OVER w AS y, sum(x11) OVER w AS x11, sum(x12) OVER w AS x12, sum(x22) OVER w AS x22, sum(x1y) OVER w AS x1y, sum(x2y) OVER w AS x2y, sum(yy) OVER w AS yy
+               FROM h1 WINDOW w AS (ORDER BY day RANGE BETWEEN INTERVAL 90 DAYS PRECEDING AND CURRENT ROW)),
+        h3 AS (SELECT day, n, x1 / n AS x1, x2 / n AS x2, y / n AS y, x11 / n - (x1 / n) ** 2 AS s11, x12 / n - x1 / n * x2 / n AS s12, x22 / n - (x2 / n) ** 2 AS s22, x1y / n - x1 / n * y / n AS s1y, x2y / n - x2 / n * y / n AS s2y, yy / n - (y / n) ** 2 AS syy FROM h2 WHERE n >= 20),
+        beta AS (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM h3)"""
+
 
 QUERIES = {
     "nearest_vectors": (q_nearest, """WITH p AS (SELECT q.vec_id AS query, r.vec_id AS neighbour, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(r.embedding AS DOUBLE[])) AS s FROM embeddings q JOIN embeddings r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0),
@@ -215,6 +243,33 @@ QUERIES = {
     "hedonic_fit": (q_hedonic_fit, f"""WITH {NORMAL} SELECT 'l_quantity' AS feature, round(qa, 6) + 0.0 AS coefficient FROM beta UNION ALL SELECT 'l_discount', round(qb, 6) + 0.0 FROM beta
         UNION ALL SELECT '(constant)', round((y - qa * a - qb * b) / n, 6) FROM beta"""),
     "hedonic_prices": (q_hedonic_prices, None),
+    "rolling_hedonics": (q_rolling_fits, f"""WITH {ROLLING} SELECT day, CAST(n AS BIGINT) AS n, round(y - b1 * x1 - b2 * x2, 6) + 0.0 AS constant, round(b1, 6) + 0.0 AS l_quantity, round(b2, 6) + 0.0 AS l_discount,
+        round((b1 * s1y + b2 * s2y) / syy, 6) AS r2 FROM beta"""),
+    "rolling_hedonic_prices": (q_rolling_prices, f"""WITH {ROLLING},
+        o AS (SELECT DISTINCT day, date_trunc('month', day) AS month FROM h0),
+        early AS (SELECT o.day, avg(x1) AS e1, avg(x2) AS e2 FROM o JOIN h0 ON h0.day >= o.day - 90 AND h0.day < o.month GROUP BY o.day),
+        own AS (SELECT o.day, median(x1) AS m1, median(x2) AS m2 FROM o JOIN h0 ON h0.day >= o.month AND h0.day <= o.day GROUP BY o.day),
+        base AS (SELECT own.day, coalesce(e1, m1) AS b1, coalesce(e2, m2) AS b2 FROM own LEFT JOIN early USING (day))
+        SELECT l_orderkey, l_linenumber, h0.day, round(coalesce(exp(least(greatest(beta.b1 * (base.b1 - h0.x1) + beta.b2 * (base.b2 - h0.x2), -3), 3)), 1.0), 6) AS factor
+        FROM h0 JOIN base USING (day) LEFT JOIN beta USING (day)"""),
+    "model_backtest": (q_model_backtest, f"""WITH {OBS}, d0 AS (SELECT division, day, month, avg(price) AS index FROM obs GROUP BY ALL),
+        d1 AS (SELECT *, ln(index / coalesce(lag(index, 6) OVER w, first_value(index) OVER w)) AS x, day(last_day(day)) - day(day) AS rest FROM d0 WINDOW w AS (PARTITION BY division ORDER BY day)),
+        d AS (SELECT *, sum(index) OVER a AS s, count(*) OVER a AS c, sum(index) OVER (PARTITION BY division, month) AS ms, count(*) OVER (PARTITION BY division, month) AS mc
+              FROM d1 WINDOW a AS (PARTITION BY division, month ORDER BY day ROWS UNBOUNDED PRECEDING)),
+        seen AS (SELECT division, month, h, max(day) AS day, arg_max(index, day) AS latest, arg_max(s, day) AS ss, arg_max(c, day) AS sc, arg_max(x, day) AS x
+                 FROM d, (VALUES (5), (10), (15), (20), (25), (30)) t(h) WHERE day(day) <= h AND h <= day(last_day(month)) GROUP BY division, month, h),
+        full_t AS (SELECT division, month, x, ln((ms - s) / (mc - c) / index) / ((rest + 1) / 2.0) AS y FROM d WHERE rest >= 2 AND mc > c),
+        tr AS (SELECT q.division, q.month, q.h, f.x, f.y FROM seen q JOIN full_t f ON f.division = q.division AND f.month < q.month UNION ALL
+               SELECT q.division, q.month, q.h, d.x, ln((ss - s) / (sc - c) / index) / ((rest + 1) / 2.0) FROM seen q JOIN d ON d.division = q.division AND d.month = q.month AND d.day < q.day WHERE rest >= 2 AND sc > c),
+        g AS (SELECT division, month, h, count(*) AS n, avg(x) AS mx, avg(y) AS my, sum(x * y) - count(*) * avg(x) * avg(y) AS xy, sum(x * x) - count(*) * avg(x) * avg(x) AS xx FROM tr GROUP BY ALL),
+        p AS (SELECT q.*, coalesce(n, 0) AS n, my + (q.x - mx) * xy / (xx + 1.0) AS own, least(1.0, greatest(0.0, 1 - (n - 8) / 22.0)) AS w FROM seen q LEFT JOIN g USING (division, month, h)),
+        k AS (SELECT *, least(greatest(CASE WHEN n >= 8 THEN w * 0.0002 + (1 - w) * own ELSE 0.0002 END, -0.015), 0.015) AS drift, day(last_day(day)) - day(day) AS lft, day(day) / day(last_day(day)) AS share FROM p),
+        f AS (SELECT *, CASE WHEN lft > 0 THEN share * ss / sc + (1 - share) * latest * CASE WHEN abs(drift) < 1e-12 THEN 1.0 ELSE exp(drift) * (pow(exp(drift), lft) - 1) / (exp(drift) - 1) / lft END ELSE ss / sc END AS projection FROM k),
+        a0 AS (SELECT division, month, avg(index) AS actual, count(*) AS n FROM d GROUP BY ALL),
+        a AS (SELECT *, lag(actual) OVER (PARTITION BY division ORDER BY month) AS last, lag(month) OVER (PARTITION BY division ORDER BY month) AS lm FROM a0),
+        e AS (SELECT f.h, projection - actual AS error, CASE WHEN lm = f.month - INTERVAL 1 MONTH THEN (projection / last - 1) * 100 END AS ch, CASE WHEN lm = f.month - INTERVAL 1 MONTH THEN (actual / last - 1) * 100 END AS tr
+              FROM f JOIN a ON a.division = f.division AND a.month = f.month WHERE a.n >= 10)
+        SELECT h AS horizon, round(sqrt(avg(error ** 2)), 4) AS rmse, round(avg(abs(error)), 4) AS mae, round(avg(CAST(ch * tr >= 0 OR (abs(ch) < 0.05 AND abs(tr) < 0.05) AS DOUBLE)), 4) AS hits, count(*) AS cases FROM e GROUP BY h"""),
     "momentum": (q_momentum, f"""WITH {DAILY}, x AS (SELECT *, first_value(index) OVER d AS f, lag(index, 2) OVER d AS l3, lag(index, 6) OVER d AS l7, lag(index, 13) OVER d AS l14 FROM daily WINDOW d AS (PARTITION BY division ORDER BY day))
         SELECT division, day, round(ln(index / coalesce(l3, f)), 6) + 0.0 AS momentum_3, round(ln(index / coalesce(l7, f)), 6) + 0.0 AS momentum_7, round(ln(index / coalesce(l14, f)), 6) + 0.0 AS momentum_14 FROM x"""),
     "training_target": (q_target, f"""WITH {DAILY}, x AS (SELECT *, avg(index) OVER r AS m, count(*) OVER r AS n FROM daily WINDOW r AS (PARTITION BY division, date_trunc('month', day) ORDER BY day ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
