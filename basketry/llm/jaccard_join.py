@@ -342,9 +342,11 @@ def one_of_each_group(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
     joined = jaccard_join(named.select(F.col("__node").alias("doc_id"), "text"), size).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("__node"), "component_id").distinct()
     joined = kept(joined, "groups-of-texts")
+    # A component is named by its smallest node, which is its smallest id, unless it has texts with a number beyond the ids.
     first = joined.join(numbers.withColumnRenamed("__number", "__node"), "__node", "left").select("__node", "component_id", F.coalesce("__id", "__node").alias("__id"), F.coalesce("__md5", F.lit("")).alias("__md5"))
-    stays = first.groupBy("component_id").agg(F.min(F.struct("__id", "__md5", "__node")).alias("s"))
-    gone = first.join(stays, "component_id").where(F.col("__node") != F.col("s.__node")).select("__node")
+    odd = kept(joined.join(numbers.select(F.col("__number").alias("__node")), "__node").select("component_id").distinct(), "odd-groups")
+    stays = first.join(odd, "component_id").groupBy("component_id").agg(F.min(F.struct("__id", "__md5", "__node")).alias("s")).select("component_id", F.col("s.__node").alias("stays"))
+    gone = joined.join(kept(stays, "kept-texts"), "component_id", "left").where(F.col("__node") != F.coalesce("stays", "component_id")).select("__node")
     left = named.join(gone, "__node", "left_anti")
     # Only rows of ids that stand in several rows are compared with each other.
     once = left.join(shared.select("__id"), "__id", "left_semi").dropDuplicates(["__id", "__md5"])
