@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.exprs import clip, geomean, nonzero, weighted_geomean, weighted_mean
+from basketry.sources.scratch import written
 
 MAD_SCALE, MAD_LIMIT, MAD_LEAST, MAD_EPSILON = 1.4826, 3.5, 5, 1e-6
 LOG_DIGITS = 6
@@ -19,15 +20,24 @@ LOG_DIGITS = 6
 
 def robust_geomean(rows: DataFrame, keys: Sequence[str], value: str, out: str, low: float = 0.4, high: float = 2.5, extra: Sequence[Column] = ()) -> DataFrame:
     """Geometric mean of positive values by keys; with more than two, only of those between ``low`` and ``high`` times the median. One grouping: the values of a key (an item's prices of a period) meet in an array."""
-    seen = F.array_sort(F.collect_list(F.when(F.col(value) > 0, F.col(value)).cast("double")))
-    grouped = rows.groupBy(*keys).agg(seen.alias("__seen"), *extra)
-    n = F.size("__seen")
-    middle = (F.element_at("__seen", F.floor((n + 1) / 2).cast("int")) + F.element_at("__seen", F.floor(n / 2 + 1).cast("int"))) / 2
+    grouped = rows.groupBy(*keys).agg(_positive(value).alias("__seen"), *extra)
+    return _with_geomean(grouped, "__seen", out, low, high)
+
+
+def _positive(value: str) -> Column:
+    """The positive values of a group, in order."""
+    return F.array_sort(F.collect_list(F.when(F.col(value) > 0, F.col(value)).cast("double")))
+
+
+def _with_geomean(grouped: DataFrame, values: str, out: str, low: float = 0.4, high: float = 2.5) -> DataFrame:
+    """An ordered array of values replaced by their geometric mean; of more than two only those near the median count, none gives null."""
+    n = F.size(values)
+    middle = (F.element_at(values, F.floor((n + 1) / 2).cast("int")) + F.element_at(values, F.floor(n / 2 + 1).cast("int"))) / 2
     grouped = grouped.withColumn("__median", F.when(n > 0, middle))
-    inside = F.filter("__seen", lambda x: (n <= 2) | x.between(low * F.col("__median"), high * F.col("__median")))
+    inside = F.filter(values, lambda x: (n <= 2) | x.between(low * F.col("__median"), high * F.col("__median")))
     logs = F.aggregate(F.col("__inside"), F.lit(0.0), lambda total, x: total + F.ln(x))
     mean = F.when(F.size("__inside") > 0, F.exp(logs / F.size("__inside")))
-    return grouped.withColumn("__inside", inside).withColumn(out, mean).drop("__seen", "__median", "__inside")
+    return grouped.withColumn("__inside", inside).withColumn(out, mean).drop(values, "__median", "__inside")
 
 
 def modal(rows: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
@@ -83,12 +93,9 @@ def unit_or_shelf(shelf_now: str, shelf_base: str, unit_now: str, unit_base: str
 
 
 def _group_median(rows: DataFrame, keys: Sequence[str], value: Column, out: str) -> DataFrame:
-    """Medians by keys from counts of values rounded to ``LOG_DIGITS``: tasks add up counts first, and a group has a bounded number of different values to sort."""
-    counts = rows.groupBy(*keys, F.rint(value * float(10**LOG_DIGITS)).alias("__v")).agg(F.count("*").alias("__n"))
-    by = Window.partitionBy(*keys)
-    summed = counts.withColumns({"__to": F.sum("__n").over(by.orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)), "__all": F.sum("__n").over(by)})
-    low, high = (F.min(F.when(reached, F.col("__v"))) for reached in (2 * F.col("__to") >= F.col("__all"), 2 * F.col("__to") > F.col("__all")))
-    return summed.groupBy(*keys).agg(((low + high) / (2 * float(10**LOG_DIGITS))).alias(out), F.max("__all").alias(f"{out}_n"))
+    """Medians by keys of values rounded to ``LOG_DIGITS``, and the numbers of values: tasks count equal values first, and a group has a bounded number of different ones."""
+    rounded = F.rint(value * float(10**LOG_DIGITS))
+    return rows.groupBy(*keys).agg((F.percentile(rounded, F.lit(0.5)) / float(10**LOG_DIGITS)).alias(out), F.count(rounded).alias(f"{out}_n"))
 
 
 def drop_outliers(rows: DataFrame, keys: Sequence[str], ratio: str = "ratio", low: float = 0.20, high: float = 4.0) -> DataFrame:
@@ -128,13 +135,13 @@ def store_balanced(rows: DataFrame, keys: Sequence[str], store: str = "store", r
     return stores.groupBy(*keys).agg((100 * F.when(F.count(known) >= 2, balanced).otherwise(flat)).alias("index"), F.count(known).alias("stores"), F.sum("__n").alias("items"))
 
 
-def _moves(prices: DataFrame, period: str, low: float, high: float) -> DataFrame:
-    """Items' moves from the period observed before (of all, not of the item) to this one, inside the bounds."""
+def _moves(prices: DataFrame, period: str, low: float, high: float, values: Sequence[str] = ("price",)) -> DataFrame:
+    """Items' moves from the period observed before (of all, not of the item) to this one, inside the bounds: of the first of ``values`` that is known in both."""
     steps = prices.select(period).distinct().withColumn("__no", F.row_number().over(Window.orderBy(period)))
     numbered = prices.join(F.broadcast(steps), period)  # one row a period
     item = Window.partitionBy("item").orderBy("__no")
-    moved = numbered.withColumns({"__before": F.lag("price").over(item), "__last": F.lag("__no").over(item)}).where("__last = __no - 1")
-    return moved.withColumn("__move", F.col("price") / F.col("__before")).where(F.col("__move").between(low, high))
+    moved = F.coalesce(*[F.when((F.col(v) > 0) & (F.lag(v).over(item) > 0), F.col(v) / F.lag(v).over(item)) for v in values])
+    return numbered.withColumns({"__move": moved, "__last": F.lag("__no").over(item)}).where("__last = __no - 1").where(F.col("__move").between(low, high))
 
 
 def movements(prices: DataFrame, keys: Sequence[str], period: str = "month", low: float = 0.5, high: float = 2.0) -> DataFrame:
@@ -142,8 +149,8 @@ def movements(prices: DataFrame, keys: Sequence[str], period: str = "month", low
     return _moves(prices, period, low, high).groupBy(period, *keys).agg(geomean("__move").alias("movement"), F.count("*").alias("pairs"))
 
 
-def impute(prices: DataFrame, levels: Sequence[Sequence[str]], period: str = "month", window: int = 2, low: float = 0.80, high: float = 1.25) -> DataFrame:
-    """Items seen within ``window`` periods before, but not in a period, get their last price moved on by the mean movement of the first level that has one (else unchanged), within bounds.
+def impute(prices: DataFrame, levels: Sequence[Sequence[str]], period: str = "month", window: int = 2, low: float = 0.80, high: float = 1.25, carried: str = "price", moved: Sequence[str] = ("price",)) -> DataFrame:
+    """Items seen within ``window`` periods before, but not in a period, get their last price (``carried``) moved on by the mean movement of the first level that has one (else unchanged), within bounds. Movements are of the first column of ``moved`` that an item has in both periods.
 
     Adds ``imputed``; imputed rows count one observation and have no store. Each item is carried over at most ``window`` periods
     after it is seen, so the candidates grow with the rows, not with items times periods. All levels' movements come from one
@@ -160,18 +167,19 @@ def impute(prices: DataFrame, levels: Sequence[Sequence[str]], period: str = "mo
         return F.concat_ws("\u001f", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys])
 
     coded = F.explode(F.array(*[F.struct(F.lit(i).alias("level"), code(keys).alias("code")) for i, keys in enumerate(levels)]))
-    moves = _moves(prices, period, 0.5, 2.0).select(period, "__move", coded.alias("__k")).groupBy(period, F.col("__k.level").alias("__level"), F.col("__k.code").alias("__code")).agg(geomean("__move").alias("__m"))
+    moves = _moves(prices, period, 0.5, 2.0, moved).select(period, "__move", coded.alias("__k")).groupBy(period, F.col("__k.level").alias("__level"), F.col("__k.code").alias("__code")).agg(geomean("__move").alias("__m"))
     for i, keys in enumerate(levels):
         own = moves.where(F.col("__level") == i).select(F.col(period).alias("__p"), F.col("__code").alias("__c"), F.col("__m").alias(f"__m{i}"))
         gaps = gaps.join(own, (F.col(period) == F.col("__p")) & (code(keys) == F.col("__c")), "left").drop("__p", "__c")
     movement = clip(F.coalesce(*[F.col(f"__m{i}") for i in range(len(levels))], F.lit(1.0)), low, high)
-    filled = gaps.withColumns({"price": F.col("price") * movement, "observations": F.lit(1).cast("long"), "store": F.lit(None).cast(prices.schema["store"].dataType), "imputed": F.lit(True)})
+    filled = gaps.withColumns({carried: F.col(carried) * movement, "observations": F.lit(1).cast("long"), "store": F.lit(None).cast(prices.schema["store"].dataType), "imputed": F.lit(True)})
     return prices.withColumn("imputed", F.lit(False)).unionByName(filled.select(*prices.columns, "imputed"))
 
 
 def division_indices(classes: DataFrame, weights: DataFrame, period: str = "month") -> DataFrame:
-    """Weighted means of class indices by division; ``weights``: ``class, division, weight``. Classes without an index leave their weight to the others."""
+    """Weighted means of class indices by division; ``weights``: ``class, division, weight``. Classes without an index leave their weight to the others. Classes that say their division only belong to that."""
     joined = classes.join(weights.withColumnRenamed("division", "__division"), "class")
+    joined = joined.where("division = __division").drop("division") if "division" in classes.columns else joined
     return joined.groupBy(period, F.col("__division").alias("division")).agg(weighted_mean("index", "weight").alias("index"), F.sum("weight").alias("weight"), F.sum("items").alias("items"))
 
 
@@ -182,14 +190,14 @@ def headline(divisions: DataFrame, weights: DataFrame, core_without: Sequence[st
     takes the core index (the mean of all if core is missing too); else present ones share the weight. ``coverage`` is the
     weight present, in per cent.
     """
-    grid = divisions.select(period).distinct().crossJoin(F.broadcast(weights.select("division", "weight")))
-    full = grid.join(divisions.select(period, "division", "index"), [period, "division"], "left")
+    every = weights.groupBy().agg(F.sum("weight").alias("__all"))  # one row
+    full = divisions.select(period, "division", "index").join(weights.select("division", "weight"), "division", "left").withColumn("weight", F.when(F.col("index").isNotNull(), F.col("weight")))
     is_core = ~F.col("division").isin(*core_without)
     core = weighted_mean(F.when(is_core, F.col("index")), F.when(is_core, F.col("weight")))
-    sums = full.groupBy(period).agg(core.alias("core"), weighted_mean("index", "weight").alias("__present"), F.sum(F.col("index") * F.col("weight")).alias("__sum"), F.sum("weight").alias("__all"),
-                                    F.sum(F.when(F.col("index").isNotNull(), F.col("weight"))).alias("__has"))
+    sums = full.groupBy(period).agg(core.alias("core"), weighted_mean("index", "weight").alias("__present"), F.sum(F.col("index") * F.col("weight")).alias("__sum"), F.sum("weight").alias("__has")).crossJoin(every)
     stand_in = F.coalesce("core", "__present")
-    fixed = (F.coalesce("__sum", F.lit(0.0)) + (F.col("__all") - F.coalesce("__has", F.lit(0.0))) * stand_in) / nonzero(F.col("__all"))
+    missing = F.col("__all") - F.coalesce("__has", F.lit(0.0))
+    fixed = (F.coalesce("__sum", F.lit(0.0)) + F.when(missing != 0, missing * stand_in).otherwise(0.0)) / nonzero(F.col("__all"))
     return sums.select(period, (fixed if impute_missing else F.col("__present")).alias("headline"), "core", (100 * F.col("__has") / F.col("__all")).alias("coverage"))
 
 
@@ -201,7 +209,50 @@ def store_balance(obs: DataFrame, keys: Sequence[str] = ("class",), dominant: fl
     return top.select(*keys, "observations", "stores", F.col("top.store").alias("top_store"), share.alias("top_share"), (share > dominant).alias("dominated"))
 
 
-def with_hedonic(prices: DataFrame, adjusted: DataFrame, keys: Sequence[str] = ("item", "store", "day")) -> DataFrame:
-    """Prices with the quality-adjusted one in place of the own where there is one (``keys, adjusted``); of several the smallest."""
+def with_hedonic(prices: DataFrame, adjusted: DataFrame, keys: Sequence[str] = ("item", "store", "day"), also: str | None = None) -> DataFrame:
+    """Prices with the quality-adjusted one in place of the own where there is one (``keys, adjusted``); of several the smallest. It takes the place of ``also``, a unit price, too."""
     one = adjusted.groupBy(*keys).agg(F.min("adjusted").alias("__adjusted"))
-    return prices.join(one, list(keys), "left").withColumn("price", F.coalesce("__adjusted", "price")).drop("__adjusted")
+    return prices.join(one, list(keys), "left").withColumns({c: F.coalesce("__adjusted", c) for c in ["price", *([also] if also else [])]}).drop("__adjusted")
+
+
+# -- the whole chain
+
+
+def compared_prices(obs: DataFrame, period: str = "month") -> DataFrame:
+    """``period, item, class, division, shelf, unit, observations, store`` for each item and period from observations with ``price`` and ``unit_price``, ``base_period, base_shelf, base_unit`` of the item's first period, and ``ratio``: of unit prices where they can be compared (``unit_or_shelf``), else of shelf prices."""
+    keys = [period, "item", "class", "division"]
+    obs = obs.select(*keys, "price", "unit_price", "store").repartition(period, "item")
+    grouped = obs.groupBy(*keys).agg(_positive("price").alias("__shelf"), _positive("unit_price").alias("__unit"), F.count("*").alias("observations"), F.mode("store", True).alias("store"))
+    prices = _with_geomean(_with_geomean(grouped, "__shelf", "shelf"), "__unit", "unit").where("shelf IS NOT NULL")
+    own = Window.partitionBy("item")
+    prices = prices.withColumns({"base_period": F.min(period).over(own), "base_shelf": F.min_by("shelf", period).over(own), "base_unit": F.min_by("unit", period).over(own)})
+    by_unit = unit_or_shelf("shelf", "base_shelf", "unit", "base_unit")
+    return prices.withColumn("ratio", F.when(by_unit, F.col("unit") / F.col("base_unit")).otherwise(F.col("shelf") / F.col("base_shelf")))
+
+
+def compiled_relatives(obs: DataFrame, levels: Sequence[Sequence[str]], period: str = "month", window: int = 2, shadow: bool = True) -> DataFrame:
+    """The relatives that the index is made of: unit or shelf price, missing items moved on with their class, outliers left out by division, and new items only tracked in their first period. ``imputed`` tells which are not observed."""
+    prices = written(compared_prices(obs, period), "compared-prices")
+    filled = impute(prices, levels, period, window, carried="ratio", moved=("unit", "shelf")).where("ratio > 0")
+    kept = drop_outliers(written(filled, "compared-relatives"), [period, "division"])
+    return kept.where(F.col("base_period") < F.col(period)) if shadow else kept
+
+
+def division_grid(classes: DataFrame, relatives: DataFrame, weights: DataFrame, period: str = "month", factors: DataFrame | None = None) -> DataFrame:
+    """``period, division, weight, index, items, observations`` for every division of ``weights`` (``class, division, weight``) in every period, with no index and zeros where it has no items. ``factors`` (``period, factor``) chain the index to an earlier base."""
+    found = division_indices(classes, weights, period).select(period, "division", "index")
+    counts = relatives.groupBy(period, "division").agg(F.count("*").alias("items"), F.sum("observations").alias("observations"))
+    grid = counts.select(period).distinct().crossJoin(weights.groupBy("division").agg(F.sum("weight").alias("weight")))  # periods times divisions
+    out = grid.join(found, [period, "division"], "left").join(counts, [period, "division"], "left")
+    if factors is not None:
+        out = out.join(factors.select(period, "factor"), period, "left").withColumn("index", F.col("index") * F.coalesce("factor", F.lit(1.0)))
+    return out.select(period, "division", "weight", "index", F.coalesce("items", F.lit(0)).alias("items"), F.coalesce("observations", F.lit(0)).alias("observations"))
+
+
+def compiled(obs: DataFrame, weights: DataFrame, levels: Sequence[Sequence[str]], period: str = "month", window: int = 2, adjusted: DataFrame | None = None, factors: DataFrame | None = None) -> DataFrame:
+    """The index of all periods from observations in one chain: ``division_grid`` of store-balanced class indices over ``compiled_relatives``, with quality-adjusted prices (``adjusted``: item, store, day, adjusted) in place of observed ones. ``headline`` adds it up."""
+    if adjusted is not None:
+        obs = with_hedonic(obs, adjusted, also="unit_price")
+    relatives = written(compiled_relatives(obs, levels, period, window), "compiled-relatives")
+    classes = store_balanced(relatives, [period, "division", "class"])
+    return written(division_grid(classes, relatives, weights, period, factors), "division-grid")

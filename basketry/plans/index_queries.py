@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.exprs import geomean, pct_change, weighted_mean
-from basketry.operators import index, joins, tree
+from basketry.operators import hedonic, index, joins, tree
 from basketry.sources.scratch import written
 from basketry.sources.tables import exchange_rates, observations, table
 
@@ -39,6 +39,17 @@ HEADLINE = """grid AS (SELECT month, dw.division, weight, index FROM (SELECT DIS
     sum(index * weight) / sum(weight) FILTER (index IS NOT NULL) AS present FROM grid GROUP BY month),
   headline AS (SELECT month, sum(coalesce(index, core, present) * weight) / sum(weight) AS headline, any_value(core) AS core,
     100 * sum(weight) FILTER (index IS NOT NULL) / sum(weight) AS coverage FROM grid JOIN core USING (month) GROUP BY month)"""
+ROLLING = """h0 AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, CAST(l_shipdate AS DATE) AS day, CAST(l_quantity AS DOUBLE) AS x1, CAST(l_discount AS DOUBLE) AS x2, ln(l_extendedprice) AS y FROM lineitem WHERE l_extendedprice > 0),
+        h1 AS (SELECT day, count(*) AS n, sum(x1) AS x1, sum(x2) AS x2, sum(y) AS y, sum(x1 * x1) AS x11, sum(x1 * x2) AS x12, sum(x2 * x2) AS x22, sum(x1 * y) AS x1y, sum(x2 * y) AS x2y, sum(y * y) AS yy FROM h0 GROUP BY day),
+        h2 AS (SELECT day, sum(n) OVER w AS n, sum(x1) OVER w AS x1, sum(x2) OVER w AS x2, sum(y) OVER w AS y, sum(x11) OVER w AS x11, sum(x12) OVER w AS x12, sum(x22) OVER w AS x22, sum(x1y) OVER w AS x1y, sum(x2y) OVER w AS x2y, sum(yy) OVER w AS yy
+               FROM h1 WINDOW w AS (ORDER BY day RANGE BETWEEN INTERVAL 90 DAYS PRECEDING AND CURRENT ROW)),
+        h3 AS (SELECT day, n, x1 / n AS x1, x2 / n AS x2, y / n AS y, x11 / n - (x1 / n) ** 2 AS s11, x12 / n - x1 / n * x2 / n AS s12, x22 / n - (x2 / n) ** 2 AS s22, x1y / n - x1 / n * y / n AS s1y, x2y / n - x2 / n * y / n AS s2y, yy / n - (y / n) ** 2 AS syy FROM h2 WHERE n >= 20),
+        beta AS (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM h3)"""
+FACTORS = """o AS (SELECT DISTINCT day, date_trunc('month', day) AS month FROM h0),
+        early AS (SELECT o.day, avg(x1) AS e1, avg(x2) AS e2 FROM o JOIN h0 ON h0.day >= o.day - 90 AND h0.day < o.month GROUP BY o.day),
+        own AS (SELECT o.day, median(x1) AS m1, median(x2) AS m2 FROM o JOIN h0 ON h0.day >= o.month AND h0.day <= o.day GROUP BY o.day),
+        bases AS (SELECT own.day, coalesce(e1, m1) AS b1, coalesce(e2, m2) AS b2 FROM own LEFT JOIN early USING (day)),
+        hf AS (SELECT h0.*, coalesce(exp(least(greatest(beta.b1 * (bases.b1 - h0.x1) + beta.b2 * (bases.b2 - h0.x2), -3), 3)), 1.0) AS factor FROM h0 JOIN bases USING (day) LEFT JOIN beta USING (day))"""
 CHAIN = ",\n".join([OBS, PRICES, BASE, RATIOS, MAD, BALANCED, WEIGHTS, DIVISIONS, HEADLINE])
 
 
@@ -79,6 +90,29 @@ def q_headline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return headline(spark, sf_dir).select("month", _r("headline"), _r("core"), _r("coverage"))
 
 
+def _compiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain over the sample: a third of the items have unit prices, some of them from a misread pack; a tenth of the items have hedonic prices."""
+    obs = observations(spark, sf_dir)
+    misread = F.when(F.col("store") % 17 == 0, 24.0).otherwise(1.0)
+    obs = obs.withColumn("unit_price", F.when(F.col("item") % 3 == 0, F.col("price") / 2 * misread))
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("item"), F.col("l_suppkey").alias("store"), F.col("l_shipdate").cast("date").alias("day"), "l_quantity", "l_discount", F.col("l_extendedprice").alias("price"))
+    adjusted = hedonic.rolling_adjusted(rows, ["l_quantity", "l_discount"]).where("item % 10 = 0").select("item", "store", "day", (F.col("price") * F.col("factor") / F.col("l_quantity")).alias("adjusted"))
+    daily = obs.groupBy("day").agg(F.avg("price").alias("headline"), F.count("*").alias("observations"))
+    factors = tree.splice(tree.december_factors(daily).select("effective_from", "factor"), obs.select("month").distinct())
+    return index.compiled(obs, class_weights(spark, sf_dir), [["class", "division"], ["class"], ["division"]], adjusted=adjusted, factors=factors)
+
+
+def q_compiled_divisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compiled(spark, sf_dir).select("month", "division", F.round("weight", 3).alias("weight"), _r("index", 3), "items", "observations")
+
+
+def q_compiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = _compiled(spark, sf_dir)
+    weights = grid.groupBy("division").agg(F.max("weight").alias("weight"))
+    items = grid.groupBy("month").agg(F.sum("items").alias("items"))
+    return index.headline(grid.where("index IS NOT NULL"), weights, CORE_WITHOUT).join(items, "month").select("month", _r("headline", 3), _r("core", 3), _r("coverage"), "items")
+
+
 def q_item_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.item_prices(observations(spark, sf_dir)).select("month", "item", _r("price", 7), "observations", "store")
 
@@ -214,9 +248,38 @@ DECEMBER = """annual AS (SELECT make_date(year(day) + 1, 1, 1) AS effective_from
 def _change(value: str, now: str = "c", before: str = "p", digits: int = 4) -> str:
     return f"round(({now}.{value} - {before}.{value}) / nullif({before}.{value}, 0) * 100.0, {digits}) + 0.0"
 
+COMPILED = f"""WITH {OBS}, {ROLLING}, {FACTORS}, {DAILY}, {DECEMBER}, {WEIGHTS}, dw AS (SELECT division, sum(weight) AS weight FROM weights GROUP BY division),
+  splice AS (SELECT month, coalesce(arg_max(factor, effective_from), 1.0) AS factor FROM (SELECT DISTINCT month FROM obs) LEFT JOIN annual ON effective_from <= month GROUP BY month),
+  adj AS (SELECT l_partkey AS item, l_suppkey AS store, day, min(l_extendedprice * factor / l_quantity) AS adjusted FROM hf WHERE l_partkey % 10 = 0 GROUP BY ALL),
+  o3 AS (SELECT month, store, item, class, division, coalesce(adjusted, price) AS price, coalesce(adjusted, CASE WHEN item % 3 = 0 THEN price / 2 * CASE WHEN store % 17 = 0 THEN 24.0 ELSE 1.0 END END) AS unit FROM obs LEFT JOIN adj USING (item, store, day)),
+  m0 AS (SELECT *, median(price) OVER w AS md, count(price) OVER w AS n, median(unit) OVER w AS um, count(unit) OVER w AS un FROM o3 WINDOW w AS (PARTITION BY month, item)),
+  stores AS (SELECT month, item, store, row_number() OVER (PARTITION BY month, item ORDER BY count(*) DESC, store) AS no FROM o3 GROUP BY month, item, store),
+  p0 AS (SELECT m.month, m.item, class, division, exp(avg(ln(price)) FILTER (n <= 2 OR price BETWEEN 0.4 * md AND 2.5 * md)) AS shelf, exp(avg(ln(unit)) FILTER (un <= 2 OR unit BETWEEN 0.4 * um AND 2.5 * um)) AS unit,
+    count(*) AS observations, any_value(s.store) AS store FROM m0 m JOIN stores s ON s.month = m.month AND s.item = m.item AND s.no = 1 GROUP BY m.month, m.item, class, division),
+  p1 AS (SELECT *, min(month) OVER f AS base_period, first_value(shelf) OVER f AS bs, first_value(unit) OVER f AS bu FROM p0 WINDOW f AS (PARTITION BY item ORDER BY month)),
+  prices AS (SELECT *, CASE WHEN unit IS NOT NULL AND bu IS NOT NULL AND NOT ((unit / bu >= 3 OR unit / bu <= 0.33) AND shelf / bs BETWEEN 0.7 AND 1.4) THEN unit / bu ELSE shelf / bs END AS ratio FROM p1),
+  {STEP}, mv AS (SELECT p.month, p.class, p.division, CASE WHEN p.unit IS NOT NULL AND q.unit IS NOT NULL THEN p.unit / q.unit ELSE p.shelf / q.shelf END AS move FROM prices p JOIN steps s ON s.month = p.month JOIN prices q ON q.item = p.item AND q.month = s.before),
+  mw AS (SELECT * FROM mv WHERE move BETWEEN 0.5 AND 2.0), mcd AS (SELECT month, class, division, exp(avg(ln(move))) AS m FROM mw GROUP BY ALL), mc AS (SELECT month, class, exp(avg(ln(move))) AS m FROM mw GROUP BY ALL), mdv AS (SELECT month, division, exp(avg(ln(move))) AS m FROM mw GROUP BY ALL),
+  np AS (SELECT p.*, s.no, lead(s.no) OVER (PARTITION BY item ORDER BY s.no) AS nx FROM prices p JOIN steps s USING (month)),
+  gaps AS (SELECT s.month, np.item, np.class, np.division, np.ratio, np.base_period FROM np JOIN steps s ON s.no > np.no AND s.no <= np.no + 2 AND (np.nx IS NULL OR s.no < np.nx)),
+  filled AS (SELECT month, item, class, division, ratio, base_period, store, observations FROM prices UNION ALL
+    SELECT g.month, g.item, g.class, g.division, g.ratio * least(greatest(coalesce(mcd.m, mc.m, mdv.m, 1.0), 0.8), 1.25), g.base_period, NULL, 1 FROM gaps g
+    LEFT JOIN mcd ON mcd.month = g.month AND mcd.class = g.class AND mcd.division = g.division LEFT JOIN mc ON mc.month = g.month AND mc.class = g.class LEFT JOIN mdv ON mdv.month = g.month AND mdv.division = g.division),
+  k0 AS (SELECT *, ln(ratio) AS lr FROM filled WHERE ratio BETWEEN 0.2 AND 4.0), k1 AS (SELECT *, median(lr) OVER (PARTITION BY month, division) AS md, count(*) OVER (PARTITION BY month, division) AS gn FROM k0),
+  k2 AS (SELECT *, median(abs(lr - md)) OVER (PARTITION BY month, division) AS mad FROM k1),
+  kept AS (SELECT * FROM k2 WHERE base_period < month AND CASE WHEN gn >= 5 AND mad > 1e-6 THEN abs(lr - md) <= 3.5 * 1.4826 * mad ELSE ratio BETWEEN 0.33 AND 3.0 END),
+  {BALANCED}, di AS (SELECT c.month, c.division, sum(c.index * w.weight) / sum(w.weight) AS index FROM classes c JOIN weights w USING (division, class) GROUP BY ALL),
+  cn AS (SELECT month, division, count(*) AS items, CAST(sum(observations) AS BIGINT) AS observations FROM kept GROUP BY ALL),
+  divs AS (SELECT g.month, g.division, g.weight, di.index * splice.factor AS index, coalesce(items, 0) AS items, coalesce(observations, 0) AS observations
+    FROM (SELECT month, division, weight FROM (SELECT DISTINCT month FROM cn) CROSS JOIN dw) g LEFT JOIN di USING (month, division) LEFT JOIN cn USING (month, division) LEFT JOIN splice USING (month))"""
+
 
 QUERIES = {
     "headline_index": (q_headline, f"WITH {CHAIN} SELECT month, round(headline, 4) AS headline, round(core, 4) AS core, round(coverage, 4) AS coverage FROM headline"),
+    "compiled_divisions": (q_compiled_divisions, f"{COMPILED} SELECT month, division, round(weight, 3) AS weight, round(index, 3) AS index, items, observations FROM divs"),
+    "compiled_index": (q_compiled, f"""{COMPILED}, core AS (SELECT month, sum(index * weight) FILTER (division NOT IN ('ECONOMY', 'LARGE')) / sum(weight) FILTER (division NOT IN ('ECONOMY', 'LARGE') AND index IS NOT NULL) AS core,
+        sum(index * weight) / sum(weight) FILTER (index IS NOT NULL) AS present, CAST(sum(items) AS BIGINT) AS items FROM divs GROUP BY month)
+        SELECT month, round(sum(coalesce(index, core, present) * weight) / sum(weight), 3) AS headline, round(any_value(core), 3) AS core, round(100 * sum(weight) FILTER (index IS NOT NULL) / sum(weight), 4) AS coverage, any_value(core.items) AS items FROM divs JOIN core USING (month) GROUP BY month"""),
     "item_prices": (q_item_prices, f"WITH {OBS}, {PRICES} SELECT month, item, round(price, 7) AS price, observations, store FROM prices"),
     "base_prices": (q_base_prices, f"WITH {OBS}, {BASE} SELECT item, base_period, round(base_price, 7) AS base_price, base_observations FROM base"),
     "jevons_by_class": (q_jevons, f"WITH {OBS}, {PRICES}, {BASE}, {RATIOS} SELECT month, class, round(100 * exp(avg(ln(ratio))), 4) AS index, count(*) AS items FROM ratios GROUP BY month, class"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.operators import hedonic, match, nowcast, vectors
-from basketry.plans.index_queries import CHAIN, OBS, divisions, q_headline
+from basketry.plans.index_queries import CHAIN, FACTORS, OBS, ROLLING, divisions, q_headline
 from basketry.plans.view_queries import OFFICIAL, _official
 from basketry.sources.storage import catalog_of, offloadable
 from basketry.sources.scratch import written
@@ -208,14 +208,6 @@ NORMAL = """s AS (SELECT count(*) AS n, sum(l_quantity) AS a, sum(l_discount) AS
 GROUPS = """WITH g AS (SELECT CAST(embedding AS DOUBLE[]) AS v, min(vec_id) AS id FROM embeddings GROUP BY 1),
         p AS (SELECT x.id AS a, y.id AS b, list_cosine_similarity(x.v, y.v) AS s FROM g x JOIN g y ON x.id < y.id WHERE list_cosine_similarity(x.v, y.v) >= 0.95)"""
 
-ROLLING = """h0 AS (SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS day, CAST(l_quantity AS DOUBLE) AS x1, CAST(l_discount AS DOUBLE) AS x2, ln(l_extendedprice) AS y FROM lineitem WHERE l_extendedprice > 0),
-        h1 AS (SELECT day, count(*) AS n, sum(x1) AS x1, sum(x2) AS x2, sum(y) AS y, sum(x1 * x1) AS x11, sum(x1 * x2) AS x12, sum(x2 * x2) AS x22, sum(x1 * y) AS x1y, sum(x2 * y) AS x2y, sum(y * y) AS yy FROM h0 GROUP BY day),
-        h2 AS (SELECT day, sum(n) OVER w AS n, sum(x1) OVER w AS x1, sum(x2) OVER w AS x2, sum(y) OVER w AS y, sum(x11) OVER w AS x11, sum(x12) OVER w AS x12, sum(x22) OVER w AS x22, sum(x1y) OVER w AS x1y, sum(x2y) OVER w AS x2y, sum(yy) OVER w AS yy
-               FROM h1 WINDOW w AS (ORDER BY day RANGE BETWEEN INTERVAL 90 DAYS PRECEDING AND CURRENT ROW)),
-        h3 AS (SELECT day, n, x1 / n AS x1, x2 / n AS x2, y / n AS y, x11 / n - (x1 / n) ** 2 AS s11, x12 / n - x1 / n * x2 / n AS s12, x22 / n - (x2 / n) ** 2 AS s22, x1y / n - x1 / n * y / n AS s1y, x2y / n - x2 / n * y / n AS s2y, yy / n - (y / n) ** 2 AS syy FROM h2 WHERE n >= 20),
-        beta AS (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM h3)"""
-
-
 QUERIES = {
     "nearest_vectors": (q_nearest, """WITH p AS (SELECT q.vec_id AS query, r.vec_id AS neighbour, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(r.embedding AS DOUBLE[])) AS s FROM embeddings q JOIN embeddings r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0),
         k AS (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY s DESC, neighbour) AS INTEGER) AS rank FROM p) SELECT query, neighbour, round(s, 6) AS similarity, rank FROM k WHERE rank <= 30"""),
@@ -245,13 +237,7 @@ QUERIES = {
     "hedonic_prices": (q_hedonic_prices, None),
     "rolling_hedonics": (q_rolling_fits, f"""WITH {ROLLING} SELECT day, CAST(n AS BIGINT) AS n, round(y - b1 * x1 - b2 * x2, 6) + 0.0 AS constant, round(b1, 6) + 0.0 AS l_quantity, round(b2, 6) + 0.0 AS l_discount,
         round((b1 * s1y + b2 * s2y) / syy, 6) AS r2 FROM beta"""),
-    "rolling_hedonic_prices": (q_rolling_prices, f"""WITH {ROLLING},
-        o AS (SELECT DISTINCT day, date_trunc('month', day) AS month FROM h0),
-        early AS (SELECT o.day, avg(x1) AS e1, avg(x2) AS e2 FROM o JOIN h0 ON h0.day >= o.day - 90 AND h0.day < o.month GROUP BY o.day),
-        own AS (SELECT o.day, median(x1) AS m1, median(x2) AS m2 FROM o JOIN h0 ON h0.day >= o.month AND h0.day <= o.day GROUP BY o.day),
-        base AS (SELECT own.day, coalesce(e1, m1) AS b1, coalesce(e2, m2) AS b2 FROM own LEFT JOIN early USING (day))
-        SELECT l_orderkey, l_linenumber, h0.day, round(coalesce(exp(least(greatest(beta.b1 * (base.b1 - h0.x1) + beta.b2 * (base.b2 - h0.x2), -3), 3)), 1.0), 6) AS factor
-        FROM h0 JOIN base USING (day) LEFT JOIN beta USING (day)"""),
+    "rolling_hedonic_prices": (q_rolling_prices, f"""WITH {ROLLING}, {FACTORS} SELECT l_orderkey, l_linenumber, day, round(factor, 6) AS factor FROM hf"""),
     "model_backtest": (q_model_backtest, f"""WITH {OBS}, d0 AS (SELECT division, day, month, avg(price) AS index FROM obs GROUP BY ALL),
         d1 AS (SELECT *, ln(index / coalesce(lag(index, 6) OVER w, first_value(index) OVER w)) AS x, day(last_day(day)) - day(day) AS rest FROM d0 WINDOW w AS (PARTITION BY division ORDER BY day)),
         d AS (SELECT *, sum(index) OVER a AS s, count(*) OVER a AS c, sum(index) OVER (PARTITION BY division, month) AS ms, count(*) OVER (PARTITION BY division, month) AS mc
