@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.exprs import pct_change
+from basketry.operators.rules import first_rule
 
 
 def as_of(left: DataFrame, right: DataFrame, on: str, value: str, by: Sequence[str] = (), buckets: str | None = None) -> DataFrame:
@@ -55,10 +56,9 @@ def rule_chain(name: str, rules: Sequence[tuple[str, str | None, str]], default:
 
 
 def rule_join(items: DataFrame, rules: DataFrame, row: str, name: str) -> DataFrame:
-    """The same from a table of rules (``pattern, negative_pattern, priority, label``), for rule sets that change at run time: the rules side is small by nature and is broadcast."""
-    hit = F.expr(f"{name} RLIKE concat('(?i)', pattern) AND (negative_pattern IS NULL OR NOT {name} RLIKE concat('(?i)', negative_pattern))")
-    found = items.select(row, name).join(F.broadcast(rules), hit).groupBy(row).agg(F.min_by("label", "priority").alias("label"))
-    return items.join(found, row, "left")
+    """The same from a table of rules (``pattern, negative_pattern, priority, label``), for rule sets that change at run time: see ``rules.first_rule``."""
+    number = F.row_number().over(Window.orderBy("priority", "label", "pattern", "negative_pattern"))  # a row a rule
+    return first_rule(items, rules.withColumn("rule", number), row, name)
 
 
 def calendar_changes(monthly: DataFrame, keys: Sequence[str], values: Sequence[str], period: str = "month", digits: int | None = 4) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.exprs import nonzero, weighted_geomean, weighted_mean
+from basketry.sources.scratch import written
 
 
 def roll_up(leaves: DataFrame, levels: Sequence[str], period: str, geometric_first: bool = False) -> DataFrame:
@@ -92,3 +93,66 @@ def coverage(weights: DataFrame, present: DataFrame) -> DataFrame:
     """The share of a tree's leaf weight that has an index."""
     joined = weights.join(present.withColumn("__has", F.lit(True)), "code", "left")
     return joined.agg((100 * F.sum(F.when(F.col("__has"), F.col("weight"))) / nonzero(F.sum("weight"))).alias("coverage"))
+
+
+# -- trees of any depth
+
+
+def _unlimited(spark: SparkSession) -> None:
+    """A tree may have millions of leaves; paths that never meet a node twice end by themselves."""
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+    spark.conf.set("spark.sql.cteRecursionLevelLimit", "-1")
+
+
+def paths(nodes: DataFrame) -> DataFrame:
+    """``code, root, depth, path`` of every node (``code, parent``) that a root (a node without a parent) leads to, by a recursive query. A node of several parents has several rows; a path never meets a node twice, so cycles end."""
+    _unlimited(nodes.sparkSession)
+    return nodes.sparkSession.sql("""
+        WITH RECURSIVE walk(code, root, depth, path) AS (
+            SELECT code, code, 0, array(code) FROM {nodes} WHERE parent IS NULL AND code IS NOT NULL
+            UNION ALL
+            SELECT n.code, w.root, w.depth + 1, array_append(w.path, n.code) FROM walk w JOIN {nodes} n ON n.parent = w.code WHERE NOT array_contains(w.path, n.code))
+        SELECT code, root, depth, path FROM walk""", nodes=nodes.select("code", "parent").distinct())
+
+
+def leaves_below(nodes: DataFrame) -> DataFrame:
+    """``code, leaf`` for every node and each leaf below it; a leaf is below itself."""
+    parents = nodes.select(F.col("parent").alias("code")).where("code IS NOT NULL").distinct()
+    walked = paths(nodes).join(parents, "code", "left_anti")
+    return walked.select(F.explode("path").alias("code"), F.col("code").alias("leaf")).distinct()
+
+
+def path_faults(nodes: DataFrame) -> DataFrame:
+    """``code, fault``: nodes that no root leads to, because a parent is missing (``lost``) or their parents lead back to themselves (``cycle``; ``below a cycle`` for what hangs on one), and nodes with several parents."""
+    own = nodes.where("code IS NOT NULL").select("code", "parent").distinct()
+    reached = paths(own).select("code").distinct()
+    unreached = own.join(reached, "code", "left_anti")
+    up = own.sparkSession.sql("""
+        WITH RECURSIVE up(code, at, path, state) AS (
+            SELECT code, parent, array(code), 'open' FROM {nodes}
+            UNION ALL
+            SELECT u.code, n.parent, array_append(u.path, u.at),
+                   CASE WHEN u.at = u.code THEN 'cycle' WHEN array_contains(u.path, u.at) THEN 'below a cycle' WHEN n.code IS NULL THEN 'lost' ELSE 'open' END
+            FROM up u LEFT JOIN {all} n ON n.code = u.at WHERE u.state = 'open' AND u.at IS NOT NULL)
+        SELECT code, min_by(state, CASE state WHEN 'cycle' THEN 0 WHEN 'below a cycle' THEN 1 ELSE 2 END) AS fault FROM up WHERE state <> 'open' GROUP BY code""", nodes=unreached, all=own)
+    several = own.groupBy("code").count().where("count > 1").select("code", F.lit("several parents").alias("fault"))
+    return up.unionByName(several)
+
+
+def roll_up_tree(leaves: DataFrame, nodes: DataFrame, period: str) -> DataFrame:
+    """``period, code, index, weight`` of all nodes of a tree (``code, parent``) whose branches may end at any depth; ``leaves`` has the period, ``code``, ``index`` and ``weight``.
+
+    From the deepest level upward, as in ``roll_up``: members without an index leave their weight to the others of their group, and a group keeps
+    the weight of all its members. A period whose group has no member is missing. Raises ValueError for a tree with faults in its paths.
+    """
+    if bad := path_faults(nodes).limit(5).collect():
+        raise ValueError(f"not a tree: {[tuple(r) for r in bad]}")
+    placed = written(paths(nodes).select("code", "depth").join(nodes.select("code", "parent").distinct(), "code"), "tree-nodes")
+    depth = placed.agg(F.max("depth")).first()[0] or 0
+    done = leaves.select(period, "code", "index", "weight").join(placed.select("code"), "code", "left_semi").select(period, "code", "index", "weight")
+    for level in range(depth, 0, -1):
+        done = written(done, "tree-indices")
+        below = done.join(placed.where(F.col("depth") == level).select("code", "parent"), "code")
+        above = below.groupBy(period, F.col("parent").alias("code")).agg(weighted_mean("index", "weight").alias("index"), F.sum("weight").alias("weight"))
+        done = done.unionByName(above)
+    return done

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.sources.scratch import place
-from basketry.sources.tables import table
+from basketry.functions.exprs import geomean
+from basketry.operators import rules, tree
+from basketry.sources import increments, records, storage
+from basketry.sources.scratch import place, written
+from basketry.sources.tables import observations, table
 from basketry.streaming import windows
 
 # -- events as a stream
@@ -51,10 +54,154 @@ def q_closed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(found.schema).parquet(out)
 
 
+# -- landing folders, increments, cold storage
+
+
+def q_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scraped records as JSON lines by day, some of them broken, read by the landing source from a day on: good and broken lines by day and fault."""
+    e = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("date").alias("day"), F.col("user_id").cast("string").alias("store"), F.col("event_type").alias("name"), "value")
+    i = F.col("event_id")
+    line = F.to_json(F.struct(F.when(i % 83 != 0, i.cast("string")).alias("item"), "store", "name", F.when(i % 79 == 0, -F.col("value")).otherwise(F.col("value")).alias("price")))
+    line = F.when(i % 97 == 0, F.substring(line, 1, 20)).when(i % 89 == 0, F.lit("[1, 2]")).otherwise(line)
+    path = place(spark, "landing")
+    e.select("day", line.alias("value")).write.partitionBy("day").text(path)
+    lines = records.landed(spark, path).where("day >= DATE '2024-01-11'")
+    good = records.records(lines).select("day", F.lit("good").alias("fault"), "price")
+    broken = records.quarantine(lines).select("day", "fault", F.lit(None).cast("double").alias("price"))
+    return good.union(broken).groupBy("day", "fault").agg(F.count("*").alias("n"), F.round(F.sum("price"), 2).alias("total"))
+
+
+def q_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in three batches by key: the second corrects and moves lines of the first and is run twice, the third brings the rest."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("day"), F.col("l_extendedprice").cast("double").alias("price"))
+    third = F.col("l_orderkey") % 3
+    moved = lines.where((third == 0) & (F.col("l_orderkey") % 5 == 0)).withColumns({"day": F.add_months("day", 1), "price": F.col("price") + 1000})
+    root = place(spark, "incremental")
+    batches = [lines.where(third == 0), lines.where(third == 1).union(moved), lines.where(third == 2)]
+    for batch in (batches[0], batches[1], batches[1], batches[2]):
+        increments.replaced(spark, root, batch.withColumn("month", F.date_format("day", "yyyy-MM")), ["l_orderkey", "l_linenumber"], "month", [F.desc("price"), F.desc("day")])
+    return increments.table_at(spark, root, lines.withColumn("month", F.lit(""))).select("l_orderkey", "l_linenumber", "month", "day", "price")
+
+
+def q_exported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months in cold storage, verified after the export by count and checksum; then the files against the catalogue, after one month's were overwritten."""
+    obs = observations(spark, sf_dir).select("day", "store", "item", "price", "discount")
+    root = place(spark, "cold")
+    report = written(storage.exported(obs, "day", root), "export-report")
+    catalog = written(storage.catalog_of(spark, root), "cold-catalog")
+    bad = [r["path"] for r in catalog.where(F.contains("path", F.lit("/year=1995/month=3/"))).collect()]  # one month's files
+    other = catalog.where(F.contains("path", F.lit("/year=1995/month=4/"))).first()["path"]
+    system, source = increments._path(spark, other)
+    for path in bad:
+        spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(system, source, system, increments._path(spark, path)[1], False, True, spark.sparkContext._jsc.hadoopConfiguration())
+    checked = storage.verified(spark, root, catalog).select(F.regexp_extract("path", "year=([0-9]+)", 1).cast("int").alias("year"), F.regexp_extract("path", "month=([0-9]+)", 1).cast("int").alias("month"), "ok")
+    intact = checked.groupBy("year", "month").agg(F.bool_and("ok").alias("intact"))
+    return report.join(intact, ["year", "month"], "left").select("year", "month", "n", "stored", "ok", "intact")
+
+
+def q_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Official months put into a seed table in order, written and read back as typed CSV."""
+    monthly = table(spark, sf_dir, "orders").groupBy(F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month")).agg((F.sum("o_totalprice") / 1e7).alias("headline"), F.count("*").cast("double").alias("core"))
+    seed = monthly.where("month(month) < 9").select("month", F.round("headline", 4).alias("headline"), "core", F.lit("seed").alias("note"))
+    news = monthly.where("month(month) > 6").select("month", (F.col("headline") * 2).alias("headline"), F.when(F.month("month") == 7, F.lit(None).cast("double")).otherwise(F.col("core") + 0.123456).alias("core"), F.when(F.month("month") > 8, F.lit("new")).alias("note"))
+    path = place(spark, "seed")
+    increments.write_seed(increments.upserted_seed(seed, news, "month"), path)
+    return storage.seed(spark, path, "month date, headline double, core double, note string")
+
+
+# -- rules and trees
+
+
+def _word_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule for each two neighbouring words of the benchmark; each fifth must not meet them the other way round."""
+    words = F.filter(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)")), lambda w: F.length(w) >= 4)
+    pairs = table(spark, sf_dir, "benchmark").select(words.alias("w")).select(F.explode(F.arrays_zip("w", F.slice("w", 2, 1 << 30).alias("v"))).alias("p"))
+    pairs = pairs.select(F.col("p.w").alias("a"), F.col("p.v").alias("b")).where("b IS NOT NULL").distinct()
+    found = pairs.withColumn("rule", F.row_number().over(Window.orderBy("a", "b")))  # a row a rule
+    both = lambda x, y: F.concat(F.lit("(^|[^A-Za-z])"), x, F.lit(r"\s+"), y, F.lit("([^A-Za-z]|$)"))
+    return written(found.select("rule", both("a", "b").alias("pattern"), F.when(F.col("rule") % 5 == 0, both("b", "a")).alias("negative_pattern"), (F.col("rule") % 100).alias("priority"), F.concat_ws(" ", "a", "b").alias("label")), "word-rules")
+
+
+def q_many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.first_rule(table(spark, sf_dir, "documents").select("doc_id", "text"), _word_rules(spark, sf_dir), "doc_id", "text").select("doc_id", "label")
+
+
+def q_rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many documents each rule matches."""
+    return rules.rule_hits(table(spark, sf_dir, "documents"), _word_rules(spark, sf_dir), "doc_id", "text").groupBy(F.col("rule").cast("int").alias("rule"), "label").agg(F.count("*").alias("documents"))
+
+
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree of the world, regions, nations and customers; each third customer hangs on a region."""
+    nation, customer = table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer")
+    key = lambda letter, c: F.concat(F.lit(letter), c)
+    world = spark.createDataFrame([("w", None)], "code string, parent string")
+    regions = nation.select(key("r", "n_regionkey").alias("code"), F.lit("w").alias("parent")).distinct()
+    nations = nation.select(key("n", "n_nationkey").alias("code"), key("r", "n_regionkey").alias("parent"))
+    leaves = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(key("c", "c_custkey").alias("code"), F.when(F.col("c_custkey") % 3 == 0, key("r", "n_regionkey")).otherwise(key("n", "c_nationkey")).alias("parent"))
+    return world.union(regions).union(nations).union(leaves)
+
+
+def q_uneven_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    rows = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    leaves = rows.groupBy(F.year(F.col("o_orderdate").cast("date")).alias("year"), F.concat(F.lit("c"), "c_custkey").alias("code")).agg(geomean(F.col("o_totalprice") / 1000).alias("index"), F.first(F.abs("c_acctbal") + 1).alias("weight"))
+    found = tree.roll_up_tree(leaves, _places(spark, sf_dir), "year").where("code NOT LIKE 'c%'")
+    return found.select("year", "code", F.round("index", 4).alias("index"), F.round("weight", 2).alias("weight"))
+
+
+def q_leaves_below(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many leaves lie below each node."""
+    return tree.leaves_below(_places(spark, sf_dir)).groupBy("code").agg(F.count("*").alias("leaves"))
+
+
+def q_path_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tree with region 1 below its own nation of the smallest key, and nation 0 below a node that is not there."""
+    nation = table(spark, sf_dir, "nation")
+    first = nation.where("n_regionkey = 1").agg(F.concat(F.lit("n"), F.min("n_nationkey")).alias("first"))
+    places = _places(spark, sf_dir).crossJoin(first)  # one row
+    parent = F.when(F.col("code") == "r1", F.col("first")).when(F.col("code") == "n0", F.lit("nowhere")).otherwise(F.col("parent"))
+    return tree.path_faults(places.select("code", parent.alias("parent")))
+
+
+PLACES = """l AS (SELECT 'c' || c_custkey AS code, c_custkey, n_nationkey, n_regionkey, CASE WHEN c_custkey % 3 = 0 THEN 'r' || n_regionkey ELSE 'n' || n_nationkey END AS parent FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+WORD_RULES = """words AS (SELECT list_filter(regexp_extract_all(lower(text), '[a-z]+'), lambda w: length(w) >= 4) AS w FROM benchmark),
+        pairs AS (SELECT DISTINCT w[i] AS a, w[i + 1] AS b FROM (SELECT w, unnest(range(1, len(w))) AS i FROM words)),
+        r AS (SELECT a, b, row_number() OVER (ORDER BY a, b) AS rule FROM pairs),
+        hits AS (SELECT doc_id, rule, a || ' ' || b AS label FROM documents JOIN r ON contains(lower(text), a) AND contains(lower(text), b) WHERE regexp_matches(text, '(?i)(^|[^A-Za-z])' || a || '\\s+' || b || '([^A-Za-z]|$)')
+                 AND (rule % 5 <> 0 OR NOT regexp_matches(text, '(?i)(^|[^A-Za-z])' || b || '\\s+' || a || '([^A-Za-z]|$)')))"""
+
+
 QUERIES = {
     "streamed_days": (q_streamed_days, "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL"),
     "closed_sessions": (q_closed_sessions, """WITH g AS (SELECT user_id, ts, coalesce(ts - lag(ts) OVER w >= INTERVAL 2 HOURS, true) AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
         s AS (SELECT user_id, ts, sum(CAST(new AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS no FROM g),
         f AS (SELECT user_id, min(ts) AS begin, max(ts) + INTERVAL 2 HOURS AS "end", count(*) AS n FROM s GROUP BY user_id, no)
         SELECT user_id, begin, "end", n FROM f WHERE "end" <= (SELECT max(ts) FROM events) - INTERVAL 11 DAYS"""),
+    "landing_records": (q_landing, """WITH e AS (SELECT CAST(ts AS DATE) AS day, value, CASE WHEN event_id % 97 = 0 THEN 'no JSON' WHEN event_id % 89 = 0 THEN 'no record' WHEN event_id % 83 = 0 THEN 'no item'
+          WHEN event_id % 79 = 0 THEN 'no price' ELSE 'good' END AS fault FROM events)
+        SELECT day, fault, count(*) AS n, CASE WHEN fault = 'good' THEN round(sum(value), 2) END AS total FROM e WHERE day >= DATE '2024-01-11' GROUP BY day, fault"""),
+    "incremental_batches": (q_incremental, """WITH l AS (SELECT l_orderkey, l_linenumber, l_orderkey % 15 = 0 AS moved, CAST(l_shipdate AS DATE) AS d, CAST(l_extendedprice AS DOUBLE) AS p FROM lineitem),
+        m AS (SELECT l_orderkey, l_linenumber, CASE WHEN moved THEN CAST(d + INTERVAL 1 MONTH AS DATE) ELSE d END AS day, CASE WHEN moved THEN p + 1000 ELSE p END AS price FROM l)
+        SELECT l_orderkey, l_linenumber, strftime(day, '%Y-%m') AS month, day, price FROM m QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY price DESC, day DESC) = 1"""),
+    "export_verified": (q_exported, """SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month, count(*) AS n, count(*) AS stored, true AS ok, NOT (year(l_shipdate) = 1995 AND month(l_shipdate) = 3) AS intact
+        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity > 0 AND l_extendedprice > 0 GROUP BY ALL"""),
+    "seed_rewrite": (q_seed, """WITH m AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, sum(o_totalprice) / 1e7 AS headline, CAST(count(*) AS DOUBLE) AS core FROM orders GROUP BY 1)
+        SELECT month, CASE WHEN month(month) > 6 THEN round(headline * 2, 4) ELSE round(headline, 4) END AS headline, CASE WHEN month(month) > 7 THEN round(core + 0.123456, 4) ELSE core END AS core, CASE WHEN month(month) > 8 THEN 'new' ELSE 'seed' END AS note FROM m"""),
+    "many_rules": (q_many_rules, f"WITH {WORD_RULES}, f AS (SELECT doc_id, arg_min(label, (rule % 100, rule)) AS label FROM hits GROUP BY doc_id) SELECT doc_id, label FROM documents LEFT JOIN f USING (doc_id)"),
+    "rule_hits": (q_rule_hits, f"WITH {WORD_RULES} SELECT CAST(rule AS INTEGER) AS rule, label, count(*) AS documents FROM hits GROUP BY ALL"),
+    "uneven_tree": (q_uneven_tree, f"""WITH {PLACES}, v AS (SELECT year(o_orderdate) AS year, l.code, any_value(parent) AS parent, any_value('r' || n_regionkey) AS region, exp(avg(ln(o_totalprice / 1000))) AS index, any_value(abs(c_acctbal) + 1) AS weight
+          FROM orders JOIN customer ON o_custkey = customer.c_custkey JOIN l ON l.c_custkey = o_custkey GROUP BY ALL),
+        n AS (SELECT year, parent AS code, any_value(region) AS region, sum(index * weight) / sum(weight) AS index, sum(weight) AS weight FROM v WHERE parent LIKE 'n%' GROUP BY year, parent),
+        r AS (SELECT year, region AS code, sum(index * weight) / sum(weight) AS index, sum(weight) AS weight FROM (SELECT year, region, index, weight FROM n UNION ALL SELECT year, region, index, weight FROM v WHERE parent LIKE 'r%') GROUP BY year, region),
+        w AS (SELECT year, 'w' AS code, sum(index * weight) / sum(weight) AS index, sum(weight) AS weight FROM r GROUP BY year)
+        SELECT CAST(year AS INTEGER) AS year, code, round(index, 4) AS index, round(weight, 2) AS weight FROM (SELECT year, code, index, weight FROM n UNION ALL SELECT * FROM r UNION ALL SELECT * FROM w)"""),
+    "leaves_below": (q_leaves_below, f"""WITH {PLACES}, childless AS (SELECT 'n' || n_nationkey AS code, n_regionkey FROM nation WHERE 'n' || n_nationkey NOT IN (SELECT parent FROM l)),
+        b AS (SELECT code, code AS leaf FROM l UNION ALL SELECT parent, code FROM l WHERE parent LIKE 'n%' UNION ALL SELECT 'r' || n_regionkey, code FROM l UNION ALL SELECT 'w', code FROM l
+              UNION ALL SELECT code, code FROM childless UNION ALL SELECT 'r' || n_regionkey, code FROM childless UNION ALL SELECT 'w', code FROM childless)
+        SELECT code, count(*) AS leaves FROM b GROUP BY code"""),
+    "path_faults": (q_path_faults, f"""WITH RECURSIVE {PLACES}, f AS (SELECT 'n' || min(n_nationkey) AS first FROM nation WHERE n_regionkey = 1),
+        t AS (SELECT code, parent FROM l UNION ALL SELECT 'n' || n_nationkey, CASE WHEN n_nationkey = 0 THEN 'nowhere' ELSE 'r' || n_regionkey END FROM nation UNION ALL SELECT DISTINCT 'r' || n_regionkey, CASE WHEN n_regionkey = 1 THEN first ELSE 'w' END FROM nation, f),
+        below(code, top) AS (SELECT code, CASE WHEN code = 'n0' THEN 'lost' ELSE 'cycle' END FROM t, f WHERE code IN ('n0', 'r1') OR code = first UNION SELECT t.code, CASE WHEN top = 'lost' THEN 'lost' ELSE 'below a cycle' END FROM below JOIN t ON t.parent = below.code)
+        SELECT code, CASE WHEN bool_or(top = 'cycle') THEN 'cycle' WHEN bool_or(top = 'below a cycle') THEN 'below a cycle' ELSE 'lost' END AS fault FROM below GROUP BY code"""),
 }

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,18 +33,60 @@ def offloadable(rows: DataFrame, date: str, done: DataFrame, today: str, months:
     return counts.join(done.select("year", "month"), ["year", "month"], "left_anti")
 
 
+#: Schemes that tasks can open for themselves; files elsewhere come through Spark, whole.
+STREAMED = ("file", "s3", "gs", "gcs", "hdfs", "abfs", "abfss")
+PIECE = 4 << 20
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = []
+        for path in batch.column(0).to_pylist():
+            system, name = FileSystem.from_uri(quote(path, safe=":/"))
+            digest = hashlib.sha256()
+            with system.open_input_stream(name, buffer_size=PIECE) as stream:
+                while piece := stream.read(PIECE):
+                    digest.update(piece)
+            found.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], ["path", "length", "modified", "sha256"])
+
+
 def catalog_of(spark: SparkSession, root: str) -> DataFrame:
-    """``path, length, modified, sha256`` of all Parquet files below a folder."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
-    return files.select("path", "length", F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"))
+    """``path, length, modified, sha256`` of all Parquet files below a folder.
+
+    Tasks read files piece by piece, so that a file can be of any size, where they can open the file system by themselves; files of
+    other systems are read as one value, which holds 2 GB at most.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root).withColumnRenamed("modificationTime", "modified")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getScheme() not in STREAMED:
+        return files.select("path", "length", "modified", F.sha2("content", 256).alias("sha256"))
+    return files.select("path", "length", "modified").repartition("path").mapInArrow(_digests, "path string, length long, modified timestamp, sha256 string")
 
 
 def verified(spark: SparkSession, root: str, catalog: DataFrame) -> DataFrame:
-    """The catalogue with what is there now: ``ok`` where the checksum still holds."""
+    """The catalogue with what is there now: ``ok`` where the checksum still holds; files that are gone are not, and files that the catalogue lacks don't count."""
     now = catalog_of(spark, root).select("path", F.col("sha256").alias("now"))
     return catalog.join(now, "path", "left").withColumn("ok", F.coalesce(F.col("sha256") == F.col("now"), F.lit(False))).drop("now")
 
 
+def month_sums(rows: DataFrame, date: str, columns: Sequence[str]) -> DataFrame:
+    """``year, month, n, checksum``: the rows of each month and the sum of their hashes, which does not depend on their order or on files."""
+    hashed = F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+    return rows.groupBy(F.year(date).alias("year"), F.month(date).alias("month")).agg(F.count("*").alias("n"), hashed.alias("checksum"))
+
+
+def exported(rows: DataFrame, date: str, root: str) -> DataFrame:
+    """``offload``, and what came of it: ``year, month, n, stored, ok`` for each month written, ``ok`` where as many rows with the same checksum are read back. Only where it is true may the originals go."""
+    offload(rows, date, root)
+    columns = rows.columns
+    before = month_sums(rows, date, columns)
+    stored = rows.sparkSession.read.schema(rows.schema).parquet(root)
+    after = month_sums(stored, date, columns).withColumnsRenamed({"n": "stored", "checksum": "__now"})
+    same = (F.col("n") == F.col("stored")) & (F.col("checksum") == F.col("__now"))
+    return before.join(after, ["year", "month"], "left").select("year", "month", "n", F.coalesce("stored", F.lit(0)).alias("stored"), F.coalesce(same, F.lit(False)).alias("ok"))
+
+
 def seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A typed CSV; rows that don't fit the schema fail the read instead of turning null."""
     return spark.read.schema(schema).option("header", "true").option("mode", "FAILFAST").csv(path)
