@@ -13,7 +13,7 @@ from basketry.llm.decontaminate import contamination
 from basketry.llm.fertility import fertility
 from basketry.llm.filter_audit import filter_audit
 from basketry.llm.jaccard_join import jaccard_join
-from basketry.llm.license_scan import RULES, SENTENCES, scan
+from basketry.llm.license_scan import ENDORSE, KNOWN, MOST_LINES, RULES, scan
 from basketry.llm.mixing import mix
 from basketry.llm.sharding import sharded
 from basketry.llm.substring_dedup import substring_dedup
@@ -75,7 +75,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-_known = ", ".join(f"('{text}', '{name}')" for text, name in SENTENCES.items())
+_known = ", ".join(f"('{text}', '{name}')" for text, name in KNOWN.items())
 _rules = " ".join(f"WHEN contains(',' || sentence_ids || ',', ',{','.join(ids)},') THEN {i}" for i, (_, ids) in enumerate(RULES, 1))
 _names = ", ".join(f"'{name}'" for name, _ in RULES)
 
@@ -227,12 +227,18 @@ ORACLE: dict[str, str] = {
     """,
     "op3_license_scan": rf"""
         WITH k(s, id) AS (VALUES {_known}),
-        c AS (SELECT row_number() OVER () AS r, doc_id, string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                '[.!?]+(?:[ \t\r\f]+|\n|$)|\n', chr(10), 'g'), chr(10)) AS cut FROM documents),
-        u AS (SELECT r, i, trim(regexp_replace(cut[i], '[^a-z0-9]+', ' ', 'g')) AS s FROM (SELECT r, cut, unnest(range(1, len(cut) + 1)) AS i FROM c)),
-        f AS (SELECT r, string_agg(id, ',' ORDER BY i) AS ids FROM u JOIN k USING (s) GROUP BY r),
-        n AS (SELECT doc_id, coalesce(ids, '') AS sentence_ids FROM c LEFT JOIN f USING (r)),
-        m AS (SELECT doc_id, sentence_ids, CAST(CASE {_rules} ELSE 0 END AS INTEGER) AS rule_no FROM n)
-        SELECT doc_id, sentence_ids, rule_no, CASE WHEN rule_no > 0 THEN list_extract([{_names}], rule_no) END AS license FROM m
+        c AS (SELECT row_number() OVER () AS r, doc_id, regexp_replace(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ;', 'abcdefghijklmnopqrstuvwxyz' || chr(10)),
+                '(^|\n)[ \t]*(?:rem|dnl)([ \t\r\n]|$)', '\1\2', 'g'), '[.!?]+(?:[ \t\r\f]+|\n|$)', chr(10) || chr(10), 'g') AS t FROM documents),
+        m AS (SELECT r, doc_id, regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(t, '[^a-z0-9\n]+', ' ', 'g')), ' ?\n[ \n]*\n ?', '|', 'g'), ' ?\n ?', '~', 'g'),
+                '{ENDORSE}', 'neither the name of the copyright holder nor the names of its contributors', 'g') AS t FROM c),
+        u AS (SELECT r, cut, lines, i FROM (SELECT r, cut, string_split(parts[cut], '~') AS lines FROM (SELECT r, string_split('|' || t || '|', '|') AS parts, unnest(range(1, len(string_split('|' || t || '|', '|')) + 1)) AS cut FROM m)), unnest(range(1, len(lines) + 1)) x(i)),
+        h AS (SELECT DISTINCT split_part(s, ' ', 1) || ' ' || split_part(s, ' ', 2) AS head FROM k),
+        v AS (SELECT r, cut, i, unnest(range(i, least(len(lines), i + {MOST_LINES} - 1) + 1)) AS j, lines FROM u JOIN h ON head = split_part(array_to_string(lines[i:i + 1], ' '), ' ', 1) || ' ' || split_part(array_to_string(lines[i:i + 1], ' '), ' ', 2)),
+        f AS (SELECT r, cut, i, max(j) AS j, arg_max(id, j) AS id FROM v JOIN k ON s = array_to_string(lines[i:j], ' ') GROUP BY r, cut, i),
+        g AS (SELECT *, coalesce(max(j) OVER (PARTITION BY r, cut ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= i, false) AS covered FROM f),
+        w AS (SELECT r, string_agg(id, ',' ORDER BY cut, i) AS ids FROM g WHERE NOT covered GROUP BY r),
+        n AS (SELECT doc_id, coalesce(ids, '') AS sentence_ids FROM m LEFT JOIN w USING (r)),
+        o AS (SELECT doc_id, sentence_ids, CAST(CASE {_rules} ELSE 0 END AS INTEGER) AS rule_no FROM n)
+        SELECT doc_id, sentence_ids, rule_no, CASE WHEN rule_no > 0 THEN list_extract([{_names}], rule_no) END AS license FROM o
     """,
 }

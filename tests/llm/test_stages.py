@@ -120,3 +120,46 @@ def test_pipeline_stage_keeps_what_stands_nowhere_else(spark):
     assert sorted(r.doc_id for r in out.select("doc_id").collect()) == sorted(least.values()) and out.columns == docs.columns
     assert out.join(docs, docs.columns, "left_semi").count() == out.count()
     assert corpus_pipeline.one_of_near_copies(spark, docs.where(F.lit(False)), "").count() == 0
+
+
+ISC_TEXT = """Copyright 2020 Jane Roe
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE."""
+LGPL3_TEXT = """This library is free software: you can redistribute it and/or modify
+it under the terms of the GNU Lesser General Public License as published
+by the Free Software Foundation, either version 3 of the License, or (at
+your option) any later version."""
+MPL_TEXT = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"""
+APACHE_LINES = ['Licensed under the Apache License, Version 2.0 (the "License");', "you may not use this file except in compliance with the License.", "You may obtain a copy of the License at", "", "    http://www.apache.org/licenses/LICENSE-2.0"]
+ZLIB_TEXT = """This software is provided 'as-is', without any express or implied
+warranty.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+1. The origin of this software must not be misrepresented."""
+
+
+def test_more_licences_and_tags(spark):
+    from basketry.llm import license_scan
+
+    apache = "apache2-notice,apache2-compliance,apache2-copy"
+    cases = [(ISC_TEXT, "isc-grant,author-disclaims", "ISC"), (LGPL3_TEXT, "lgpl-grant,lgpl3-or-later", "LGPL-3.0-or-later"), (MPL_TEXT, "mpl2-notice,mpl2-copy", "MPL-2.0"), (ZLIB_TEXT, "zlib-as-is,zlib-grant", "Zlib")]
+    cases += [("\n".join(f"{sign} {line}" for line in APACHE_LINES), apache, "Apache-2.0") for sign in ("#", "//", "REM", "dnl", "--", ";;", " *")]
+    cases += [(f"// SPDX-License-Identifier: {name}\nint x;", f"spdx-{name.lower()}", name) for name in license_scan.SPDX]
+    cases += [(text.replace("\n", " "), ids, name) for text, ids, name in cases[1:2]]
+    cases += [("rem tene bras\nremote", "", None), ("SPDX-License-Identifier: MIT OR Nothing", "", None), (None, "", None), ("all rights reserved. " * 3000, ",".join(["all-rights"] * 3000), "proprietary")]
+    rows = spark.createDataFrame([(i if i else None, t, "clash", 1) for i, (t, _, _) in enumerate(cases)] * 2, "doc_id long, text string, sentence string, row int")
+    got = sorted(((r.doc_id or 0, r.sentence_ids, r.license) for r in license_scan.scan(rows).collect()), key=str)
+    assert got == sorted([(i, ids, name) for i, (_, ids, name) in enumerate(cases)] * 2, key=str)
+    assert license_scan.scan(rows.limit(0)).count() == 0 and len({name for name, _ in license_scan.RULES}) > 25
+    own = spark.createDataFrame([("rem tene bras", "own")], "sentence string, ids string")
+    assert [r.sentence_ids for r in license_scan.scan(spark.createDataFrame([(1, "x\n\nRem; tene\nbras!")], "doc_id long, text string"), own).collect()] == [""]  # a comment word goes
