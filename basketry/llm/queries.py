@@ -19,7 +19,7 @@ from basketry.llm.sharding import sharded
 from basketry.llm.substring_dedup import substring_dedup
 from basketry.llm.token_alignment import alignments, link_counts
 from basketry.llm.toxicity import toxicity
-from basketry.llm.url_filter import filter_urls
+from basketry.llm.url_filter import canonical_urls, filter_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,16 +54,22 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_table(spark, sf_dir, "documents"))
 
 
-# The rules of the query's contract, and sites listed as junk.
+# The rules of the query's contract, and names of sites whose pages are junk.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
-JUNK_SITES = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
-JUNK_DOMAINS = ["example.com", "example.net", "example.org"]
+JUNK_SITES = r"(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.example\.(com|net|org)$"
+
+
+def listed_urls(pages: DataFrame) -> DataFrame:
+    """The list of the query: the canonical URL of every page on a junk site, and decoys: those of all other pages under a host that does not exist, so that the list has as many entries as there are pages and nothing but the exact join tells which of them matter."""
+    urls = canonical_urls(pages)
+    junk = F.col("host").rlike(JUNK_SITES)
+    return urls.where(junk).union(urls.where(~junk).select(F.concat("host", F.lit(".invalid")), "path"))
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
-    sites = spark.createDataFrame([(f"{site}.{domain}", "/") for site in JUNK_SITES for domain in JUNK_DOMAINS], "host string, path string")
-    return filter_urls(_table(spark, sf_dir, "pages"), rules, sites).select("page_id", "host", "path", "rule", "verdict")
+    pages = _table(spark, sf_dir, "pages")
+    return filter_urls(pages, rules, listed_urls(pages)).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op9_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,9 +184,12 @@ ORACLE: dict[str, str] = {
                      coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
         r(h, p, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
         m AS (SELECT page_id, host, path, arg_max(h || r.p, length(h || r.p)) AS rule, arg_max(verdict, length(h || r.p)) AS verdict
-              FROM p LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, r.p) GROUP BY page_id, host, path)
-        SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN regexp_matches(host,
-                 '(^|@|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.example\.(com|net|org)\.*(:[0-9]*)?$') THEN 'block' ELSE 'allow' END) AS verdict FROM m
+              FROM p LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, r.p) GROUP BY page_id, host, path),
+        c AS (SELECT DISTINCT host, path, regexp_replace(regexp_replace(host, '(?s)^.*@', ''), '\.*(:[0-9]*)?$', '') AS ch, regexp_replace('/' || path || '/', '/+', '/', 'g') AS cp FROM p WHERE host <> ''),
+        junk AS (SELECT DISTINCT ch, cp FROM c WHERE regexp_matches(ch, '(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.example\.(com|net|org)$')),
+        list AS (SELECT * FROM junk UNION SELECT ch || '.invalid', cp FROM c WHERE (ch, cp) NOT IN (SELECT (ch, cp) FROM junk)),
+        hit AS (SELECT DISTINCT c.host, c.path FROM c JOIN list l ON (c.ch = l.ch OR ends_with(c.ch, '.' || l.ch)) AND starts_with(c.cp, l.cp))
+        SELECT page_id, m.host, m.path, rule, coalesce(verdict, CASE WHEN hit.host IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict FROM m LEFT JOIN hit ON hit.host = m.host AND hit.path = m.path
     """,
     "op11_filter_audit": r"""
         WITH w AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),

@@ -3,8 +3,9 @@
 A list entry is a host and a path ending in a slash; it covers the host, its subdomains and all paths below. A URL
 therefore has one key for each tail of its host's labels and each head of its path, as long as the list has such. Keys
 that the filter rules out cost no shuffle; the others are joined with the list, which removes false positives. Rules are
-matched with a URL's host and path as written; listed sites with their canonical form: without user, port and closing
-dots, without repeated slashes, and with a slash for an empty path (percent signs are left as they are).
+matched with a URL's host and path as written; listed URLs with their canonical form: A-Z lower-cased, without user, port
+and closing dots, without repeated slashes, and with a slash at the end of the path. ``www`` is a host as any other, and
+percent signs and other alphabets are left as they are.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from basketry.llm.store import kept
 
 def host(url: Column) -> Column:
     """After the first ``://`` up to a slash, question mark, number sign or the end, A-Z lower-cased; empty for null or without ``://``."""
-    return F.translate(F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return lower(F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit("")))
 
 
 def path(url: Column) -> Column:
@@ -32,14 +33,24 @@ def path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def lower(text: Column) -> Column:
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def canonical_host(host: Column) -> Column:
-    """Without user, port and closing dots."""
-    return F.regexp_replace(F.regexp_replace(host, r"(?s)^.*@", ""), r"\.*(?::[0-9]*)?$", "")
+    """Without user, port and closing dots, A-Z lower-cased."""
+    return F.regexp_replace(F.regexp_replace(lower(host), r"(?s)^.*@", ""), r"\.*(?::[0-9]*)?$", "")
 
 
 def canonical_path(path: Column) -> Column:
-    """With one slash for several, and one at the beginning."""
-    return F.regexp_replace(F.concat(F.lit("/"), path), "/+", "/")
+    """With one slash for several, one at the beginning and one at the end."""
+    return F.regexp_replace(F.concat(F.lit("/"), path, F.lit("/")), "/+", "/")
+
+
+def canonical_urls(urls: DataFrame) -> DataFrame:
+    """``host, path``, once each, of the canonical forms of ``urls`` (``url``); those without a host are left out."""
+    found = urls.select(canonical_host(host(F.col("url"))).alias("host"), canonical_path(path(F.col("url"))).alias("path"))
+    return found.where("host <> ''").distinct()
 
 
 RULE, SITE = "0 ", "1 "  # what a key begins with
@@ -71,9 +82,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, sites: DataFrame, bits_per_e
     are not read. Rules and sites may be tables of any size; entries with a null host are left out.
     """
     spark = pages.sparkSession
-    site_path = F.regexp_replace(F.concat(canonical_path(F.coalesce(F.col("path"), F.lit(""))), F.lit("/")), "/+", "/")
+    site_path = canonical_path(F.coalesce(F.col("path"), F.lit("")))
     entries = rules.where("host IS NOT NULL").select(F.lit(RULE).alias("form"), "host", F.coalesce("path", F.lit("/")).alias("path"), "verdict").union(
-        sites.where("host IS NOT NULL").select(F.lit(SITE), canonical_host(F.lower("host")), site_path, F.lit("block")))
+        sites.where("host IS NOT NULL").select(F.lit(SITE), canonical_host(F.col("host")), site_path, F.lit("block")))
     entries = entries.groupBy("form", F.concat("form", "host", "path").alias("key"), "host", "path").agg(F.min("verdict").alias("verdict"))
     entries = kept(entries.select("form", "key", "verdict", F.size(F.split("host", r"\.")).alias("labels"), (F.size(F.split("path", "/")) - 1).alias("depth")), "listed-urls")
     n, labels, depth = entries.agg(F.count("*"), F.coalesce(F.max("labels"), F.lit(1)), F.coalesce(F.max("depth"), F.lit(1))).first()

@@ -329,11 +329,11 @@ def test_whole_licenses(spark):
 
 def test_urls(spark):
     rules = spark.createDataFrame([("net", "/", "block"), ("example.net", "/en/", "allow")], "host string, path string, verdict string")
-    sites = spark.createDataFrame([("BAD.org.", None), ("bad.org", "/"), ("mixed.com", "/junk"), (None, "/")] + [(f"site{i}.example", "/") for i in range(20000)], "host string, path string")
+    sites = spark.createDataFrame([("BAD.org.", None), ("bad.org", "/"), ("mixed.com", "/junk"), ("BÜCHER.de", "/"), (None, "/")] + [(f"site{i}.example", "/") for i in range(20000)], "host string, path string")
     bad, ok = (None, "block", "bad.org/"), (None, "allow", None)
     urls = {"http://A.example.NET/en/x?q": ("example.net/en/", "allow", None), "http://example.net/de/": ("net/", "block", None), "https://www.bad.org/": bad, "http://bad.org": bad, "http://bad.org?x": bad,
             "http://bad.org:80/a": bad, "http://u:p@bad.org/": bad, "http://bad.org.": bad, "http://bad.org.:8080#x": bad, "http://bad.org@good.org/": ok, "http://notbad.org/": ok, "http://x.net": ok, None: ok, "nothing": ok, "": ok, "http://": ok,
-            "http://a.net?/en/": ok, "http://mixed.com/junk/x": (None, "block", "mixed.com/junk/"), "http://mixed.com//junk//x": (None, "block", "mixed.com/junk/"), "http://mixed.com/junky": ok, "http://a.site19999.example/x": (None, "block", "site19999.example/"), "http://site20000.example/x": ok}
+            "http://a.net?/en/": ok, "http://mixed.com/junk/x": (None, "block", "mixed.com/junk/"), "http://mixed.com//junk//x": (None, "block", "mixed.com/junk/"), "http://mixed.com/junky": ok, "http://mixed.com/junk": (None, "block", "mixed.com/junk/"), "http://MIXED.com/junk?x": (None, "block", "mixed.com/junk/"), "http://BÜCHER.de/": (None, "block", "bÜcher.de/"), "http://bücher.de/": ok, "http://a.site19999.example/x": (None, "block", "site19999.example/"), "http://site20000.example/x": ok}
     pages = spark.createDataFrame([(i, u, "clash", "clash") for i, u in enumerate(urls)] * 2 + [(None, None, "", "")], "page_id long, url string, host string, verdict string")
     got = [(r.url, (r.rule, r.verdict, r.site)) for r in filter_urls(pages, rules, sites).collect()]
     assert len(got) == 2 * len(urls) + 1 and all(urls[u] == v for u, v in got)
