@@ -275,3 +275,46 @@ def model_backtest(daily: DataFrame, features: Sequence[str], horizons: Sequence
     both = found.join(actual, ["division", "month"]).withColumns({"error": F.col("projection") - F.col("actual"), "change": moved("projection"), "truth": moved("actual")})
     hit = (F.col("change") * F.col("truth") >= 0) | ((F.abs("change") < 0.05) & (F.abs("truth") < 0.05))
     return both.groupBy("horizon").agg(F.sqrt(F.avg(F.col("error") ** 2)).alias("rmse"), F.avg(F.abs("error")).alias("mae"), F.avg(hit.cast("double")).alias("hits"), F.count("*").alias("cases"))
+
+
+# -- cards
+
+
+def division_cards(found: DataFrame, daily: DataFrame, weights: DataFrame, start: float = 100.0) -> DataFrame:
+    """A card for each division, month and horizon of ``projected(expanding_drifts(...))``: what is ``realized``, ``latest``, ``projected`` for the days left, the blended ``nowcast``, the ``prior`` index (the last one before the month, else ``start``), its change in per cent, and the ``contribution`` by ``weight`` (``division, weight``; taken as shares of the whole).
+
+    ``daily`` (``division, day, index``) gives the prior indices.
+    """
+    whole = weights.groupBy().agg(F.sum("weight").alias("__all"))  # one row
+    shares = weights.crossJoin(whole).select("division", (F.col("weight") / F.col("__all")).alias("weight"))
+    last = daily.where("index > 0").groupBy("division", F.trunc("day", "month").alias("month")).agg(F.max_by("index", "day").alias("last"))
+    before = last.withColumn("prior", F.lag("last").over(Window.partitionBy("division").orderBy("month"))).select("division", "month", "prior")
+    cards = found.join(shares, "division").join(before, ["division", "month"], "left").withColumn("prior", F.coalesce("prior", F.lit(start)))
+    share = F.day("day") / F.day(F.last_day("day"))
+    ahead = F.when(share < 1, (F.col("projection") - share * F.col("month_mean")) / (1 - share)).otherwise(F.col("month_mean"))
+    change = (F.col("projection") / F.col("prior") - 1) * 100
+    return cards.select("division", "month", "horizon", "day", "weight", F.col("month_mean").alias("realized"), "latest", ahead.alias("projected"), F.col("projection").alias("nowcast"), "prior", change.alias("change"), (F.col("weight") * change).alias("contribution"), "drift", "days_left")
+
+
+def daily_headlines(daily: DataFrame, weights: DataFrame) -> DataFrame:
+    """``day, headline``: the mean of the divisions there are, by weight."""
+    joined = daily.where("index > 0").join(weights, "division")
+    return joined.groupBy("day").agg((F.sum(F.col("index") * F.col("weight")) / nonzero(F.sum("weight"))).alias("headline"))
+
+
+def headline_cards(cards: DataFrame, daily: DataFrame, weights: DataFrame, core_without: Sequence[str], sigma: float = 0.25) -> DataFrame:
+    """``month, horizon, headline, core, prior, change, sigma, low, high`` from ``division_cards``: the weighted nowcast of all divisions and of those that are core, the change against the weighted prior, and a 95 % interval.
+
+    Its spread is the sample deviation of the month's daily headlines until the day (``sigma`` where there are too few or they are equal), and narrows
+    with the days left.
+    """
+    core = ~F.col("division").isin(*core_without)
+    mean = lambda c, keep: F.sum(F.when(keep, F.col(c) * F.col("weight"))) / nonzero(F.sum(F.when(keep, F.col("weight"))))
+    every = F.lit(True)
+    out = cards.groupBy("month", "horizon").agg(mean("nowcast", every).alias("headline"), mean("nowcast", core).alias("core"), mean("prior", every).alias("prior"), F.max("day").alias("day"))
+    days = daily_headlines(daily, weights).withColumn("__month", F.trunc("day", "month")).withColumnRenamed("day", "__day").withColumnRenamed("headline", "__headline")
+    spread = out.join(days, (F.col("month") == F.col("__month")) & (F.col("__day") <= F.col("day"))).groupBy("month", "horizon").agg(F.stddev_samp("__headline").alias("own"))
+    out = out.join(spread, ["month", "horizon"], "left").withColumn("sigma", F.when(F.col("own") > 0, F.col("own")).otherwise(F.lit(sigma)))
+    left = F.day(F.last_day("day")) - F.day("day")
+    margin = Z95 * F.col("sigma") * F.sqrt(left / F.day(F.last_day("day")))
+    return out.select("month", "horizon", "day", "headline", "core", "prior", ((F.col("headline") / F.col("prior") - 1) * 100).alias("change"), "sigma", F.greatest(F.col("headline") - margin, F.lit(0.0)).alias("low"), (F.col("headline") + margin).alias("high"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.operators import hedonic, match, nowcast, vectors
-from basketry.plans.index_queries import CHAIN, FACTORS, OBS, ROLLING, divisions, q_headline
+from basketry.plans.index_queries import CHAIN, CORE_WITHOUT, FACTORS, OBS, ROLLING, WEIGHTS, class_weights, divisions, q_headline
 from basketry.plans.view_queries import OFFICIAL, _official
 from basketry.sources.storage import catalog_of, offloadable
 from basketry.sources.scratch import written
@@ -120,6 +120,27 @@ def q_model_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("horizon", *[F.round(c, 4).alias(c) for c in ("rmse", "mae", "hits")], "cases")
 
 
+def _cards(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cards of the tenth and twentieth day of each month, with the structural prior."""
+    obs = observations(spark, sf_dir).groupBy("division", "day").agg(F.avg("price").alias("index"))
+    none = {c: F.lit(0.0) for c in ("momentum_14", "fx_7", "fx_14", "in_holiday")}
+    daily = nowcast.structural_prior(nowcast.momentum(obs, ["division"], "index", [7], "momentum").withColumns(none))
+    daily = written(daily, "nowcast-days")
+    weights = class_weights(spark, sf_dir).groupBy("division").agg(F.sum("weight").alias("weight"))
+    found = nowcast.projected(nowcast.expanding_drifts(daily, ["momentum_7"], (10, 20), [1.0]))
+    return nowcast.division_cards(found, daily, weights), daily, weights
+
+
+def q_nowcast_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cards, _, _ = _cards(spark, sf_dir)
+    return cards.select("division", "month", "horizon", "day", *[F.round(c, 4).alias(c) for c in ("weight", "realized", "latest", "projected", "nowcast", "prior", "change", "contribution")])
+
+
+def q_nowcast_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nowcast.headline_cards(*_cards(spark, sf_dir), CORE_WITHOUT)
+    return found.select("month", "horizon", "day", *[F.round(c, 4).alias(c) for c in ("headline", "core", "prior", "change", "sigma", "low", "high")])
+
+
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").where("value > 0")
     return e.groupBy(F.col("event_type").alias("division"), F.col("ts").cast("date").alias("day")).agg(F.avg("value").alias("index"))
@@ -139,7 +160,7 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = nowcast.momentum(exchange_rates(spark, sf_dir), [], "rate", [7, 14], "fx").select("day", "fx_7", "fx_14")
     holidays = spark.createDataFrame([("2024-01-07",)], "h string").select(F.col("h").cast("date").alias("holiday"))
     rows = nowcast.holiday_features(nowcast.training_target(rows, ["division"]).join(F.broadcast(fx), "day", "left"), holidays)
-    return rows.fillna(0.0, ["fx_7", "fx_14"]).withColumn("prior", F.lit(0.0002))
+    return nowcast.structural_prior(rows.fillna(0.0, ["fx_7", "fx_14"]))
 
 
 def q_drifts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +172,9 @@ def q_nowcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = daily.groupBy("division").agg(F.avg("index").alias("month_mean"), F.count("*").alias("days_seen"))
     now = q_drifts(spark, sf_dir).join(seen, "division")
     weights = seen.select("division", F.lit(20.0).alias("weight"))
-    return nowcast.headline_nowcast(nowcast.projected(now), weights, 50.0, 219.1)
+    days = nowcast.daily_headlines(daily, weights)
+    sigma = days.agg(F.stddev_samp("headline")).first()[0]  # of the month's days so far
+    return nowcast.headline_nowcast(nowcast.projected(now), weights, 50.0, 219.1, sigma or 0.25)
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,6 +230,30 @@ NORMAL = """s AS (SELECT count(*) AS n, sum(l_quantity) AS a, sum(l_discount) AS
   beta AS (SELECT (say * sbb - sby * sab) / (saa * sbb - sab * sab) AS qa, (sby * saa - say * sab) / (saa * sbb - sab * sab) AS qb, n, a, b, y FROM c)"""
 GROUPS = """WITH g AS (SELECT CAST(embedding AS DOUBLE[]) AS v, min(vec_id) AS id FROM embeddings GROUP BY 1),
         p AS (SELECT x.id AS a, y.id AS b, list_cosine_similarity(x.v, y.v) AS s FROM g x JOIN g y ON x.id < y.id WHERE list_cosine_similarity(x.v, y.v) >= 0.95)"""
+def _drift_sql(prior: str) -> str:
+    """Drifts of the model with one feature and one penalty, at each month and horizon."""
+    return f"""{OBS}, d0 AS (SELECT division, day, month, avg(price) AS index FROM obs GROUP BY ALL),
+        d1 AS (SELECT *, ln(index / coalesce(lag(index, 6) OVER w, first_value(index) OVER w)) AS x, day(last_day(day)) - day(day) AS rest FROM d0 WINDOW w AS (PARTITION BY division ORDER BY day)),
+        d AS (SELECT *, sum(index) OVER a AS s, count(*) OVER a AS c, sum(index) OVER (PARTITION BY division, month) AS ms, count(*) OVER (PARTITION BY division, month) AS mc
+              FROM d1 WINDOW a AS (PARTITION BY division, month ORDER BY day ROWS UNBOUNDED PRECEDING)),
+        seen AS (SELECT division, month, h, max(day) AS day, arg_max(index, day) AS latest, arg_max(s, day) AS ss, arg_max(c, day) AS sc, arg_max(x, day) AS x
+                 FROM d, (VALUES (5), (10), (15), (20), (25), (30)) t(h) WHERE day(day) <= h AND h <= day(last_day(month)) GROUP BY division, month, h),
+        full_t AS (SELECT division, month, x, ln((ms - s) / (mc - c) / index) / ((rest + 1) / 2.0) AS y FROM d WHERE rest >= 2 AND mc > c),
+        tr AS (SELECT q.division, q.month, q.h, f.x, f.y FROM seen q JOIN full_t f ON f.division = q.division AND f.month < q.month UNION ALL
+               SELECT q.division, q.month, q.h, d.x, ln((ss - s) / (sc - c) / index) / ((rest + 1) / 2.0) FROM seen q JOIN d ON d.division = q.division AND d.month = q.month AND d.day < q.day WHERE rest >= 2 AND sc > c),
+        g AS (SELECT division, month, h, count(*) AS n, avg(x) AS mx, avg(y) AS my, sum(x * y) - count(*) * avg(x) * avg(y) AS xy, sum(x * x) - count(*) * avg(x) * avg(x) AS xx FROM tr GROUP BY ALL),
+        p AS (SELECT q.*, coalesce(n, 0) AS n, my + (q.x - mx) * xy / (xx + 1.0) AS own, least(1.0, greatest(0.0, 1 - (n - 8) / 22.0)) AS w FROM seen q LEFT JOIN g USING (division, month, h)),
+        k AS (SELECT *, least(greatest(CASE WHEN n >= 8 THEN w * {prior} + (1 - w) * own ELSE {prior} END, -0.015), 0.015) AS drift, day(last_day(day)) - day(day) AS lft, day(day) / day(last_day(day)) AS share FROM p),"""
+
+
+DRIFTS = _drift_sql("0.0002")
+CARDS = f"""{WEIGHTS}, {_drift_sql("coalesce(x, 0) / 14 * 0.3")}
+        f AS (SELECT *, CASE WHEN lft > 0 THEN latest * CASE WHEN abs(drift) < 1e-12 THEN 1.0 ELSE exp(drift) * (pow(exp(drift), lft) - 1) / (exp(drift) - 1) / lft END ELSE ss / sc END AS ahead FROM k WHERE h IN (10, 20)),
+        w AS (SELECT division, sum(weight) / (SELECT sum(l_extendedprice) / 1e6 FROM lineitem JOIN part ON l_partkey = p_partkey) AS weight FROM weights GROUP BY division),
+        lm AS (SELECT division, month, lag(arg_max(index, day)) OVER (PARTITION BY division ORDER BY month) AS prior FROM d GROUP BY division, month),
+        cards AS (SELECT f.division, f.month, h AS horizon, f.day, weight, ss / sc AS realized, latest, ahead AS projected, CASE WHEN lft > 0 THEN share * ss / sc + (1 - share) * ahead ELSE ss / sc END AS nowcast, coalesce(prior, 100.0) AS prior
+                  FROM f JOIN w USING (division) LEFT JOIN lm ON lm.division = f.division AND lm.month = f.month)"""
+
 
 QUERIES = {
     "nearest_vectors": (q_nearest, """WITH p AS (SELECT q.vec_id AS query, r.vec_id AS neighbour, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(r.embedding AS DOUBLE[])) AS s FROM embeddings q JOIN embeddings r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0),
@@ -238,18 +285,15 @@ QUERIES = {
     "rolling_hedonics": (q_rolling_fits, f"""WITH {ROLLING} SELECT day, CAST(n AS BIGINT) AS n, round(y - b1 * x1 - b2 * x2, 6) + 0.0 AS constant, round(b1, 6) + 0.0 AS l_quantity, round(b2, 6) + 0.0 AS l_discount,
         round((b1 * s1y + b2 * s2y) / syy, 6) AS r2 FROM beta"""),
     "rolling_hedonic_prices": (q_rolling_prices, f"""WITH {ROLLING}, {FACTORS} SELECT l_orderkey, l_linenumber, day, round(factor, 6) AS factor FROM hf"""),
-    "model_backtest": (q_model_backtest, f"""WITH {OBS}, d0 AS (SELECT division, day, month, avg(price) AS index FROM obs GROUP BY ALL),
-        d1 AS (SELECT *, ln(index / coalesce(lag(index, 6) OVER w, first_value(index) OVER w)) AS x, day(last_day(day)) - day(day) AS rest FROM d0 WINDOW w AS (PARTITION BY division ORDER BY day)),
-        d AS (SELECT *, sum(index) OVER a AS s, count(*) OVER a AS c, sum(index) OVER (PARTITION BY division, month) AS ms, count(*) OVER (PARTITION BY division, month) AS mc
-              FROM d1 WINDOW a AS (PARTITION BY division, month ORDER BY day ROWS UNBOUNDED PRECEDING)),
-        seen AS (SELECT division, month, h, max(day) AS day, arg_max(index, day) AS latest, arg_max(s, day) AS ss, arg_max(c, day) AS sc, arg_max(x, day) AS x
-                 FROM d, (VALUES (5), (10), (15), (20), (25), (30)) t(h) WHERE day(day) <= h AND h <= day(last_day(month)) GROUP BY division, month, h),
-        full_t AS (SELECT division, month, x, ln((ms - s) / (mc - c) / index) / ((rest + 1) / 2.0) AS y FROM d WHERE rest >= 2 AND mc > c),
-        tr AS (SELECT q.division, q.month, q.h, f.x, f.y FROM seen q JOIN full_t f ON f.division = q.division AND f.month < q.month UNION ALL
-               SELECT q.division, q.month, q.h, d.x, ln((ss - s) / (sc - c) / index) / ((rest + 1) / 2.0) FROM seen q JOIN d ON d.division = q.division AND d.month = q.month AND d.day < q.day WHERE rest >= 2 AND sc > c),
-        g AS (SELECT division, month, h, count(*) AS n, avg(x) AS mx, avg(y) AS my, sum(x * y) - count(*) * avg(x) * avg(y) AS xy, sum(x * x) - count(*) * avg(x) * avg(x) AS xx FROM tr GROUP BY ALL),
-        p AS (SELECT q.*, coalesce(n, 0) AS n, my + (q.x - mx) * xy / (xx + 1.0) AS own, least(1.0, greatest(0.0, 1 - (n - 8) / 22.0)) AS w FROM seen q LEFT JOIN g USING (division, month, h)),
-        k AS (SELECT *, least(greatest(CASE WHEN n >= 8 THEN w * 0.0002 + (1 - w) * own ELSE 0.0002 END, -0.015), 0.015) AS drift, day(last_day(day)) - day(day) AS lft, day(day) / day(last_day(day)) AS share FROM p),
+    "nowcast_cards": (q_nowcast_cards, f"""WITH {CARDS} SELECT division, month, horizon, day, round(weight, 4) AS weight, round(realized, 4) AS realized, round(latest, 4) AS latest, round(projected, 4) AS projected,
+        round(nowcast, 4) AS nowcast, round(prior, 4) AS prior, round((nowcast / prior - 1) * 100, 4) AS change, round(weight * (nowcast / prior - 1) * 100, 4) AS contribution FROM cards"""),
+    "nowcast_headlines": (q_nowcast_headlines, f"""WITH {CARDS}, hd AS (SELECT d.day, date_trunc('month', d.day) AS month, sum(index * weight) / sum(weight) AS headline FROM d JOIN w USING (division) GROUP BY d.day),
+        gh AS (SELECT month, horizon, max(day) AS day, sum(nowcast * weight) / sum(weight) AS headline, sum(nowcast * weight) FILTER (division NOT IN ('ECONOMY', 'LARGE')) / sum(weight) FILTER (division NOT IN ('ECONOMY', 'LARGE')) AS core, sum(prior * weight) / sum(weight) AS prior FROM cards GROUP BY ALL),
+        sp AS (SELECT gh.month, horizon, stddev_samp(hd.headline) AS own FROM gh JOIN hd ON hd.month = gh.month AND hd.day <= gh.day GROUP BY ALL),
+        tt AS (SELECT gh.*, CASE WHEN own > 0 THEN own ELSE 0.25 END AS sigma FROM gh LEFT JOIN sp USING (month, horizon))
+        SELECT month, horizon, day, round(headline, 4) AS headline, round(core, 4) AS core, round(prior, 4) AS prior, round((headline / prior - 1) * 100, 4) AS change, round(sigma, 4) AS sigma,
+          round(greatest(headline - 1.95996 * sigma * sqrt((day(last_day(day)) - day(day)) / day(last_day(day))), 0.0), 4) AS low, round(headline + 1.95996 * sigma * sqrt((day(last_day(day)) - day(day)) / day(last_day(day))), 4) AS high FROM tt"""),
+    "model_backtest": (q_model_backtest, f"""WITH {DRIFTS}
         f AS (SELECT *, CASE WHEN lft > 0 THEN share * ss / sc + (1 - share) * latest * CASE WHEN abs(drift) < 1e-12 THEN 1.0 ELSE exp(drift) * (pow(exp(drift), lft) - 1) / (exp(drift) - 1) / lft END ELSE ss / sc END AS projection FROM k),
         a0 AS (SELECT division, month, avg(index) AS actual, count(*) AS n FROM d GROUP BY ALL),
         a AS (SELECT *, lag(actual) OVER (PARTITION BY division ORDER BY month) AS last, lag(month) OVER (PARTITION BY division ORDER BY month) AS lm FROM a0),

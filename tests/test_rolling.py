@@ -7,6 +7,7 @@ import statistics
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from basketry.operators import hedonic, nowcast
 
@@ -165,3 +166,21 @@ def test_nothing_after_the_day_is_used(spark):
     one, two = ({(r.month, r.horizon): r.drift for r in nowcast.expanding_drifts(spark.createDataFrame(x, form), ["a"], (5, 15)).collect()} for x in (rows, upset))
     early = [k for k in one if k[0].replace(day=k[1]) <= D(2024, 3, 15)]
     assert len(early) == 6 and all(one[k] == two[k] for k in early) and any(one[k] != two[k] for k in one)
+
+
+def test_cards_add_up(spark):
+    daily = [(d, D(2024, 1, 30) + datetime.timedelta(days=i), 100.0 + k * 10 + i) for k, d in enumerate(("01", "02", "03")) for i in range(25)]
+    frame = spark.createDataFrame(daily, "division string, day date, index double").withColumn("prior", F.lit(0.001)).withColumn("a", F.lit(0.0))
+    weights = spark.createDataFrame([("01", 2.0), ("02", 1.0), ("03", 1.0), ("04", 9.0)], "division string, weight double").where("division <> '04'")
+    found = nowcast.projected(nowcast.expanding_drifts(frame, ["a"], (10,), [1.0])).where("month = DATE '2024-02-01'")
+    cards = nowcast.division_cards(found, frame, weights)
+    got = {r.division: r for r in cards.collect()}
+    assert {d: r.weight for d, r in got.items()} == {"01": 0.5, "02": 0.25, "03": 0.25}
+    first = got["01"]
+    assert first.prior == 101.0 and first.latest == 111.0 and first.realized == pytest.approx(106.5) and first.days_left == 19
+    assert first.nowcast == pytest.approx(10 / 29 * first.realized + 19 / 29 * first.projected) and first.contribution == pytest.approx(0.5 * (first.nowcast / 101 - 1) * 100)
+    head = nowcast.headline_cards(cards, frame, weights, ["02"]).first()
+    assert head.headline == pytest.approx(sum(r.weight * r.nowcast for r in got.values())) and head.core == pytest.approx((0.5 * got["01"].nowcast + 0.25 * got["03"].nowcast) / 0.75)
+    assert head.sigma == pytest.approx(statistics.stdev(range(10))) and head.high - head.headline == pytest.approx(nowcast.Z95 * head.sigma * math.sqrt(19 / 29)) and head.change == pytest.approx((head.headline / head.prior - 1) * 100)
+    flat = frame.withColumn("index", F.lit(100.0))
+    assert nowcast.headline_cards(nowcast.division_cards(found, flat, weights), flat, weights, ["02"]).first().sigma == 0.25
