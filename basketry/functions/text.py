@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ UNIT_SYNONYMS = {
     "l": ["l", "ltr", "litre", "liter", "litres", "liters"], "cl": ["cl", "centilitre", "centiliter", "centilitres", "centiliters"], "can": ["can", "cans"], "bottle": ["bottle", "bottles"],
     "box": ["box", "boxes"], "pack": ["pack", "packs", "pk"], "bag": ["bag", "bags"], "piece": ["piece", "pieces", "pc", "pcs"], "cup": ["cup", "cups"], "bar": ["bar", "bars"],
     "tube": ["tube", "tubes"], "packet": ["packet", "packets", "pkt"], "roll": ["roll", "rolls"], "stick": ["stick", "sticks"], "pair": ["pair", "pairs"], "set": ["set", "sets"], "dozen": ["dozen", "doz"],
+    "oz": ["oz", "ounce", "ounces"], "lb": ["lb", "lbs", "pound", "pounds"], "sachet": ["sachet", "sach"], "carton": ["carton", "ctn"], "jar": ["jar", "jars"], "tablet": ["tablet", "tab", "tablets"],
+    "capsule": ["capsule", "cap", "capsules"], "serving": ["serving", "servings"],
 }
 TO_BASE = {"kg": ("mass", 1.0), "g": ("mass", 0.001), "l": ("volume", 1.0), "ml": ("volume", 0.001), "cl": ("volume", 0.01)}
 NUMBER, MEASURE = r"([0-9]+(?:\.[0-9]+)?)", "(kg|g|ml|l|cl|oz|lb)"
@@ -34,9 +37,23 @@ def replaced(text: Column, table: Mapping[str, str]) -> Column:
     return text
 
 
+def unescaped(text: Column) -> Column:
+    """Character references as their characters: those of ENTITIES by that table, other Latin-1 names (with a semicolon) and numbers (decimal or after ``x``); what is no reference stays."""
+
+    def character(reference: Column) -> Column:
+        inside = F.regexp_replace(reference, "^&|;$", "")
+        number = F.coalesce(F.conv(extract(inside, "^#[xX]([0-9a-fA-F]{1,6})$"), 16, 10), extract(inside, "^#([0-9]{1,7})$")).cast("int")
+        known = F.when(number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF), F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+        return F.coalesce(known, looked_up({name: chr(code) for name, code in name2codepoint.items()}, inside), reference)
+
+    references = F.array_distinct(F.regexp_extract_all(text, F.lit("(&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&[a-zA-Z][a-zA-Z0-9]*;)"), F.lit(1)))
+    done = F.aggregate(references, replaced(text, ENTITIES), lambda t, r: F.replace(t, r, character(r)))
+    return F.when(F.contains(text, F.lit("&")), done).otherwise(text)
+
+
 def clean_name(text: Column | str) -> Column:
     """A name for matching: entities decoded, amounts of money and promotional words cut, digits in one script, single spaces, upper case. Null gives an empty string."""
-    t = replaced(F.coalesce(col(text), F.lit("")), ENTITIES)
+    t = unescaped(F.coalesce(col(text), F.lit("")))
     t = F.translate(t, *KHMER_DIGITS)
     t = F.regexp_replace(t, r"(?i)(?:US\$|\$|៛)\s*[0-9][0-9,.]*|[0-9][0-9,.]*\s*(?:KHR|USD|riels?|៛|\$)", " ")
     t = F.regexp_replace(t, r"(?i)\b(?:" + "|".join(PROMO_WORDS) + r")\b", " ")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.exprs import any_of, col
 from basketry.operators.joins import latest
+from basketry.operators.rules import rule_hits
+from basketry.sources.scratch import written
 
 # The ladder's steps from the strongest, with their confidence, and default classes of divisions.
 LADDER = [("cache", 1.0), ("override", 1.0), ("purity", 0.95), ("trap", 1.0), ("model", 0.85), ("global_override", 0.95), ("text_rule", 0.9), ("category", 0.9), ("store_default", 0.8)]
@@ -77,6 +79,21 @@ def overrides(items: DataFrame, rules: DataFrame) -> DataFrame:
     return items.join(best, "item", "left").select(*items.columns, F.col("__rule.division").alias("override_division"), F.col("__rule.kind").alias("override_kind"))
 
 
+def pattern_overrides(items: DataFrame, rules: DataFrame) -> DataFrame:
+    """``overrides`` by name where values are regular expressions between word boundaries, in any case: adds ``override_division`` to items (``item, store, name``) by ``rules`` (``value, store, division``).
+
+    A rule of the item's store goes before one for all stores (null or blank), then the longest value wins, then the smallest. Rules are
+    tried behind their literals (``rules.rule_hits``), so they may be many.
+    """
+    number = F.row_number().over(Window.orderBy("value", "store", "division"))  # a row a rule
+    known = rules.where("trim(value) <> '' AND division IS NOT NULL").select("value", F.nullif("store", F.lit("")).alias("scope"), "division")
+    known = written(known.withColumn("store", F.coalesce("scope", F.lit(""))).withColumn("rule", number).drop("store"), "override-rules")
+    tried = known.select("rule", F.concat(F.lit(r"\b(?:"), F.lower("value"), F.lit(r")\b")).alias("pattern"), F.lit(None).cast("string").alias("negative_pattern"), "scope", "value", "division")
+    hits = rule_hits(items, tried, "item", "name").join(items.select("item", "store"), "item").where("scope IS NULL OR scope = store")
+    best = hits.groupBy("item").agg(F.min_by("division", F.struct(F.col("scope").isNull(), -F.length("value"), "value", "division")).alias("override_division"))
+    return items.join(best, "item", "left")
+
+
 def guarded(division: Column | str, store: Column | str, only: dict[str, Sequence[str]], never: dict[str, Sequence[str]]) -> Column:
     """A model's division, or null where a store cannot have it: divisions of ``only`` belong to these stores alone, those of ``never`` to none of these."""
     d, s = col(division), F.coalesce(col(store), F.lit(""))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.operators import hedonic, match, nowcast, vectors
+from basketry.operators import classify, hedonic, match, nowcast, vectors
 from basketry.plans.index_queries import CHAIN, CORE_WITHOUT, FACTORS, OBS, ROLLING, WEIGHTS, class_weights, divisions, q_headline
 from basketry.plans.view_queries import OFFICIAL, _official
 from basketry.sources.storage import catalog_of, offloadable
@@ -64,6 +64,34 @@ def q_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.merge_duplicates(items).select("item", "master", "members")
 
 
+def q_merge_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts by the item that is left after the merge of duplicates."""
+    merges = q_duplicates(spark, sf_dir).select("item", "master")
+    facts = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("item"), "l_quantity")
+    return match.repointed(facts, merges).groupBy("item").agg(F.count("*").alias("facts"), F.round(F.sum("l_quantity"), 2).alias("quantity"))
+
+
+def q_review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A queue of names with equal, differing and unclear specifications; some codes and names are known."""
+    part, n = table(spark, sf_dir, "part"), F.col("p_size")
+    named = lambda size: F.concat("p_name", F.lit(" "), size, F.lit("GB"))
+    proposed = F.when(n % 3 == 0, F.concat(F.lit("  "), F.upper(named(n)), F.lit(" "))).when(n % 5 == 0, F.concat("p_name", F.lit(" extra"))).otherwise(named(n + 1))
+    queue = part.select(F.col("p_partkey").alias("review"), (F.col("p_partkey") * 10).alias("raw_id"), named(n).alias("raw_name"), F.concat(F.lit("p"), "p_partkey").alias("item"), proposed.alias("item_name"),
+                        F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("88"), n)).alias("barcode"), F.col("p_brand").alias("brand"), F.lit(None).cast("string").alias("size"))
+    none = F.lit(None).cast("string")
+    codes = part.where("p_size <= 10").select(F.concat(F.lit("c"), n).alias("item"), none.alias("name"), F.concat(F.lit("88"), n).alias("barcode"), none.alias("size")).distinct()
+    known = part.where("p_partkey % 7 = 0").select(F.concat(F.lit("n"), "p_partkey"), named(n), none, none)
+    return match.reviewed(queue, codes.union(known))
+
+
+def q_pattern_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    items = part.select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("store"), F.concat_ws(" ", "p_name", "p_type").alias("name"))
+    store = F.when(F.col("p_partkey") % 40 == 0, F.col("p_brand")).otherwise(F.lit(""))
+    rules = part.where("p_partkey % 20 = 0").select(F.concat(F.upper(F.split_part("p_name", F.lit(" "), F.lit(1))), F.lit("\\s+[a-f][a-z]*")).alias("value"), store.alias("store"), F.lpad((F.col("p_size") % 12 + 1).cast("string"), 2, "0").alias("division"))
+    return classify.pattern_overrides(items, rules.distinct()).select("item", "override_division")
+
+
 def q_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = written(observations(spark, sf_dir).select("item", "store", "name").distinct(), "records")
     records = rows.select((F.col("item") * 10000 + F.col("store")).alias("raw_id"), "store", F.when(F.col("item") % 3 == 0, F.concat(F.lit("88"), F.lpad(F.col("item").cast("string"), 8, "0"))).alias("barcode"),
@@ -269,6 +297,22 @@ QUERIES = {
     "merge_duplicates": (q_duplicates, """WITH i AS (SELECT p_partkey AS item, upper(trim(p_name)) AS nm, CASE WHEN p_size % 3 <> 0 THEN CAST(p_size AS VARCHAR) END AS size, p_partkey % 4 = 0 AS coded, p_retailprice AS created FROM part),
         z AS (SELECT nm, count(DISTINCT size) AS k, max(size) AS only_size FROM i GROUP BY nm), j AS (SELECT i.*, coalesce(size, CASE WHEN k = 1 THEN only_size END, '') AS sz FROM i JOIN z USING (nm))
         SELECT item, first_value(item) OVER (PARTITION BY nm, sz ORDER BY CASE WHEN coded THEN 0 ELSE 1 END, created, item) AS master, count(*) OVER (PARTITION BY nm, sz) AS members FROM j"""),
+    "merge_applied": (q_merge_applied, """WITH i AS (SELECT p_partkey AS item, upper(trim(p_name)) AS nm, CASE WHEN p_size % 3 <> 0 THEN CAST(p_size AS VARCHAR) END AS size, p_partkey % 4 = 0 AS coded, p_retailprice AS created FROM part),
+        z AS (SELECT nm, count(DISTINCT size) AS k, max(size) AS only_size FROM i GROUP BY nm), j AS (SELECT i.*, coalesce(size, CASE WHEN k = 1 THEN only_size END, '') AS sz FROM i JOIN z USING (nm)),
+        m AS (SELECT item, first_value(item) OVER (PARTITION BY nm, sz ORDER BY CASE WHEN coded THEN 0 ELSE 1 END, created, item) AS master FROM j)
+        SELECT master AS item, count(*) AS facts, round(sum(l_quantity), 2) AS quantity FROM lineitem JOIN m ON l_partkey = item GROUP BY master"""),
+    "review_queue": (q_review_queue, """WITH q AS (SELECT p_partkey AS review, p_partkey * 10 AS raw_id, 'p' || p_partkey AS item, upper(p_name || ' ' || p_size || 'GB') AS title, p_size % 3 = 0 AS same, p_size % 5 <> 0 AS apart, p_size, p_brand,
+          CASE WHEN p_partkey % 4 = 0 THEN '88' || p_size END AS code FROM part),
+        names AS (SELECT upper(p_name || ' ' || p_size || 'GB') AS title, min('n' || p_partkey) AS by_name FROM part WHERE p_partkey % 7 = 0 GROUP BY 1),
+        f AS (SELECT q.*, by_name, CASE WHEN code IS NOT NULL AND p_size <= 10 THEN 'c' || p_size END AS by_code FROM q LEFT JOIN names USING (title)),
+        n AS (SELECT *, CASE WHEN NOT same AND by_code IS NULL AND by_name IS NULL THEN coalesce('b|' || code, 'n|' || title) END AS fresh FROM f),
+        g AS (SELECT *, min(review) OVER (PARTITION BY fresh) AS maker FROM n)
+        SELECT review, raw_id, CASE WHEN same THEN 'approve' ELSE 'split' END AS decision, CASE WHEN same THEN item ELSE coalesce(by_code, by_name, 'new' || maker) END AS item,
+          CASE WHEN same THEN 'rule_guard' WHEN by_code IS NOT NULL THEN 'barcode' WHEN by_name IS NOT NULL THEN 'name' ELSE 'new' END AS method, CAST(CASE WHEN same OR apart OR by_code IS NOT NULL THEN 1.0 ELSE 0.85 END AS DOUBLE) AS confidence FROM g"""),
+    "pattern_overrides": (q_pattern_overrides, r"""WITH i AS (SELECT p_partkey AS item, p_brand AS store, p_name || ' ' || p_type AS name FROM part),
+        r AS (SELECT DISTINCT upper(split_part(p_name, ' ', 1)) || '\s+[a-f][a-z]*' AS value, CASE WHEN p_partkey % 40 = 0 THEN p_brand END AS scope, lpad(CAST(p_size % 12 + 1 AS VARCHAR), 2, '0') AS division FROM part WHERE p_partkey % 20 = 0),
+        h AS (SELECT item, arg_min(division, (scope IS NULL, -length(value), value, division)) AS override_division FROM i JOIN r ON (scope IS NULL OR scope = store) AND regexp_matches(name, '(?i)\b(?:' || lower(value) || ')\b') GROUP BY item)
+        SELECT item, override_division FROM i LEFT JOIN h USING (item)"""),
     "matching_ladder": (q_ladder, f"""WITH {OBS}, r AS (SELECT DISTINCT item, store, name FROM obs), t AS (SELECT item * 10000 + store AS raw_id, item, store, name, CASE WHEN item % 3 = 0 AND item <> 0 THEN '88' || lpad(CAST(item AS VARCHAR), 8, '0') END AS barcode,
         CASE WHEN item % 5 = 0 THEN CAST(item AS VARCHAR) END AS sku, CAST(item % 2 AS VARCHAR) AS size FROM r),
         nm AS (SELECT p_name AS name, CAST(p_partkey % 2 AS VARCHAR) AS size, 'p' || min(p_partkey) AS found FROM part WHERE p_partkey % 7 = 0 GROUP BY ALL),
