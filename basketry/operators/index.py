@@ -256,3 +256,12 @@ def compiled(obs: DataFrame, weights: DataFrame, levels: Sequence[Sequence[str]]
     relatives = written(compiled_relatives(obs, levels, period, window), "compiled-relatives")
     classes = store_balanced(relatives, [period, "division", "class"])
     return written(division_grid(classes, relatives, weights, period, factors), "division-grid")
+
+
+def relative_quality(filled: DataFrame, kept: DataFrame, period: str = "month") -> DataFrame:
+    """By period what became of the relatives: ``items`` there were, ``imputed`` ones and their share in per cent, ``outliers`` left out, ``shadowed`` (kept, but new and only tracked), ``active`` ones that the index is made of, and ``stores`` that they come from. ``kept`` is ``drop_outliers`` of ``filled``."""
+    before = filled.groupBy(period).agg(F.count("*").alias("items"), F.count_if("imputed").alias("imputed"))
+    new = F.col("base_period") == F.col(period)
+    after = kept.groupBy(period).agg(F.count("*").alias("__kept"), F.count_if(new).alias("shadowed"), F.countDistinct(F.when(~new, F.col("store"))).alias("stores"))
+    joined = before.join(after, period, "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("__kept", "shadowed", "stores")})
+    return joined.select(period, "items", "imputed", (100.0 * F.col("imputed") / F.col("items")).alias("imputation_rate"), (F.col("items") - F.col("__kept")).alias("outliers"), "shadowed", (F.col("__kept") - F.col("shadowed")).alias("active"), "stores")

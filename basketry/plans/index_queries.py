@@ -90,16 +90,41 @@ def q_headline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return headline(spark, sf_dir).select("month", _r("headline"), _r("core"), _r("coverage"))
 
 
-def _compiled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole chain over the sample: a third of the items have unit prices, some of them from a misread pack; a tenth of the items have hedonic prices."""
+LEVELS = [["class", "division"], ["class"], ["division"]]
+
+
+def _chain_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Observations and hedonic prices of the whole chain: a third of the items have unit prices, some of them from a misread pack; a tenth of the items have hedonic prices."""
     obs = observations(spark, sf_dir)
     misread = F.when(F.col("store") % 17 == 0, 24.0).otherwise(1.0)
     obs = obs.withColumn("unit_price", F.when(F.col("item") % 3 == 0, F.col("price") / 2 * misread))
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("item"), F.col("l_suppkey").alias("store"), F.col("l_shipdate").cast("date").alias("day"), "l_quantity", "l_discount", F.col("l_extendedprice").alias("price"))
     adjusted = hedonic.rolling_adjusted(rows, ["l_quantity", "l_discount"]).where("item % 10 = 0").select("item", "store", "day", (F.col("price") * F.col("factor") / F.col("l_quantity")).alias("adjusted"))
+    return obs, adjusted
+
+
+def _compiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs, adjusted = _chain_inputs(spark, sf_dir)
     daily = obs.groupBy("day").agg(F.avg("price").alias("headline"), F.count("*").alias("observations"))
     factors = tree.splice(tree.december_factors(daily).select("effective_from", "factor"), obs.select("month").distinct())
-    return index.compiled(obs, class_weights(spark, sf_dir), [["class", "division"], ["class"], ["division"]], adjusted=adjusted, factors=factors)
+    return index.compiled(obs, class_weights(spark, sf_dir), LEVELS, adjusted=adjusted, factors=factors)
+
+
+def q_index_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the whole chain imputes, leaves out and only tracks, by month."""
+    obs, adjusted = _chain_inputs(spark, sf_dir)
+    prices = written(index.compared_prices(index.with_hedonic(obs, adjusted, also="unit_price")), "compared-prices")
+    filled = written(index.impute(prices, LEVELS, carried="ratio", moved=("unit", "shelf")).where("ratio > 0"), "compared-relatives")
+    found = index.relative_quality(filled, index.drop_outliers(filled, ["month", "division"]))
+    return found.withColumn("imputation_rate", F.round("imputation_rate", 4))
+
+
+def q_headline_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last month's headline, core, change and active items in one row."""
+    along = Window.orderBy("month")  # a row a month
+    rows = q_compiled(spark, sf_dir).withColumn("before", F.lag("headline").over(along))
+    change = F.round((F.col("headline") / F.col("before") - 1) * 100, 3) + 0.0
+    return rows.orderBy(F.desc("month")).limit(1).select("month", "headline", "core", change.alias("change"), F.col("items").alias("active_items"))
 
 
 def q_compiled_divisions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,13 +298,21 @@ COMPILED = f"""WITH {OBS}, {ROLLING}, {FACTORS}, {DAILY}, {DECEMBER}, {WEIGHTS},
   divs AS (SELECT g.month, g.division, g.weight, di.index * splice.factor AS index, coalesce(items, 0) AS items, coalesce(observations, 0) AS observations
     FROM (SELECT month, division, weight FROM (SELECT DISTINCT month FROM cn) CROSS JOIN dw) g LEFT JOIN di USING (month, division) LEFT JOIN cn USING (month, division) LEFT JOIN splice USING (month))"""
 
+COMPILED_INDEX = f"""{COMPILED}, core AS (SELECT month, sum(index * weight) FILTER (division NOT IN ('ECONOMY', 'LARGE')) / sum(weight) FILTER (division NOT IN ('ECONOMY', 'LARGE') AND index IS NOT NULL) AS core,
+        sum(index * weight) / sum(weight) FILTER (index IS NOT NULL) AS present, CAST(sum(items) AS BIGINT) AS items FROM divs GROUP BY month)
+        SELECT month, round(sum(coalesce(index, core, present) * weight) / sum(weight), 3) AS headline, round(any_value(core), 3) AS core, round(100 * sum(weight) FILTER (index IS NOT NULL) / sum(weight), 4) AS coverage, any_value(core.items) AS items FROM divs JOIN core USING (month) GROUP BY month"""
+
 
 QUERIES = {
     "headline_index": (q_headline, f"WITH {CHAIN} SELECT month, round(headline, 4) AS headline, round(core, 4) AS core, round(coverage, 4) AS coverage FROM headline"),
     "compiled_divisions": (q_compiled_divisions, f"{COMPILED} SELECT month, division, round(weight, 3) AS weight, round(index, 3) AS index, items, observations FROM divs"),
-    "compiled_index": (q_compiled, f"""{COMPILED}, core AS (SELECT month, sum(index * weight) FILTER (division NOT IN ('ECONOMY', 'LARGE')) / sum(weight) FILTER (division NOT IN ('ECONOMY', 'LARGE') AND index IS NOT NULL) AS core,
-        sum(index * weight) / sum(weight) FILTER (index IS NOT NULL) AS present, CAST(sum(items) AS BIGINT) AS items FROM divs GROUP BY month)
-        SELECT month, round(sum(coalesce(index, core, present) * weight) / sum(weight), 3) AS headline, round(any_value(core), 3) AS core, round(100 * sum(weight) FILTER (index IS NOT NULL) / sum(weight), 4) AS coverage, any_value(core.items) AS items FROM divs JOIN core USING (month) GROUP BY month"""),
+    "compiled_index": (q_compiled, COMPILED_INDEX),
+    "headline_scalars": (q_headline_scalars, f"""SELECT month, headline, core, round((headline / before - 1) * 100, 3) + 0.0 AS change, items AS active_items
+        FROM (SELECT *, lag(headline) OVER (ORDER BY month) AS before FROM ({COMPILED_INDEX})) ORDER BY month DESC LIMIT 1"""),
+    "index_quality": (q_index_quality, f"""{COMPILED}, all_k AS (SELECT *, CASE WHEN gn >= 5 AND mad > 1e-6 THEN abs(lr - md) <= 3.5 * 1.4826 * mad ELSE ratio BETWEEN 0.33 AND 3.0 END AS stays FROM k2),
+        q1 AS (SELECT month, count(*) AS items, count(*) FILTER (store IS NULL) AS imputed FROM filled GROUP BY month),
+        q2 AS (SELECT month, count(*) FILTER (stays) AS kept, count(*) FILTER (stays AND base_period = month) AS shadowed, count(DISTINCT store) FILTER (stays AND base_period < month) AS stores FROM all_k GROUP BY month)
+        SELECT month, items, imputed, round(100.0 * imputed / items, 4) AS imputation_rate, items - kept AS outliers, shadowed, kept - shadowed AS active, stores FROM q1 JOIN q2 USING (month)"""),
     "item_prices": (q_item_prices, f"WITH {OBS}, {PRICES} SELECT month, item, round(price, 7) AS price, observations, store FROM prices"),
     "base_prices": (q_base_prices, f"WITH {OBS}, {BASE} SELECT item, base_period, round(base_price, 7) AS base_price, base_observations FROM base"),
     "jevons_by_class": (q_jevons, f"WITH {OBS}, {PRICES}, {BASE}, {RATIOS} SELECT month, class, round(100 * exp(avg(ln(ratio))), 4) AS index, count(*) AS items FROM ratios GROUP BY month, class"),

@@ -109,6 +109,21 @@ def q_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return storage.seed(spark, path, "month date, headline double, core double, note string")
 
 
+def q_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sheet for each month of the orders: a title, the month in row 4, the headline with its changes and a division for each priority; every other sheet names its month by a date."""
+    orders = table(spark, sf_dir, "orders").withColumn("month", F.trunc(F.col("o_orderdate").cast("date"), "month"))
+    monthly = orders.groupBy("month").agg(F.avg("o_totalprice").alias("headline"), F.count("*").alias("n"))
+    parts = orders.groupBy("month", F.substring("o_orderpriority", 1, 1).alias("p")).agg(F.avg("o_totalprice").alias("index"))
+    cell = lambda row, col, value: F.struct(F.lit(row).alias("row"), F.lit(col).alias("col"), value.cast("string").alias("value"))
+    name = F.when(F.month("month") % 2 == 0, F.date_format("month", "MMMM yyyy")).otherwise(F.date_format("month", "yyyy-MM-dd"))
+    heads = F.array(cell(0, 0, F.lit("Consumer prices, published Dec 1980")), cell(4, 0, F.lit("Code")), cell(4, 5, name), cell(6, 0, F.lit("00")), cell(6, 5, F.col("headline")), cell(6, 6, F.col("n")), cell(6, 7, F.lit("n.a.")), cell(20, 0, F.lit("99")), cell(20, 5, F.lit("1")))
+    rows = monthly.select(F.col("month").cast("string").alias("sheet"), F.explode(heads).alias("c")).select("sheet", "c.*")
+    at = F.col("p").cast("int") + 7
+    divisions = parts.select(F.col("month").cast("string").alias("sheet"), F.explode(F.array(F.struct(at.alias("row"), F.lit(0).alias("col"), F.lpad("p", 2, "0").alias("value")), F.struct(at.alias("row"), F.lit(5).alias("col"), F.col("index").cast("string").alias("value")))).alias("c")).select("sheet", "c.*")
+    found = storage.official_sheets(rows.union(divisions))
+    return found.select("month", "headline", "mom", "yoy", F.explode("divisions").alias("division", "index"))
+
+
 # -- rules and trees
 
 
@@ -204,4 +219,7 @@ QUERIES = {
         t AS (SELECT code, parent FROM l UNION ALL SELECT 'n' || n_nationkey, CASE WHEN n_nationkey = 0 THEN 'nowhere' ELSE 'r' || n_regionkey END FROM nation UNION ALL SELECT DISTINCT 'r' || n_regionkey, CASE WHEN n_regionkey = 1 THEN first ELSE 'w' END FROM nation, f),
         below(code, top) AS (SELECT code, CASE WHEN code = 'n0' THEN 'lost' ELSE 'cycle' END FROM t, f WHERE code IN ('n0', 'r1') OR code = first UNION SELECT t.code, CASE WHEN top = 'lost' THEN 'lost' ELSE 'below a cycle' END FROM below JOIN t ON t.parent = below.code)
         SELECT code, CASE WHEN bool_or(top = 'cycle') THEN 'cycle' WHEN bool_or(top = 'below a cycle') THEN 'below a cycle' ELSE 'lost' END AS fault FROM below GROUP BY code"""),
+    "official_sheets": (q_sheets, """WITH o AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_totalprice, o_orderpriority[1:1] AS p FROM orders),
+        h AS (SELECT month, round(avg(o_totalprice), 4) AS headline, CAST(count(*) AS DOUBLE) AS mom FROM o GROUP BY month)
+        SELECT month, headline, mom, CAST(NULL AS DOUBLE) AS yoy, '0' || p AS division, round(avg(o_totalprice), 4) AS index FROM o JOIN h USING (month) GROUP BY ALL"""),
 }

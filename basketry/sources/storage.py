@@ -102,3 +102,32 @@ def long_benchmark(wide: DataFrame, divisions: Sequence[str]) -> DataFrame:
     """An official table with a column for each division as ``month, division, index``; the headline is division 00."""
     pairs = ", ".join(f"'{d}', `{d}`" for d in divisions)
     return wide.selectExpr("month", f"stack({len(divisions)}, {pairs}) AS (division, index)").where("index IS NOT NULL")
+
+
+#: English month names as they begin.
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+
+
+def official_sheets(cells: DataFrame, top: int = 10) -> DataFrame:
+    """``sheet, month, headline, mom, yoy, divisions`` from the cells of official sheets (``sheet, row, col, value``; texts, from 0).
+
+    The month is in the last cell of the first ``top`` rows that holds a date (``2024-06-01``) or a month (``Jun 2024``); its column holds the indices, the next two the
+    changes of the headline. The first column says what a row is: ``00`` is the headline, ``01`` to ``12`` are divisions, which come as a map with two-digit codes. Values are rounded to four digits;
+    what is no number is null. Sheets without a month or a headline are left out; of several rows of one code the last number counts.
+    """
+    text = F.trim("value")
+    named = F.regexp_extract(text, r"(?i)(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s+(\d{4})", 1)
+    number = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(named))
+    year = F.regexp_extract(text, r"(?i)(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s+(\d{4})", 1)
+    month = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.trunc(F.substring(text, 1, 10).try_cast("date"), "month")).when(named != "", F.make_date(year.cast("int"), number.cast("int"), F.lit(1)))
+    dated = cells.where(F.col("row") < top).withColumn("month", month).where("month IS NOT NULL")
+    where = dated.groupBy("sheet").agg(F.max_by(F.struct("month", F.col("col").alias("at")), F.struct("row", "col")).alias("w")).select("sheet", "w.*")
+    codes = cells.where("col = 0").select("sheet", "row", F.regexp_replace(text, r"\.0$", "").alias("code")).where(F.col("code").rlike("^[0-9]{1,2}$"))
+    codes = codes.select("sheet", "row", F.lpad("code", 2, "0").alias("code")).where("code <= '12'")
+    found = cells.join(where, "sheet").withColumn("offset", F.col("col") - F.col("at")).where("offset BETWEEN 0 AND 2").join(codes, ["sheet", "row"])
+    found = found.withColumn("number", F.round(F.regexp_replace(text, ",", "").try_cast("double"), 4)).where("number IS NOT NULL")
+    pick = lambda code, offset: F.max_by(F.when((F.col("code") == code) & (F.col("offset") == offset), F.col("number")), F.when((F.col("code") == code) & (F.col("offset") == offset), F.col("row")))
+    last = found.where("offset = 0 AND code <> '00'").groupBy("sheet", "code").agg(F.max_by("number", "row").alias("number"))
+    divisions = last.groupBy("sheet").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("code", "number")))).alias("divisions"))  # twelve at most
+    heads = found.groupBy("sheet", "month").agg(pick("00", 0).alias("headline"), pick("00", 1).alias("mom"), pick("00", 2).alias("yoy")).where("headline IS NOT NULL")
+    return heads.join(divisions, "sheet", "left")

@@ -189,3 +189,14 @@ def test_paths_of_uneven_trees_and_their_faults(spark):
     with pytest.raises(ValueError, match="not a tree"):
         tree.roll_up_tree(leaves, bad, "p")
     assert tree.roll_up_tree(leaves, nodes.limit(0), "p").count() == 0
+
+
+def test_sheets_find_their_month_and_rows(spark):
+    sheets = {
+        "plain": {(0, 0): "Index numbers", (4, 5): "Jun 2024", (6, 0): "0", (6, 5): "1,219.10456", (6, 6): "0.3", (6, 7): "2.5", (7, 0): "01", (7, 5): "220.5", (8, 0): "2.0", (8, 5): "n.a.", (9, 0): "12", (9, 5): "99", (10, 0): "13", (10, 5): "7"},
+        "dated": {(3, 2): "2024-05-15 00:00:00", (3, 3): "2024-06-15", (11, 3): "May 2020", (6, 0): " 00 ", (6, 2): "1", (6, 3): "2", (7, 0): "x1", (7, 3): "5"},
+        "no month": {(6, 0): "00", (6, 5): "1"}, "no headline": {(4, 5): "Jun 2024", (7, 0): "01", (7, 5): "3"}, "bad date": {(4, 5): "2024-13-01", (6, 0): "00", (6, 5): "1"},
+    }
+    cells = spark.createDataFrame([(s, r, c, v) for s, x in sheets.items() for (r, c), v in x.items()] + [("plain", 30, 2, None)], "sheet string, row int, col int, value string")
+    got = {r.sheet: (r.month, r.headline, r.mom, r.yoy, r.divisions) for r in storage.official_sheets(cells).collect()}
+    assert got == {"plain": (D(2024, 6, 1), 1219.1046, 0.3, 2.5, {"01": 220.5, "12": 99.0}), "dated": (D(2024, 6, 1), 2.0, None, None, None)}
