@@ -96,6 +96,15 @@ def index_division(division: Column | str, unclassified: str = "01") -> Column:
     return F.when(d.isin("", "UNCLASSIFIED"), F.lit(unclassified)).otherwise(F.substring(F.lpad(d, F.greatest(F.length(d), F.lit(2)), F.lit("0")), 1, 2))
 
 
+#: Divisions whose sizes are weights and volumes.
+CONSUMABLES = ("01", "02", "05", "06", "12")
+
+
+def comparable_unit_price(division: Column | str, unit_price: Column | str, consumables: Sequence[str] = CONSUMABLES) -> Column:
+    """A unit price in divisions where it means something; null elsewhere, where what looks like a size is a specification."""
+    return F.when(index_division(division).isin(*consumables), col(unit_price))
+
+
 def new_rows(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows to append: one for each key, none that is there already."""
     return incoming.dropDuplicates(list(keys)).join(existing.select(*keys), list(keys), "left_anti")

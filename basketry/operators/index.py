@@ -219,7 +219,7 @@ def with_hedonic(prices: DataFrame, adjusted: DataFrame, keys: Sequence[str] = (
 
 
 def compared_prices(obs: DataFrame, period: str = "month") -> DataFrame:
-    """``period, item, class, division, shelf, unit, observations, store`` for each item and period from observations with ``price`` and ``unit_price``, ``base_period, base_shelf, base_unit`` of the item's first period, and ``ratio``: of unit prices where they can be compared (``unit_or_shelf``), else of shelf prices."""
+    """``period, item, class, division, shelf, unit, observations, store`` for each item and period from observations with ``price`` and ``unit_price``, ``base_period, base_shelf, base_unit`` of the item's first period, and ``ratio``: of unit prices where they can be compared (``unit_or_shelf``), else of shelf prices; ``base_price`` is the one compared with."""
     keys = [period, "item", "class", "division"]
     obs = obs.select(*keys, "price", "unit_price", "store").repartition(period, "item")
     grouped = obs.groupBy(*keys).agg(_positive("price").alias("__shelf"), _positive("unit_price").alias("__unit"), F.count("*").alias("observations"), F.mode("store", True).alias("store"))
@@ -227,7 +227,7 @@ def compared_prices(obs: DataFrame, period: str = "month") -> DataFrame:
     own = Window.partitionBy("item")
     prices = prices.withColumns({"base_period": F.min(period).over(own), "base_shelf": F.min_by("shelf", period).over(own), "base_unit": F.min_by("unit", period).over(own)})
     by_unit = unit_or_shelf("shelf", "base_shelf", "unit", "base_unit")
-    return prices.withColumn("ratio", F.when(by_unit, F.col("unit") / F.col("base_unit")).otherwise(F.col("shelf") / F.col("base_shelf")))
+    return prices.withColumns({"ratio": F.when(by_unit, F.col("unit") / F.col("base_unit")).otherwise(F.col("shelf") / F.col("base_shelf")), "base_price": F.when(by_unit, F.col("base_unit")).otherwise(F.col("base_shelf"))})
 
 
 def compiled_relatives(obs: DataFrame, levels: Sequence[Sequence[str]], period: str = "month", window: int = 2, shadow: bool = True) -> DataFrame:

@@ -318,3 +318,37 @@ def headline_cards(cards: DataFrame, daily: DataFrame, weights: DataFrame, core_
     left = F.day(F.last_day("day")) - F.day("day")
     margin = Z95 * F.col("sigma") * F.sqrt(left / F.day(F.last_day("day")))
     return out.select("month", "horizon", "day", "headline", "core", "prior", ((F.col("headline") / F.col("prior") - 1) * 100).alias("change"), "sigma", F.greatest(F.col("headline") - margin, F.lit(0.0)).alias("low"), (F.col("headline") + margin).alias("high"))
+
+
+# -- calibration panel and kept metrics
+
+SYNTHETIC_RATE, SYNTHETIC_RISE = 4050.0, 65.0
+
+
+def calibration_panel(official: DataFrame, rates: DataFrame, festivals: DataFrame, series: Sequence[str]) -> DataFrame:
+    """Monthly log changes for calibration from ``official`` (``month`` and ``series``, the first of them the headline), daily ``rates`` (``day, rate``) and ``festivals`` (``month, score``).
+
+    ``fx`` is the month's mean rate, filled backward, then forward; without any rate it rises evenly from ``SYNTHETIC_RATE`` by
+    ``SYNTHETIC_RISE``. Adds ``d_<series>``, ``d_fx``, ``target`` (the headline's change in per cent), ``walk`` (the change before),
+    ``festival_score`` and ``is_festival``; months without one of the changes or without ``walk`` are left out.
+    """
+    monthly = rates.groupBy(F.trunc("day", "month").alias("month")).agg(F.avg("rate").alias("fx"))
+    along, all_ = Window.orderBy("month"), Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # a row a month
+    rows = official.select("month", *series).join(monthly, "month", "left")
+    place = (F.row_number().over(along) - 1) / F.greatest(F.count("*").over(all_) - 1, F.lit(1))
+    rows = rows.withColumn("fx", F.when(F.count("fx").over(all_) == 0, SYNTHETIC_RATE + SYNTHETIC_RISE * place).otherwise(F.col("fx")))
+    after, before = along.rowsBetween(0, Window.unboundedFollowing), along.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("fx", F.coalesce(F.first("fx", ignorenulls=True).over(after), F.last("fx", ignorenulls=True).over(before)))
+    rows = rows.withColumns({f"d_{c}": F.ln(F.col(c) / F.lag(c).over(along)) for c in [*series, "fx"]})
+    rows = rows.withColumn("target", (F.exp(f"d_{series[0]}") - 1) * 100).withColumn("walk", F.lag("target").over(along))
+    marked = festivals.groupBy("month").agg(F.max("score").alias("festival_score"))
+    rows = rows.join(marked, "month", "left").withColumn("festival_score", F.coalesce("festival_score", F.lit(0.0))).withColumn("is_festival", F.col("festival_score") > 0)
+    return rows.dropna(subset=["target", "walk", *[f"d_{c}" for c in series]])
+
+
+def performance(pairs: DataFrame, model: str, evaluated: str, rolling: int = 3) -> DataFrame:
+    """What is kept of an evaluation, by month: ``evaluated, month, model``, errors, rolling root mean square and absolute errors over ``rolling`` months, and the whole comparison with the random walk beside each. ``clean.upserted`` by the first three puts it into a table."""
+    along = Window.orderBy("month").rowsBetween(1 - rolling, 0)  # a row a month
+    rows = evaluation(pairs, rolling).withColumn("rolling_rmse", F.sqrt(F.avg(F.col("error") ** 2).over(along)))
+    whole = against_random_walk(pairs).select("relative", "walk_rmse")  # one row
+    return rows.crossJoin(whole).select(F.lit(evaluated).cast("date").alias("evaluated"), "month", F.lit(model).alias("model"), "forecast", "actual", "error", "absolute", "hit", "rolling_rmse", "rolling_mae", "relative", "walk_rmse")

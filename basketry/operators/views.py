@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.exprs import all_of, counted_share, geomean, pct_change, ratio
+from basketry.functions.text import looked_up
 from basketry.operators.index import modal
 from basketry.operators.joins import latest
 
@@ -136,3 +137,23 @@ def optional(rows: DataFrame, **equal: object) -> DataFrame:
     """Filters by the parameters that are given; None means any."""
     conditions = [F.col(c) == v for c, v in equal.items() if v is not None]
     return rows.where(all_of(*conditions)) if conditions else rows
+
+
+def class_mart(relatives: DataFrame, period: str = "month") -> DataFrame:
+    """Class indices by period from relatives: ``period, division, class, class_index, items, observations, imputed``."""
+    rows = relatives.where("ratio > 0").groupBy(period, "division", "class")
+    return rows.agg((100 * geomean("ratio")).alias("class_index"), F.count("*").alias("items"), F.sum("observations").alias("observations"), F.count_if("imputed").alias("imputed"))
+
+
+def subclass_view(relatives: DataFrame, names: Mapping[str, str], period: str = "month") -> DataFrame:
+    """Two formulas and counts by period and code, with the codes' names (the code itself where there is none)."""
+    rows = relatives.where("ratio > 0").groupBy(period, "division", "class")
+    out = rows.agg(F.count("*").alias("relatives"), F.countDistinct("item").alias("items"), (100 * geomean("ratio")).alias("jevons"), (100 * F.avg("ratio")).alias("carli"), F.count_if("imputed").alias("imputed"))
+    return out.withColumn("name", F.coalesce(looked_up(names, F.col("class")), "class"))
+
+
+def product_view(relatives: DataFrame, code: str, period: str = "month") -> DataFrame:
+    """One class by period: both formulas, its products, mean base and current price, and the change since the base in per cent."""
+    rows = relatives.where((F.col("class") == code) & (F.col("ratio") > 0)).groupBy(period)
+    return rows.agg(F.countDistinct("item").alias("products"), (100 * geomean("ratio")).alias("jevons"), (100 * F.avg("ratio")).alias("carli"), F.avg("base_price").alias("base_price"),
+                    F.avg(F.col("base_price") * F.col("ratio")).alias("price"), ((geomean("ratio") - 1) * 100).alias("change"))

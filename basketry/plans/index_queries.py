@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.exprs import geomean, pct_change, weighted_mean
-from basketry.operators import hedonic, index, joins, tree
+from basketry.operators import hedonic, index, joins, tree, views
 from basketry.sources.scratch import written
 from basketry.sources.tables import exchange_rates, observations, table
 
@@ -119,6 +119,29 @@ def q_index_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("imputation_rate", F.round("imputation_rate", 4))
 
 
+def _relatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs, adjusted = _chain_inputs(spark, sf_dir)
+    return index.compiled_relatives(index.with_hedonic(obs, adjusted, also="unit_price"), LEVELS)
+
+
+def q_class_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.class_mart(_relatives(spark, sf_dir)).withColumn("class_index", F.round("class_index", 4))
+
+
+# Names of the sample's first classes.
+CLASS_NAMES = {"Brand#1": "Rice", "Brand#2": "Bread", "Brand#3": "Pasta & Noodles"}
+
+
+def q_subclass_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = views.subclass_view(_relatives(spark, sf_dir), CLASS_NAMES)
+    return found.select("month", "division", "class", "name", "relatives", "items", _r("jevons", 3), _r("carli", 3), "imputed")
+
+
+def q_product_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = views.product_view(_relatives(spark, sf_dir), "Brand#1")
+    return found.select("month", "products", _r("jevons", 3), _r("carli", 3), _r("base_price", 2), _r("price", 2), _r("change", 3))
+
+
 def q_headline_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last month's headline, core, change and active items in one row."""
     along = Window.orderBy("month")  # a row a month
@@ -282,13 +305,14 @@ COMPILED = f"""WITH {OBS}, {ROLLING}, {FACTORS}, {DAILY}, {DECEMBER}, {WEIGHTS},
   p0 AS (SELECT m.month, m.item, class, division, exp(avg(ln(price)) FILTER (n <= 2 OR price BETWEEN 0.4 * md AND 2.5 * md)) AS shelf, exp(avg(ln(unit)) FILTER (un <= 2 OR unit BETWEEN 0.4 * um AND 2.5 * um)) AS unit,
     count(*) AS observations, any_value(s.store) AS store FROM m0 m JOIN stores s ON s.month = m.month AND s.item = m.item AND s.no = 1 GROUP BY m.month, m.item, class, division),
   p1 AS (SELECT *, min(month) OVER f AS base_period, first_value(shelf) OVER f AS bs, first_value(unit) OVER f AS bu FROM p0 WINDOW f AS (PARTITION BY item ORDER BY month)),
-  prices AS (SELECT *, CASE WHEN unit IS NOT NULL AND bu IS NOT NULL AND NOT ((unit / bu >= 3 OR unit / bu <= 0.33) AND shelf / bs BETWEEN 0.7 AND 1.4) THEN unit / bu ELSE shelf / bs END AS ratio FROM p1),
+  prices AS (SELECT *, CASE WHEN unit IS NOT NULL AND bu IS NOT NULL AND NOT ((unit / bu >= 3 OR unit / bu <= 0.33) AND shelf / bs BETWEEN 0.7 AND 1.4) THEN unit / bu ELSE shelf / bs END AS ratio,
+    CASE WHEN unit IS NOT NULL AND bu IS NOT NULL AND NOT ((unit / bu >= 3 OR unit / bu <= 0.33) AND shelf / bs BETWEEN 0.7 AND 1.4) THEN bu ELSE bs END AS base FROM p1),
   {STEP}, mv AS (SELECT p.month, p.class, p.division, CASE WHEN p.unit IS NOT NULL AND q.unit IS NOT NULL THEN p.unit / q.unit ELSE p.shelf / q.shelf END AS move FROM prices p JOIN steps s ON s.month = p.month JOIN prices q ON q.item = p.item AND q.month = s.before),
   mw AS (SELECT * FROM mv WHERE move BETWEEN 0.5 AND 2.0), mcd AS (SELECT month, class, division, exp(avg(ln(move))) AS m FROM mw GROUP BY ALL), mc AS (SELECT month, class, exp(avg(ln(move))) AS m FROM mw GROUP BY ALL), mdv AS (SELECT month, division, exp(avg(ln(move))) AS m FROM mw GROUP BY ALL),
   np AS (SELECT p.*, s.no, lead(s.no) OVER (PARTITION BY item ORDER BY s.no) AS nx FROM prices p JOIN steps s USING (month)),
-  gaps AS (SELECT s.month, np.item, np.class, np.division, np.ratio, np.base_period FROM np JOIN steps s ON s.no > np.no AND s.no <= np.no + 2 AND (np.nx IS NULL OR s.no < np.nx)),
-  filled AS (SELECT month, item, class, division, ratio, base_period, store, observations FROM prices UNION ALL
-    SELECT g.month, g.item, g.class, g.division, g.ratio * least(greatest(coalesce(mcd.m, mc.m, mdv.m, 1.0), 0.8), 1.25), g.base_period, NULL, 1 FROM gaps g
+  gaps AS (SELECT s.month, np.item, np.class, np.division, np.ratio, np.base_period, np.base FROM np JOIN steps s ON s.no > np.no AND s.no <= np.no + 2 AND (np.nx IS NULL OR s.no < np.nx)),
+  filled AS (SELECT month, item, class, division, ratio, base_period, store, observations, base FROM prices UNION ALL
+    SELECT g.month, g.item, g.class, g.division, g.ratio * least(greatest(coalesce(mcd.m, mc.m, mdv.m, 1.0), 0.8), 1.25), g.base_period, NULL, 1, g.base FROM gaps g
     LEFT JOIN mcd ON mcd.month = g.month AND mcd.class = g.class AND mcd.division = g.division LEFT JOIN mc ON mc.month = g.month AND mc.class = g.class LEFT JOIN mdv ON mdv.month = g.month AND mdv.division = g.division),
   k0 AS (SELECT *, ln(ratio) AS lr FROM filled WHERE ratio BETWEEN 0.2 AND 4.0), k1 AS (SELECT *, median(lr) OVER (PARTITION BY month, division) AS md, count(*) OVER (PARTITION BY month, division) AS gn FROM k0),
   k2 AS (SELECT *, median(abs(lr - md)) OVER (PARTITION BY month, division) AS mad FROM k1),
@@ -313,6 +337,11 @@ QUERIES = {
         q1 AS (SELECT month, count(*) AS items, count(*) FILTER (store IS NULL) AS imputed FROM filled GROUP BY month),
         q2 AS (SELECT month, count(*) FILTER (stays) AS kept, count(*) FILTER (stays AND base_period = month) AS shadowed, count(DISTINCT store) FILTER (stays AND base_period < month) AS stores FROM all_k GROUP BY month)
         SELECT month, items, imputed, round(100.0 * imputed / items, 4) AS imputation_rate, items - kept AS outliers, shadowed, kept - shadowed AS active, stores FROM q1 JOIN q2 USING (month)"""),
+    "class_mart": (q_class_mart, f"""{COMPILED} SELECT month, division, class, round(100 * exp(avg(ln(ratio))), 4) AS class_index, count(*) AS items, CAST(sum(observations) AS BIGINT) AS observations, count(*) FILTER (store IS NULL) AS imputed FROM kept GROUP BY ALL"""),
+    "subclass_view": (q_subclass_view, f"""{COMPILED} SELECT month, division, class, CASE class WHEN 'Brand#1' THEN 'Rice' WHEN 'Brand#2' THEN 'Bread' WHEN 'Brand#3' THEN 'Pasta & Noodles' ELSE class END AS name, count(*) AS relatives,
+        count(DISTINCT item) AS items, round(100 * exp(avg(ln(ratio))), 3) AS jevons, round(100 * avg(ratio), 3) AS carli, count(*) FILTER (store IS NULL) AS imputed FROM kept GROUP BY month, division, class"""),
+    "product_view": (q_product_view, f"""{COMPILED} SELECT month, count(DISTINCT item) AS products, round(100 * exp(avg(ln(ratio))), 3) AS jevons, round(100 * avg(ratio), 3) AS carli, round(avg(base), 2) AS base_price, round(avg(base * ratio), 2) AS price,
+        round((exp(avg(ln(ratio))) - 1) * 100, 3) AS change FROM kept WHERE class = 'Brand#1' GROUP BY month"""),
     "item_prices": (q_item_prices, f"WITH {OBS}, {PRICES} SELECT month, item, round(price, 7) AS price, observations, store FROM prices"),
     "base_prices": (q_base_prices, f"WITH {OBS}, {BASE} SELECT item, base_period, round(base_price, 7) AS base_price, base_observations FROM base"),
     "jevons_by_class": (q_jevons, f"WITH {OBS}, {PRICES}, {BASE}, {RATIOS} SELECT month, class, round(100 * exp(avg(ln(ratio))), 4) AS index, count(*) AS items FROM ratios GROUP BY month, class"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.operators import classify, hedonic, match, nowcast, vectors
+from basketry.operators import classify, clean, hedonic, match, nowcast, vectors
 from basketry.plans.index_queries import CHAIN, CORE_WITHOUT, FACTORS, OBS, ROLLING, WEIGHTS, class_weights, divisions, q_headline
 from basketry.plans.view_queries import OFFICIAL, _official
 from basketry.sources.storage import catalog_of, offloadable
@@ -229,6 +229,24 @@ def q_stationary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nowcast.stationary(panel, ["official"]).select("month", F.round("official", 4).alias("official"), (F.round("d_official", 6) + 0.0).alias("d_official"))
 
 
+def q_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calibration panel of the official index and a division, with rates of some months and festivals in April and November."""
+    official = _official(spark, sf_dir).withColumnRenamed("official", "headline")
+    share = observations(spark, sf_dir).where("division = 'ECONOMY'").groupBy("month").agg(F.avg("price").alias("economy"))
+    rates = table(spark, sf_dir, "orders").where("o_orderstatus = 'F' AND month(o_orderdate) <> 5").select(F.col("o_orderdate").cast("date").alias("day"), (F.col("o_totalprice") / 40).alias("rate"))
+    months = official.select("month").where("month(month) IN (4, 11)").select("month", F.when(F.month("month") == 4, 1.0).otherwise(0.5).alias("score"))
+    found = nowcast.calibration_panel(official.join(share, "month"), rates, months, ["headline", "economy"])
+    return found.select("month", *[(F.round(c, 6) + 0.0).alias(c) for c in ("d_headline", "d_economy", "d_fx", "target", "walk")], "festival_score", "is_festival")
+
+
+def q_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics kept by evaluation, month and model: an evaluation over the first years, then one over all, on the same day."""
+    pairs = written(_pairs(spark, sf_dir), "forecast-pairs")
+    first, second = (nowcast.performance(p, "own", "2003-01-01").withColumn("run", F.lit(i)) for i, p in enumerate((pairs.where("month < DATE '1998-01-01'"), pairs)))
+    kept = clean.upserted(first, second, ["evaluated", "month", "model"], "run")
+    return kept.select("evaluated", "month", "model", *[F.round(c, 4).alias(c) for c in ("error", "rolling_rmse", "rolling_mae", "relative", "walk_rmse")], "hit", "run")
+
+
 def q_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     along = Window.partitionBy("division").orderBy("month")
     rows = divisions(spark, sf_dir).withColumn("target", F.ln(F.col("index") / F.lag("index").over(along)))
@@ -362,6 +380,20 @@ QUERIES = {
         f AS (SELECT month, coalesce(first_value(official IGNORE NULLS) OVER (ORDER BY month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), last_value(official IGNORE NULLS) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS official FROM p)
         SELECT month, round(official, 4) AS official, round(ln(official / lag(official) OVER (ORDER BY month)), 6) + 0.0 AS d_official FROM f"""),
     "calibration": (q_calibration, None),
+    "calibration_panel": (q_panel, f"""WITH {OBS}, {OFFICIAL}, e AS (SELECT month, avg(price) AS economy FROM obs WHERE division = 'ECONOMY' GROUP BY month),
+        x AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, avg(o_totalprice / 40) AS fx FROM orders WHERE o_orderstatus = 'F' AND month(o_orderdate) <> 5 GROUP BY 1),
+        p AS (SELECT month, official AS headline, economy, fx FROM official JOIN e USING (month) LEFT JOIN x USING (month)),
+        f AS (SELECT *, coalesce(first_value(fx IGNORE NULLS) OVER (ORDER BY month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), last_value(fx IGNORE NULLS) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS rate FROM p),
+        d AS (SELECT month, ln(headline / lag(headline) OVER w) AS d_headline, ln(economy / lag(economy) OVER w) AS d_economy, ln(rate / lag(rate) OVER w) AS d_fx FROM f WINDOW w AS (ORDER BY month)),
+        t AS (SELECT *, (exp(d_headline) - 1) * 100 AS target, lag((exp(d_headline) - 1) * 100) OVER (ORDER BY month) AS walk FROM d)
+        SELECT month, round(d_headline, 6) + 0.0 AS d_headline, round(d_economy, 6) + 0.0 AS d_economy, round(d_fx, 6) + 0.0 AS d_fx, round(target, 6) + 0.0 AS target, round(walk, 6) + 0.0 AS walk,
+          CAST(CASE month(month) WHEN 4 THEN 1.0 WHEN 11 THEN 0.5 ELSE 0.0 END AS DOUBLE) AS festival_score, month(month) IN (4, 11) AS is_festival FROM t WHERE walk IS NOT NULL AND d_economy IS NOT NULL"""),
+    "performance_metrics": (q_performance, f"""{PAIRS}, r AS (SELECT 0 AS run, * FROM pairs WHERE month < DATE '1998-01-01' UNION ALL SELECT 1, * FROM pairs),
+        b AS (SELECT *, forecast - actual AS e, lag(actual) OVER (PARTITION BY run ORDER BY month) AS before FROM r),
+        w AS (SELECT run, sqrt(avg((forecast - actual) ** 2)) AS rmse, sqrt(avg((before - actual) ** 2)) AS walk_rmse FROM b WHERE before IS NOT NULL GROUP BY run),
+        m AS (SELECT b.*, sqrt(avg(e ** 2) OVER l) AS rolling_rmse, avg(abs(e)) OVER l AS rolling_mae, rmse / walk_rmse AS relative, walk_rmse FROM b JOIN w USING (run) WINDOW l AS (PARTITION BY run ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))
+        SELECT DATE '2003-01-01' AS evaluated, month, 'own' AS model, round(e, 4) AS error, round(rolling_rmse, 4) AS rolling_rmse, round(rolling_mae, 4) AS rolling_mae, round(relative, 4) AS relative, round(walk_rmse, 4) AS walk_rmse,
+          sign(forecast - before) = sign(actual - before) AS hit, run FROM m QUALIFY row_number() OVER (PARTITION BY month ORDER BY run DESC) = 1"""),
     "offloadable_partitions": (q_offloadable, f"""WITH {OBS} SELECT CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month, count(*) AS n, min(day) AS first_day, max(day) AS last_day FROM obs
         WHERE date_trunc('month', day) < DATE '2001-06-01' AND NOT (year(day) = 1995 AND month(day) < 4) GROUP BY ALL"""),
     "storage_catalog": (q_catalog, None),

@@ -175,6 +175,12 @@ SELECT raw_price_id, CASE WHEN raw_price_id % 7 <> 0 THEN md5(name) END AS item_
 RULE_CASE = "CASE " + " ".join(f"WHEN regexp_matches(text, '(?is){p}')" + (f" AND NOT regexp_matches(text, '(?is){n}')" if n else "") + f" THEN '{c}'" for p, n, _, c in RULES) + " END"
 RULE_CASE_LINES = RULE_CASE.replace("(?is)", "(?i)")
 
+def q_unit_divisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unit prices by division as an index takes them: only where sizes are weights and volumes."""
+    part = table(spark, sf_dir, "part").withColumn("division", F.when(F.col("p_size") % 13 == 0, F.lit(None)).when(F.col("p_size") % 11 == 0, "UNCLASSIFIED").otherwise((F.col("p_size") % 12 + 1).cast("string")))
+    return part.select("p_partkey", clean.index_division("division").alias("division"), F.round(clean.comparable_unit_price("division", F.col("p_retailprice") / F.col("p_size")), 6).alias("unit_price"))
+
+
 QUERIES = {
     "clean_prices": (q_clean, CLEANED),
     "size_parsing": (q_sizes, """WITH p AS (SELECT page_id, page_id % 9 AS n, page_id % 700 AS a, page_id % 650 AS b FROM pages)
@@ -225,4 +231,6 @@ QUERIES = {
     "insert_new_rows": (q_new_rows, "SELECT md5(text) AS text_md5 FROM (SELECT DISTINCT text FROM documents WHERE source NOT IN ('src1', 'src2')) d WHERE NOT EXISTS (SELECT 1 FROM documents k WHERE k.source IN ('src1', 'src2') AND k.text = d.text)"),
     "fx_plausible": (q_fx_range, """WITH fx AS (SELECT CAST(ts AS DATE) AS day, round(4000 + avg(value), 2) AS rate FROM events WHERE day(CAST(ts AS DATE)) % 3 <> 0 GROUP BY 1)
         SELECT day, CASE WHEN rate BETWEEN 4040 AND 4055 THEN rate ELSE 4044.0 END AS rate, NOT rate BETWEEN 4040 AND 4055 AS is_stale FROM fx"""),
+    "unit_divisions": (q_unit_divisions, """WITH p AS (SELECT p_partkey, CASE WHEN p_size % 13 = 0 OR p_size % 11 = 0 THEN '01' ELSE lpad(CAST(p_size % 12 + 1 AS VARCHAR), 2, '0') END AS division, p_retailprice / p_size AS u FROM part)
+        SELECT p_partkey, division, CASE WHEN division IN ('01', '02', '05', '06', '12') THEN round(u, 6) END AS unit_price FROM p"""),
 }

@@ -184,3 +184,17 @@ def test_cards_add_up(spark):
     assert head.sigma == pytest.approx(statistics.stdev(range(10))) and head.high - head.headline == pytest.approx(nowcast.Z95 * head.sigma * math.sqrt(19 / 29)) and head.change == pytest.approx((head.headline / head.prior - 1) * 100)
     flat = frame.withColumn("index", F.lit(100.0))
     assert nowcast.headline_cards(nowcast.division_cards(found, flat, weights), flat, weights, ["02"]).first().sigma == 0.25
+
+
+def test_a_panel_without_rates(spark):
+    official = spark.createDataFrame([(D(2024, m, 1), 100.0 + m, 50.0 + m if m != 4 else None) for m in range(1, 9)], "month date, headline double, d01 double")
+    none = spark.createDataFrame([], "day date, rate double")
+    feasts = spark.createDataFrame([(D(2024, 5, 1), 0.5), (D(2024, 5, 1), 1.0), (D(2030, 1, 1), 1.0)], "month date, score double")
+    rows = nowcast.calibration_panel(official, none, feasts, ["headline", "d01"]).orderBy("month").collect()
+    assert [r.month.month for r in rows] == [3, 6, 7, 8] and [r.festival_score for r in rows] == [0.0] * 4
+    rates = [4050 + 65 * i / 7 for i in range(8)]
+    assert [r.d_fx for r in rows] == pytest.approx([math.log(rates[m - 1] / rates[m - 2]) for m in (3, 6, 7, 8)])
+    assert rows[0].walk == pytest.approx((102 / 101 - 1) * 100) and rows[0].target == pytest.approx((103 / 102 - 1) * 100)
+    some = spark.createDataFrame([(D(2024, 3, 5), 4000.0), (D(2024, 3, 9), 4100.0), (D(2024, 6, 1), 4200.0)], "day date, rate double")
+    got = {r.month.month: r.d_fx for r in nowcast.calibration_panel(official.drop("d01"), some, feasts, ["headline"]).collect()}
+    assert got == pytest.approx({3: 0.0, 4: math.log(4200 / 4050), 5: 0.0, 6: 0.0, 7: 0.0, 8: 0.0})
