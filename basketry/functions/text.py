@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from html.entities import name2codepoint
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.exprs import any_of, blank_to_null, col, extract
@@ -69,11 +69,16 @@ def khmer_tokens(text: Column | str) -> Column:
     return F.regexp_extract_all(F.coalesce(col(text), F.lit("")), F.lit("([\\u1780-\\u17ff]+)"), F.lit(1))
 
 
+def _is_case(name: Column) -> Column:
+    """Whether a name says that it is a case of drinks."""
+    case = name.rlike(r"(?i)\b(case|ctn)\b|\((case|ctn)\)") & name.rlike("(?i)(beer|stout|cider|ale|soda|coke|cola|pepsi|water|drink|tea|coffee)")
+    return case & ~name.rlike(r"(?i)pencil|trolley|phone|dispenser|brief|stroller|laptop|screen|monitor|cable|charger|tv|case\s*for")
+
+
 def pack_quantity(size: Column | str, name: Column | str) -> Column:
     """Pieces in a pack: from ``2 x 500ml`` or ``500ml x 2`` in the size, then in the name; a case of drinks is 24; else 1."""
     s, n = F.coalesce(col(size), F.lit("")), F.coalesce(col(name), F.lit(""))
-    case = n.rlike(r"(?i)\b(case|ctn)\b|\((case|ctn)\)") & n.rlike("(?i)(beer|stout|cider|ale|soda|coke|cola|pepsi|water|drink|tea|coffee)")
-    case = case & ~n.rlike(r"(?i)pencil|trolley|phone|dispenser|brief|stroller|laptop|screen|monitor|cable|charger|tv|case\s*for")
+    case = _is_case(n)
     found = [extract(s, MULTIPLE, 1), extract(s, TRAILING, 3), extract(n, MULTIPLE, 1), extract(n, TRAILING, 3), extract(s, MULTIPLE_PIECES, 1)]
     return F.coalesce(*[x.try_cast("double") for x in found], F.when(case, F.lit(24.0)), F.lit(1.0))
 
@@ -93,6 +98,24 @@ def size_unit(size: Column | str, name: Column | str) -> Column:
     return unit_name(F.coalesce(*[u for _, u in _size_parts(size, name)], F.lit("")))
 
 
+def with_sizes(rows: DataFrame, size: str, name: str) -> DataFrame:
+    """``rows`` with ``pack_qty``, ``size_value`` and ``size_unit``: the same as the three expressions above, but each pattern is searched once a row, and only in texts with a digit."""
+    texts = {f"__{t}": F.when(F.col(c).rlike("[0-9]"), F.col(c)) for t, c in (("s", size), ("n", name))}
+    patterns = {"multiple": MULTIPLE, "trailing": TRAILING, "single": SINGLE, "multiple_pieces": MULTIPLE_PIECES, "single_pieces": SINGLE_PIECES}
+    wanted = [("s", "multiple"), ("s", "trailing"), ("s", "single"), ("n", "multiple"), ("n", "trailing"), ("n", "single"), ("s", "multiple_pieces"), ("s", "single_pieces")]
+    found = rows.withColumns(texts).withColumns({f"__{t}_{p}": F.regexp_extract(f"__{t}", patterns[p], 0) for t, p in wanted})
+
+    def group(t: str, p: str, number: int) -> Column:
+        return extract(F.nullif(F.col(f"__{t}_{p}"), F.lit("")), patterns[p], number)
+
+    packs = [("s", "multiple", 1), ("s", "trailing", 3), ("n", "multiple", 1), ("n", "trailing", 3), ("s", "multiple_pieces", 1)]
+    sizes = [("s", "multiple", 2), ("s", "trailing", 1), ("s", "single", 1), ("n", "multiple", 2), ("n", "trailing", 1), ("n", "single", 1), ("s", "single_pieces", 1)]
+    out = found.withColumns({
+        "pack_qty": F.coalesce(*[group(*x).try_cast("double") for x in packs], F.when(_is_case(F.coalesce(F.col(name), F.lit(""))), F.lit(24.0)), F.lit(1.0)),
+        "size_value": F.coalesce(*[group(*x).try_cast("double") for x in sizes]), "__unit": F.coalesce(*[group(t, p, g + 1) for t, p, g in sizes], F.lit(""))})
+    return out.withColumn("size_unit", unit_name("__unit")).drop("__unit", *texts, *[f"__{t}_{p}" for t, p in wanted])
+
+
 def looked_up(table: Mapping[str, object], key: Column) -> Column:
     """A constant table's value, or null. The key stands in the plan once, however large the table."""
     return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key)

@@ -37,8 +37,8 @@ def clean(raw: DataFrame, matches: DataFrame, rates: DataFrame, land_stores: Seq
                                            truthy(field("payload", "on_promo")).alias("raw_promo"), (~falsy(field("payload", "cpi_eligible"))).alias("raw_eligible"),
                                            truthy(field("payload", "is_fallback")).alias("is_fallback"))
     joined = fields.join(matches, "raw_price_id", "left").join(rates, "day", "left")
-    parsed = joined.withColumns({"price_khr": in_riel(F.col("price"), "currency", "rate"), "original_khr": in_riel(F.col("original"), "currency", "rate"), "name_clean": text.clean_name("name"),
-                                 "pack_qty": text.pack_quantity("size_text", "name"), "size_value": text.size_value("size_text", "name"), "size_unit": text.size_unit("size_text", "name")})
+    parsed = joined.withColumns({"price_khr": in_riel(F.col("price"), "currency", "rate"), "original_khr": in_riel(F.col("original"), "currency", "rate"), "name_clean": text.clean_name("name")})
+    parsed = text.with_sizes(parsed, "size_text", "name")
     below = (F.col("original_khr") > F.col("price_khr")) & (F.col("price_khr") > 0)
     share = (F.col("original_khr") - F.col("price_khr")) / F.col("original_khr") * 100.0
     amount = F.col("size_value") * F.coalesce(F.nullif(F.col("pack_qty"), F.lit(0.0)), F.lit(1.0))

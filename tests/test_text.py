@@ -59,3 +59,15 @@ def test_queries_are_registered_with_sql():
 
     names, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(names) and len(names) > 80
+
+
+def test_sizes_are_read_alike_once_and_by_expression(spark):
+    import random
+
+    rng = random.Random(3)
+    bits = ["2 x 500ml", "500 ml x 2", "330ml", "5kg", "x", "12 pcs", "6 X 1.5 l", "case", "beer", "ctn cola", "", "0.5", "1,5 l", "3*200 G", "24 can", "a12", "2 tin x"]
+    rows = [(i, rng.choice([None, " ".join(rng.choices(bits, k=rng.randint(0, 3)))]), rng.choice([None, " ".join(rng.choices(bits, k=rng.randint(0, 4)))]), "clash") for i in range(400)]
+    frame = spark.createDataFrame(rows, "id int, a string, b string, size_unit string")
+    one = text.with_sizes(frame, "a", "b").select("id", "pack_qty", "size_value", "size_unit").orderBy("id").collect()
+    other = frame.select("id", text.pack_quantity("a", "b"), text.size_value("a", "b"), text.size_unit("a", "b")).orderBy("id").collect()
+    assert list(map(tuple, one)) == list(map(tuple, other)) and len({r.size_unit for r in one}) > 5
