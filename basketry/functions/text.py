@@ -12,7 +12,7 @@ from basketry.functions.exprs import any_of, blank_to_null, col, extract
 
 # HTML entities, promotional words, Khmer digits, units with the base they convert to, and their synonyms.
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&reg;": "", "&trade;": "", "&amp;": "&"}
-PROMO_WORDS = ["buy 1 get 1", "special offer", "free delivery", "best seller", "new arrival", "hot deal", "promotion", "discount", "clearance", "sale", "promo", "offer"]
+PROMO_WORDS = ["sale", "promo", "promotion", "discount", "clearance", "hot deal", "best seller", "new arrival", "limited", "special offer", "flash sale", "buy [0-9]+ get [0-9]+", "free shipping", "bundle"]
 KHMER_DIGITS = ("០១២៣៤៥៦៧៨៩", "0123456789")
 UNIT_SYNONYMS = {
     "g": ["g", "gm", "gram", "grams"], "kg": ["kg", "kilo", "kilos", "kilogram", "kilograms"], "ml": ["ml", "millilitre", "milliliter", "millilitres", "milliliters"],
@@ -22,6 +22,8 @@ UNIT_SYNONYMS = {
     "oz": ["oz", "ounce", "ounces"], "lb": ["lb", "lbs", "pound", "pounds"], "sachet": ["sachet", "sach"], "carton": ["carton", "ctn"], "jar": ["jar", "jars"], "tablet": ["tablet", "tab", "tablets"],
     "capsule": ["capsule", "cap", "capsules"], "serving": ["serving", "servings"],
 }
+LENGTHS = {"m": ("length", 1.0), "cm": ("length", 0.01), "mm": ("length", 0.001)}
+CLOTHING = ["xxs", "xs", "s", "m", "l", "xl", "xxl", "xxxl", "2xl", "3xl", "4xl"]
 TO_BASE = {"kg": ("mass", 1.0), "g": ("mass", 0.001), "l": ("volume", 1.0), "ml": ("volume", 0.001), "cl": ("volume", 0.01)}
 NUMBER, MEASURE = r"([0-9]+(?:\.[0-9]+)?)", "(kg|g|ml|l|cl|oz|lb)"
 PIECES = "(kg|g|ml|l|cl|oz|lb|can|bottle|pack|pkt|box|pc|pcs|tin|bar)"
@@ -56,7 +58,7 @@ def clean_name(text: Column | str) -> Column:
     t = unescaped(F.coalesce(col(text), F.lit("")))
     t = F.translate(t, *KHMER_DIGITS)
     t = F.regexp_replace(t, r"(?i)(?:US\$|\$|៛)\s*[0-9][0-9,.]*|[0-9][0-9,.]*\s*(?:KHR|USD|riels?|៛|\$)", " ")
-    t = F.regexp_replace(t, r"(?i)\b(?:" + "|".join(PROMO_WORDS) + r")\b", " ")
+    t = F.regexp_replace(t, r"(?i)\b(?:" + "|".join(PROMO_WORDS).replace(" ", r"\s*") + r")\b", " ")
     t = F.regexp_replace(t, r"[ \t\r\n]+", " ")
     return F.upper(F.regexp_replace(t, r"^[ \-–|,.;:!*]+|[ \-–|,.;:!*]+$", ""))
 
@@ -137,7 +139,7 @@ def _amount(size: Column) -> tuple[Column, Column, Column]:
     """A size text's amount in its base unit, dimension and unit name."""
     unit = unit_name(extract(size, rf"(?i){NUMBER}\s*([a-z]+)", 2))
     value = extract(size, rf"(?i){NUMBER}\s*([a-z]+)", 1).try_cast("double")
-    factor, dimension = (looked_up({u: x[i] for u, x in TO_BASE.items()}, unit) for i in (1, 0))
+    factor, dimension = (looked_up({u: x[i] for u, x in (TO_BASE | LENGTHS).items()}, unit) for i in (1, 0))
     return value * F.coalesce(factor, F.lit(1.0)), dimension, unit
 
 
@@ -145,7 +147,7 @@ def sizes_agree(a: Column | str, b: Column | str, tolerance: float = 0.10) -> Co
     """Whether two size texts may be one product's: equal or one unknown; clothing sizes only if equal; within ``tolerance`` of the larger in one dimension or unit."""
     a, b = F.lower(F.trim(col(a))), F.lower(F.trim(col(b)))
     (va, da, ua), (vb, db, ub) = _amount(a), _amount(b)
-    clothing = a.rlike("^(xxs|xs|s|m|l|xl|xxl|xxxl)$") | b.rlike("^(xxs|xs|s|m|l|xl|xxl|xxxl)$")
+    clothing = a.isin(*CLOTHING) | b.isin(*CLOTHING)
     near = F.abs(va - vb) <= F.lit(tolerance) * F.greatest(va, vb)
     missing = F.coalesce(a, F.lit("")).isin("") | F.coalesce(b, F.lit("")).isin("")
     alike = F.when(da.isNotNull() & db.isNotNull(), (da == db) & near).otherwise(F.coalesce((ua == ub) & near, F.lit(False)))

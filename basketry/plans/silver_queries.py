@@ -36,6 +36,15 @@ def q_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", text.pack_quantity("a", "b").alias("packs"), text.size_value("a", "b").alias("size"), text.size_unit("a", "b").alias("unit"), text.sizes_agree(F.concat(F.col("page_id") % 700, F.lit("ml")), "b").alias("agree"))
 
 
+def q_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes in two units of mass, volume and length, and clothing sizes."""
+    n, kind = F.col("p_size"), F.col("p_partkey") % 5
+    near = n * 1000 + F.col("p_partkey") % 400
+    a = F.when(kind == 0, F.concat(n, F.lit("kg"))).when(kind == 1, F.concat(n, F.lit(" Litres"))).when(kind == 2, F.concat(n, F.lit(" m"))).when(kind == 3, F.when(n % 2 == 0, "2XL").otherwise("XL")).otherwise(F.lit(None).cast("string"))
+    b = F.when(kind == 0, F.concat(near, F.lit(" g"))).when(kind == 1, F.concat(near, F.lit("ml"))).when(kind == 2, F.concat(near, F.lit("mm"))).when(kind == 3, F.when(n % 3 == 0, "2xl").otherwise("3 kg")).otherwise("9 kg")
+    return table(spark, sf_dir, "part").select("p_partkey", text.sizes_agree(a, b).alias("agree"))
+
+
 def q_barcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 10 == 0, F.repeat((F.col("o_orderkey") % 9).cast("string"), F.lit(8))).otherwise(F.col("o_orderkey").cast("string")).alias("code"))
     return lines.select("o_orderkey", "code", text.valid_barcode("code").alias("valid"))
@@ -185,6 +194,8 @@ QUERIES = {
     "clean_prices": (q_clean, CLEANED),
     "size_parsing": (q_sizes, """WITH p AS (SELECT page_id, page_id % 9 AS n, page_id % 700 AS a, page_id % 650 AS b FROM pages)
         SELECT page_id, CAST(n AS DOUBLE) AS packs, CAST(a AS DOUBLE) AS size, 'ml' AS unit, abs(a - b) <= 0.1 * greatest(a, b) AS agree FROM p"""),
+    "size_agreement": (q_agreement, """WITH p AS (SELECT p_partkey, p_size AS n, p_partkey % 5 AS k, p_size * 1000 + p_partkey % 400 AS near FROM part)
+        SELECT p_partkey, CASE WHEN k < 3 THEN abs(near - n * 1000) <= 0.1 * greatest(near, n * 1000) WHEN k = 3 THEN n % 2 = 0 AND n % 3 = 0 ELSE true END AS agree FROM p"""),
     "barcode_check": (q_barcodes, r"""WITH c AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN repeat(CAST(o_orderkey % 9 AS VARCHAR), 8) ELSE CAST(o_orderkey AS VARCHAR) END AS code FROM orders)
         SELECT o_orderkey, code, regexp_matches(code, '^[0-9]{4,18}$') AND len(list_distinct(string_split(code, ''))) > 1 AND NOT ends_with(code, '00000000') AS valid FROM c"""),
     "code_levels": (q_codes, """WITH c AS (SELECT p_partkey, lpad(CAST(p_partkey % 12 + 1 AS VARCHAR), 2, '0') AS d, CAST(p_size AS VARCHAR) AS g, CAST(p_partkey % 7 AS VARCHAR) AS c, CAST(p_partkey % 3 AS VARCHAR) AS s FROM part)
