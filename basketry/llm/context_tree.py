@@ -6,8 +6,9 @@ context-tree weighting gives them: at a node, 1/2 its own block probability agai
 score of a text is the log10 probability of its bytes and an end mark; ``bits_per_byte`` is its code length.
 
 Counting, weighting and scoring are Spark jobs. Tasks count strings of ``DEPTH`` context bytes and the next byte, whose
-number grows with the corpus; the counts of one pair of last context bytes meet in one task, which has all deeper contexts
-of that pair; the two depths above have a bounded number of nodes (256 * 255 and 255). The outcome is one log probability
+number grows with the corpus; the counts of one triple of last context bytes meet in one task, which has all deeper contexts
+of it, and a pair of last bytes with very many strings is dealt to several tasks by the third byte. Nodes of depth 2 are sums over
+triples that Spark adds up, and come to the tasks of their pair; the two depths above have a bounded number of nodes (256 * 255 and 255). The outcome is one log probability
 for each counted string. The commonest strings and words, a bounded number, are broadcast, and texts are read once with
 them; what a text has besides is joined with the table of all others.
 """
@@ -29,6 +30,7 @@ from basketry.llm.toxicity import held_out
 from basketry.llm.words import LOWER, U, Words, bounded_batches, chunks, mixed, signed
 
 DEPTH, FOLD, HELD, PER_TASK = 6, 1, 1 << 22, 200_000
+PAIR_DEPTH, LOT = 2, 16_384  # depth whose nodes are added up by Spark; strings of a pair beyond which it is dealt to several tasks
 MOST_STRINGS, MOST_WORDS = 1 << 22, 1 << 20  # broadcast at most: 16 bytes for each, and an index
 MARK = 255  # no byte of UTF-8: fills the context before a text, and ends it
 STRING, WORD, END = 0, 1, 2
@@ -155,32 +157,52 @@ def _tree(keys: np.ndarray, n: np.ndarray, top: int) -> Iterator[tuple[int, list
         yield bit, layers
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
-    """A task's strings, about ``PER_TASK`` of them or those of one pair of bytes, and their counts."""
+def _gathered(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
+    """A task's columns: about ``PER_TASK`` strings, or those of one triple of bytes, and the nodes of their pairs."""
     got = list(batches)
-    if not got:
-        return np.zeros(0, U), np.zeros(0, np.int64)
-    keys, n = (np.concatenate([b.column(i).to_numpy() for b in got]) for i in (0, 1))
-    return keys.view(U), n
+    return [np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in got]) for i in range(got[0].num_columns)] if got else []
 
 
-def _pair_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The nodes of depth 2 of this task's pairs: bit, key, counts and weighted block probability."""
-    keys, n = _gathered(batches)
-    for bit, layers in _tree(keys, n, 2) if len(keys) else ():
-        x = layers[-1][0]
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x.keys), bit, np.int32)), pa.array(signed(x.keys)), pa.array(x.zeros), pa.array(x.ones), pa.array(x.weighted)], ["bit", "key", "zeros", "ones", "weighted"])
+def _nodes(bit: int, x: Layer) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(x.keys), bit, np.int32)), pa.array(signed(x.keys)), pa.array(x.zeros), pa.array(x.ones), pa.array(x.weighted)], ["bit", "key", "zeros", "ones", "weighted"])
+
+
+def _deep_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The nodes one deeper than ``PAIR_DEPTH`` of this task's triples: bit, key, counts and weighted block probability."""
+    got = _gathered(batches)
+    for bit, layers in _tree(got[0].view(U), got[1], PAIR_DEPTH + 1) if got and len(got[0]) else ():
+        yield _nodes(bit, layers[-1][0])
+
+
+def _weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes with the sums of their children's weights below turned into their own."""
+    for b in batches:
+        zeros, ones, below = (b.column(i).to_numpy() for i in (2, 3, 4))
+        own = np.logaddexp(log_block(zeros, ones), below) + np.log(0.5)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), b.column(3), pa.array(own)], ["bit", "key", "zeros", "ones", "weighted"])
+
+
+def _pair_layers(bits: np.ndarray, keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray) -> list[Layer]:
+    """The nodes of this task's pairs by bit; a pair of several lots may have sent them more than once."""
+    out = []
+    for bit in range(8):
+        own, first = np.unique(keys[bits == bit].view(U), return_index=True)
+        out.append(Layer(own, *(x[bits == bit][first] for x in (zeros, ones, weighted))))
+    return out
 
 
 def _string_scores(batches: Iterator[pa.RecordBatch], upper: Broadcast) -> Iterator[pa.RecordBatch]:
-    """The log10 probability of each string's byte after its context."""
-    keys, n = _gathered(batches)
-    if not len(keys):
+    """The log10 probability of each string's byte after its context, from rows of strings (bit -1) and of nodes."""
+    got = _gathered(batches)
+    if not got or not (got[2] < 0).any():
         return
+    is_string = got[2] < 0
+    keys, n = got[0][is_string].view(U), got[1][is_string]
+    pairs = _pair_layers(*(got[i][~is_string] for i in (2, 0, 3, 4, 5)))
     total = np.zeros(len(keys))
-    for bit, layers in _tree(keys, n, 2):
+    for bit, layers in _tree(keys, n, PAIR_DEPTH + 1):
         one = ((keys >> U(7 - bit)) & U(1)) == 1
-        above = [(x, np.searchsorted(x.keys, _shortened(keys, d) >> U(8 - bit))) for d, x in ((1, upper.value[1][bit]), (0, upper.value[0][bit]))]
+        above = [(x, np.searchsorted(x.keys, _shortened(keys, d) >> U(8 - bit))) for d, x in ((2, pairs[bit]), (1, upper.value[1][bit]), (0, upper.value[0][bit]))]
         p = np.zeros(len(keys))
         for i, (x, at) in enumerate([*layers, *above]):
             here = (np.where(one, x.ones[at], x.zeros[at]) + 0.5) / (x.zeros[at] + x.ones[at] + 1)
@@ -190,11 +212,42 @@ def _string_scores(batches: Iterator[pa.RecordBatch], upper: Broadcast) -> Itera
     yield pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(n), pa.array(total)], ["key", "n", "value"])
 
 
+NODES = "bit int, key long, zeros double, ones double, weighted double"
+
+
+def _string_values(strings: DataFrame, tasks: int) -> DataFrame:
+    """``key, n, value``: the log10 probability of each string's byte, from ``key, n`` of all of them."""
+    sc = strings.sparkSession.sparkContext
+    paired = strings.withColumn("pair", F.shiftrightunsigned("key", 8 * (DEPTH + 1 - PAIR_DEPTH)).cast("int"))
+    large = paired.groupBy("pair").agg(F.count("*").alias("strings")).where(F.col("strings") > LOT)  # 65,536 pairs at most
+    large = kept(large.select("pair", F.least(F.ceil(F.col("strings") / LOT), F.lit(256)).cast("int").alias("lots")), "lm-large-pairs")
+    lots = F.coalesce("lots", F.lit(1))
+    third = F.shiftrightunsigned("key", 8 * (DEPTH - PAIR_DEPTH)).bitwiseAND(255)
+    dealt = paired.join(large, "pair", "left").withColumn("lot", F.pmod(third, lots).cast("int")).select("pair", "lot", "key", "n")
+    deep = dealt.repartition(tasks, "pair", "lot").select("key", "n").mapInArrow(_deep_nodes, NODES)
+
+    sums = [F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")]
+    pairs = kept(deep.groupBy("bit", _parent().alias("key")).agg(*sums).mapInArrow(_weighted, NODES), "lm-pairs")
+    upper = sc.broadcast(_upper(pairs))
+    none = [F.lit(None).cast("double").alias(c) for c in ("zeros", "ones", "weighted")]
+    own = dealt.select("pair", "lot", "key", "n", F.lit(-1).alias("bit"), *none)
+    of_pair = pairs.withColumn("pair", F.expr("cast(shiftright(key, bit) as int)")).join(large, "pair", "left").withColumn("lot", F.explode(F.sequence(F.lit(0), lots - 1)))
+    both = own.unionByName(of_pair.select("pair", "lot", "key", F.lit(0).cast("long").alias("n"), "bit", "zeros", "ones", "weighted"))
+    rows = both.repartition(tasks, "pair", "lot").select("key", "n", "bit", "zeros", "ones", "weighted")
+    values = kept(rows.mapInArrow(partial(_string_scores, upper=upper), "key long, n long, value double"), "lm-strings")
+    dropped(pairs)
+    return values
+
+
+def _parent() -> Column:
+    """A node's key without its farthest context byte."""
+    return F.expr("shiftleft(shiftright(key, 8 + bit), bit) | (key & (shiftleft(1L, bit) - 1))")
+
+
 def _upper(pairs: DataFrame) -> list[list[Layer]]:
     """The layers of depths 0 and 1, by bit: at most 255 and 256 * 255 nodes."""
-    parent = F.expr("shiftleft(shiftright(key, 8 + bit), bit) | (key & (shiftleft(1L, bit) - 1))")
     sums = [F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")]
-    got = pairs.groupBy("bit", parent.alias("key")).agg(*sums).toArrow()
+    got = pairs.groupBy("bit", _parent().alias("key")).agg(*sums).toArrow()
     bits, keys, zeros, ones, below = (got[c].to_numpy() for c in ("bit", "key", "zeros", "ones", "weighted"))
     out: list[list[Layer]] = [[], []]
     for bit in range(8):
@@ -318,13 +371,8 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     n = (of_kind[WORD].n if WORD in of_kind else 0) + ends
     v = (of_kind[WORD].learned if WORD in of_kind else 0) + (ends > 0)
 
-    pair = F.shiftrightunsigned("key", 8 * (DEPTH - 1))
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // PER_TASK))
-    dealt = counts.where(F.col("kind") == STRING).select("key", "n").repartition(tasks, pair)
-    pairs = kept(dealt.mapInArrow(_pair_nodes, "bit int, key long, zeros double, ones double, weighted double"), "lm-pairs")
-    upper = sc.broadcast(_upper(pairs))
-    scores = kept(dealt.mapInArrow(partial(_string_scores, upper=upper), "key long, n long, value double"), "lm-strings")
-    dropped(pairs)
+    scores = _string_values(counts.where(F.col("kind") == STRING).select("key", "n"), tasks)
 
     strings, other_strings = _common(scores, MOST_STRINGS)
     words, other_words = _common(counts.where((F.col("kind") == WORD) & (F.col("n") > 0)).select("key", "n", F.log10(F.col("n") + 0.5).alias("value")), MOST_WORDS)
