@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.store import kept
-from basketry.llm.words import ALNUM, Words, bounded_batches, chunks
+from basketry.llm.words import ALNUM, Trimmed, Words, bounded_batches, chunks
 
 WINDOW, BLOCK_WORDS, SHARD = 13, 1 << 20, 4 << 20
 CONTAMINATED = "n_hit > 0 AND 20 * n_hit >= n_words"
@@ -249,7 +249,7 @@ def _findings(docs: DataFrame, benchmark: DataFrame, window: int, block_words: i
     blocks, parts = benchmark_blocks(benchmark, window, block_words), []
     block = next(blocks, None)
     while True:
-        found, after = own.mapInArrow(partial(_report, block=block), REPORT), next(blocks, None)
+        found, after = own.mapInArrow(Trimmed(partial(_report, block=block)), REPORT), next(blocks, None)
         if after is None and not parts:
             return found, True
         parts.append(kept(found, "benchmark-hits"))
@@ -289,7 +289,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     blocks = benchmark_blocks(benchmark, window, block_words)
     first, second = next(blocks, None), next(blocks, None)
     if second is None:
-        return docs.mapInArrow(partial(_clean, block=first), docs.schema)
+        return docs.mapInArrow(Trimmed(partial(_clean, block=first)), docs.schema)
     first.destroy()
     second.destroy()
     found, _ = _findings(docs, benchmark, window, block_words)

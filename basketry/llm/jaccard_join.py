@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from basketry.llm import bloom
 from basketry.llm.components import components
 from basketry.llm.store import dropped, kept
-from basketry.llm.words import LOWER, U, Words, bounded_batches, chunks, mixed, signed, windows
+from basketry.llm.words import LOWER, U, Trimmed, Words, bounded_batches, chunks, mixed, signed, windows
 
-SHINGLE, HOT, MOST_HOT, BLOCK, PART = 5, 6, 1 << 21, 4096, 1 << 22
+SHINGLE, HOT, MOST_HOT, BLOCK, PART = 5, 6, 1 << 21, 4096, 1 << 21
 TOP = U(1 << 63)
 NONE = np.zeros(0, U)
 
@@ -156,7 +156,8 @@ class Trie:
             while end[path[-1]] > shared:
                 last = path.pop()
             if end[path[-1]] < shared:  # a node is cut where this set leaves it
-                parent, begin, end, source = [*parent, path[-1]], [*begin, end[path[-1]]], [*end, shared], [*source, source[last]]
+                for column, value in ((parent, path[-1]), (begin, end[path[-1]]), (source, source[last]), (end, shared)):
+                    column.append(value)
                 path.append(len(parent) - 1)
                 parent[last], begin[last] = path[-1], shared
             if len(s) > shared:
@@ -171,7 +172,7 @@ class Trie:
         self.sizes = np.array([len(s) for s in sets])
         runs = [sets[d][a:z] for d, a, z in zip(source, begin, end, strict=True)]
         self.last = np.array([r[-1] if len(r) else -1 for r in runs])
-        tokens, nodes = np.concatenate(runs), np.repeat(np.arange(len(runs)), self.end - self.begin)
+        tokens, nodes = np.concatenate(runs), np.repeat(np.arange(len(runs), dtype=np.int32), self.end - self.begin)
         by_token = np.argsort(tokens, kind="stable")
         self.holders, self.first = nodes[by_token], np.searchsorted(tokens[by_token], np.arange(int(max(s[-1] for s in sets)) + 2))
         level = np.zeros(len(parent), np.int64)
@@ -211,9 +212,9 @@ def _links(docs: list[int], sides: list[bool], sets: list[np.ndarray]) -> Iterat
             leader[i] = i = leader[leader[i]]
         return i
 
-    whole = np.concatenate(sets)
-    _, number = np.unique(~whole, return_inverse=True)  # common ones first
-    local = [np.sort(x) for x in np.split(number, np.cumsum([len(s) for s in sets])[:-1])]
+    _, number = np.unique(~np.concatenate(sets), return_inverse=True)  # common ones first
+    local = [np.sort(x) for x in np.split(number.astype(np.uint32), np.cumsum([len(s) for s in sets])[:-1])]
+    del number
     cut = True in sides and False in sides
     stored = [i for i in range(len(docs)) if sides[i] or not cut]
     trie = Trie([local[i] for i in stored])
@@ -276,7 +277,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
     dropped(rows)
     dropped(ends)
     shapes = sized.groupBy("first", "n", "c").agg(F.count("*").alias("m")).repartition("first").sortWithinPartitions("first", "n")
-    shapes = kept(shapes.mapInArrow(_with_partners, "first long, n long, c long"), "shapes")
+    shapes = kept(shapes.mapInArrow(Trimmed(_with_partners), "first long, n long, c long"), "shapes")
     members = kept(sized.join(shapes, ["first", "n", "c"]).groupBy("first", "doc_id").agg(F.sum("n").alias("n")), "members")
     dropped(sized)
     dropped(shapes)
@@ -295,7 +296,7 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = kept(own.mapInArrow(partial(_classes, size=size), "doc_id long, n long, h1 long, h2 long"), "sets")
+    sets = kept(own.mapInArrow(Trimmed(partial(_classes, size=size)), "doc_id long, n long, h1 long, h2 long"), "sets")
     named = sets.where("doc_id IS NOT NULL AND n > 0")
     firsts = named.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("first"))
     classes = kept(named.join(firsts, ["h1", "h2", "n"]).select("doc_id", "n", "first"), "classes")
@@ -303,17 +304,17 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     wanted = spark.sparkContext.broadcast(bloom.build(firsts, bloom.blocks_for(firsts.count())))
 
     own = own.where("doc_id IS NOT NULL")
-    counts = own.mapInArrow(partial(_prefix_counts, size=size, wanted=wanted), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = own.mapInArrow(Trimmed(partial(_prefix_counts, size=size, wanted=wanted)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     common = spark.sparkContext.broadcast(_common(counts))
-    counts = own.mapInArrow(partial(_prefix_counts, size=size, wanted=wanted, common=common), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = own.mapInArrow(Trimmed(partial(_prefix_counts, size=size, wanted=wanted, common=common)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     again = kept(counts.where("n > 1").select("token"), "repeated-shingles")
     again = spark.sparkContext.broadcast(bloom.build(again, bloom.blocks_for(again.count(), most=bloom.MOST_BLOCKS * 4)))
-    rows = own.mapInArrow(partial(_prefixes, size=size, wanted=wanted, common=common, again=again), "token long, doc_id long, n long")
+    rows = own.mapInArrow(Trimmed(partial(_prefixes, size=size, wanted=wanted, common=common, again=again)), "token long, doc_id long, n long")
     members = _blocks(rows)
     ids = members.select("doc_id").distinct()
     needed = spark.sparkContext.broadcast(bloom.build(ids, bloom.blocks_for(ids.count())))
-    texts = _dealt(members).join(own.mapInArrow(partial(_texts, wanted=needed), own.schema), "doc_id").repartition("first", "part").sortWithinPartitions("first", "part")
-    links = kept(texts.mapInArrow(partial(_checked, size=size, common=common), "a long, b long"), "links")
+    texts = _dealt(members).join(own.mapInArrow(Trimmed(partial(_texts, wanted=needed)), own.schema), "doc_id").repartition("first", "part").sortWithinPartitions("first", "part")
+    links = kept(texts.mapInArrow(Trimmed(partial(_checked, size=size, common=common)), "a long, b long"), "links")
     repeated = classes.groupBy("doc_id").agg(F.min("first").alias("low"), F.max("first").alias("high")).where("low < high").select("doc_id")
     links = links.union(classes.join(repeated, "doc_id").select("doc_id", "first"))
     found = components(links)

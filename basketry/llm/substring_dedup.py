@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm import bloom
 from basketry.llm.store import dropped, kept
-from basketry.llm.words import PLAIN, Words, bounded_batches, chunks, signed, sliding_min, windows
+from basketry.llm.words import PLAIN, Trimmed, Words, bounded_batches, chunks, signed, sliding_min, windows
 
 LENGTH, FIRST = 50, 8
 
@@ -94,11 +94,11 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_i
     again = [F.min("doc_id").alias("least"), F.max("doc_id").alias("most")]
     below: list[tuple[int, Broadcast]] = []
     for level in levels(length)[:-1]:
-        found = own.mapInArrow(partial(_level_windows, length=length, level=level, below=list(below)), "window long, doc_id long")
+        found = own.mapInArrow(Trimmed(partial(_level_windows, length=length, level=level, below=list(below))), "window long, doc_id long")
         repeated = kept(found.groupBy("window").agg(*again).where("least < most").select("window"), f"repeated-{level}")
         below.append((level, spark.sparkContext.broadcast(bloom.build(repeated, bloom.blocks_for(repeated.count())))))
         dropped(repeated)
-    full = kept(own.mapInArrow(partial(_full_windows, length=length, below=below), "window long, doc_id long, spot long"), "windows")
+    full = kept(own.mapInArrow(Trimmed(partial(_full_windows, length=length, below=below)), "window long, doc_id long, spot long"), "windows")
     # Written, so the join's other side is no aggregate and adaptive execution can split a window with very many rows.
     firsts = kept(full.groupBy("window").agg(*again).where("least < most").select("window", "least"), "first-windows")
     places = full.join(firsts, "window").where("doc_id > least")
@@ -145,7 +145,7 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH, keep_text: bool = Tru
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_key(F.col("text")).alias("text_key"), F.col("text").cast("string").alias("text"))
     joined = own.join(places, ["doc_id", "text_key"], "left").select("doc_id", "text", "places")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text
-    return joined.mapInArrow(partial(_cut, length=length, keep_text=keep_text), schema)
+    return joined.mapInArrow(Trimmed(partial(_cut, length=length, keep_text=keep_text)), schema)
 
 
 def _replaced(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -166,4 +166,4 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents with all their columns; where ``substring_dedup`` removes words, ``text`` is what it keeps, and elsewhere unchanged. Nulls stay null."""
     places = repeated_windows(docs, length).groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_set("place").alias(PLACES))
     joined = docs.join(places, (F.col("doc_id") == F.col("__id")) & (_text_key(F.col("text")) == F.col("__key")), "left").drop("__id", "__key")
-    return joined.mapInArrow(partial(_replaced, length=length), docs.schema)
+    return joined.mapInArrow(Trimmed(partial(_replaced, length=length)), docs.schema)

@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.words import ALNUM, U, Words, bounded_batches, chunks, mixed
+from basketry.llm.words import ALNUM, U, Trimmed, Words, bounded_batches, chunks, mixed
 
 SAMPLE, SAMPLE_CHARS = 800, 30_000  # documents of each label, and the most characters of one
 SPAN, STEP, LANE = 32, 16, 4096
@@ -318,7 +318,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
     bounded_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    scored = own.mapInArrow(partial(_scored, model=model), "doc_id long, held_out boolean, score double")
+    scored = own.mapInArrow(Trimmed(partial(_scored, model=model)), "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
@@ -333,4 +333,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Data
     """The documents that are not predicted to be toxic, with all their columns unchanged."""
     bounded_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample))
-    return docs.mapInArrow(partial(_harmless, model=model), docs.schema)
+    return docs.mapInArrow(Trimmed(partial(_harmless, model=model)), docs.schema)

@@ -9,7 +9,9 @@ share one with a chance of about ``n * n / 2**65``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 
 import numpy as np
@@ -52,6 +54,26 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)
 
 
+def release() -> None:
+    """Gives memory that this process has freed back to the system: Python workers live on and would hold it while others need it."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # the C library may not have it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+class Trimmed:
+    """A function for ``mapInArrow`` that gives memory back when its task ends."""
+
+    def __init__(self, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+        self.task = task
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from self.task(batches)
+        finally:
+            release()
+
+
 def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column, and where each row starts (one more than rows)."""
     if texts.null_count:
