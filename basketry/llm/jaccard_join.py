@@ -27,6 +27,7 @@ from basketry.llm.store import dropped, kept
 from basketry.llm.words import LOWER, U, Trimmed, Words, bounded_batches, chunks, mixed, signed, windows
 
 SHINGLE, HOT, MOST_HOT, BLOCK, PART = 5, 6, 1 << 21, 4096, 1 << 21
+BATCH = 4 << 20  # bytes of texts that a task holds at once, with a multiple of it in shingles
 TOP = U(1 << 63)
 NONE = np.zeros(0, U)
 
@@ -294,7 +295,7 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     gives an empty result. Other columns are not read.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, BATCH)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = kept(own.mapInArrow(Trimmed(partial(_classes, size=size)), "doc_id long, n long, h1 long, h2 long"), "sets")
     named = sets.where("doc_id IS NOT NULL AND n > 0")
@@ -311,10 +312,14 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     again = spark.sparkContext.broadcast(bloom.build(again, bloom.blocks_for(again.count(), most=bloom.MOST_BLOCKS * 4)))
     rows = own.mapInArrow(Trimmed(partial(_prefixes, size=size, wanted=wanted, common=common, again=again)), "token long, doc_id long, n long")
     members = _blocks(rows)
+    again.destroy()
+    wanted.destroy()
     ids = members.select("doc_id").distinct()
     needed = spark.sparkContext.broadcast(bloom.build(ids, bloom.blocks_for(ids.count())))
     texts = _dealt(members).join(own.mapInArrow(Trimmed(partial(_texts, wanted=needed)), own.schema), "doc_id").repartition("first", "part").sortWithinPartitions("first", "part")
     links = kept(texts.mapInArrow(Trimmed(partial(_checked, size=size, common=common)), "a long, b long"), "links")
+    needed.destroy()
+    common.destroy()
     repeated = classes.groupBy("doc_id").agg(F.min("first").alias("low"), F.max("first").alias("high")).where("low < high").select("doc_id")
     links = links.union(classes.join(repeated, "doc_id").select("doc_id", "first"))
     found = components(links)

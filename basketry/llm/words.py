@@ -48,10 +48,10 @@ NUL_AS = 255  # 0xFF never occurs in UTF-8
 PLAIN[0] = LOWER[0] = NUL_AS
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, most: int = BYTES_PER_BATCH) -> None:
     """Keeps Arrow batches of texts small: tasks hold one batch at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
 
 
 def release() -> None:
