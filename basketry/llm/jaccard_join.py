@@ -353,6 +353,8 @@ def one_of_each_group(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     odd = kept(joined.join(numbers.select(F.col("__number").alias("__node")), "__node").select("component_id").distinct(), "odd-groups")
     stays = first.join(odd, "component_id").groupBy("component_id").agg(F.min(F.struct("__id", "__md5", "__node")).alias("s")).select("component_id", F.col("s.__node").alias("stays"))
     gone = joined.join(kept(stays, "kept-texts"), "component_id", "left").where(F.col("__node") != F.coalesce("stays", "component_id")).select("__node")
+    # Written in order, where ids take little room: Spark knows their size before it plans the join, and shuffles texts only if they are many.
+    gone = kept(gone.sort("__node"), "removed-texts")
     left = named.join(gone, "__node", "left_anti")
     # Only rows of ids that stand in several rows are compared with each other.
     once = left.join(shared.select("__id"), "__id", "left_semi").dropDuplicates(["__id", "__md5"])
