@@ -416,7 +416,6 @@ def test_context_tree(spark, none, monkeypatch, tmp_path):
     monkeypatch.setattr(context_tree, "MOST_STRINGS", 3)
     monkeypatch.setattr(context_tree, "MOST_WORDS", 1)
     monkeypatch.setattr(context_tree, "PER_TASK", 4)
-    monkeypatch.setattr(context_tree, "LOT", 2)  # pairs of bytes are dealt to several tasks
     again = context_tree.lm_scores(docs.orderBy(F.rand(1)).repartition(5).withColumn("key", F.lit("clash")).withColumn("held_out", F.lit(7))).collect()
     assert all((r.doc_id, r.n_known, r.n_tokens) == (got[r.doc_id].doc_id, got[r.doc_id].n_known, got[r.doc_id].n_tokens) and r.score == pytest.approx(got[r.doc_id].score) and r.base_score == pytest.approx(got[r.doc_id].base_score) for r in again)
     # A file of nulls and empty texts beside others, and such a table alone.
