@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.exprs import pct_change
-from basketry.operators.rules import first_rule
+from basketry.operators.rules import FLAGS, first_rule
 
 
 def as_of(left: DataFrame, right: DataFrame, on: str, value: str, by: Sequence[str] = (), buckets: str | None = None) -> DataFrame:
@@ -49,8 +49,8 @@ def rule_chain(name: str, rules: Sequence[tuple[str, str | None, str]], default:
     """Prioritised regular-expression rules (pattern, pattern that forbids, label) as one expression: a projection instead of a theta join."""
     out = F.lit(default).cast("string")
     for pattern, forbidden, label in reversed(rules):
-        hit = F.col(name).rlike(f"(?i){pattern}")
-        hit = hit & ~F.col(name).rlike(f"(?i){forbidden}") if forbidden else hit
+        hit = F.col(name).rlike(f"{FLAGS}{pattern}")
+        hit = hit & ~F.col(name).rlike(f"{FLAGS}{forbidden}") if forbidden else hit
         out = F.when(hit, F.lit(label)).otherwise(out)
     return out
 
