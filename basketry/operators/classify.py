@@ -75,8 +75,9 @@ def overrides(items: DataFrame, rules: DataFrame) -> DataFrame:
     runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))))
     named = F.concat(F.transform(runs, lambda r: F.concat(F.lit("2|"), "store", F.lit("|"), r)), F.transform(runs, lambda r: F.concat(F.lit("3|"), r)))
     keys = F.array_distinct(F.array_compact(F.concat(F.array(F.concat(F.lit("0|"), F.trim("barcode")), F.concat(F.lit("1|"), F.trim("product_key"))), named)))
-    best = items.select("item", F.explode(keys).alias("__key")).join(keyed, "__key").groupBy("item").agg(F.min("__rule").alias("__rule"))
-    return items.join(best, "item", "left").select(*items.columns, F.col("__rule.division").alias("override_division"), F.col("__rule.kind").alias("override_kind"))
+    # Rules and items found grow with the input: neither is gathered on the driver for a broadcast.
+    best = items.select("item", F.explode(keys).alias("__key")).join(keyed.hint("merge"), "__key").groupBy("item").agg(F.min("__rule").alias("__rule"))
+    return items.join(best.hint("merge"), "item", "left").select(*items.columns, F.col("__rule.division").alias("override_division"), F.col("__rule.kind").alias("override_kind"))
 
 
 def pattern_overrides(items: DataFrame, rules: DataFrame) -> DataFrame:
