@@ -14,11 +14,13 @@ from basketry.operators.rules import FLAGS, first_rule
 def as_of(left: DataFrame, right: DataFrame, on: str, value: str, by: Sequence[str] = (), buckets: str | None = None) -> DataFrame:
     """Adds to each row of ``left`` the ``value`` of ``right``'s last row with the same ``by`` and ``on`` not after its own.
 
-    Both sides go through one window, so it is one shuffle and no theta join. Without ``by`` a year (or the given ``buckets``
-    column) deals the rows: each bucket starts with the last value before it, found from one row for each bucket.
+    The distinct ``by`` and ``on`` of both sides go through one window, and rows take the value of their own by an equi-join, so there is no
+    theta join and no task sorts the rows of a day or a year. Without ``by`` a day (or the given ``buckets`` column) deals the
+    distinct ones: each bucket starts with the last value before it, found from one row for each bucket.
     """
-    bucket = F.col(buckets) if buckets else F.year(on)
     keys = list(by)
+    rows, left = left, left.select(*keys, on, *([buckets] if buckets else [])).where(F.col(on).isNotNull()).distinct()
+    bucket = F.col(buckets) if buckets else F.to_date(on)
     r = right.where(F.col(value).isNotNull()).groupBy(*keys, on).agg(F.max(value).alias(value)).withColumn("__bucket", bucket)
     ends = r.groupBy(*keys, "__bucket").agg(F.max_by(value, on).alias("__end"))
     carry = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -29,7 +31,8 @@ def as_of(left: DataFrame, right: DataFrame, on: str, value: str, by: Sequence[s
     both = l.unionByName(r.withColumn("__left", F.lit(0)), allowMissingColumns=True)
     along = Window.partitionBy(*keys, "__bucket").orderBy(on, "__left").rowsBetween(Window.unboundedPreceding, 0)
     filled = both.withColumn(value, F.last(value, ignorenulls=True).over(along)).where("__left = 1")
-    return filled.join(starts, [*keys, "__bucket"], "left").withColumn(value, F.coalesce(value, "__start")).select(*left.columns, value)
+    found = filled.join(starts, [*keys, "__bucket"], "left").withColumn(value, F.coalesce(value, "__start")).select(*[F.col(c).alias(f"__{c}") for c in left.columns], F.col(value).alias("__value"))
+    return rows.join(found, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in left.columns], "left").select(*rows.columns, F.col("__value").alias(value))
 
 
 def exact_or(left: DataFrame, rates: DataFrame, on: str, value: str, default: float) -> DataFrame:
