@@ -37,7 +37,8 @@ def dim_stores(stores: DataFrame, facts: DataFrame) -> DataFrame:
 
 def coverage(facts: DataFrame, items: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Observations, items and the shares that are classified and have a barcode, by ``keys``."""
-    joined = facts.join(items, "item", "left")
+    # Few items of a key are equal, so counting them before the shuffle would hold nearly all rows of a task in memory.
+    joined = facts.join(items, "item", "left").repartition(*keys)
     known = F.coalesce(F.col("division") != "99", F.lit(False))
     return joined.groupBy(*keys).agg(F.count("*").alias("observations"), F.countDistinct("item").alias("items"), F.count_if(~known).alias("unclassified"), counted_share(known, 2).alias("classified_pct"),
                                      F.count("barcode").alias("barcodes"), counted_share(F.col("barcode").isNotNull(), 2).alias("barcode_pct"))
