@@ -75,19 +75,29 @@ def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.groupBy(F.col("p_type").alias("division"), F.col("p_brand").alias("class")).agg((F.sum("l_extendedprice") / 1e6).alias("weight"))
 
 
-def divisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = class_weights(spark, sf_dir)
+def divisions(spark: SparkSession, sf_dir: str, weights: DataFrame | None = None) -> DataFrame:
+    weights = class_weights(spark, sf_dir) if weights is None else weights
     joined = classes(spark, sf_dir).join(weights, ["division", "class"])
     return joined.groupBy("month", "division").agg(weighted_mean("index", "weight").alias("index"), F.sum("items").alias("items"))
 
 
 def headline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = class_weights(spark, sf_dir).groupBy("division").agg(F.sum("weight").alias("weight"))
-    return index.headline(divisions(spark, sf_dir), weights, CORE_WITHOUT)
+    return divisions_and_headline(spark, sf_dir)[1]
+
+
+def divisions_and_headline(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both from one chain: weights and divisions are written, a row a class or period and division."""
+    weights = written(class_weights(spark, sf_dir), "class-weights")
+    found = written(divisions(spark, sf_dir, weights), "divisions")
+    return found, index.headline(found, weights.groupBy("division").agg(F.sum("weight").alias("weight")), CORE_WITHOUT)
+
+
+def rounded_headline(found: DataFrame) -> DataFrame:
+    return found.select("month", _r("headline"), _r("core"), _r("coverage"))
 
 
 def q_headline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return headline(spark, sf_dir).select("month", _r("headline"), _r("core"), _r("coverage"))
+    return rounded_headline(headline(spark, sf_dir))
 
 
 LEVELS = [["class", "division"], ["class"], ["division"]]
@@ -107,7 +117,7 @@ def _compiled(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs, adjusted = _chain_inputs(spark, sf_dir)
     daily = obs.groupBy("day").agg(F.avg("price").alias("headline"), F.count("*").alias("observations"))
     factors = tree.splice(tree.december_factors(daily).select("effective_from", "factor"), obs.select("month").distinct())
-    return index.compiled(obs, class_weights(spark, sf_dir), LEVELS, adjusted=adjusted, factors=factors)
+    return index.compiled(obs, written(class_weights(spark, sf_dir), "class-weights"), LEVELS, adjusted=adjusted, factors=factors)
 
 
 def q_index_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,19 +230,19 @@ def q_balance_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat against store-balanced means by class and month, and their difference."""
-    rows = cleaned(spark, sf_dir)
+    rows = written(cleaned(spark, sf_dir), "kept-relatives")
     flat = index.jevons(rows, ["month", "class"]).select("month", "class", F.col("index").alias("flat"))
     balanced = index.store_balanced(rows, ["month", "class"]).select("month", "class", F.col("index").alias("balanced"))
     return flat.join(balanced, ["month", "class"]).select("month", "class", _r("flat"), _r("balanced"), F.round(F.col("flat") - F.col("balanced"), ROUND).alias("difference"))
 
 
 def q_monthly_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = joins.calendar_changes(q_headline(spark, sf_dir), [], ["headline", "core"])
+    out = joins.calendar_changes(written(q_headline(spark, sf_dir), "headline"), [], ["headline", "core"])
     return out.select("month", "headline", "core", "headline_mom", "headline_yoy", "core_mom", "core_yoy")
 
 
 def q_division_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = joins.calendar_changes(q_divisions(spark, sf_dir), ["division"], ["index"])
+    out = joins.calendar_changes(written(q_divisions(spark, sf_dir), "divisions"), ["division"], ["index"])
     return out.select("month", "division", "index", "index_mom", "index_yoy")
 
 
