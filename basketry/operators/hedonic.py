@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.exprs import clip
+from basketry.sources.scratch import written
 
 LEAST_ROWS = 20
 
@@ -160,6 +161,7 @@ def rolling_baselines(rows: DataFrame, features: Sequence[str], days: int = WIND
     so_far = Window.partitionBy("month").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     earlier = lambda c: F.sum(c).over(behind) - F.sum(c).over(so_far)
     means = daily.select("day", "month", *[(earlier(f"s{i}") / F.nullif(earlier(f"n{i}"), F.lit(0))).alias(f"b{i}") for i in range(len(features))])
+    means = written(means, "feature-means")  # one row a day
     # Only the first month of a run of months has no mean; its days see at most 31 days of rows.
     without = means.where(" OR ".join(f"b{i} IS NULL" for i in range(len(features)))).select(F.col("day").alias("at"), "month")
     own = rows.withColumn("month", F.trunc("day", "month")).join(without, "month").where("day <= at")
@@ -170,7 +172,8 @@ def rolling_baselines(rows: DataFrame, features: Sequence[str], days: int = WIND
 
 def rolling_adjusted(rows: DataFrame, features: Sequence[str], price: str = "price", days: int = WINDOW_DAYS, core: int = CORE, least: int = LEAST_ROWS, bound: float = 3.0) -> DataFrame:
     """``rows`` with ``factor`` and ``adjusted``: each price at its day's baseline by its day's fit, the log difference within ``bound``. Days without a fit, and rows with a null feature, keep their prices (factor 1)."""
-    fits = rolling_fits(rows, features, price, days, core, least).select("day", "beta").join(rolling_baselines(rows, features, days), "day")  # one row a day
+    fits = rolling_fits(rows, features, price, days, core, least).select("day", "beta").join(rolling_baselines(rows, features, days), "day")
+    fits = written(fits, "daily-fits")  # one row a day: small enough that rows are joined where they are
     own = F.array(*[F.col(f).cast("double") for f in features])
     gap = F.aggregate(F.zip_with(F.slice("beta", 2, len(features)), F.zip_with("base", own, lambda b, x: b - x), lambda k, d: k * d), F.lit(0.0), lambda t, x: t + x)
     out = rows.join(fits, "day", "left").withColumn("factor", F.coalesce(F.exp(clip(gap, -bound, bound)), F.lit(1.0)))

@@ -15,7 +15,7 @@ from basketry.functions.exprs import clip, geomean, nonzero, weighted_geomean, w
 from basketry.sources.scratch import written
 
 MAD_SCALE, MAD_LIMIT, MAD_LEAST, MAD_EPSILON = 1.4826, 3.5, 5, 1e-6
-LOG_DIGITS = 6
+LOG_DIGITS, STEP = 6, 1024  # of rounded logs; rounded values counted as one at first
 
 
 def robust_geomean(rows: DataFrame, keys: Sequence[str], value: str, out: str, low: float = 0.4, high: float = 2.5, extra: Sequence[Column] = ()) -> DataFrame:
@@ -46,12 +46,26 @@ def modal(rows: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFra
     return counts.groupBy(*keys).agg(F.min_by(value, F.struct(-F.col("__n"), F.col(value))).alias(out))
 
 
+def _item_means(obs: DataFrame, keys: Sequence[str], values: dict[str, str]) -> DataFrame:
+    """Robust means of ``values`` (column and name of the mean), ``observations`` and modal ``store`` by keys (the first is the period). One shuffle.
+
+    Most items have one or two observations in a period: all of their prices count and the smaller store is the modal one, so plain sums do. Only
+    those with more meet in arrays.
+    """
+    # An item has few prices in a period, so adding up before the shuffle would only cost.
+    dealt = obs.select(*keys, *values, "store").repartition(keys[0], "item")
+    n = F.count("*").alias("observations")
+    few = dealt.groupBy(*keys).agg(*[geomean(v).alias(out) for v, out in values.items()], n, F.min("store").alias("store")).where("observations <= 2")
+    many = dealt.withColumn("__n", F.count("*").over(Window.partitionBy(*keys))).where("__n > 2")
+    many = many.groupBy(*keys).agg(*[_positive(v).alias(f"__{v}") for v in values], n, F.mode("store", True).alias("store"))
+    for v, out in values.items():
+        many = _with_geomean(many, f"__{v}", out)
+    return few.unionByName(many)
+
+
 def item_prices(obs: DataFrame, period: str = "month") -> DataFrame:
     """``period, item, class, division, price, observations, store`` for each item and period: robust mean, number of observations, modal store (the smallest of several). One shuffle."""
-    keys = [period, "item", "class", "division"]
-    # An item has few prices in a period, so adding up before the shuffle would only cost.
-    obs = obs.select(*keys, "price", "store").repartition(period, "item")
-    return robust_geomean(obs, keys, "price", "price", extra=[F.count("*").alias("observations"), F.mode("store", True).alias("store")]).where("price IS NOT NULL")
+    return _item_means(obs, [period, "item", "class", "division"], {"price": "price"}).where("price IS NOT NULL")
 
 
 def first_relatives(prices: DataFrame, period: str = "month", shadow: bool = False) -> DataFrame:
@@ -93,16 +107,29 @@ def unit_or_shelf(shelf_now: str, shelf_base: str, unit_now: str, unit_base: str
 
 
 def _group_median(rows: DataFrame, keys: Sequence[str], value: Column, out: str) -> DataFrame:
-    """Medians by keys of values rounded to ``LOG_DIGITS``, and the numbers of values: tasks count equal values first, and a group has a bounded number of different ones."""
-    rounded = F.rint(value * float(10**LOG_DIGITS))
-    return rows.groupBy(*keys).agg((F.percentile(rounded, F.lit(0.5)) / float(10**LOG_DIGITS)).alias(out), F.count(rounded).alias(f"{out}_n"))
+    """Medians by keys of values rounded to ``LOG_DIGITS``, and the numbers of values. Exact, and only counts are shuffled: of steps of ``STEP`` values first, which tell the one or
+    two steps with the middle of a group, then of the values in these. ``rows`` is read twice. A written table, one row a group."""
+    rounded = F.rint(value * float(10**LOG_DIGITS)).cast("long")
+    valued = rows.select(*keys, rounded.alias("__v")).where("__v IS NOT NULL").withColumn("__step", F.floor(F.col("__v") / STEP))
+    group = Window.partitionBy(*keys)
+    # The middle of n values: those in places low and high, the same for an odd n.
+    low, high = F.floor((F.col("__all") + 1) / 2), F.floor(F.col("__all") / 2) + 1
+    steps = valued.groupBy(*keys, "__step").agg(F.count("*").alias("__n"))
+    steps = steps.withColumns({"__upto": F.sum("__n").over(group.orderBy("__step")), "__all": F.sum("__n").over(group)})
+    steps = steps.where((F.col("__upto") >= low) & (F.col("__upto") - F.col("__n") < high))
+    middle = written(steps.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__step").alias("__s"), (F.col("__upto") - F.col("__n")).alias("__before"), "__all"), "middle-steps")
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    near = valued.join(middle, [*same, F.col("__step") == F.col("__s")]).groupBy(*keys, "__v").agg(F.count("*").alias("__n"), F.first("__before").alias("__before"), F.first("__all").alias("__all"))
+    near = near.withColumn("__upto", F.min("__before").over(group) + F.sum("__n").over(group.orderBy("__v")))
+    at = lambda place: F.min(F.when(F.col("__upto") >= place, F.col("__v")))
+    found = near.groupBy(*keys).agg(at(low).alias("__low"), at(high).alias("__high"), F.first("__all").alias(f"{out}_n"))
+    return written(found.select(*keys, ((F.col("__low") + F.col("__high")) / 2 / float(10**LOG_DIGITS)).alias(out), f"{out}_n"), "medians")
 
 
 def drop_outliers(rows: DataFrame, keys: Sequence[str], ratio: str = "ratio", low: float = 0.20, high: float = 4.0) -> DataFrame:
     """Relatives inside hard bounds and, in groups of five or more with some spread, within 3.5 scaled median absolute deviations of the log; otherwise within 0.33 to 3.
 
-    Medians are of logs rounded to six digits, so a group has three million different ones at most. ``rows`` is read three
-    times; give a written table where it is costly.
+    Medians are of logs rounded to six digits. ``rows`` is read five times; give a written table where it is costly.
     """
     bounded = rows.where(F.col(ratio).between(low, high)).withColumn("__log", F.ln(ratio))
     centre = _group_median(bounded, keys, F.col("__log"), "__median")
@@ -135,9 +162,13 @@ def store_balanced(rows: DataFrame, keys: Sequence[str], store: str = "store", r
     return stores.groupBy(*keys).agg((100 * F.when(F.count(known) >= 2, balanced).otherwise(flat)).alias("index"), F.count(known).alias("stores"), F.sum("__n").alias("items"))
 
 
-def _moves(prices: DataFrame, period: str, low: float, high: float, values: Sequence[str] = ("price",)) -> DataFrame:
+def _numbered(prices: DataFrame, period: str) -> DataFrame:
+    """The periods of ``prices`` with their numbers."""
+    return prices.select(period).distinct().withColumn("__no", F.row_number().over(Window.orderBy(period)))
+
+
+def _moves(prices: DataFrame, steps: DataFrame, period: str, low: float, high: float, values: Sequence[str] = ("price",)) -> DataFrame:
     """Items' moves from the period observed before (of all, not of the item) to this one, inside the bounds: of the first of ``values`` that is known in both."""
-    steps = prices.select(period).distinct().withColumn("__no", F.row_number().over(Window.orderBy(period)))
     numbered = prices.join(F.broadcast(steps), period)  # one row a period
     item = Window.partitionBy("item").orderBy("__no")
     moved = F.coalesce(*[F.when((F.col(v) > 0) & (F.lag(v).over(item) > 0), F.col(v) / F.lag(v).over(item)) for v in values])
@@ -146,7 +177,7 @@ def _moves(prices: DataFrame, period: str, low: float, high: float, values: Sequ
 
 def movements(prices: DataFrame, keys: Sequence[str], period: str = "month", low: float = 0.5, high: float = 2.0) -> DataFrame:
     """Geometric mean of items' moves from the period observed before (of all, not of the item) to this one, by keys; moves beyond the bounds are left out. ``prices`` has one row for an item and period."""
-    return _moves(prices, period, low, high).groupBy(period, *keys).agg(geomean("__move").alias("movement"), F.count("*").alias("pairs"))
+    return _moves(prices, _numbered(prices, period), period, low, high).groupBy(period, *keys).agg(geomean("__move").alias("movement"), F.count("*").alias("pairs"))
 
 
 def impute(prices: DataFrame, levels: Sequence[Sequence[str]], period: str = "month", window: int = 2, low: float = 0.80, high: float = 1.25, carried: str = "price", moved: Sequence[str] = ("price",)) -> DataFrame:
@@ -156,8 +187,7 @@ def impute(prices: DataFrame, levels: Sequence[Sequence[str]], period: str = "mo
     after it is seen, so the candidates grow with the rows, not with items times periods. All levels' movements come from one
     grouping. ``prices`` is read several times; give a written table where it is costly.
     """
-    order = Window.orderBy(period)
-    steps = prices.select(period).distinct().withColumn("__no", F.row_number().over(order))
+    steps = written(_numbered(prices, period), "periods")
     numbered = prices.join(F.broadcast(steps), period)
     nexts = numbered.withColumn("__next", F.lead("__no").over(Window.partitionBy("item").orderBy("__no")))
     gaps = nexts.withColumn("__gap", F.explode(F.expr(f"filter(sequence(__no + 1, __no + {window}), n -> n < coalesce(__next, n + 1))")))
@@ -167,7 +197,8 @@ def impute(prices: DataFrame, levels: Sequence[Sequence[str]], period: str = "mo
         return F.concat_ws("\u001f", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys])
 
     coded = F.explode(F.array(*[F.struct(F.lit(i).alias("level"), code(keys).alias("code")) for i, keys in enumerate(levels)]))
-    moves = _moves(prices, period, 0.5, 2.0, moved).select(period, "__move", coded.alias("__k")).groupBy(period, F.col("__k.level").alias("__level"), F.col("__k.code").alias("__code")).agg(geomean("__move").alias("__m"))
+    moves = _moves(prices, steps, period, 0.5, 2.0, moved).select(period, "__move", coded.alias("__k")).groupBy(period, F.col("__k.level").alias("__level"), F.col("__k.code").alias("__code")).agg(geomean("__move").alias("__m"))
+    moves = written(moves, "movements")
     for i, keys in enumerate(levels):
         own = moves.where(F.col("__level") == i).select(F.col(period).alias("__p"), F.col("__code").alias("__c"), F.col("__m").alias(f"__m{i}"))
         gaps = gaps.join(own, (F.col(period) == F.col("__p")) & (code(keys) == F.col("__c")), "left").drop("__p", "__c")
@@ -220,10 +251,7 @@ def with_hedonic(prices: DataFrame, adjusted: DataFrame, keys: Sequence[str] = (
 
 def compared_prices(obs: DataFrame, period: str = "month") -> DataFrame:
     """``period, item, class, division, shelf, unit, observations, store`` for each item and period from observations with ``price`` and ``unit_price``, ``base_period, base_shelf, base_unit`` of the item's first period, and ``ratio``: of unit prices where they can be compared (``unit_or_shelf``), else of shelf prices; ``base_price`` is the one compared with."""
-    keys = [period, "item", "class", "division"]
-    obs = obs.select(*keys, "price", "unit_price", "store").repartition(period, "item")
-    grouped = obs.groupBy(*keys).agg(_positive("price").alias("__shelf"), _positive("unit_price").alias("__unit"), F.count("*").alias("observations"), F.mode("store", True).alias("store"))
-    prices = _with_geomean(_with_geomean(grouped, "__shelf", "shelf"), "__unit", "unit").where("shelf IS NOT NULL")
+    prices = _item_means(obs, [period, "item", "class", "division"], {"price": "shelf", "unit_price": "unit"}).where("shelf IS NOT NULL")
     own = Window.partitionBy("item")
     prices = prices.withColumns({"base_period": F.min(period).over(own), "base_shelf": F.min_by("shelf", period).over(own), "base_unit": F.min_by("unit", period).over(own)})
     by_unit = unit_or_shelf("shelf", "base_shelf", "unit", "base_unit")
