@@ -86,12 +86,19 @@ def pattern_overrides(items: DataFrame, rules: DataFrame) -> DataFrame:
     A rule of the item's store goes before one for all stores (null or blank), then the longest value wins, then the smallest. Rules are
     tried behind their literals (``rules.rule_hits``), so they may be many.
     """
-    number = F.row_number().over(Window.orderBy("value", "store", "division"))  # a row a rule
     known = rules.where("trim(value) <> '' AND division IS NOT NULL").select("value", F.nullif("store", F.lit("")).alias("scope"), "division")
-    known = written(known.withColumn("store", F.coalesce("scope", F.lit(""))).withColumn("rule", number).drop("store"), "override-rules")
-    tried = known.select("rule", F.concat(F.lit(r"\b(?:"), F.lower("value"), F.lit(r")\b")).alias("pattern"), F.lit(None).cast("string").alias("negative_pattern"), "scope", "value", "division")
-    hits = rule_hits(items, tried, "item", "name").join(items.select("item", "store"), "item").where("scope IS NULL OR scope = store")
-    best = hits.groupBy("item").agg(F.min_by("division", F.struct(F.col("scope").isNull(), -F.length("value"), "value", "division")).alias("override_division"))
+    known = known.withColumn("pattern", F.concat(F.lit(r"\b(?:"), F.lower("value"), F.lit(r")\b")))
+    # Of the rules of one pattern and scope the same one always wins, so only that is kept, and a pattern is tried once whatever its rules.
+    first = F.struct((-F.length("value")).alias("shorter"), "value", "division")
+    known = written(known.groupBy("pattern", "scope").agg(F.min(first).alias("first")), "override-rules")
+    number = F.row_number().over(Window.orderBy("pattern"))  # a row a pattern
+    tried = known.select("pattern").distinct().select(number.alias("rule"), "pattern", F.lit(None).cast("string").alias("negative_pattern"))
+    rows = items.select(F.struct("item", "store").alias("row"), "name").repartition("row")  # a table of few files is dealt to all tasks
+    hits = rule_hits(rows, written(tried, "override-patterns"), "row", "name").select("row.item", "row.store", "pattern")
+    scopes = F.explode(F.array(F.struct(F.lit(False).alias("everywhere"), F.col("store").alias("scope")), F.struct(F.lit(True).alias("everywhere"), F.lit("").alias("scope"))))
+    named = known.select("pattern", F.col("scope").isNull().alias("everywhere"), F.coalesce("scope", F.lit("")).alias("scope"), "first")
+    found = hits.select("item", "pattern", scopes.alias("k")).select("item", "pattern", "k.*").join(named, ["pattern", "everywhere", "scope"])
+    best = found.groupBy("item").agg(F.min(F.struct("everywhere", "first")).alias("best")).select("item", F.col("best.first.division").alias("override_division"))
     return items.join(best, "item", "left")
 
 
