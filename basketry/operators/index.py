@@ -258,10 +258,11 @@ def compared_prices(obs: DataFrame, period: str = "month") -> DataFrame:
     return prices.withColumns({"ratio": F.when(by_unit, F.col("unit") / F.col("base_unit")).otherwise(F.col("shelf") / F.col("base_shelf")), "base_price": F.when(by_unit, F.col("base_unit")).otherwise(F.col("base_shelf"))})
 
 
-def compiled_relatives(obs: DataFrame, levels: Sequence[Sequence[str]], period: str = "month", window: int = 2, shadow: bool = True) -> DataFrame:
-    """The relatives that the index is made of: unit or shelf price, missing items moved on with their class, outliers left out by division, and new items only tracked in their first period. ``imputed`` tells which are not observed."""
+def compiled_relatives(obs: DataFrame, levels: Sequence[Sequence[str]], period: str = "month", window: int = 2, shadow: bool = True, columns: Sequence[str] | None = None) -> DataFrame:
+    """The relatives that the index is made of: unit or shelf price, missing items moved on with their class, outliers left out by division, and new items only tracked in their first period. ``imputed`` tells which are not observed. Only ``columns`` are kept, if told."""
     prices = written(compared_prices(obs, period), "compared-prices")
     filled = impute(prices, levels, period, window, carried="ratio", moved=("unit", "shelf")).where("ratio > 0")
+    filled = filled.select(*columns) if columns else filled
     kept = drop_outliers(written(filled, "compared-relatives"), [period, "division"])
     return kept.where(F.col("base_period") < F.col(period)) if shadow else kept
 
@@ -281,7 +282,8 @@ def compiled(obs: DataFrame, weights: DataFrame, levels: Sequence[Sequence[str]]
     """The index of all periods from observations in one chain: ``division_grid`` of store-balanced class indices over ``compiled_relatives``, with quality-adjusted prices (``adjusted``: item, store, day, adjusted) in place of observed ones. ``headline`` adds it up."""
     if adjusted is not None:
         obs = with_hedonic(obs, adjusted, also="unit_price")
-    relatives = written(compiled_relatives(obs, levels, period, window), "compiled-relatives")
+    # Read twice: a scan of few columns and a join with few rows, which costs less than to write them.
+    relatives = compiled_relatives(obs, levels, period, window, columns=[period, "division", "class", "store", "ratio", "observations", "base_period"])
     classes = store_balanced(relatives, [period, "division", "class"])
     return written(division_grid(classes, relatives, weights, period, factors), "division-grid")
 

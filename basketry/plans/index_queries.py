@@ -124,7 +124,8 @@ def q_index_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the whole chain imputes, leaves out and only tracks, by month."""
     obs, adjusted = _chain_inputs(spark, sf_dir)
     prices = written(index.compared_prices(index.with_hedonic(obs, adjusted, also="unit_price")), "compared-prices")
-    filled = written(index.impute(prices, LEVELS, carried="ratio", moved=("unit", "shelf")).where("ratio > 0"), "compared-relatives")
+    filled = index.impute(prices, LEVELS, carried="ratio", moved=("unit", "shelf")).where("ratio > 0")
+    filled = written(filled.select("month", "division", "store", "ratio", "base_period", "imputed"), "compared-relatives")
     found = index.relative_quality(filled, index.drop_outliers(filled, ["month", "division"]))
     return found.withColumn("imputation_rate", F.round("imputation_rate", 4))
 
